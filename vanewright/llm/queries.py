@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vanewright.llm import decontam, langid, tokens
+from vanewright.llm import decontam, langid, mixing, secrets, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op1(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op6(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,7 +36,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_language_id, op7_token_counts, op10_decontamination)
+    f.__name__: f for f in (op1_secrets, op3_language_id, op6_mixing, op7_token_counts, op10_decontamination)
 }
 
-SQL: dict[str, str] = {"op10_decontamination": decontam.SQL}
+SQL: dict[str, str] = {"op1_secrets": secrets.SQL, "op6_mixing": mixing.SQL, "op10_decontamination": decontam.SQL}
