@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vanewright.llm import decontam, langid, mixing, secrets, tokens
+from vanewright.llm import ann, decontam, langid, mixing, neardup, secrets, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op1(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.op2(table(spark, sf_dir, "embeddings"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3(table(spark, sf_dir, "documents"))
 
@@ -31,12 +35,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.op7(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.op8(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op3_language_id, op6_mixing, op7_token_counts, op10_decontamination)
+    f.__name__: f for f in (op1_secrets, op2_embedding_near_dedup, op3_language_id, op6_mixing, op7_token_counts, op8_minhash_near_dedup, op10_decontamination)
 }
 
-SQL: dict[str, str] = {"op1_secrets": secrets.SQL, "op6_mixing": mixing.SQL, "op10_decontamination": decontam.SQL}
+SQL: dict[str, str] = {"op1_secrets": secrets.SQL, "op2_embedding_near_dedup": ann.SQL, "op6_mixing": mixing.SQL, "op8_minhash_near_dedup": neardup.SQL, "op10_decontamination": decontam.SQL}
