@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import materialise
+from vanewright.llm.common import materialise, shuffled
 from vanewright.llm.graphs import components
 
 SHARD, CENTRES, DEGREE, ALPHA, BEAM = 1000, 4096, 24, 1.2, 32
@@ -234,15 +234,15 @@ def near_links(found: DataFrame, least: float = 0.93, overlap: int = 2, shard: i
         searched = asked.select("rep", "shard")
         done = searched if done is None else done.union(searched)
         onward = hit.select("x", "y", F.explode("ahead").alias("shard")).groupBy("x", "shard").agg(F.min("y").alias("seed"), F.max("y").alias("seed2"))
-        onward = onward.join(done.select(F.col("rep").alias("x"), "shard"), ["x", "shard"], "left_anti")
-        onward = onward.join(everyone, onward["x"] == everyone["rep"]).select("label", "dim", "shard", "rep", everyone["x"], F.col("home").alias("shards"), F.array("seed", "seed2").alias("seeds"))
+        onward = onward.join(shuffled(done.select(F.col("rep").alias("x"), "shard")), ["x", "shard"], "left_anti")
+        onward = onward.join(shuffled(everyone), onward["x"] == everyone["rep"]).select("label", "dim", "shard", "rep", everyone["x"], F.col("home").alias("shards"), F.array("seed", "seed2").alias("seeds"))
         asked = materialise(onward, "ann-onward")
         if asked.isEmpty():
             break
     pairs = links.select("x", "y", "mult").distinct()
     mults = found.select(F.col("rep").alias("y"), F.col("mult").alias("back"))
     # Whatever either side found holds for both.
-    back = links.select(F.col("y").alias("x"), F.col("x").alias("y")).distinct().join(mults, "y").select("x", "y", F.col("back").alias("mult"))
+    back = links.select(F.col("y").alias("x"), F.col("x").alias("y")).distinct().join(shuffled(mults), "y").select("x", "y", F.col("back").alias("mult"))
     return materialise(pairs.union(back).distinct(), "ann-pairs")
 
 
@@ -265,7 +265,7 @@ def audit(found: DataFrame, links: DataFrame, least: float = 0.93, queries: int
             yield pd.DataFrame(out, columns=["x", "y"]).astype("int64")
 
     true = found.select("rep", "label", "dim", "x").mapInPandas(run, "x long, y long")
-    row = true.join(links.select("x", "y", F.lit(1).alias("hit")), ["x", "y"], "left").agg(F.count("*"), F.count("hit")).first()
+    row = true.join(shuffled(links.select("x", "y", F.lit(1).alias("hit"))), ["x", "y"], "left").agg(F.count("*"), F.count("hit")).first()
     return row[1] / row[0] if row[0] else 1.0
 
 
@@ -284,10 +284,10 @@ def near_duplicates(rows: DataFrame, vec: str = "embedding", doc: str = "vec_id"
             break
     counts = links.groupBy("x").agg(F.sum("mult").alias("others"))
     label_of = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")).where("u > v"))
-    per = found.select("rep", "mult", "label", "x").join(counts.withColumnRenamed("x", "rep"), "rep", "left").join(label_of.withColumnRenamed("node", "rep").withColumnRenamed("label", "component"), "rep", "left")
+    per = found.select("rep", "mult", "label", "x").join(shuffled(counts.withColumnRenamed("x", "rep")), "rep", "left").join(shuffled(label_of.withColumnRenamed("node", "rep").withColumnRenamed("label", "component")), "rep", "left")
     per = materialise(per.select("label", "x", (F.col("mult") - 1 + F.coalesce("others", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("component")), "ann-result")
     left = rows.select(F.col(doc).alias("doc"), F.col(label).cast("string").alias("label"), F.col(vec).cast("array<double>").alias("x"))
-    out = left.join(per, (left["label"] == per["label"]) & (left["x"] == per["x"]) & left["doc"].isNotNull(), "left")
+    out = left.join(shuffled(per), (left["label"] == per["label"]) & (left["x"] == per["x"]) & left["doc"].isNotNull(), "left")
     component = F.coalesce("component", F.col("doc").cast("long"))
     return out.select("doc", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 

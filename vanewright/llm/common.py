@@ -35,6 +35,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """Mark a side of a join that grows with the corpus: compressed files look small, but it must not be broadcast."""
+    return df.hint("merge")
+
+
 def id_text(column: str) -> Column:
     """An id as text; a null id counts as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

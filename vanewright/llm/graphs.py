@@ -9,18 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import materialise
+from vanewright.llm.common import materialise, shuffled
 
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.join(shuffled(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = edges.join(shuffled(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 

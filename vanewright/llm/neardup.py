@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import append, materialise
+from vanewright.llm.common import append, materialise, shuffled
 from vanewright.llm.graphs import components
 
 BANDS, ROWS = 32, 5
@@ -114,7 +114,7 @@ def _sketched(docs: DataFrame, text: str, k: int) -> DataFrame:
 def _plausible(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) that the sequential test doesn't rule out."""
     sig = lambda c: signatures.select(F.col("rep").alias(c), F.col("signature").alias(f"s{c}"))
-    both = pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "sa", "sb")
+    both = pairs.join(shuffled(sig("a")), "a").join(shuffled(sig("b")), "b").select("a", "b", "sa", "sb")
     need = fewest_matches(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +137,9 @@ def _exact(pairs: DataFrame, docs: DataFrame, threshold: int, k: int) -> DataFra
     """Pairs whose full sets overlap enough: 100 * intersection >= threshold * union."""
     texts = docs.where("doc is not null")
     ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    own = materialise(texts.join(ends, "doc", "left_semi"), "dedup-texts")
-    both = pairs.join(own.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b").join(own.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+    own = materialise(texts.join(shuffled(ends), "doc", "left_semi"), "dedup-texts")
+    side = lambda c: shuffled(own.select(F.col("doc").alias(c), F.col("text").alias(f"t{c}")))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, x = None, set()
@@ -174,22 +175,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k:
     bands = reps.select("rep", F.explode(slices).alias("band"))
     sizes = bands.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).where("pivot <> other").select("band", "pivot")
     sizes = materialise(sizes, "dedup-pivots")
-    members = materialise(bands.join(sizes, "band").select("band", "rep", "pivot"), "dedup-members")
+    members = materialise(bands.join(shuffled(sizes), "band").select("band", "rep", "pivot"), "dedup-members")
     tried = materialise(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "dedup-pairs")
     links = _verified(tried, signatures, docs, threshold, k)
     labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     for last in (False, True):
-        more = materialise(_across(members.select("band", "rep"), labels, last).join(tried, ["a", "b"], "left_anti"), "dedup-pairs")
+        more = materialise(_across(members.select("band", "rep"), labels, last).join(shuffled(tried), ["a", "b"], "left_anti"), "dedup-pairs")
         if more.isEmpty():
             continue
         tried = tried.union(more)
         found = _verified(more, signatures, docs, threshold, k)
         edges = labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(found.select("a", "b"))
         labels = components(edges)
-    named = reps.select("d1", "d2", F.col("n").alias("size"), "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = reps.select("d1", "d2", F.col("n").alias("size"), "rep").join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left")
     named = materialise(named.select("d1", "d2", "size", F.coalesce("label", "rep").alias("component")), "dedup-named")
     left = rows.select("doc", "n", "d1", "d2")
-    out = left.join(named, (left["d1"] == named["d1"]) & (left["d2"] == named["d2"]) & (left["n"] == named["size"]) & left["doc"].isNotNull(), "left")
+    out = left.join(shuffled(named), (left["d1"] == named["d1"]) & (left["d2"] == named["d2"]) & (left["n"] == named["size"]) & left["doc"].isNotNull(), "left")
     component = F.coalesce("component", "doc")
     return out.select("doc", F.col("n").alias("n_shingles"), component.alias("component"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
@@ -204,19 +205,19 @@ def _across(members: DataFrame, labels: DataFrame, everything: bool) -> DataFram
 
     First, all against one pivot that is outside the bucket's smallest component; with ``everything``, each pair across.
     """
-    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("band", "rep", F.coalesce("label", "rep").alias("label"))
+    named = members.join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left").select("band", "rep", F.coalesce("label", "rep").alias("label"))
     named = materialise(named, "dedup-labelled")
     mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     mixed = materialise(mixed, "dedup-mixed")
-    here = named.join(mixed, "band")
+    here = named.join(shuffled(mixed), "band")
     if everything:
         here = materialise(here.select("band", "rep", "label"), "dedup-across")
         x = here.select("band", F.col("rep").alias("a"), F.col("label").alias("la"))
         y = here.select("band", F.col("rep").alias("b"), F.col("label").alias("lb"))
-        out = x.join(y, "band").where("a < b and la <> lb")
+        out = x.join(shuffled(y), "band").where("a < b and la <> lb")
     else:
         pivots = materialise(here.where("label <> low").groupBy("band").agg(F.min(F.struct("rep", "label")).alias("p")).select("band", F.col("p.rep").alias("p"), F.col("p.label").alias("lp")), "dedup-pivots")
-        out = named.join(pivots, "band").where("label <> lp").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
+        out = named.join(shuffled(pivots), "band").where("label <> lp").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
     return out.select("a", "b").distinct()
 
 

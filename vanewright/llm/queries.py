@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vanewright.llm import ann, decontam, langid, mixing, neardup, secrets, tokens
+from vanewright.llm import ann, decontam, html, langid, mixing, neardup, secrets, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op6(table(spark, sf_dir, "documents"))
 
@@ -39,12 +43,16 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.op8(table(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.op9(table(spark, sf_dir, "pages"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_embedding_near_dedup, op3_language_id, op6_mixing, op7_token_counts, op8_minhash_near_dedup, op10_decontamination)
+    f.__name__: f for f in (op1_secrets, op2_embedding_near_dedup, op3_language_id, op5_toxicity, op6_mixing, op7_token_counts, op8_minhash_near_dedup, op9_main_text, op10_decontamination)
 }
 
 SQL: dict[str, str] = {"op1_secrets": secrets.SQL, "op2_embedding_near_dedup": ann.SQL, "op6_mixing": mixing.SQL, "op8_minhash_near_dedup": neardup.SQL, "op10_decontamination": decontam.SQL}
