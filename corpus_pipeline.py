@@ -1,11 +1,15 @@
-"""The corpus pipeline: five filtering and mixing stages over ``documents``."""
+"""The corpus pipeline: five stages over ``documents``, each one operator of ``vanewright.llm`` on what its predecessor kept.
+
+Extra columns of the input go; nulls may stand in any column.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vanewright.llm import decontam, langid
-from vanewright.llm.common import materialise
+from vanewright.llm import decontam, langid, mixing, neardup, secrets
+from vanewright.llm.common import materialise, shuffled
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -17,13 +21,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(found["lang_pred"] != langid.UNDECIDED).select(*COLUMNS)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by five-word shingles at 0.8 or more, the document with the smallest id stays.
+
+    Rows that share an id are one document: the smallest text stays. Rows with a null id are in no group and stay.
+    """
+    docs = docs.select(*COLUMNS)
+    kept = neardup.near_duplicates(docs).where("kept and doc is not null").select(F.col("doc").alias("doc_id")).distinct()
+    named = docs.where("doc_id is not null").join(shuffled(kept), "doc_id", "left_semi")
+    one = named.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+    return one.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
+    """Documents of which the benchmark covers a twentieth of the words or more go."""
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontam.decontaminate(docs.select(*COLUMNS), bench).where("not contaminated").select(*COLUMNS)
 
 
-STAGES = [("language_id", language_id), ("decontaminate", decontaminate)]
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a secret go."""
+    return secrets.scan(docs.select(*COLUMNS)).where(F.size("secrets") == 0).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes words of, with the number of words taken, repeats counted."""
+    _, _, out = mixing.mix(docs.select(*COLUMNS))
+    return out.where("taken > 0").select(F.col("doc").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("secret_scan", secret_scan), ("mix", mix)]
 
 #: Language identification has no SQL form; the stages are tested against brute-force versions.
 ORACLE_SQL = None

@@ -106,12 +106,12 @@ def mix(docs: DataFrame, text: str = "text", doc: str = "doc_id", source: str =
     """(slots, pieces, documents).
 
     slots: the recipe, see ``slots``. pieces: (rank, block, part, nth, words) - which words of a document a block holds,
-    by its place. documents: (doc, size, source_size, target, taken, ...). Null sources are one source, the last. Null ids
+    by its place. documents: (doc, source, size, source_size, target, taken). Null sources are one source, the last. Null ids
     come first in their source. Repeated rows are rows of their own. An empty table gives empty results.
     """
     sizes = materialise(sized(docs, text, doc, source), "mix-sizes")
     parts = materialise(sources(sizes, block=block), "mix-sources")
-    rows = sizes.join(parts, sizes["source"].eqNullSafe(parts["source"])).select("doc", "size", "rank", "source_size", "target")
+    rows = sizes.join(parts, sizes["source"].eqNullSafe(parts["source"])).select("doc", sizes["source"], "size", "rank", "source_size", "target")
     placed = packed(rows)
     recipe = slots(parts)
     first, last = F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("size") - 1) / block)
@@ -121,7 +121,7 @@ def mix(docs: DataFrame, text: str = "text", doc: str = "doc_id", source: str =
     used = recipe.groupBy("rank", "block").agg(F.count("*").alias("times"))
     taken = pieces.join(used, ["rank", "block"]).groupBy("rank", "part", "nth").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     out = placed.join(taken, ["rank", "part", "nth"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
-    return recipe, pieces, out.select("doc", "size", "source_size", "target", "taken")
+    return recipe, pieces, out.select("doc", "source", "size", "source_size", "target", "taken")
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vanewright.llm import ann, decontam, html, langid, mixing, neardup, secrets, tokens, toxicity
+from vanewright.llm import ann, decontam, html, langid, mixing, neardup, pii, secrets, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3(table(spark, sf_dir, "documents"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op4(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,7 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op2_embedding_near_dedup, op3_language_id, op5_toxicity, op6_mixing, op7_token_counts, op8_minhash_near_dedup, op9_main_text, op10_decontamination)
+    f.__name__: f for f in (op1_secrets, op2_embedding_near_dedup, op3_language_id, op4_personal_data, op5_toxicity, op6_mixing, op7_token_counts, op8_minhash_near_dedup, op9_main_text, op10_decontamination)
 }
 
 SQL: dict[str, str] = {"op1_secrets": secrets.SQL, "op2_embedding_near_dedup": ann.SQL, "op6_mixing": mixing.SQL, "op8_minhash_near_dedup": neardup.SQL, "op10_decontamination": decontam.SQL}
