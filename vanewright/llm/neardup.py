@@ -4,8 +4,9 @@
    MinHash signature. Documents with equal sets become one class, so exact copies never meet in pairs.
 2. Signatures are cut into bands; equal bands make candidates. With 32 bands of 5 rows a pair at similarity 0.8 is missed
    with probability 3e-6.
-3. In each bucket every member meets one pivot, not every other member. Links found so join into components; then only
-   members of buckets that still mix components meet: first a second pivot, at last each other across components.
+3. In each bucket every member meets one pivot, not every other member. Links found so join into components.
+   Buckets that still mix components are compared whole, in blocks (see ``_across``), and only links that join
+   components leave the tasks.
 4. A pair is verified in steps: signature batches are compared until the posterior probability that its similarity
    reaches the threshold falls below ``MISS``; survivors are verified exactly on the full sets of their texts.
 
@@ -179,14 +180,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k:
     tried = materialise(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "dedup-pairs")
     links = _verified(tried, signatures, docs, threshold, k)
     labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    for last in (False, True):
-        more = materialise(_across(members.select("band", "rep"), labels, last).join(shuffled(tried), ["a", "b"], "left_anti"), "dedup-pairs")
-        if more.isEmpty():
-            continue
-        tried = tried.union(more)
-        found = _verified(more, signatures, docs, threshold, k)
-        edges = labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(found.select("a", "b"))
-        labels = components(edges)
+    found = _across(members.select("band", "rep"), labels, reps.select("rep", "n", "signature"), docs, threshold, k)
+    if not found.isEmpty():
+        labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(found.select("a", "b")))
     named = reps.select("d1", "d2", F.col("n").alias("size"), "rep").join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left")
     named = materialise(named.select("d1", "d2", "size", F.coalesce("label", "rep").alias("component")), "dedup-named")
     left = rows.select("doc", "n", "d1", "d2")
@@ -200,25 +196,110 @@ def _verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, threshol
     return materialise(_exact(survivors, docs, threshold, k), "dedup-links")
 
 
-def _across(members: DataFrame, labels: DataFrame, everything: bool) -> DataFrame:
-    """Pairs of a bucket whose members are of different components.
+def _candidates(x: np.ndarray, y: np.ndarray, need: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of two signature blocks that the sequential test keeps, and their matches."""
+    out = []
+    for a in range(0, len(x), 128):
+        part = x[a : a + 128]
+        matches = np.zeros((len(part), len(y)), np.int16)
+        for h in range(BATCH):
+            matches += part[:, h, None] == y[None, :, h]
+        i, j = np.nonzero(matches >= need[BATCH])
+        m = matches[i, j].astype(np.int64)
+        for h in range(BATCH, HASHES, BATCH):
+            m = m + (part[i, h : h + BATCH] == y[j, h : h + BATCH]).sum(axis=1)
+            keep = m >= need[h + BATCH]
+            i, j, m = i[keep], j[keep], m[keep]
+        out.append((i + a, j, m))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _linked(threshold: int, k: int) -> Callable:
+    """Links that join the components of one block or pair of blocks: a forest, not every pair.
+
+    Likely pairs come first; pairs whose components have met meanwhile need no verification.
+    """
+    need = fewest_matches(threshold / 100)
+
+    def run(table: pa.Table) -> pa.Table:
+        pdf = table.to_pandas().drop_duplicates(["rep", "text"]).sort_values(["right", "rep", "text"]).reset_index(drop=True)
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        if pdf["label"].nunique() < 2:
+            return schema.empty_table()
+        sig = np.frombuffer(b"".join(pdf["signature"]), np.uint32).reshape(-1, HASHES)
+        right = pdf["right"].to_numpy()
+        left_at = np.flatnonzero(~right)
+        right_at = np.flatnonzero(right) if right.any() else left_at
+        i, j, m = _candidates(sig[left_at], sig[right_at], need)
+        i, j = left_at[i], right_at[j]
+        keep = i != j if right.any() else i < j
+        order = np.argsort(-m[keep], kind="stable")
+        root = {x: x for x in pdf["label"]}
+
+        def top(v: int) -> int:
+            while root[v] != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        label, rep, texts = pdf["label"].to_numpy(), pdf["rep"].to_numpy(), pdf["text"].to_numpy()
+        sets: dict[int, set] = {}
+
+        def full(r: int) -> set:
+            if r not in sets:
+                if len(sets) > 256:
+                    sets.clear()
+                sets[r] = shingles(texts[r], k)
+            return sets[r]
+
+        links = []
+        pairs = sorted(zip(-m[keep][order] // 8, i[keep][order], j[keep][order], strict=True))  # like rows together
+        for _, p, q in pairs:
+            u, v = top(label[p]), top(label[q])
+            if u != v:
+                x, y = full(p), full(q)
+                common = len(x & y)
+                if 100 * common >= threshold * (len(x) + len(y) - common):
+                    root[max(u, v)] = min(u, v)
+                    links.append((rep[p], rep[q]))
+        return pa.table({"a": [int(x) for x, _ in links], "b": [int(y) for _, y in links]}, schema=schema)
+
+    return run
+
+
+def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, threshold: int, k: int) -> DataFrame:
+    """Links between members of a bucket that are in different components after the pivots.
 
-    First, all against one pivot that is outside the bucket's smallest component; with ``everything``, each pair across.
+    Buckets that mix components are chained into families. A family is dealt by set size into levels, of which only equal
+    and neighbouring ones can link, and each level into blocks of bounded rows and words. Each pair of blocks is compared
+    in a task of its own: signatures first, then the full sets of what remains. Only links that join components leave.
     """
     named = members.join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left").select("band", "rep", F.coalesce("label", "rep").alias("label"))
     named = materialise(named, "dedup-labelled")
-    mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    mixed = materialise(mixed, "dedup-mixed")
-    here = named.join(shuffled(mixed), "band")
-    if everything:
-        here = materialise(here.select("band", "rep", "label"), "dedup-across")
-        x = here.select("band", F.col("rep").alias("a"), F.col("label").alias("la"))
-        y = here.select("band", F.col("rep").alias("b"), F.col("label").alias("lb"))
-        out = x.join(shuffled(y), "band").where("a < b and la <> lb")
-    else:
-        pivots = materialise(here.where("label <> low").groupBy("band").agg(F.min(F.struct("rep", "label")).alias("p")).select("band", F.col("p.rep").alias("p"), F.col("p.label").alias("lp")), "dedup-pivots")
-        out = named.join(shuffled(pivots), "band").where("label <> lp").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
-    return out.select("a", "b").distinct()
+    mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("rep").alias("first")).where("low <> high").select("band", "first")
+    here = materialise(named.join(shuffled(mixed), "band").select("rep", "label", "first"), "dedup-mixed")
+    families = components(here.select(F.col("rep").alias("u"), F.col("first").alias("v")).where("u <> v"))
+    step = math.log(100 / threshold)
+    level = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
+    rows = here.select("rep", "label").distinct().join(shuffled(families.select(F.col("node").alias("rep"), F.col("label").alias("family"))), "rep").join(shuffled(reps), "rep")
+    rows = materialise(rows.select("rep", "label", "n", "signature", "family", level.alias("level")), "dedup-families")
+    sizes = rows.groupBy("family", "level").agg(F.ceil(F.greatest(F.count("*") / 1024, F.sum("n") / 1_000_000)).cast("int").alias("blocks"))
+    sizes = materialise(sizes, "dedup-blocks")
+    at = lambda d, c: shuffled(sizes.select("family", (F.col("level") - d).alias("level"), F.col("blocks").alias(c)))
+    rows = rows.join(at(0, "own"), ["family", "level"]).join(at(1, "above"), ["family", "level"], "left").join(at(-1, "below"), ["family", "level"], "left")
+    block = F.pmod(F.xxhash64("rep"), F.col("own")).cast("int")
+    none = F.array().cast("array<struct<level:int,up:boolean,i:int,j:int,right:boolean>>")
+    many = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    task = lambda lv, up, i, j, right: F.struct(lv.alias("level"), F.lit(up).alias("up"), i.alias("i"), j.alias("j"), right.alias("right"))
+    same = F.transform(many("own"), lambda o: task(F.col("level"), False, F.least(o, F.col("block")), F.greatest(o, F.col("block")), o < F.col("block")))
+    above = F.when(F.col("above").isNotNull(), F.transform(many("above"), lambda o: task(F.col("level"), True, F.col("block"), o, F.lit(False)))).otherwise(none)
+    below = F.when(F.col("below").isNotNull(), F.transform(many("below"), lambda o: task(F.col("level") - 1, True, o, F.col("block"), F.lit(True)))).otherwise(none)
+    spread = rows.withColumn("block", block).withColumn("task", F.explode(F.concat(same, above, below)))
+    spread = spread.select("rep", "label", "signature", "family", "task.*")
+    texts = docs.where("doc is not null").join(shuffled(rows.select(F.col("rep").alias("doc")).distinct()), "doc", "left_semi").select(F.col("doc").alias("rep"), "text")
+    texts = materialise(texts, "dedup-texts")
+    ready = spread.join(shuffled(texts), "rep")
+    found = ready.groupBy("family", "level", "up", "i", "j").applyInArrow(_linked(threshold, k), "a long, b long")
+    return materialise(found.distinct(), "dedup-links")
 
 
 def op8(docs: DataFrame) -> DataFrame:
