@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import WORD, materialise
+from vanewright.llm.common import WORD, materialise, shuffled
 
 BLOCK = 128
 #: Primes for the affine step; the first that doesn't divide the number of blocks is taken.
@@ -79,7 +79,8 @@ def slots(parts: DataFrame, shard: int = SHARD) -> DataFrame:
     """(rank, slot, shard, block): the recipe of the mix. Rows are made in chunks, so one source is no one task."""
     parts = parts.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.sum("slots").over(Window.partitionBy()) / shard)))
     chunks = parts.where("slots > 0").select("rank", "blocks", "slots", "shards", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / CHUNK))).alias("chunk"))
-    chunks = chunks.repartition("rank", "chunk")
+    # A given number of partitions keeps few small rows, each of which becomes thousands, from being put into one task.
+    chunks = chunks.repartition(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rank", "chunk")
     first = F.col("chunk") * CHUNK
     each = chunks.select("rank", "blocks", "shards", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("slots")) - 1)).alias("slot"))
     return each.select("rank", "slot", F.pmod(F.xxhash64("rank", "slot"), F.col("shards")).alias("shard"), permuted(F.col("slot"), F.col("blocks"), F.col("rank")).alias("block"))
@@ -119,8 +120,8 @@ def mix(docs: DataFrame, text: str = "text", doc: str = "doc_id", source: str =
     words = F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("offset"), F.col("block") * block)
     pieces = pieces.select("rank", "block", "part", "nth", words.alias("words"))
     used = recipe.groupBy("rank", "block").agg(F.count("*").alias("times"))
-    taken = pieces.join(used, ["rank", "block"]).groupBy("rank", "part", "nth").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = placed.join(taken, ["rank", "part", "nth"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+    taken = pieces.join(shuffled(used), ["rank", "block"]).groupBy("rank", "part", "nth").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    out = placed.join(shuffled(taken), ["rank", "part", "nth"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
     return recipe, pieces, out.select("doc", "source", "size", "source_size", "target", "taken")
 
 
