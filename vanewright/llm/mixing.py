@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vanewright.llm.common import WORD, materialise, shuffled
 
-BLOCK = 128
+BLOCK = 64
 #: Primes for the affine step; the first that doesn't divide the number of blocks is taken.
 PRIMES = (1299709, 104729, 7919, 611953, 15485863, 32452843)
 #: One multiplier for each round of the shuffle.
