@@ -73,15 +73,15 @@ class Model:
     def _table(self, text: str) -> np.ndarray:
         """[state * width + symbol] -> 2 * next state * width + (1 if a phrase ends before the symbol)."""
         go = suffix_automaton([1 if c == " " else self.symbols.get(c, 2) for c in text])
-        table = np.zeros((len(go), self.width), np.int64)
-        root = np.zeros(self.width, np.int64)
+        alone = len(go)  # after a symbol that the piece lacks: it is a phrase of its own, and the next symbol ends it
+        root = np.full(self.width, alone, np.int64)
         for c, s in go[0].items():
             root[c] = s
-        table[:] = 2 * root * self.width + 1
+        table = np.tile(2 * root * self.width + 1, (alone + 1, 1))
         for s, out in enumerate(go):
             for c, to in out.items():
                 table[s, c] = 2 * to * self.width
-        table[:, 0] = 2 * np.arange(len(go)) * self.width
+        table[:, 0] = 2 * np.arange(alone + 1) * self.width
         table[0, :] &= ~1  # nothing is open at the start
         assert table.max() < 1 << 31
         return table.astype(np.int32).ravel()
