@@ -198,25 +198,41 @@ def rewritten(kind: int, piece: str, rng: np.random.Generator) -> str:
     return piece
 
 
+def varied(piece: str, rng: np.random.Generator) -> str:
+    """The same form with other letters and digits."""
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    change = lambda c: lower[rng.integers(26)] if c in lower else digits[rng.integers(10)] if c in digits and rng.random() < 0.9 else c
+    if "@" in piece:
+        name, _, domain = piece.partition("@")
+        return "".join(map(change, name)) + "@" + (domain if rng.random() < 0.5 else "".join(map(change, domain)))
+    return "".join(change(c) if c in digits else c for c in piece)
+
+
 def examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Training windows (codes, mask, tags) around triggers, each also with its spans rewritten."""
+    """Training windows (codes, mask, tags) around triggers.
+
+    Each window with spans comes as it is, then with other letters, digits and following marks, and with the spans
+    rewritten into forms that the base patterns miss. Small samples are gone through several times.
+    """
     rng, table = np.random.default_rng(seed), _codes()
     rows: list[tuple[str, np.ndarray]] = []
-    for text in texts:
+    for text in texts * max(1, min(8, 300 // max(1, len(texts)))):
         spans = base(text)
         for a, b in _window_starts(text)[:8]:
             a += int(rng.integers(0, STRIDE // 2))
             own = [(k, s, e) for k, s, e in spans if s < min(b, a + WIDTH) and e > a]
-            for change in (False, True) if own else (False,):
+            for change in (0, 1, 2) if own else (0,):
                 piece, tags, at = [], [], a
                 for k, s, e in sorted(own, key=lambda x: x[1]):
                     if s < at:
                         continue
                     piece.append(text[at:s])
                     tags += [0] * (s - at)
-                    form = rewritten(k, text[s:e], rng) if change else text[s:e]
-                    piece.append(form)
-                    tags += [2 * k + 1] + [2 * k + 2] * (len(form) - 1) if form else []
+                    form = varied(text[s:e], rng) if change else text[s:e]
+                    form = rewritten(k, form, rng) if change == 2 else form
+                    mark = ("", "", ".", ",", "!!", ")", ";", '"')[rng.integers(8)] if change else ""
+                    piece.append(form + mark)
+                    tags += [2 * k + 1] + [2 * k + 2] * (len(form) - 1) + [0] * len(mark)
                     at = e
                 piece.append(text[at : max(at, b)])
                 tags += [0] * (max(at, b) - at)
