@@ -110,8 +110,8 @@ def preferred_sensors(descriptions: DataFrame) -> DataFrame:
 
 def flagged_columns(columns: DataFrame, descriptions: DataFrame, flag: str = "is_angle") -> DataFrame:
     """(column, base): columns of sensors whose flag is true. Both tables describe columns, so they are small."""
-    base = descriptions.where(truth(flag)).select(F.trim("sensor_name").alias("base")).distinct()
-    return columns.join(F.broadcast(base), column_base(columns["column"], base["base"])).select("column", "base")
+    base = descriptions.where(truth(flag)).select(F.trim("sensor_name").alias("_sensor")).distinct()
+    return columns.join(F.broadcast(base), column_base(F.col("column"), F.col("_sensor"))).select("column", F.col("_sensor").alias("base"))
 
 
 def aligned(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -63,7 +63,8 @@ def correlations(df: DataFrame, columns: list[str], wide: int = 50) -> DataFrame
     at = {c: k for k, c in enumerate(columns)}
     if len(columns) <= wide:
         pairs = [(a, b) for a in columns for b in columns if at[a] < at[b]]
-        cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.abs(F.corr(a, b)).alias("r")) for a, b in pairs]
+        spread = lambda x, y: F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x)))  # noqa: E731  corr() itself raises on a constant side
+        cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.abs(F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a))).alias("r")) for a, b in pairs]
         return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*") if pairs else df.sparkSession.createDataFrame([], "a string, b string, r double")
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,7 +85,7 @@ def correlations(df: DataFrame, columns: list[str], wide: int = 50) -> DataFrame
     n, sa, sb, saa, sbb, sab = (F.col(f"s{k}") for k in range(6))
     va, vb = n * saa - sa * sa, n * sbb - sb * sb
     names = F.array(*map(F.lit, columns))
-    return s.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), F.when((va > 1e-12 * n * saa) & (vb > 1e-12 * n * sbb), F.abs((n * sab - sa * sb) / F.sqrt(va * vb))).alias("r"))
+    return s.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), F.when((va > 1e-12 * n * saa) & (vb > 1e-12 * n * sbb), F.abs(F.try_divide(n * sab - sa * sb, F.sqrt(F.abs(va * vb))))).alias("r"))
 
 
 def asset_counts(df: DataFrame) -> DataFrame:
