@@ -45,10 +45,10 @@ def test_against_all_pairs(spark):
 def test_graph_search_finds_what_is_in_range():
     rng = np.random.default_rng(3)
     x = ann.unit(rng.standard_normal((400, 24)))
-    x = ann.unit(np.concatenate([x, x[:150] + rng.standard_normal((150, 24)) * 0.05]))
-    graph, medoid = ann.build(x)
+    x = ann.unit(np.concatenate([x, x[:150] + rng.standard_normal((150, 24)) * 0.05, x[:1] + rng.standard_normal((200, 24)) * 0.02]))
+    graph, medoids = ann.build(x)
     starts = np.zeros((len(x), len(x)), bool)
-    starts[:, medoid] = True
+    starts[:, medoids] = True
     hit = ann.search(x, graph, x, starts, 0.93)
     true = x @ x.T >= 0.93
     assert (hit & ~true).sum() == 0 and hit.sum() >= 0.98 * true.sum()

@@ -2,13 +2,15 @@
 
 1. Equal vectors of a label become one class with a multiplicity.
 2. Centres are a bounded hash sample of each label. Each class joins the shards of its ``overlap`` nearest centres; large
-   shards are split by hash, and each part keeps its own graph, so a task holds at most about ``shard`` vectors.
+   shards are split by hash, and each part keeps its own graph, so a task holds at most about twice ``shard`` vectors.
 3. In each part a flat graph is built: every vector's nearest vectors, robustly pruned, with reverse edges.
-4. Each class is searched in its shards' graphs: greedily from the medoid, then range expansion: neighbours of vectors in
+4. Each class is searched in the graphs of its ``PROBES * overlap`` nearest centres' shards: greedily from medoids, then range expansion: neighbours of vectors in
    range are tried until none is new. Similarities are exact, in double precision, and nothing below the threshold links.
 5. The adjacency lists of the shards meet in the classes that sit in several of them: when a class finds a partner that
    also sits in a shard it was not searched in, the search goes on there, from that partner, until no search is new.
 6. A hash sample of queries is compared with all rows by brute force; when recall falls short the overlap grows.
+
+What one side finds holds for the other, so a pair is found when either class's search reaches a shard of the other.
 """
 
 from __future__ import annotations
@@ -24,7 +26,11 @@ from pyspark.sql import functions as F
 from vanewright.llm.common import materialise, shuffled
 from vanewright.llm.graphs import components
 
-SHARD, CENTRES, DEGREE, ALPHA, BEAM = 1000, 4096, 24, 1.2, 32
+SHARD, CENTRES, DEGREE, RANDOM, ALPHA, BEAM = 1000, 4096, 24, 6, 1.2, 32
+#: Shards searched for each shard joined.
+PROBES = 2
+#: Range expansion goes on from vectors that are this much under the threshold, since paths may leave the range.
+SLACK = 0.06
 
 
 def classes(rows: DataFrame, vec: str = "embedding", doc: str = "vec_id", label: str = "label") -> DataFrame:
@@ -57,22 +63,25 @@ def robust_prune(sims: np.ndarray, order: np.ndarray, degree: int = DEGREE, alph
     return kept
 
 
-def build(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, int]:
-    """Neighbour lists (-1 fills up) and the medoid of unit vectors; at most about SHARD rows."""
+def build(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, list[int]]:
+    """Neighbour lists (-1 fills up) of unit vectors, and where searches start: the medoid and those of eight random parts.
+
+    A few list ends of each vector go to random others: in a large group of near copies all the rest stays in the group.
+    """
     n = len(x)
     sims = x @ x.T
-    medoid = int(sims.sum(axis=1).argmax())
+    rng = np.random.default_rng(7)
+    starts = {int(sims.sum(axis=1).argmax())}
+    for part in np.array_split(rng.permutation(n), min(8, n)):
+        starts.add(int(part[sims[np.ix_(part, part)].sum(axis=1).argmax()]))
     np.fill_diagonal(sims, -2)
     pool = min(n - 1, 64)
     lists: list[list[int]] = []
-    # A few far candidates keep the graph connected across groups of near copies.
-    rng = np.random.default_rng(7)
     for p in range(n):
         order = np.argpartition(-sims[p], pool - 1)[:pool] if pool else np.zeros(0, int)
-        far = rng.integers(0, n, 16)
-        order = np.unique(np.concatenate([order, far[far != p]])).astype(int)
         order = order[np.argsort(-sims[p, order], kind="stable")]
-        lists.append(robust_prune((sims[p, order], sims[np.ix_(order, order)]), order, degree))
+        kept = robust_prune((sims[p, order], sims[np.ix_(order, order)]), order, degree - RANDOM)
+        lists.append(kept + [int(q) for q in set(rng.integers(0, n, RANDOM).tolist()) - {p, *kept}])
     reverse: list[list[int]] = [[] for _ in range(n)]
     for p, out in enumerate(lists):
         for q in out:
@@ -85,7 +94,7 @@ def build(x: np.ndarray, degree: int = DEGREE) -> tuple[np.ndarray, int]:
         graph[p, : len(out)] = out
     for p in range(1, n):  # a ring: everything can be reached
         graph[p - 1, -1] = p
-    return graph, medoid
+    return graph, sorted(starts)
 
 
 def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, starts: np.ndarray, least: float, beam: int = BEAM) -> np.ndarray:
@@ -124,7 +133,7 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, starts: np.nda
         done[rows, nodes] = True
         spread(rows, nodes)
     while True:  # range expansion
-        a, b = np.nonzero((sims >= least) & ~done)
+        a, b = np.nonzero((sims >= least - SLACK) & ~done)
         if not len(a):
             break
         done[a, b] = True
@@ -173,8 +182,8 @@ _GRAPH = "label string, dim int, shard int, part int, rep long, mult long, x arr
 
 def _graph(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("rep").reset_index(drop=True)
-    near, medoid = build(unit(pdf["x"]))
-    return pdf.assign(near=[[int(v) for v in row] for row in near], start=np.arange(len(pdf)) == medoid)
+    near, starts = build(unit(pdf["x"]))
+    return pdf.assign(near=[[int(v) for v in row] for row in near], start=np.isin(np.arange(len(pdf)), starts))
 
 
 def _searched(least: float):
@@ -212,13 +221,15 @@ def near_links(found: DataFrame, least: float = 0.93, overlap: int = 2, shard: i
     """(x, y, mult): classes within range, in both directions; mult is the multiplicity of y."""
     spark = found.sparkSession
     centres = _groups(found, shard)
-    placed = materialise(_assign(found, centres, overlap), "ann-assigned")
+    placed = _assign(found, centres, PROBES * overlap).withColumnRenamed("shards", "probes")
+    placed = materialise(placed.withColumn("shards", F.slice("probes", 1, overlap)), "ann-assigned")
     wide = placed.withColumn("shard", F.explode("shards"))
+    probing = placed.withColumn("shard", F.explode("probes"))
     sizes = materialise(wide.groupBy("label", "dim", "shard").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / (2 * shard)).cast("int")).drop("n"), "ann-sizes")
     index = wide.join(sizes, ["label", "dim", "shard"]).withColumn("part", F.pmod(F.xxhash64("rep", F.lit("part")), F.col("parts")).cast("int"))
     keys = ["label", "dim", "shard", "part"]
     graph = materialise(index.select(*keys, "rep", "mult", "x", "shards").groupBy(*keys).applyInPandas(_graph, _GRAPH), "ann-graph")
-    asked = wide.select("label", "dim", "shard", "rep", "x", "shards", F.array().cast("array<long>").alias("seeds"))
+    asked = probing.select("label", "dim", "shard", "rep", "x", "shards", F.array().cast("array<long>").alias("seeds"))
     links, done, everyone = None, None, placed.select("rep", "label", "dim", "x", F.col("shards").alias("home"))
     while True:
         asked = materialise(asked, "ann-asked")
