@@ -23,6 +23,7 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
     where the greedy choice in column order is made.
     """
     keep, have = set(protect), [c for c in columns if c in df.columns]
+    df = df.select(*have).persist()  # read twice; lost parts are computed again
     reasons: list[tuple[str, str]] = []
     left = []
     stats = {r["feature"]: r for r in column_stats(df, have).collect()} if have else {}
@@ -34,6 +35,7 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
         else:
             left.append(c)
     near = {(r["a"], r["b"]) for r in correlations(df, left).where(F.col("r") > most_correlation).collect()} if len(left) > 1 else set()
+    df.unpersist()
     kept: list[str] = []
     for c in left:
         if c in keep or not any((k, c) in near for k in kept):
