@@ -119,7 +119,7 @@ def score_forest(x: DataFrame, forest: DataFrame, rows: int = 20_000) -> DataFra
         raw = np.zeros(a.num_rows)
         if a.num_rows and b.num_rows:
             m = np.array(a["x"].to_pylist(), np.float64)
-            trees = b.to_pylist()
+            trees = sorted(b.to_pylist(), key=lambda t: t["tree"])  # one order of adding up
             for t in trees:
                 raw += _depths(m, t)
             psi = float(np.mean([t["psi"] for t in trees]))
