@@ -9,7 +9,7 @@ def page(body):
 
 
 def test_blocks():
-    for body in (f"<article>{ARTICLE}</article>", f"<div class='post-12'>{ARTICLE}</div>", f"<main><section>{ARTICLE}<div class='comments'><p>{'reader ' * 80}</p></div></section></main>", f"<div id=content>{ARTICLE}<div class='ad'>buy</div><form><p>f</p></form><!-- <p>no</p> --><script>var a='</p>';</script></div>"):
+    for body in (f"<article>{ARTICLE}</article>", f"<div class='post-12'>{ARTICLE}</div>", f"<article class='post has-comments'><header>site</header>{ARTICLE}</article>", f"<main><section>{ARTICLE}<div class='comments'><p>{'reader ' * 80}</p></div></section></main>", f"<div id=content>{ARTICLE}<div class='ad'>buy</div><form><p>f</p></form><!-- <p>no</p> --><script>var a='</p>';</script></div>"):
         assert html.Page(page(body)).extract(None) == WANT, body
 
 

@@ -5,13 +5,12 @@ above U+007F. The automaton holds every window of ``n`` consecutive item words b
 and ends at word borders. Each document is scanned once; matches are mapped to word numbers and to code-point offsets of
 the original text.
 
-Items beyond ``block_chars`` normalised bytes are dealt to several automata and each document meets them one after
-another inside the same pass, so the memory of a task is bounded by one automaton whatever the size of the benchmark.
+A benchmark beyond ``block_chars`` characters is dealt to several automata; each scans the documents in a pass of its own
+and their hit ranges are united, so the memory of a task is bounded by one automaton whatever the size of the benchmark.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Callable
 
@@ -106,11 +105,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
 
 def _in_blocks(docs: DataFrame, items: DataFrame, text: str, n: int, blocks: int, block_chars: int) -> DataFrame:
-    """A benchmark larger than one automaton: windows and document windows meet in a join on their hashes instead.
-
-    Only documents' windows that occur in the benchmark survive the semi-join; the survivors of a document name the
-    words that are hit. Every item of fewer than ``n`` words is short, so those go through automata in blocks.
-    """
+    """A pass for each block of items; hit ranges of a document that meet or touch become one."""
     raw = docs.select(*[F.col(f"`{c}`") for c in docs.columns]).withColumn("_row", F.monotonically_increasing_id())
     kept = materialise(raw, "decontam-docs")  # row numbers must not change between the passes
     parts = None
@@ -137,10 +132,6 @@ def _in_blocks(docs: DataFrame, items: DataFrame, text: str, n: int, blocks: int
     return base.join(flat, "_row").drop("_row")
 
 
-def items_sha256(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
-
-
 def op10(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = decontaminate(docs.select("doc_id", "text"), benchmark)
     return out.select(

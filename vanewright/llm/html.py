@@ -28,10 +28,12 @@ CONTAINER = frozenset("article main section div td body blockquote center html".
 # Elements and words of class or id names that mark what is no main text.
 ASIDE = frozenset("nav aside footer header form menu dialog button select script style noscript template iframe head svg".split())
 MARKS = frozenset(
-    """ad ads adv advert adverts advertisement advertising banner banners breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies
+    """ad ads adv advert adverts advertisement advertising alert alerts banner banners breadcrumb breadcrumbs comment comments commentlist consent cookie cookies
     disqus footer footnav gdpr header masthead menu menus nav navbar navigation newsletter notice notices pagination pager popup promo promos promoted recommended
-    related replies reply respond share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription teaser toolbar widget widgets""".split()
+    related replies reply respond share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
 )
+# Their classes tell of parts they have, as in <body class="has-sidebar">.
+WHOLE = frozenset("html body article main".split())
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|</\s*([a-zA-Z][a-zA-Z0-9:-]*)[^>]*>?|<([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f\v\xa0]+")
@@ -117,7 +119,7 @@ class Page:
                 _, at, off, path = stack[-1]
                 label = ".".join([tag, *sorted(re.sub(r"[0-9]+", "#", names).split())])
                 path = f"{path}>{label}"
-                off = off or marked or tag in ASIDE
+                off = off or tag in ASIDE or marked and tag not in WHOLE
                 if tag in CONTAINER and not off:
                     self.paths.append(path)
                     self.parents.append(at)
