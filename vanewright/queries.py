@@ -292,6 +292,15 @@ def unexpected_statuses(spark: SparkSession, sf: str) -> DataFrame:
     return stats.unexpected(src.load(spark, sf), "status_type_id", [0, 2], "farm_id").withColumn("unexpected", F.array_join(F.col("unexpected").cast("array<string>"), ","))
 
 
+@query(""", v AS (SELECT farm_id AS model, dataset_id AS version, round(avg(power), 4) AS composite FROM readings GROUP BY ALL), p AS (SELECT model, max_by(composite, version) AS production FROM v GROUP BY model),
+n AS (SELECT farm_id AS model, round(avg(power), 4) AS new FROM readings GROUP BY farm_id) SELECT model, new, production, new >= production AS promoted FROM n JOIN p USING (model)""")
+def promotion_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate on one number an episode (a version) and farm (a model)."""
+    df = src.load(spark, sf).withColumnsRenamed({"farm_id": "model", "dataset_id": "version"})
+    score = F.round(F.avg("power"), 4).alias("composite")
+    return stats.gate(df.groupBy("model", "version").agg(score), df.groupBy("model").agg(score))
+
+
 @query("SELECT farm_id, sha256(string_agg(DISTINCT sensor, ',' ORDER BY sensor)) AS schema_sha256 FROM tall GROUP BY farm_id")
 def schema_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return stats.schema_fingerprint(tall(spark, sf), "sensor", "farm_id")
@@ -483,6 +492,11 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.compare_models(_results(spark, sf).withColumn("model", F.lit("threshold"))))
 
 
+@query(f"{_EVAL} SELECT farm_id, dataset_id, round(list_avg(list_filter([coverage, accuracy, reliability, least(earliness_hours / 48, 1)], lambda v: v IS NOT NULL)), 5) + 0.0 AS composite FROM results")
+def run_composites(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.run_composites(_results(spark, sf)).select("farm_id", "dataset_id", "composite"))
+
+
 @query(f", {_runs('power >= 100', 3)} SELECT farm_id, count(*) FILTER (WHERE t AND long_run) AS tp, count(*) FILTER (WHERE NOT t AND long_run) AS fp, count(*) FILTER (WHERE t AND NOT long_run) AS fn, count(*) FILTER (WHERE NOT t AND NOT long_run) AS tn FROM (SELECT *, status_type_id NOT IN (0, 2) AS t FROM r) GROUP BY farm_id")
 def confusion_counts(spark: SparkSession, sf: str) -> DataFrame:
     flags = windows.sustained(conform.labelled(src.load(spark, sf)), "power", 100.0, 3)
