@@ -242,13 +242,12 @@ def _linked(threshold: int, k: int) -> Callable:
             return v
 
         label, rep, texts = pdf["label"].to_numpy(), pdf["rep"].to_numpy(), pdf["text"].to_numpy()
-        sets: dict[int, set] = {}
+        number: dict[tuple[bytes, ...], int] = {}  # shingles by number: full sets stay small enough to keep
+        sets: dict[int, set[int]] = {}
 
-        def full(r: int) -> set:
+        def full(r: int) -> set[int]:
             if r not in sets:
-                if len(sets) > 256:
-                    sets.clear()
-                sets[r] = shingles(texts[r], k)
+                sets[r] = {number.setdefault(g, len(number)) for g in shingles(texts[r], k)}
             return sets[r]
 
         links = []
@@ -282,7 +281,7 @@ def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFr
     level = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
     rows = here.select("rep", "label").distinct().join(shuffled(families.select(F.col("node").alias("rep"), F.col("label").alias("family"))), "rep").join(shuffled(reps), "rep")
     rows = materialise(rows.select("rep", "label", "n", "signature", "family", level.alias("level")), "dedup-families")
-    sizes = rows.groupBy("family", "level").agg(F.ceil(F.greatest(F.count("*") / 1024, F.sum("n") / 1_000_000)).cast("int").alias("blocks"))
+    sizes = rows.groupBy("family", "level").agg(F.ceil(F.greatest(F.count("*") / 1024, F.sum("n") / 400_000)).cast("int").alias("blocks"))
     sizes = materialise(sizes, "dedup-blocks")
     at = lambda d, c: shuffled(sizes.select("family", (F.col("level") - d).alias("level"), F.col("blocks").alias(c)))
     rows = rows.join(at(0, "own"), ["family", "level"]).join(at(1, "above"), ["family", "level"], "left").join(at(-1, "below"), ["family", "level"], "left")
