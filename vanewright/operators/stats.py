@@ -54,7 +54,7 @@ def standardised(t: DataFrame, fitted: DataFrame, *keys: str) -> DataFrame:
     return out.withColumn("value", (F.coalesce("value", "median") - F.col("mean")) / F.col("std")).drop("median", "mean", "std")
 
 
-def correlations(df: DataFrame, columns: list[str], wide: int = 50) -> DataFrame:
+def correlations(df: DataFrame, columns: list[str], wide: int = 12) -> DataFrame:
     """(a, b, r) for a before b: absolute pairwise-complete Pearson; NULL where one side does not vary.
 
     Up to ``wide`` columns by aggregates; beyond, each task adds up the products of its rows in blocks of numpy matrices and
