@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -32,3 +34,25 @@ def test_odd_rows(spark, odd, nothing):
     assert len(rows) == 11 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
     assert toxicity.op5(nothing, labels).count() == 0
     assert toxicity.op5(odd, labels.where(F.lit(False))).count() == 11
+
+
+def test_lexicon_counts_distinct_texts(spark):
+    random.seed(5)
+    common = ["".join(random.choice("abcdefgh") for _ in range(5)) for _ in range(60)]
+    copied = " ".join(random.choices(common, k=90))
+    rows = []
+    for i in range(400):
+        w = [*common, *random.choices(common, k=60)]  # one language: every text has the same words
+        random.shuffle(w)
+        rows.append((i, " ".join([*w, "grobian"] if i % 4 == 0 else w), int(i % 4 == 0)))
+    rows += [(1000 + i, f"{copied} chancy {i}", 1) for i in range(60)]  # near copies of one text count once
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    lexicon = toxicity.fit(docs, labels).lexicon
+    assert b"grobian" in lexicon and b"chancy" not in lexicon
+
+
+def test_near_copies_keep_both_labels(spark):
+    text = " ".join(f"word{i}" for i in range(100))
+    rows = [(text, 0, 1.0, 2), (f"{text} end", 1, 1.0, 3), (f"{text} end", 1, 1.0, 5), (text[::-1], 1, 1.0, 4), (None, 0, 1.0, 1), ("", 0, 1.0, 0)]
+    once = toxicity._once(spark.createDataFrame(rows, "text string, y int, weight double, fold int"))
+    assert sorted((r["fold"], r["y"]) for r in once.collect()) == [(0, 0), (2, 0), (3, 1), (4, 1)]

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.llm.boosting import Trees, calibrated, isotonic
-from vanewright.llm.common import append, held_out, id_text, materialise
+from vanewright.llm.common import append, held_out, id_text, materialise, shuffled
+from vanewright.llm.neardup import near_duplicates
 
 # Second-person words of English, German, French, Spanish.
 SECOND = frozenset(w.encode() for w in "you your yours yourself u ur du dich dir dein deine deinen deiner ihr euch euer tu toi ton ta tes te vous votre vos tú ti tus usted ustedes vosotros vuestro".split())
@@ -92,6 +93,17 @@ def sample(docs: DataFrame, labels: DataFrame, text: str, doc: str, label: str,
     return materialise(rows.select("text", "y", "weight", "fold"), "toxicity-sample")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """(fold, y, text) of the sample with near copies once: they would teach their chance words.
+
+    One row of each component of near copies and label stays, so copies with different labels keep both.
+    """
+    named = rows.select("fold", "y", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("id"))
+    near = near_duplicates(named, "text", "id").select(F.col("doc").alias("id"), "component").distinct()
+    once = named.join(shuffled(near), "id").groupBy("component", "y").agg(F.min(F.struct("fold", "text")).alias("r"))
+    return materialise(once.select("r.fold", "y", "r.text"), "toxicity-once")
+
+
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         seen = {(f, y): Counter() for f in (0, 1) for y in (0, 1)}
@@ -129,10 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc: str = "doc_
     """Learn from a bounded sample: ``toxic`` and ``clean`` bound the rows, ``most`` the lexicon. Labels other than 0 and
     1 and rows without a document are left out; without both labels every score is the share of toxic labels."""
     rows = sample(docs, labels, text, doc, label, toxic, clean)
-    # Near copies would teach their chance words: one of those whose words have the same two smallest hashes counts.
-    hashes = F.transform(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")), lambda w: F.xxhash64(w))
-    once = rows.withColumn("key", F.slice(F.array_sort(hashes), 1, 2)).groupBy("key").agg(F.min(F.struct("fold", "y", "text")).alias("r")).select("r.*")
-    once = materialise(once, "toxicity-once")
+    once = _once(rows)
     sizes = {(r["half"], r["y"]): r["count"] for r in once.groupBy((F.col("fold") % 2).alias("half"), "y").count().collect()}
     counts = once.select("text", "y", "fold").mapInPandas(_counted, "half int, y int, term string, n long")
     counts = materialise(counts.groupBy("half", "y", "term").agg(F.sum("n").alias("n")), "toxicity-terms")
