@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from vanewright.llm import neardup
 
 
@@ -78,3 +80,24 @@ def test_components(spark):
                 want[a] = want[b] = m
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges + [(None, 1), (2, 2)], "u long, v long")).collect()}
     assert got == want
+
+
+def test_empty_left_block():
+    sketch = neardup.sketcher(2)
+    texts = ["one two three four five", "one two three four six"]
+    rows = [{"rep": i, "label": i, "signature": sketch(t)[3], "right": True, "text": t} for i, t in enumerate(texts)]
+    for right, links in ((True, []), (False, [(0, 1)])):
+        table = pa.Table.from_pylist([r | {"right": right} for r in rows])
+        got = neardup._linked(60, 2)(table)
+        assert list(zip(got["a"].to_pylist(), got["b"].to_pylist(), strict=True)) == links
+
+
+def test_few_very_long_texts(spark):
+    """Blocks count shingles too: two very long texts get two blocks, and both may fall into the second."""
+    ids = [r["id"] for r in spark.range(1, 50).where("pmod(xxhash64(id), 2) = 1").orderBy("id").limit(2).collect()]
+    random.seed(0)
+    word = lambda: "".join(random.choice("abcdefghijklmnop") for _ in range(6))
+    base = [word() for _ in range(210_000)]
+    texts = [base, base[:173_000] + [word() for _ in range(37_000)]]  # similar enough to share bands, not to link
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in zip(ids, texts, strict=True)], "doc_id long, text string")
+    assert {r["doc"]: r["component"] for r in neardup.near_duplicates(df, k=2).collect()} == {i: i for i in ids}

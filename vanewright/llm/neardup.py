@@ -230,6 +230,8 @@ def _linked(threshold: int, k: int) -> Callable:
         right = pdf["right"].to_numpy()
         left_at = np.flatnonzero(~right)
         right_at = np.flatnonzero(right) if right.any() else left_at
+        if not len(left_at):  # the hash left the lower block empty; the right block has a task of its own
+            return schema.empty_table()
         i, j, m = _candidates(sig[left_at], sig[right_at], need)
         i, j = left_at[i], right_at[j]
         keep = i != j if right.any() else i < j
