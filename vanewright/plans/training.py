@@ -48,7 +48,7 @@ def run(df: DataFrame, events: DataFrame, sensors: list[str], strategy: str = "f
     return {"flags": flags, "thresholds": limits, "results": results, "summary": evaluation.summarize(results), "registry": registry}
 
 
-def compare(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str], strategy: str = "farm", models: Iterable[str] = tuple(detectors.DETECTORS), **options) -> DataFrame:
+def compare(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str] | None = None, strategy: str = "farm", models: Iterable[str] = tuple(detectors.DETECTORS), **options) -> DataFrame:
     """Results of several detectors on the same split, tagged by model."""
     return selection.tagged_union({m: run(df, events, sensors, strategy, m, names=names, **(options if m == "isolation_forest" else {}))["results"] for m in models}, "model")
 

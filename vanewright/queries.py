@@ -452,7 +452,7 @@ def gold_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def farm_pool(spark: SparkSession, sf: str) -> DataFrame:
-    return features.farm_pool(src.load(spark, sf), src.SENSORS, ["sensor_0"], sizes=(6, 18), steps=(1, 6))[0]
+    return features.farm_pool(src.load(spark, sf), src.SENSORS, ["sensor_0"])[0]
 
 
 _EVAL = f""", {_runs("power >= 150", 2)}, f AS (SELECT *, CAST(long_run AS INTEGER) AS flag FROM (SELECT r.* FROM r)),
@@ -523,17 +523,24 @@ NAMES = ["power", "wind_speed", "sensor_1", "sensor_2", "power_roll6_mean", "pow
 
 def _trained(spark: SparkSession, sf: str, strategy: str, detector: str, **options) -> dict[str, DataFrame]:
     df = src.load(spark, sf)
-    return training.run(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS], strategy, detector, names=NAMES, **options)
+    return training.run(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS], strategy, detector, **options)
 
 
 @query()
 def farm_forest_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_trained(spark, sf, "farm", "isolation_forest", trees=60)["flags"].select(*KEYS, "model", "score", "flag"))
+    return rounded(_trained(spark, sf, "farm", "isolation_forest")["flags"].select(*KEYS, "model", "score", "flag"))
 
 
 @query()
 def turbine_forest_results(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_trained(spark, sf, "turbine", "isolation_forest", trees=20)["results"])
+    return rounded(_trained(spark, sf, "turbine", "isolation_forest")["results"])
+
+
+@query()
+def detector_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean composite of each detector over the episodes, by farm models on the same split."""
+    df = src.load(spark, sf)
+    return rounded(evaluation.compare_models(training.compare(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS])))
 
 
 @query()
