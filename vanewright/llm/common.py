@@ -18,10 +18,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where that setting is absent, as in tests on one machine, a temporary folder is made and set.
+    Only where that setting is absent and the master is local, as in tests, a temporary folder is made and set; on a
+    cluster a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -40,6 +43,17 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], by: Column, how: str = "inner", salts: int = 32) -> DataFrame:
+    """``left`` joined with ``right``, which has one row a key, where one key may hold most of ``left``.
+
+    The rows of a key are dealt over ``salts`` by a hash of ``by``; a row of ``right`` is copied only to the salts that its
+    key has. ``left`` is read twice, so it should be a table. NULL keys match nothing.
+    """
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    copies = right.join(shuffled(dealt.select(*keys, "_salt").distinct()), keys)
+    return dealt.join(shuffled(copies), [*keys, "_salt"], how).drop("_salt")
+
+
 def id_text(column: str) -> Column:
     """An id as text; a null id counts as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -1,7 +1,8 @@
 """Connected components of a graph held in DataFrames.
 
-Large-star and small-star steps (Kiveris et al., 2014) alternate until nothing changes. Each step is one aggregation and
-one join on node ids; no node's neighbours are gathered into one row, and only a count and a hash reach the driver.
+Large-star and small-star steps (Kiveris et al., 2014) alternate until nothing changes. A node's neighbours are dealt over
+``SALTS`` by a hash: minima are taken by (node, salt), then by node, and the result goes back to each salt. So the hub of a
+large component is no one key, its neighbours are never gathered, and only a count and a hash reach the driver.
 """
 
 from __future__ import annotations
@@ -11,17 +12,25 @@ from pyspark.sql import functions as F
 
 from vanewright.llm.common import materialise, shuffled
 
+SALTS = 32
+
+
+def _with_lowest(edges: DataFrame) -> DataFrame:
+    """Add m: the smallest neighbour v of each u."""
+    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    part = dealt.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    low = part.groupBy("u").agg(F.min("m").alias("m"), F.collect_list("salt").alias("salts")).select("u", "m", F.explode("salts").alias("salt"))
+    return dealt.join(shuffled(low), ["u", "salt"]).select("u", "v", "m")
+
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(shuffled(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return _with_lowest(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(shuffled(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    own = _with_lowest(edges)
+    return own.select(F.col("v").alias("u"), F.col("m").alias("v")).union(own.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
