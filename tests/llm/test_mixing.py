@@ -35,7 +35,8 @@ def check(docs):
         taken[r["source"]] += r["taken"]
         assert r["taken"] <= 3 * r["size"] and abs(r["target"] - want[r["source"]]) < 1e-6 * max(1, want[r["source"]]) and r["source_size"] == sizes[r["source"]]
     for s, t in taken.items():
-        assert abs(t - want[s]) <= 1.5 * mixing.BLOCK, (s, t, want[s])  # a rounded slot and the short last block
+        # Five deviations of the draw, a rounded slot and the short last block.
+        assert abs(t - want[s]) <= 5 * mixing.BLOCK * ((mixing.OFFER - 1) * want[s] / mixing.BLOCK) ** 0.5 + 1.5 * mixing.BLOCK, (s, t, want[s])
     assert sorted(map(str, rows)) == sorted(map(str, mixing.op6(docs).collect()))
 
 
@@ -52,6 +53,25 @@ def test_permutations(spark):
         assert n < 64 or passes[0] != passes[1]
 
 
+def test_counts_fit_the_multinomial(spark):
+    """Counts by (shard, source): sums near the target, shards by chi-square, other counts and slots by another seed."""
+    parts = spark.createDataFrame([(0, 40_000, 60_000, 0.97), (1, 900, 1_000, 1.0), (2, 70_000, 70_000, 0.9)], "rank long, blocks long, slots long, chance double")
+    drawn = {}
+    for seed in (0, 1):
+        rows = mixing.slots(parts, seed=seed).groupBy("rank", "shard").count().collect()
+        counts = drawn[seed] = {(r["rank"], r["shard"]): r["count"] for r in rows}
+        shards = -(-131_000 // mixing.SHARD)
+        for rank, slots, chance in ((0, 60_000, 0.97), (1, 1_000, 1.0), (2, 70_000, 0.9)):
+            own = [counts.get((rank, k), 0) for k in range(shards)]
+            assert abs(sum(own) - slots * chance) <= 5 * (slots * chance * (1 - chance)) ** 0.5
+            mean = sum(own) / shards
+            chi = sum((c - mean) ** 2 / mean for c in own)
+            assert 3 < chi < 45, (rank, chi)  # 16 shards: 15 degrees of freedom
+    assert drawn[0] != drawn[1]
+    slots = [{r["slot"] for r in mixing.slots(parts.where("rank = 0"), seed=s).select("slot").collect()} for s in (0, 1)]
+    assert slots[0] != slots[1]
+
+
 def test_odd_rows(odd, nothing, documents):
     check(odd)
     assert mixing.op6(nothing).count() == 0
