@@ -18,6 +18,30 @@ def test_odd_pages():
         assert html.Page(source).extract(None) == want, source
 
 
+def test_what_belongs_to_the_article():
+    fill = "<p>" + "filler words " * 20 + "</p>"
+    cases = {
+        '<div data-note="not hidden here"><p>kept</p></div>': "kept", "<p class='share-price'>kept</p>": "kept", "<p id=reply-to>kept</p>": "kept", '<h2 class="section-header">kept</h2>': "kept",
+        "<p>A <button>Go</button> B</p>": "A B", "<p>A\u2003\u2003B\u3000C&nbsp;&#x2003;D</p>": "A B C D", "<header><h1>Title</h1><nav>menu</nav></header>": "Title", "<p>x <math><mi>y</mi></math> z</p>": "x y z",
+        "<p>a <span hidden>gone <span>too</span></span>b</p>": "a b", "<div class='cookie-banner'>gone</div>": "", "<div class='ad-slot 3'>gone</div>": "", "<div id='site-header'>gone</div>": "", "<div class='post-comments'><p>gone</p></div>": "",
+        "<form><p>gone</p></form>": "", "<div style='display: none'>gone</div>": "", "<div role=banner>gone</div>": "", "<p>1</p><!-- no --><p title='a > b'>2</p>": "1\n2", "<pre>a\n  b</pre>": "a b", "<ul><li>one<li>two</ul>": "one\ntwo",
+        "<table><tr><td>c1<td>c2</table>": "c1\nc2", "<p>5 &lt; 6 &AMP; &notit; &#128512;</p>": "5 < 6 & ¬it; 😀", "<noscript>gone</noscript><p>k</p>": "k",
+    }
+    for body, want in cases.items():
+        got = html.Page(page(f"<article>{fill}{body}{fill}</article>")).extract(None).split("\n")
+        assert "\n".join(got[1:-1]) == want, body
+
+
+def test_deep_pages_take_linear_memory():
+    import tracemalloc
+
+    tracemalloc.start()
+    assert html.Page("<div class='a b'>" * 100_000 + "deep").extract(None) == "deep"
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    assert html.Page("<div>" * 20_000 + "x" + "</span></p>" * 20_000).extract(None) == "x"
+
+
 def test_consensus(spark):
     short = "<div class='lead'><p>" + "teaser words " * 30 + "</p></div><div class='text'><p>tiny</p></div>"
     long = "<div class='lead'><p>teaser</p></div><div class='text'><p>" + "real words " * 40 + "</p></div>"
