@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from vanewright.llm import langid
 
 
@@ -16,7 +18,9 @@ def phrases(text, sample):
     return n
 
 
-def test_parse_counts_are_the_plain_ones():
+@pytest.mark.parametrize("dense", [langid.Table.DENSE, 0])
+def test_parse_counts_are_the_plain_ones(dense, monkeypatch):
+    monkeypatch.setattr(langid.Table, "DENSE", dense)
     random.seed(4)
     word = lambda a: "".join(random.choice(a) for _ in range(random.randint(1, 6)))
     samples = {n: " ".join(word(a) for _ in range(150)) for n, a in (("p", "abcde"), ("q", "cdefé"))}
@@ -29,6 +33,22 @@ def test_parse_counts_are_the_plain_ones():
         assert [phrases(t, samples[n]) for n in ("p", "q")] == got[k].tolist(), t
 
 
+def test_large_alphabets():
+    """Two languages that share thousands of letters in common words of their own."""
+    random.seed(8)
+    shared = [chr(0x4E00 + k) for k in range(3000)]
+    kana = [chr(0x3042 + k) for k in range(40)]
+    zh_words = ["".join(random.choices(shared, k=2)) for _ in range(1500)]
+    ja_words = ["".join(random.choices(shared, k=1)) + "".join(random.choices(kana, k=2)) for _ in range(1500)]
+    zh2_words = ["".join(random.choices(shared, k=2)) for _ in range(1500)]
+    say = lambda words, n: "".join(random.choices(words, k=n))
+    vocab = {"ja": ja_words, "zh": zh_words, "zh2": zh2_words}
+    parser = langid.Parser(langid.Model({k: say(v, 5000) for k, v in vocab.items()}))
+    for name, words in vocab.items():
+        n, _ = parser.phrases([say(words, 60) for _ in range(30)])
+        assert [parser.model.langs[k] for k in n.argmin(axis=1)] == [name] * 30
+
+
 def test_held_out_accuracy(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = langid.op3(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

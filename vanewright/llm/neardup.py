@@ -5,8 +5,8 @@
 2. Signatures are cut into bands; equal bands make candidates. With 32 bands of 5 rows a pair at similarity 0.8 is missed
    with probability 3e-6.
 3. In each bucket every member meets one pivot, not every other member. Links found so join into components.
-   Buckets that still mix components are compared whole, in blocks (see ``_across``), and only links that join
-   components leave the tasks.
+   Buckets that still mix components are compared whole, in blocks (see ``_across``): first by signatures alone, then by
+   the texts that some likely partner in another component needs; only links that join components leave the tasks.
 4. A pair is verified in steps: signature batches are compared until the posterior probability that its similarity
    reaches the threshold falls below ``MISS``; survivors are verified exactly on the full sets of their texts.
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import append, materialise, shuffled
+from vanewright.llm.common import append, materialise, salted_join, shuffled
 from vanewright.llm.graphs import components
 
 BANDS, ROWS = 32, 5
@@ -115,7 +115,8 @@ def _sketched(docs: DataFrame, text: str, k: int) -> DataFrame:
 def _plausible(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) that the sequential test doesn't rule out."""
     sig = lambda c: signatures.select(F.col("rep").alias(c), F.col("signature").alias(f"s{c}"))
-    both = pairs.join(shuffled(sig("a")), "a").join(shuffled(sig("b")), "b").select("a", "b", "sa", "sb")
+    # The pivot of a large bucket is dealt over salts. a and b come once a pair, so b is no hot key.
+    both = salted_join(pairs, sig("a"), ["a"], F.col("b")).join(shuffled(sig("b")), "b").select("a", "b", "sa", "sb")
     need = fewest_matches(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,8 +140,8 @@ def _exact(pairs: DataFrame, docs: DataFrame, threshold: int, k: int) -> DataFra
     texts = docs.where("doc is not null")
     ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     own = materialise(texts.join(shuffled(ends), "doc", "left_semi"), "dedup-texts")
-    side = lambda c: shuffled(own.select(F.col("doc").alias(c), F.col("text").alias(f"t{c}")))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ta", "tb")
+    side = lambda c: own.select(F.col("doc").alias(c), F.col("text").alias(f"t{c}"))
+    both = salted_join(pairs, side("a"), ["a"], F.col("b")).join(shuffled(side("b")), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, x = None, set()
@@ -165,7 +166,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k:
     component: smallest id reachable by links of at least ``threshold`` percent Jaccard similarity of ``k``-word
     shingles. Null texts and texts without words have an empty set and link with nothing; shorter texts are one shingle.
     Null ids link with nothing: their component is null and they are kept. Rows that share an id are one document to the
-    components. Other columns are not read.
+    components. An empty table gives an empty one. Other columns are not read.
     """
     docs = docs.select(F.col(doc).cast("long").alias("doc"), F.col(text).alias("text"))
     rows = materialise(_sketched(docs, "text", k), "dedup-sketches")
@@ -176,6 +177,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k:
     bands = reps.select("rep", F.explode(slices).alias("band"))
     sizes = bands.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).where("pivot <> other").select("band", "pivot")
     sizes = materialise(sizes, "dedup-pivots")
+    # A bucket's key is hot only where its members are; they carry two numbers each.
     members = materialise(bands.join(shuffled(sizes), "band").select("band", "rep", "pivot"), "dedup-members")
     tried = materialise(members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "dedup-pairs")
     links = _verified(tried, signatures, docs, threshold, k)
@@ -185,8 +187,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k:
         labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(found.select("a", "b")))
     named = reps.select("d1", "d2", F.col("n").alias("size"), "rep").join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left")
     named = materialise(named.select("d1", "d2", "size", F.coalesce("label", "rep").alias("component")), "dedup-named")
-    left = rows.select("doc", "n", "d1", "d2")
-    out = left.join(shuffled(named), (left["d1"] == named["d1"]) & (left["d2"] == named["d2"]) & (left["n"] == named["size"]) & left["doc"].isNotNull(), "left")
+    left = rows.select("doc", "n", F.when(F.col("doc").isNotNull(), F.col("d1")).alias("d1"), "d2", F.col("n").alias("size"))
+    out = salted_join(left, named, ["d1", "d2", "size"], F.col("doc"), "left")
     component = F.coalesce("component", "doc")
     return out.select("doc", F.col("n").alias("n_shingles"), component.alias("component"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
@@ -196,9 +198,8 @@ def _verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, threshol
     return materialise(_exact(survivors, docs, threshold, k), "dedup-links")
 
 
-def _candidates(x: np.ndarray, y: np.ndarray, need: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows of two signature blocks that the sequential test keeps, and their matches."""
-    out = []
+def _candidates(x: np.ndarray, y: np.ndarray, need: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows of two signature blocks that the sequential test keeps, and their matches, some rows at a time."""
     for a in range(0, len(x), 128):
         part = x[a : a + 128]
         matches = np.zeros((len(part), len(y)), np.int16)
@@ -210,8 +211,43 @@ def _candidates(x: np.ndarray, y: np.ndarray, need: list[int]) -> tuple[np.ndarr
             m = m + (part[i, h : h + BATCH] == y[j, h : h + BATCH]).sum(axis=1)
             keep = m >= need[h + BATCH]
             i, j, m = i[keep], j[keep], m[keep]
-        out.append((i + a, j, m))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+        yield i + a, j, m
+
+
+_NEED = "family long, level int, up boolean, i int, j int, rep long, right boolean"
+
+
+def _needed(threshold: int) -> Callable:
+    """Rows of two large blocks, by signatures alone, that have a likely partner in another component: once for each pair
+    of small blocks in which that partner is."""
+    need = fewest_matches(threshold / 100)
+
+    def run(table: pa.Table) -> pa.Table:
+        first = {c: table[c][0].as_py() for c in ("family", "level", "up")}
+        label, rep, small, right = (table[c].to_numpy() for c in ("label", "rep", "small", "right"))
+        sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, HASHES)
+        left_at = np.flatnonzero(~right)
+        right_at = np.flatnonzero(right) if right.any() else left_at
+        seen = []
+        if len(left_at) and (label != label[0]).any():
+            for p, q, _ in _candidates(sig[left_at], sig[right_at], need):
+                p, q = left_at[p], right_at[q]
+                keep = label[p] != label[q]
+                p, q = p[keep], q[keep]
+                if not first["up"]:  # within one level the lower block is the left one
+                    swap = small[p] > small[q]
+                    p, q = np.where(swap, q, p), np.where(swap, p, q)
+                two = first["up"] | (small[p] != small[q])
+                for rows, side in ((p, False), (q, two)):
+                    seen.append(np.unique(np.stack([small[p], small[q], rows, np.broadcast_to(side, len(p))], axis=1), axis=0))
+        every = np.unique(np.concatenate(seen), axis=0) if seen else np.zeros((0, 4), np.int64)
+        columns = {k: pa.array([v] * len(every)) for k, v in first.items()}
+        return pa.table(columns | {"i": every[:, 0], "j": every[:, 1], "rep": rep[every[:, 2]], "right": every[:, 3] > 0}).cast(_ARROW_NEED)
+
+    return run
+
+
+_ARROW_NEED = pa.schema([("family", pa.int64()), ("level", pa.int32()), ("up", pa.bool_()), ("i", pa.int32()), ("j", pa.int32()), ("rep", pa.int64()), ("right", pa.bool_())])
 
 
 def _linked(threshold: int, k: int) -> Callable:
@@ -232,7 +268,7 @@ def _linked(threshold: int, k: int) -> Callable:
         right_at = np.flatnonzero(right) if right.any() else left_at
         if not len(left_at):  # the hash left the lower block empty; the right block has a task of its own
             return schema.empty_table()
-        i, j, m = _candidates(sig[left_at], sig[right_at], need)
+        i, j, m = (np.concatenate(c) for c in zip(*_candidates(sig[left_at], sig[right_at], need), strict=True))
         i, j = left_at[i], right_at[j]
         keep = i != j if right.any() else i < j
         order = np.argsort(-m[keep], kind="stable")
@@ -271,35 +307,40 @@ def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFr
     """Links between members of a bucket that are in different components after the pivots.
 
     Buckets that mix components are chained into families. A family is dealt by set size into levels, of which only equal
-    and neighbouring ones can link, and each level into blocks of bounded rows and words. Each pair of blocks is compared
-    in a task of its own: signatures first, then the full sets of what remains. Only links that join components leave.
+    and neighbouring ones can link, and each level into small blocks of bounded rows and words, eight of which are a large
+    one. Signatures meet in pairs of large blocks; texts go only to the pairs of small blocks in which a row has a likely
+    partner in another component. Only links that join components leave.
     """
     named = members.join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left").select("band", "rep", F.coalesce("label", "rep").alias("label"))
     named = materialise(named, "dedup-labelled")
     mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("rep").alias("first")).where("low <> high").select("band", "first")
-    here = materialise(named.join(shuffled(mixed), "band").select("rep", "label", "first"), "dedup-mixed")
+    here = materialise(salted_join(named, mixed, ["band"], F.col("rep")).select("rep", "label", "first"), "dedup-mixed")
     families = components(here.select(F.col("rep").alias("u"), F.col("first").alias("v")).where("u <> v"))
     step = math.log(100 / threshold)
     level = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
     rows = here.select("rep", "label").distinct().join(shuffled(families.select(F.col("node").alias("rep"), F.col("label").alias("family"))), "rep").join(shuffled(reps), "rep")
     rows = materialise(rows.select("rep", "label", "n", "signature", "family", level.alias("level")), "dedup-families")
     sizes = rows.groupBy("family", "level").agg(F.ceil(F.greatest(F.count("*") / 1024, F.sum("n") / 400_000)).cast("int").alias("blocks"))
-    sizes = materialise(sizes, "dedup-blocks")
-    at = lambda d, c: shuffled(sizes.select("family", (F.col("level") - d).alias("level"), F.col("blocks").alias(c)))
-    rows = rows.join(at(0, "own"), ["family", "level"]).join(at(1, "above"), ["family", "level"], "left").join(at(-1, "below"), ["family", "level"], "left")
-    block = F.pmod(F.xxhash64("rep"), F.col("own")).cast("int")
+    sizes = materialise(sizes.select("family", "level", "blocks", F.ceil(F.col("blocks") / 8).cast("int").alias("large")), "dedup-blocks")
+    at = lambda d, c: sizes.select("family", (F.col("level") - d).alias("level"), F.col("large").alias(c))
+    near = sizes.join(at(1, "above"), ["family", "level"], "left").join(at(-1, "below"), ["family", "level"], "left")
+    rows = materialise(salted_join(rows, near, ["family", "level"], F.col("rep")).withColumn("small", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "dedup-placed")
+    block = F.floor(F.col("small") / 8).cast("int")
     none = F.array().cast("array<struct<level:int,up:boolean,i:int,j:int,right:boolean>>")
     many = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     task = lambda lv, up, i, j, right: F.struct(lv.alias("level"), F.lit(up).alias("up"), i.alias("i"), j.alias("j"), right.alias("right"))
-    same = F.transform(many("own"), lambda o: task(F.col("level"), False, F.least(o, F.col("block")), F.greatest(o, F.col("block")), o < F.col("block")))
+    same = F.transform(many("large"), lambda o: task(F.col("level"), False, F.least(o, F.col("block")), F.greatest(o, F.col("block")), o < F.col("block")))
     above = F.when(F.col("above").isNotNull(), F.transform(many("above"), lambda o: task(F.col("level"), True, F.col("block"), o, F.lit(False)))).otherwise(none)
     below = F.when(F.col("below").isNotNull(), F.transform(many("below"), lambda o: task(F.col("level") - 1, True, o, F.col("block"), F.lit(True)))).otherwise(none)
     spread = rows.withColumn("block", block).withColumn("task", F.explode(F.concat(same, above, below)))
-    spread = spread.select("rep", "label", "signature", "family", "task.*")
-    texts = docs.where("doc is not null").join(shuffled(rows.select(F.col("rep").alias("doc")).distinct()), "doc", "left_semi").select(F.col("doc").alias("rep"), "text")
+    by = ["family", "level", "up", "i", "j"]
+    needed = spread.select("rep", "label", "signature", "small", "family", "task.*").groupBy(*by).applyInArrow(_needed(threshold), _NEED)
+    needed = materialise(needed.distinct(), "dedup-needed")
+    some = needed.select("rep").distinct()
+    texts = docs.where("doc is not null").join(shuffled(some.select(F.col("rep").alias("doc"))), "doc", "left_semi").select(F.col("doc").alias("rep"), "text")
     texts = materialise(texts, "dedup-texts")
-    ready = spread.join(shuffled(texts), "rep")
-    found = ready.groupBy("family", "level", "up", "i", "j").applyInArrow(_linked(threshold, k), "a long, b long")
+    ready = needed.join(shuffled(rows.select("rep", "label", "signature").distinct()), "rep").join(shuffled(texts), "rep")
+    found = ready.groupBy(*by).applyInArrow(_linked(threshold, k), "a long, b long")
     return materialise(found.distinct(), "dedup-links")
 
 

@@ -99,16 +99,22 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     return None if frozenset() in query else sorted(query, key=sorted)
 
 
-def _key(text: str) -> Column:
-    # Equal texts share their postings; equal keys of other texts only add candidates, which are verified anyway.
-    return F.xxhash64(F.col(text))
+#: Keys that equal texts are dealt over, so that a text that repeats most often is no one key.
+DEALT = 64
+
+
+def _key(docs: DataFrame, text: str) -> Column:
+    """Equal texts with equal other columns, modulo DEALT, share their postings; equal keys of other texts only add
+    candidates, which are verified anyway."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    return F.xxhash64(F.col(text), F.pmod(F.xxhash64(*others), F.lit(DEALT)) if others else F.lit(0))
 
 
 def postings(docs: DataFrame, text: str, trigrams: list[str]) -> DataFrame:
     """The inverted index over ``trigrams``: (trigram, key)."""
     low = F.lower(F.col(text))
     held = F.array_compact(F.array(*[F.when(F.contains(F.col("_low"), F.lit(t)), F.lit(t)) for t in trigrams]))
-    return docs.select(_key(text).alias("key"), low.alias("_low")).select("key", F.explode(held).alias("trigram"))
+    return docs.select(_key(docs, text).alias("key"), low.alias("_low")).select("key", F.explode(held).alias("trigram"))
 
 
 def candidates(docs: DataFrame, text: str, rules: tuple[Rule, ...]) -> DataFrame:
@@ -148,22 +154,31 @@ def _quick(rule: Rule) -> str:
     return rule.pattern[:-1] + "{%d,}" % rule.least if rule.pattern.endswith("]+") and "(" not in rule.pattern and rule.kind == "hex" else rule.pattern
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """The name, with underscores added until no column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def scan(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Add ``secrets``: array of (start, kind number in ``rules``, end), sorted.
 
-    Null texts count as empty and hold nothing. Repeated rows get equal results. An input column ``secrets`` is replaced.
+    Null texts count as empty and hold nothing. Repeated rows get equal results, an empty table gives an empty one. An
+    input column ``secrets`` is replaced; other columns stay, whatever their names.
     """
     sure = {r.kind for r in rules if trigram_query(r.pattern) is None}
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "secrets"])
     own = [c for c in docs.columns]
-    keyed = docs.withColumn("_secret_key", _key(text))
-    found = candidates(docs, text, rules).withColumnsRenamed({"key": "_secret_key", "kinds": "_secret_kinds"})
+    key, kinds = _free("_secret_key", own), _free("_secret_kinds", own)
+    keyed = docs.withColumn(key, _key(docs, text))
+    found = candidates(docs, text, rules).withColumnsRenamed({"key": key, "kinds": kinds})
     body = F.coalesce(F.col(text), F.lit(""))
     parts = []
     for n, rule in enumerate(rules):
         one = spans(body, rule, n)
-        parts.append(one if rule.kind in sure else F.when(F.array_contains("_secret_kinds", rule.kind), one).otherwise(F.array().cast("array<struct<start:int,number:int,end:int>>")))
-    out = keyed.join(found, "_secret_key", "left")
+        parts.append(one if rule.kind in sure else F.when(F.array_contains(kinds, rule.kind), one).otherwise(F.array().cast("array<struct<start:int,number:int,end:int>>")))
+    out = keyed.join(found, key, "left")
     return out.select(*[F.col(f"`{c}`") for c in own], F.array_sort(F.concat(*parts)).alias("secrets"))
 
 
