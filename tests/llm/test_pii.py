@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -61,15 +62,53 @@ def test_tagger_on_held_out_rows(spark, sf):
     model = pii.fit(docs).start()
     held = [r["text"] for r in docs.where(pii.held_out("doc_id")).collect()]
     hit = total = 0
-    for t in held:
-        runs = pii._window_starts(t)
-        got = {(k, a + s, a + e) for (a, b), spans in zip(runs, model._decode([t[a:b] for a, b in runs]) if runs else [], strict=True) for k, s, e in spans}
+    for t, got in zip(held, model.tagged(held), strict=True):
         want = pii.base(t)
         total, hit = total + len(want), hit + sum(s in got for s in want)
     assert total > 5 and hit >= 0.8 * total
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     out = pii.op4(docs).collect()
-    assert all(plain(r["text"]) == pii.base(r["text"]) for r in docs.limit(300).collect())
     assert len(out) == docs.count()
+    for r in out:  # the query's columns against brute force
+        spans = plain(texts[r["doc_id"]])
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(k == n for k, *_ in spans) for n in range(4)]
+        text = [f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans]
+        assert r["base_sha256"] == hashlib.sha256(",".join(text).encode()).hexdigest()
+        assert set(text) <= set(r["spans"].split(","))
+
+
+def slow_tags(model, text):
+    """Emissions of the plain network, averaged over the windows, and one best path of the whole text."""
+    codes = model.table[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+    total, share = np.zeros((len(codes), model.tagger.p["bias"].size)), np.zeros((len(codes), 1))
+    for a in pii._starts(len(codes)):
+        own = codes[a : a + pii.LONG][:, None]
+        e = model.tagger.emissions(own, np.ones(own.shape, np.float32))[:, 0]
+        total[a : a + len(e)] += e * model.weight[: len(e)]
+        share[a : a + len(e)] += model.weight[: len(e)]
+    return pii._spans(viterbi((total / share)[:, None], np.ones((len(codes), 1)), model.tagger.p["trans"])[:, 0])
+
+
+def test_whole_texts_have_one_best_path(monkeypatch):
+    rng = np.random.default_rng(4)
+    random.seed(1)
+    tagger = Tagger(pii.SYMBOLS, 9)
+    tagger.p["trans"] = rng.standard_normal((9, 9)).astype(np.float32)
+    tagger.p["out"] *= 6
+    tagger.p["bias"][0] = 4
+    model = pii.Model(tagger).start()
+    texts = ["".join(random.choice("ab 12@.é+") for _ in range(n)) for n in (1, 40, 255, 256, 257, 900, 3000)]
+    want = [slow_tags(model, t) for t in texts]
+    assert sum(map(len, want)) > 100 and model.tagged(texts) == want
+    model.margin = float("inf")
+    assert model.tagged(texts) == want
+    codes = [model.table[np.frombuffer(t.encode("utf-32-le"), np.uint32)] for t in texts]
+    monkeypatch.setattr(pii, "TOGETHER", 3)
+    model.margin = tagger.margin()
+    for a, (t, c) in enumerate(zip(texts, codes, strict=True)):  # the way of very long texts
+        one, many = model._open(a, c), model._open_many([(a, c)])
+        assert [(k, s, e.shape) for k, s, e in one] == [(k, s, e.shape) for k, s, e in many]
+        assert all(np.allclose(x[2], y[2], atol=1e-4) for x, y in zip(one, many, strict=True))
 
 
 def test_tagger_finds_written_out_addresses(spark):

@@ -1,10 +1,11 @@
 """Personal data: base patterns, and a character BiLSTM-CRF trained on their spans.
 
 The base patterns give labelled spans on a bounded sample of texts. Copies of these spans are rewritten into forms the
-patterns miss (``(at)`` for @, phones without +), so that the tagger learns them too. In inference, windows around each
-digit, @ or written-out at sign - every labelled span holds one - are tagged; emissions of overlapping windows are
-averaged, more weight on their middles, and each run of windows is decoded as a whole. Spans the tagger adds keep off
-base spans and must pass their kind's check (Luhn, octets, digits).
+patterns miss (``(at)`` for @, phones without +), so that the tagger learns them too. In inference every text is tagged
+whole, in overlapping windows: emissions are averaged where windows overlap, more weight on their middles, and each text
+has one global best path. Where the tag "outside" leads by more than transitions can outweigh, every best path has it, so
+the path is only computed between such places. Spans the tagger adds keep off base spans and must pass their kind's check
+(Luhn, octets, digits).
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from vanewright.llm.bilstm_crf import Tagger, viterbi
 from vanewright.llm.common import append, held_out, id_text
 
 KINDS = ("email", "ip", "card", "phone")
-WIDTH, STRIDE = 96, 48
+#: Length of training windows; length and step of windows in inference; windows tagged together.
+WIDTH, LONG, STEP, TOGETHER = 96, 256, 208, 1024
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # A match can't start inside a run of digits: it would have started at the run's first.
@@ -28,7 +30,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
-_TRIGGER = re.compile(r"[0-9@]|[(\[]\x20?at\x20?[)\]]")
 _WRITTEN = re.compile(r"[A-Za-z0-9._%+-]+\x20?(?:@|[(\[]\x20?at\x20?[)\]])\x20?[A-Za-z0-9-]+(?:\x20?(?:\.|[(\[]\x20?dot\x20?[)\]])\x20?[A-Za-z0-9-]+)+")
 _BARE = re.compile(r"\(?[0-9]{2,4}\)?(?:[\x20.-]?\(?[0-9]{2,4}\)?){2,4}")
 
@@ -94,67 +95,127 @@ def _codes() -> np.ndarray:
 SYMBOLS = 99
 
 
-def _window_starts(text: str) -> list[tuple[int, int]]:
-    """Runs (start, end) of windows that overlap: each trigger with STRIDE characters around it."""
-    runs: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - STRIDE), min(len(text), m.end() + STRIDE)
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = b
-        else:
-            runs.append([a, b])
-    return [(a, b) for a, b in runs]
-
-
 class Model:
     def __init__(self, tagger: Tagger | None):
         self.tagger = tagger
 
     def start(self) -> Model:
         self.table = _codes()
-        self.weight = (1.0 - np.abs(np.linspace(-1, 1, WIDTH)) * 0.9).astype(np.float32)[:, None]
+        self.weight = (1.0 - np.abs(np.linspace(-1, 1, LONG)) * 0.9).astype(np.float32)[:, None]
+        if self.tagger is not None:
+            self.tagger.ready()
+            self.margin = self.tagger.margin()
         return self
 
     def found(self, texts: list[str | None], known: list[list[Span]]) -> list[list[Span]]:
         """Spans that the tagger adds to each text's ``known`` ones."""
-        extra: list[list[Span]] = [[] for _ in texts]
         if self.tagger is None:
-            return extra
-        runs = [(k, a, b) for k, t in enumerate(texts) if t for a, b in _window_starts(t)]
-        # Runs of like lengths go together; a batch holds a bounded number of characters unless one run is longer.
-        runs.sort(key=lambda r: (r[2] - r[1], r[0], r[1]))
-        at = 0
-        while at < len(runs):
-            end = at + 1
-            while end < len(runs) and (end + 1 - at) * (runs[end][2] - runs[end][1]) <= 200_000:
-                end += 1
-            for (k, a, _), tags in zip(runs[at:end], self._decode([texts[k][a:b] for k, a, b in runs[at:end]]), strict=True):
-                extra[k] += [(kind, a + s, a + e) for kind, s, e in tags]
-            at = end
-        return [self._checked(t or "", x, y) for t, x, y in zip(texts, extra, known, strict=True)]
-
-    def _decode(self, pieces: list[str]) -> list[list[Span]]:
-        sizes = np.array([len(p) for p in pieces])
-        longest = int(sizes.max())
-        codes = np.zeros((longest, len(pieces)), np.uint8)
-        for k, p in enumerate(pieces):
-            codes[: len(p), k] = self.table[np.frombuffer(p.encode("utf-32-le"), np.uint32)]
-        mask = (codes > 0).astype(np.float32)
-        tags = self.tagger.p["bias"].size
-        total = np.zeros((longest, len(pieces), tags), np.float32)
-        share = np.zeros((longest, len(pieces), 1), np.float32)
+            return [[] for _ in texts]
+        return [self._checked(t or "", x, y) for t, x, y in zip(texts, self.tagged(texts), known, strict=True)]
+
+    def tagged(self, texts: list[str | None]) -> list[list[Span]]:
+        """Spans of each text's best path. Texts are gone through in parts of bounded size."""
+        out: list[list[Span]] = [[] for _ in texts]
+        runs: list[tuple[int, int, np.ndarray]] = []  # (text, first position, emissions) between certain places
+        part: list[tuple[int, np.ndarray]] = []
+        size = 0
+        for k, t in enumerate(texts):
+            if t:
+                part.append((k, self.table[np.frombuffer(t.encode("utf-32-le"), np.uint32)]))
+                size += len(t)
+            if part and (size > 500_000 or k + 1 == len(texts)):
+                for at, codes in part:
+                    if len(codes) > 500_000:
+                        runs += self._open(at, codes)
+                runs += self._open_many([(at, codes) for at, codes in part if len(codes) <= 500_000])
+                part, size = [], 0
+        runs.sort(key=lambda r: (len(r[2]), r[0], r[1]))
         a = 0
-        while True:
-            some = np.flatnonzero(sizes > (a if a == 0 else a + WIDTH - STRIDE))
-            if not len(some):
-                break
-            part, m = codes[a : a + WIDTH, some], mask[a : a + WIDTH, some]
-            w = self.weight[: len(part)][:, None] * m[:, :, None]
-            total[a : a + WIDTH, some] += self.tagger.emissions(part, m) * w
-            share[a : a + WIDTH, some] += w
-            a += STRIDE
-        best = viterbi(total / np.maximum(share, 1e-6), mask, self.tagger.p["trans"])
-        return [_spans(best[: sizes[k], k]) for k in range(len(pieces))]
+        while a < len(runs):
+            b = a + 1
+            while b < len(runs) and (b + 1 - a) * len(runs[b][2]) <= 200_000:
+                b += 1
+            e = np.zeros((len(runs[b - 1][2]), b - a, self.tagger.p["bias"].size), np.float32)
+            mask = np.zeros(e.shape[:2], np.float32)
+            for i, (_, _, own) in enumerate(runs[a:b]):
+                e[: len(own), i], mask[: len(own), i] = own, 1
+            best = viterbi(e, mask, self.tagger.p["trans"])
+            for i, (k, start, own) in enumerate(runs[a:b]):
+                out[k] += [(kind, start + s, start + e) for kind, s, e in _spans(best[: len(own), i])]
+            a = b
+        return out
+
+    def _emissions(self, windows: list[np.ndarray]) -> list[np.ndarray]:
+        """Of each window; windows of like lengths go together."""
+        out: list[np.ndarray] = [np.zeros(0)] * len(windows)
+        order = sorted(range(len(windows)), key=lambda k: len(windows[k]))
+        for a in range(0, len(order), TOGETHER):
+            own = order[a : a + TOGETHER]
+            codes = np.zeros((len(windows[own[-1]]), len(own)), np.uint8)
+            for i, k in enumerate(own):
+                codes[: len(windows[k]), i] = windows[k]
+            e = self.tagger.fast(codes).transpose(1, 0, 2)
+            for i, k in enumerate(own):
+                out[k] = e[i, : len(windows[k])]
+        return out
+
+    def _open_many(self, texts: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, np.ndarray]]:
+        """Runs of places that are not certainly outside, with the certain ones beside them, of whole texts."""
+        cut = [(n, a) for n, (_, codes) in enumerate(texts) for a in _starts(len(codes))]
+        made = self._emissions([texts[n][1][a : a + LONG] for n, a in cut])
+        runs, at = [], 0
+        for n, (k, codes) in enumerate(texts):
+            total = np.zeros((len(codes), self.tagger.p["bias"].size), np.float32)
+            share = np.zeros((len(codes), 1), np.float32)
+            while at < len(cut) and cut[at][0] == n:
+                a, e = cut[at][1], made[at]
+                total[a : a + len(e)] += e * self.weight[: len(e)]
+                share[a : a + len(e)] += self.weight[: len(e)]
+                at += 1
+            runs += self._runs(k, total / share)
+        return runs
+
+    def _open(self, k: int, codes: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        """The same for one very long text, some windows at a time; only places that are open are kept."""
+        starts = _starts(len(codes))
+        tags = self.tagger.p["bias"].size
+        kept: list[tuple[int, np.ndarray]] = []
+        over = (np.zeros((0, tags), np.float32), np.zeros((0, 1), np.float32))  # what the next windows still add to
+        for a in range(0, len(starts), TOGETHER):
+            own = starts[a : a + TOGETHER]
+            end = min(len(codes), own[-1] + LONG)
+            done = end if end == len(codes) else own[-1] + STEP
+            total, share = np.zeros((end - own[0], tags), np.float32), np.zeros((end - own[0], 1), np.float32)
+            total[: len(over[0])], share[: len(over[1])] = over
+            for s, e in zip(own, self._emissions([codes[s : s + LONG] for s in own]), strict=True):
+                total[s - own[0] : s - own[0] + len(e)] += e * self.weight[: len(e)]
+                share[s - own[0] : s - own[0] + len(e)] += self.weight[: len(e)]
+            over = total[done - own[0] :], share[done - own[0] :]
+            mean = total[: done - own[0]] / share[: done - own[0]]
+            at = np.flatnonzero(mean[:, 0] - mean[:, 1:].max(axis=1) <= self.margin)
+            kept += [(own[0] + int(p), mean[p]) for p in at]
+        runs: list[tuple[int, int, np.ndarray]] = []
+        certain = np.full(tags, -1e9, np.float32)
+        certain[0] = 0
+        for group in _consecutive([p for p, _ in kept]):
+            e = [kept[i][1] for i in group]
+            first, last = kept[group[0]][0], kept[group[-1]][0]
+            e = [certain] * (first > 0) + e + [certain] * (last + 1 < len(codes))
+            runs.append((k, first - (first > 0), np.stack(e)))
+        return runs
+
+    def _runs(self, k: int, mean: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        open_at = mean[:, 0] - mean[:, 1:].max(axis=1) <= self.margin
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], open_at.view(np.int8), [0]])))
+        runs = []
+        for a, b in zip(edges[::2], edges[1::2], strict=True):
+            lo, hi = max(0, a - 1), min(len(mean), b + 1)
+            e = mean[lo:hi].copy()
+            for side, given in ((0, lo < a), (-1, hi > b)):
+                if given:
+                    e[side], e[side, 0] = -1e9, 0
+            runs.append((k, int(lo), e))
+        return runs
 
     @staticmethod
     def _checked(text: str, extra: list[Span], known: list[Span]) -> list[Span]:
@@ -171,6 +232,22 @@ class Model:
         return out
 
 
+def _starts(size: int) -> list[int]:
+    """Starts of the windows of a text: every STEP, until one reaches the end."""
+    return list(range(0, max(1, size - (LONG - STEP)), STEP))
+
+
+def _consecutive(numbers: list[int]) -> list[list[int]]:
+    """Indices of runs of consecutive numbers."""
+    out: list[list[int]] = []
+    for i, n in enumerate(numbers):
+        if i and numbers[i - 1] + 1 == n:
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out
+
+
 def _ip_ok_text(s: str) -> bool:
     return bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", s)) and _ip_ok(s)
 
@@ -209,34 +286,33 @@ def varied(piece: str, rng: np.random.Generator) -> str:
 
 
 def examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Training windows (codes, mask, tags) around triggers.
+    """Training windows (codes, mask, tags) of pieces of text.
 
-    Each window with spans comes as it is, then with other letters, digits and following marks, and with the spans
+    Each piece with spans comes as it is, then with other letters, digits and following marks, and with the spans
     rewritten into forms that the base patterns miss. Small samples are gone through several times.
     """
     rng, table = np.random.default_rng(seed), _codes()
     rows: list[tuple[str, np.ndarray]] = []
-    for text in texts * max(1, min(8, 300 // max(1, len(texts)))):
-        spans = base(text)
-        for a, b in _window_starts(text)[:8]:
-            a += int(rng.integers(0, STRIDE // 2))
-            own = [(k, s, e) for k, s, e in spans if s < min(b, a + WIDTH) and e > a]
-            for change in (0, 1, 2) if own else (0,):
-                piece, tags, at = [], [], a
-                for k, s, e in sorted(own, key=lambda x: x[1]):
-                    if s < at:
-                        continue
-                    piece.append(text[at:s])
-                    tags += [0] * (s - at)
-                    form = varied(text[s:e], rng) if change else text[s:e]
-                    form = rewritten(k, form, rng) if change == 2 else form
-                    mark = ("", "", ".", ",", "!!", ")", ";", '"')[rng.integers(8)] if change else ""
-                    piece.append(form + mark)
-                    tags += [2 * k + 1] + [2 * k + 2] * (len(form) - 1) + [0] * len(mark)
-                    at = e
-                piece.append(text[at : max(at, b)])
-                tags += [0] * (max(at, b) - at)
-                rows.append(("".join(piece)[:WIDTH], np.array(tags[:WIDTH], np.int64)))
+    for text in texts * max(1, min(8, 2000 // max(1, len(texts)))):
+        spans = sorted(base(text), key=lambda x: x[1])
+        first = min((s for _, s, _ in spans), default=int(rng.integers(0, max(1, len(text) - WIDTH))))
+        a = max(0, first - int(rng.integers(8, WIDTH // 2)))
+        for change in (0, 1, 2) if spans else (0,):
+            piece, tags, at = [], [], a
+            for k, s, e in spans:
+                if s < at:
+                    continue
+                piece.append(text[at:s])
+                tags += [0] * (s - at)
+                form = varied(text[s:e], rng) if change else text[s:e]
+                form = rewritten(k, form, rng) if change == 2 else form
+                mark = ("", "", ".", ",", "!!", ")", ";", '"')[rng.integers(8)] if change else ""
+                piece.append(form + mark)
+                tags += [2 * k + 1] + [2 * k + 2] * (len(form) - 1) + [0] * len(mark)
+                at = e
+            piece.append(text[at : at + WIDTH])
+            tags += [0] * len(piece[-1])
+            rows.append(("".join(piece)[:WIDTH], np.array(tags[:WIDTH], np.int64)))
     codes, tags = np.zeros((WIDTH, len(rows)), np.uint8), np.zeros((WIDTH, len(rows)), np.int64)
     for k, (p, t) in enumerate(rows):
         codes[: len(p), k] = table[np.frombuffer(p.encode("utf-32-le"), np.uint32)]
@@ -244,16 +320,18 @@ def examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray, n
     return codes, (codes > 0).astype(np.float32), tags
 
 
-def fit(docs: DataFrame, text: str = "text", doc: str = "doc_id", sample: int = 1500, steps: int = 240) -> Model:
-    """Train on at most about ``sample`` texts with a digit or @, drawn by a hash of the id from rows not held out; of a
-    longer text 4000 characters around its first trigger are enough for windows. Without a labelled span there is no
-    tagger, and the base patterns stand alone."""
+def fit(docs: DataFrame, text: str = "text", doc: str = "doc_id", sample: int = 1500, pieces: int = 8, steps: int = 320) -> Model:
+    """Train on about ``sample`` texts with a digit or @, drawn by a hash of the id from rows not held out. Of each text at
+    most ``pieces`` pieces around these, drawn by a hash from all over the text, and one from anywhere are used. Without a
+    labelled span there is no tagger, and the base patterns stand alone."""
     rows = docs.where(~held_out(doc)).select(F.col(text).alias("t"), F.xxhash64(id_text(doc), F.lit("pii")).alias("h")).where(F.col("t").rlike("[0-9@]"))
     total = rows.count()
     share = min(1.0, sample / max(1, total))
-    piece = F.substring("t", F.greatest(F.lit(1), F.regexp_instr("t", F.lit("[0-9@]")) - 200), F.lit(4000))
-    drawn = rows.where(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000)).select("h", piece.alias("t")).collect()
-    codes, mask, tags = examples([r["t"] for r in sorted(drawn, key=lambda r: (r["h"], r["t"]))])
+    around = F.regexp_extract_all("t", F.lit(r"(?s)(?:^|\s).{0,60}[0-9@].{0,120}(?:\s|$)"), F.lit(0))
+    drawn = F.transform(F.slice(F.array_sort(F.transform(around, lambda w: F.struct(F.xxhash64(w, "h").alias("o"), w.alias("w")))), 1, pieces), lambda x: x["w"])
+    anywhere = F.substring("t", (F.pmod("h", F.length("t")) + 1).cast("int"), F.lit(2 * WIDTH))
+    rows = rows.where(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000)).select("h", F.concat(drawn, F.array(anywhere)).alias("p")).collect()
+    codes, mask, tags = examples([t for _, p in sorted((r["h"], r["p"]) for r in rows) for t in p if t])
     if not tags.any():
         return Model(None)
     tagger = Tagger(SYMBOLS, 1 + 2 * len(KINDS))
@@ -264,7 +342,8 @@ def fit(docs: DataFrame, text: str = "text", doc: str = "doc_id", sample: int =
 def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add base and extra: arrays of (kind, start, end), by kind, then start; code points, end exclusive.
 
-    Null and empty texts hold nothing; repeated rows get equal results; columns with the names of results are replaced.
+    Null and empty texts hold nothing; repeated rows get equal results; an empty table gives an empty one; columns with the
+    names of results are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
     kind = "array<struct<kind:string,start:int,end:int>>"
