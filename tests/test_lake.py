@@ -45,3 +45,53 @@ def test_raw_to_gold(spark, raw, tmp_path):
     lake.to_csv(meta, str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 3
     assert conform.without_meta(f).columns[0] == "time_stamp"
+
+
+def test_files_as_they_are(spark, tmp_path):
+    """Swapped columns, both separators, latin-1, other headers, a long and a short line, a file without a required column."""
+    d = tmp_path / "raw"
+    d.mkdir()
+    row = lambda k, *v: ",".join([f"2024-01-01 00:{k:02d}:00", "train", "0", *v])
+    (d / "1.csv").write_text("\n".join(["time_stamp,train_test,status_type_id,a,b", row(0, "1", "2"), row(1, "1", "2", "9"), row(2, "1")]))
+    (d / "2.csv").write_text("\n".join(["Time , split,status_id,b,a,c", row(0, "2", "1", "3")]))
+    (d / "3.csv").write_text("\n".join(["timestamp;train_test;status;turbine_id;a;b;comma,in it", row(0, "WT", "1", "2", "x").replace(",", ";")]))
+    (d / "4.csv").write_bytes("time_stamp,train_test,status_type_id,wt_id,temp °C\n2024-01-01,train,0,é,5\n".encode("latin-1"))
+    (d / "5.csv").write_text("time_stamp,a\n2024-01-01,1\n")
+    (d / "6.csv").write_text("\n")
+    (d / "sensor_names.csv").write_text("a,b\n1,2\n")
+    (d / "my description.csv").write_text("a,b\n1,2\n")
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    got = {r["dataset_id"]: (r["n_rows"], r["n_corrupt"], r["error"]) for r in lake.ingest(spark, str(d), bronze, "A").collect()}
+    assert got == {"1": (3, 2, None), "2": (1, 0, None), "3": (1, 0, None), "4": (1, 0, None), "5": (0, 0, "missing columns train_test, status_type_id"), "6": (0, 0, "missing columns time_stamp, train_test, status_type_id")}
+    rows = {(r["dataset_id"], r["time_stamp"][-5:]): r for r in lake.read(spark, bronze).collect()}
+    for n in "123":
+        assert (rows[n, "00:00"]["a"], rows[n, "00:00"]["b"], rows[n, "00:00"]["status_type_id"]) == ("1", "2", "0")
+    assert rows["1", "01:00"]["_corrupt_record"].endswith("1,2,9") and rows["1", "02:00"]["_corrupt_record"].endswith(",1") and rows["2", "00:00"]["c"] == "3"
+    assert rows["3", "00:00"]["asset_id"] == "WT" and rows["3", "00:00"]["comma,in it"] == "x" and rows["4", "01-01"]["temp °C"] == "5" and rows["4", "01-01"]["asset_id"] == "é"
+    report = {r["dataset_id"]: (r["rows_in"], r["rows_dropped"]) for r in lake.to_silver(spark, bronze, silver).collect()}
+    assert report == {"1": (3, 2), "2": (1, 0), "3": (1, 0), "4": (1, 0)}
+    sizes = {r["dataset_id"]: (r["n_rows"], r["n_files"], r["n_bytes"] > 0) for r in lake.layer_report(spark, silver).collect()}
+    assert sizes == {n: (1, 1, True) for n in "1234"}
+
+
+def test_farms_of_different_width(spark, tmp_path):
+    root = str(tmp_path / "layer")
+    make = lambda farm, names, v: spark.createDataFrame([(farm, "01", *[v] * len(names))], "farm_id string, dataset_id string, " + ", ".join(f"{n} double" for n in names))
+    lake.write(make("A", ["x"], 1.0), root)
+    lake.write(make("B", ["x", "y"], 2.0), root)
+    lake.write(make("C", ["z", "y"], 3.0), root)
+    assert {(r["farm_id"], r["dataset_id"], r["x"], r["y"], r["z"]) for r in lake.read(spark, root).collect()} == {("A", "01", 1.0, None, None), ("B", "01", 2.0, 2.0, None), ("C", "01", None, 3.0, 3.0)}
+    lake.write(make("A", ["y"], 9.0), root)
+    assert {(r["x"], r["y"]) for r in lake.read(spark, root, where="farm_id = 'A'").collect()} == {(None, 9.0)}
+    assert {tuple(r) for r in lake.done(spark, root).collect()} == {(f, "01") for f in "ABC"} and lake.done(spark, root + "none").isEmpty()
+    with pytest.raises(ValueError, match="column x"):
+        lake.write(make("D", ["x"], 1.0).withColumn("x", lake.F.lit("text")), root)
+
+
+def test_classified_columns(spark):
+    df = spark.createDataFrame([(1.0,) * 7], "power_30_avg double, power_29_avg double, reactive_power_1 double, wind_speed_3_avg double, wind_speed_4_avg double, sensor_0_avg double, sensor_1 double")
+    desc = spark.createDataFrame([(0, "power_29", "Possible grid power", "FALSE", "no"), (1, "power_30", "Grid power", "FALSE", "no"), (2, "wind_speed_4", "Estimated windspeed", "FALSE", "no"), (3, "wind_speed_3", "Windspeed", "FALSE", "no"), (4, "sensor_0", "Wind direction", "TRUE", "no"), (5, "sensor_1", "Count", "FALSE", "yes")], "ordinal int, sensor_name string, description string, is_angle string, is_counter string")
+    told = {r["column"]: r["role"] for r in conform.classified(df, desc).collect()}
+    assert told == {"power_30_avg": "power", "power_29_avg": "sensor", "reactive_power_1": "sensor", "wind_speed_3_avg": "wind_speed", "wind_speed_4_avg": "sensor", "sensor_0_avg": "angle", "sensor_1": "counter"}
+    bare = {r["column"] for r in conform.classified(df).where("role = 'power'").collect()}
+    assert bare == {"power_30_avg", "power_29_avg"}

@@ -13,14 +13,17 @@ from vanewright.functions.columns import META, abnormal, truth, whole
 #: Accepted headers of each canonical column, in order of preference.
 ALIASES = {
     "time_stamp": ("time_stamp", "timestamp", "time"),
-    "asset_id": ("asset_id", "asset", "turbine_id"),
-    "id": ("id", "row_id"),
+    "asset_id": ("asset_id", "turbine_id", "wt_id"),
     "train_test": ("train_test", "split"),
-    "status_type_id": ("status_type_id", "status_type", "status"),
+    "status_type_id": ("status_type_id", "status_id", "status"),
+    "id": ("id", "row_id"),
 }
 REQUIRED = ("time_stamp", "train_test", "status_type_id")
 #: Words that make a description a less likely measured power.
 THEORETICAL = ("possible", "estimated", "theoretical", "capacity")
+#: Parts of names that tell of power and of wind speed where no description does.
+POWER_HINTS = ("power",)
+WIND_HINTS = ("wind_speed", "windspeed")
 
 
 def canonical(df: DataFrame, aliases: Mapping[str, Iterable[str]] = ALIASES) -> DataFrame:
@@ -109,9 +112,34 @@ def preferred_sensors(descriptions: DataFrame) -> DataFrame:
 
 
 def flagged_columns(columns: DataFrame, descriptions: DataFrame, flag: str = "is_angle") -> DataFrame:
-    """(column, base): columns of sensors whose flag is true. Both tables describe columns, so they are small."""
+    """(column, base): columns of sensors whose flag is true. Spark broadcasts the descriptions while they are small."""
     base = descriptions.where(truth(flag)).select(F.trim("sensor_name").alias("_sensor")).distinct()
-    return columns.join(F.broadcast(base), column_base(F.col("column"), F.col("_sensor"))).select("column", F.col("_sensor").alias("base"))
+    return columns.join(base, column_base(F.col("column"), F.col("_sensor"))).select("column", F.col("_sensor").alias("base"))
+
+
+def classified(df: DataFrame, descriptions: DataFrame | None = None) -> DataFrame:
+    """(column, ordinal, role) of the numeric columns: power, wind_speed, angle, counter or sensor.
+
+    Power and wind speed are the statistics of the likeliest described sensors; without such, the columns whose names say
+    so (reactive power aside). Only the schema and the descriptions are read, both of the size of a schema.
+    """
+    spark = df.sparkSession
+    names = numeric_columns(df)
+    columns = spark.createDataFrame(list(enumerate(names)), "ordinal int, column string")
+    low = F.lower("column")
+    hint = lambda hints: F.lit(False) if not hints else F.array_contains(F.transform(F.array(*map(F.lit, hints)), lambda h: low.contains(h)), True)
+    by_name = {"power": hint(POWER_HINTS) & ~low.contains("reactive"), "wind_speed": hint(WIND_HINTS)}
+    told = {}
+    if descriptions is not None:
+        roles = preferred_sensors(descriptions)
+        for role in ("power", "wind_speed"):
+            hit = columns.join(roles.where(F.col("role") == role), column_base(F.col("column"), F.col("sensor_name"))).select("column")
+            told[role] = [r["column"] for r in hit.collect()]
+        for flag in ("is_angle", "is_counter"):
+            told[flag] = [r["column"] for r in flagged_columns(columns, descriptions, flag).collect()] if flag in descriptions.columns else []
+    pick = lambda role: F.col("column").isin(told[role]) if told.get(role) else by_name.get(role, F.lit(False))
+    role = F.when(pick("power"), "power").when(pick("wind_speed"), "wind_speed").when(pick("is_angle"), "angle").when(pick("is_counter"), "counter").otherwise("sensor")
+    return columns.select("column", "ordinal", role.alias("role"))
 
 
 def aligned(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -120,10 +148,6 @@ def aligned(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[c for c in META if c in have], *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) if n in have else F.lit(0.0).alias(n) for n in names])
 
 
-def filled(df: DataFrame, columns: Iterable[str], value: float = 0.0) -> DataFrame:
-    return df.fillna(value, subset=list(columns))
-
-
 def narrowed(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """These columns as 4-byte floats, at the border to storage."""
     todo = set(columns)

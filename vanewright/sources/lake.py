@@ -1,21 +1,27 @@
 """Files to layers: raw CSV to bronze, bronze to silver, silver to gold, and their readers.
 
-All datasets of a farm go in one job, partitioned by (farm_id, dataset_id); nothing loops over files on the driver.
+All datasets of a farm go in one job, partitioned by (farm_id, dataset_id); nothing loops over files on the driver, which
+sees file names only, as Spark's own file index does. A layer holds farms of different columns: the union of all columns
+written to it is kept beside it, and reads pass it as their schema.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vanewright.functions.columns import EPISODE, event_time, no_nan, text, whole
 from vanewright.operators import conform, joins
 
 #: Parts of file names that mark metadata, and event files by preference.
-METADATA = ("event_info", "feature_description", "metadata", "readme")
+METADATA = ("event_info", "sensor", "description", "readme", "metadata")
 EVENT_FILES = ("comma_event_info.csv", "event_info.csv", "event_info.json", "metadata.json")
+CORRUPT = "_corrupt_record"
 
 
 def dataset_id(path: Column) -> Column:
@@ -23,81 +29,167 @@ def dataset_id(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?i)^comma_", ""), r"(?i)\.csv$", "")
 
 
+def _plain(path: Column) -> Column:
+    """A path as readers take it: percent codes decoded, one slash after file:."""
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
+def files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """(path, length) of all files below a folder. Only names and sizes are read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "length")
+
+
 def discover(spark: SparkSession, root: str) -> DataFrame:
-    """(dataset_id, path, folder): data files below a folder; of comma_X and X in one folder the first. Only names are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root).select("path")
+    """(dataset_id, path, folder): data files below a folder; of comma_X and X in one folder the first."""
     name = F.lower(F.element_at(F.split("path", "/"), -1))
-    kept = files.where(~name.rlike("|".join(METADATA))).withColumns({"dataset_id": dataset_id(F.col("path")), "folder": F.regexp_replace("path", "/[^/]*$", ""), "_comma": name.startswith("comma_")})
+    kept = files(spark, root, "*.csv").where(~name.rlike("|".join(METADATA))).withColumns({"dataset_id": dataset_id(F.col("path")), "folder": F.regexp_replace("path", "/[^/]*$", ""), "_comma": name.startswith("comma_")})
     first = Window.partitionBy("folder", "dataset_id").orderBy(F.col("_comma").desc(), "path")
     return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("dataset_id", "path", "folder")
 
 
-def separators(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, sep): the commoner of comma and semicolon in each file's first line."""
-    head = spark.read.option("wholetext", False).text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
-    count = lambda ch: F.length("value") - F.length(F.replace("value", F.lit(ch), F.lit("")))
-    first = head.where("start = 0").withColumn("_i", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "_i").alias("value"))
-    return first.select("path", F.when(count(";") > count(","), ";").otherwise(",").alias("sep"))
+def probed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, header, sep, encoding): each file's first line, the commoner of comma and semicolon in it, and utf-8, or
+    latin-1 where a line is not valid UTF-8. One pass over the lines, summed by file before the shuffle."""
+    order = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
+    lines = spark.read.text(paths).select("value", _plain(F.col("_metadata.file_path")).alias("path"), order.alias("order"))
+    head = lines.groupBy("path").agg(F.min_by(F.col("value").cast("binary"), "order").alias("raw"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    raw = F.when(F.col("utf8"), F.decode("raw", "UTF-8")).otherwise(F.decode("raw", "ISO-8859-1"))
+    header = F.regexp_replace(raw, "^\uFEFF|\r$", "")
+    count = lambda ch: F.length("header") - F.length(F.replace("header", F.lit(ch), F.lit("")))
+    return head.select("path", header.alias("header"), F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding")).withColumn("sep", F.when(count(";") > count(","), ";").otherwise(","))
+
+
+def names_of(header: str, sep: str) -> list[str]:
+    """Trimmed column names of a header line; empty and repeated ones get their number, so every field is kept."""
+    import csv
+
+    out: list[str] = []
+    for k, n in enumerate(next(csv.reader([header], delimiter=sep), [])):
+        n = n.strip() or f"column_{k}"
+        out.append(n if n.lower() not in {o.lower() for o in out} else f"{n}_{k}")
+    return out
+
 
+def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files of any separator, encoding and order of columns as one table by column names, all text, with dataset_id.
 
-def read_csv(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
-    """Files of either separator as one table by column names, all text, with dataset_id. Bad lines stay, with the text
-    in _corrupt_record."""
-    groups: dict[str, list[str]] = {}
-    for r in separators(spark, paths).collect():
-        groups.setdefault(r["sep"], []).append(r["path"])
+    Files with one header line are one scan with that header as the schema. Lines with a field too many or too few stay,
+    with their text in _corrupt_record.
+    """
+    groups: dict[tuple[str, str, str], list[str]] = {}
+    for r in probed(spark, paths).collect():
+        groups.setdefault((r["header"] or "", r["sep"], r["encoding"]), []).append(r["path"])
     out = None
-    for sep, own in sorted(groups.items()):
-        df = spark.read.options(header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record").csv(own)
-        df = df.select(*df.columns, dataset_id(F.col("_metadata.file_path")).alias("dataset_id"))
+    for (header, sep, encoding), own in sorted(groups.items()):
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names_of(header, sep), CORRUPT]])
+        df = spark.read.schema(schema).options(header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True).csv(own)
+        df = df.select(*[F.col(f"`{c}`") for c in df.columns], dataset_id(_plain(F.col("_metadata.file_path"))).alias("dataset_id"))
+        df = conform.canonical(df)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
 
 def ingest(spark: SparkSession, raw: str, bronze: str, farm: str, force: bool = False) -> DataFrame:
-    """CSV files of a farm to bronze; done datasets are skipped unless forced. Returns the manifest (farm_id, dataset_id,
-    n_rows) of what was written."""
+    """CSV files of a farm to bronze; done datasets are skipped unless forced.
+
+    Returns (farm_id, dataset_id, n_rows, n_corrupt, error), a row for each file taken up. A file without a readable header
+    or without a required column is left out and told in ``error``; the others go on. Files of no bytes are not seen.
+    """
     found = discover(spark, raw).withColumn("farm_id", F.lit(farm))
-    todo = joins.unprocessed(found, done(spark, bronze), force) if not force else found
-    paths = [r["path"] for r in todo.select("path").collect()]  # names of files of one farm
+    todo = joins.unprocessed(found, done(spark, bronze), force)
+    paths = [r["path"] for r in todo.select("path").collect()]  # names of the files of one farm
+    none = "farm_id string, dataset_id string, n_rows long, n_corrupt long, error string"
     if not paths:
-        return spark.createDataFrame([], "farm_id string, dataset_id string, n_rows long")
-    df = conform.canonical(read_csv(spark, paths)).withColumn("farm_id", F.lit(farm))
-    write(df, bronze)
-    return read(spark, bronze).where(F.col("farm_id") == farm).join(todo.select(*EPISODE), list(EPISODE), "left_semi").groupBy(*EPISODE).agg(F.count("*").alias("n_rows"))
+        return spark.createDataFrame([], none)
+    good, bad = [], []
+    for r in probed(spark, paths).collect():
+        have = {c.strip().lower() for c in names_of(r["header"] or "", r["sep"])}
+        missing = [c for c in conform.REQUIRED if have.isdisjoint(conform.ALIASES[c])]
+        good += [] if missing else [r["path"]]
+        bad += [(farm, r["path"], f"missing columns {', '.join(missing)}")] if missing else []
+    errors = spark.createDataFrame(bad, "farm_id string, path string, error string")
+    errors = errors.select("farm_id", dataset_id(F.col("path")).alias("dataset_id"), F.lit(0).cast("long").alias("n_rows"), F.lit(0).cast("long").alias("n_corrupt"), "error")
+    if not good:
+        return errors
+    write(read_csv(spark, good).withColumn("farm_id", F.lit(farm)), bronze)
+    written = read(spark, bronze).where(F.col("farm_id") == farm).join(todo.select(*EPISODE), list(EPISODE), "left_semi")
+    counts = written.groupBy(*EPISODE).agg(F.count("*").alias("n_rows"), F.count(CORRUPT).alias("n_corrupt"))
+    return counts.withColumn("error", F.lit(None).cast("string")).unionByName(errors.join(counts, list(EPISODE), "left_anti"))
+
+
+def _schema_path(root: str) -> str:
+    return f"{root.rstrip('/')}.schema"
+
+
+def layer_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    """The union of all columns written to a layer; None before the first write."""
+    try:
+        return T.StructType.fromJson(json.loads(spark.read.option("wholetext", True).text(_schema_path(root)).first()[0]))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def write(df: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Snappy Parquet, one folder an episode, readings in order; only the episodes at hand are replaced."""
+    """Snappy Parquet, one folder an episode, readings in order; only the episodes at hand are replaced.
+
+    The layer's schema grows by new columns. A column that comes back with another type is an error.
+    """
+    spark = df.sparkSession
+    df = df.withColumns({c: F.col(c).cast("string") for c in EPISODE})
+    known = layer_schema(spark, root) or T.StructType()
+    types = {f.name.lower(): f for f in known}
+    for f in df.schema:
+        if f.name.lower() in types and types[f.name.lower()].dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {types[f.name.lower()].dataType.simpleString()} in {root}, not {f.dataType.simpleString()}")
+    merged = T.StructType([*known, *[T.StructField(f.name, f.dataType) for f in df.schema if f.name.lower() not in types]])
     order = [c for c in ("time_stamp", "id") if c in df.columns]
     df.repartition(*EPISODE).sortWithinPartitions(*EPISODE, *order).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*EPISODE).parquet(root)
+    if merged != known:
+        spark.createDataFrame([(merged.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(_schema_path(root))
 
 
 def read(spark: SparkSession, root: str, columns: Iterable[str] | None = None, where: Column | str | None = None, limit: int | None = None) -> DataFrame:
-    """A pruned scan: filters on farm_id and dataset_id choose folders, the others and the columns reach the files."""
-    df = spark.read.option("mergeSchema", False).parquet(root)
-    df = df.withColumns({"farm_id": F.col("farm_id").cast("string"), "dataset_id": F.col("dataset_id").cast("string")})
+    """A pruned scan: filters on farm_id and dataset_id choose folders, the others and the columns reach the files.
+
+    Columns that a farm lacks are NULL in its rows.
+    """
+    schema = layer_schema(spark, root)
+    df = spark.read.schema(schema).parquet(root) if schema else spark.read.option("mergeSchema", True).parquet(root)
+    df = df if schema else df.withColumns({c: F.col(c).cast("string") for c in EPISODE})
     df = df if where is None else df.where(where)
     df = df if columns is None else df.select(*columns)
     return df if limit is None else df.limit(limit)
 
 
 def done(spark: SparkSession, root: str) -> DataFrame:
-    """(farm_id, dataset_id) of a layer; none when it does not exist yet."""
-    from pyspark.errors import AnalysisException
-
+    """(farm_id, dataset_id) of a layer, from the names of its folders; none when it does not exist yet."""
     try:
-        return read(spark, root).select(*EPISODE).distinct()
+        names = files(spark, root, "*.parquet").select(*[F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in EPISODE])
+        return names.distinct()
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], "farm_id string, dataset_id string")
 
 
+def layer_report(spark: SparkSession, root: str) -> DataFrame:
+    """(farm_id, dataset_id, n_rows, n_columns, n_files, n_bytes) of a layer, for run reports; n_columns are those not all NULL."""
+    df = read(spark, root)
+    sizes = files(spark, root, "*.parquet").groupBy(*[F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in EPISODE]).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+    held = F.filter(F.array(*[F.max(F.col(f"`{c}`").isNotNull()) for c in df.columns]), lambda x: x)
+    return df.groupBy(*EPISODE).agg(F.count("*").alias("n_rows"), F.size(held).alias("n_columns")).join(sizes, list(EPISODE))
+
+
 def to_silver(spark: SparkSession, bronze: str, silver: str, events: DataFrame | None = None) -> DataFrame:
-    """Clean all of bronze into silver and return (farm_id, dataset_id, rows_in, rows_out, rows_dropped)."""
+    """Clean all of bronze into silver and return (farm_id, dataset_id, rows_in, rows_out, rows_dropped).
+
+    Lines that did not fit their header are left out, as are rows without a readable time.
+    """
     raw = read(spark, bronze)
-    clean = no_nan(conform.readings(raw))
+    clean = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
+    clean = no_nan(conform.readings(clean))
     if events is not None:
         ids = joins.with_events(clean.select(*EPISODE).distinct(), events)
         clean = clean.join(ids, list(EPISODE), "left")
@@ -114,14 +206,14 @@ def to_gold(features: DataFrame, metadata: DataFrame, root: str) -> None:
 
 
 def read_gold(spark: SparkSession, root: str) -> tuple[DataFrame, list[str]]:
-    """(features, feature names)."""
-    meta = spark.read.json(f"{root}/metadata").agg(F.first("features")).first()
-    return read(spark, f"{root}/features"), (meta[0] or "").split(",")
+    """(features, feature names): the names that any episode has, in order; a feature that an episode lacks is NULL there."""
+    each = spark.read.json(f"{root}/metadata").select(F.explode(F.split("features", ",")).alias("name")).where("name <> ''")
+    return read(spark, f"{root}/features"), [r["name"] for r in each.distinct().orderBy("name").collect()]  # as many as columns
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """Event records of CSV or JSON: headers trimmed and lower, ids cleaned, empty text NULL, times parsed."""
-    df = spark.read.option("multiLine", True).json(path) if path.endswith(".json") else spark.read.options(header=True, sep=separators(spark, [path]).first()["sep"]).csv(path)
+    df = spark.read.option("multiLine", True).json(path) if path.endswith(".json") else read_csv(spark, [path]).drop("dataset_id", CORRUPT)
     df = df.toDF(*[c.strip().lower() for c in df.columns])
     return events_typed(df)
 
@@ -141,7 +233,7 @@ def preferred_file(files: DataFrame, names: Iterable[str] = EVENT_FILES) -> Data
 
 def read_descriptions(spark: SparkSession, path: str) -> DataFrame:
     """Sensor descriptions with an ordinal; sensor_name, description and is_angle must be there."""
-    df = spark.read.options(header=True, sep=separators(spark, [path]).first()["sep"]).csv(path)
+    df = read_csv(spark, [path]).drop("dataset_id", CORRUPT)
     df = conform.require(df.toDF(*[c.strip().lower() for c in df.columns]), ("sensor_name", "description", "is_angle"))
     return df.withColumn("ordinal", F.monotonically_increasing_id())
 
