@@ -74,10 +74,6 @@ def status_name(c: Column | str = "status_type_id") -> Column:
     return F.element_at(F.create_map(*pairs), _c(c))
 
 
-def zscore(x: Column | str, mean: Column | str, std: Column | str) -> Column:
-    return (_c(x) - _c(mean)) / _c(std)
-
-
 def residual(actual: Column | str, expected: Column | str) -> Column:
     return _c(actual) - _c(expected)
 

@@ -80,6 +80,3 @@ def all_overlaps(ranges: DataFrame) -> DataFrame:
 def unprocessed(datasets: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:
     return datasets if force else datasets.join(manifest.select(*EPISODE), list(EPISODE), "left_anti")
 
-
-def chosen(df: DataFrame, ids: DataFrame) -> DataFrame:
-    return df.join(ids.select(*EPISODE), list(EPISODE), "left_semi")

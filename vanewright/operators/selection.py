@@ -7,11 +7,13 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.operators.stats import correlations
+from vanewright.operators.stats import correlations, moments
 
 
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature, missing_fraction, variance) in one pass over a wide table."""
+    """(feature, missing_fraction, variance) in one pass over a wide table; beyond 50 columns by arrays, see ``moments``."""
+    if len(columns) > 50:
+        return moments(df, columns).select("feature", "missing_fraction", "variance")
     cells = [F.struct(F.lit(c).alias("feature"), F.avg(F.isnull(c).cast("double")).alias("missing_fraction"), F.var_samp(c).alias("variance")) for c in columns]
     return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
@@ -60,21 +62,12 @@ def fixed_sample(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> Data
     return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
 
 
-def sorted_episodes(df: DataFrame) -> DataFrame:
-    """Each episode in one partition and in order; episodes spread over partitions."""
-    return df.repartition("farm_id", "dataset_id").sortWithinPartitions("farm_id", "dataset_id", "time_stamp", "id")
-
-
 def first_datasets(df: DataFrame, n: int) -> DataFrame:
     """Readings of the first n datasets by id."""
     ids = df.select("farm_id", "dataset_id").distinct().orderBy("farm_id", "dataset_id").limit(n)
     return df.join(ids, ["farm_id", "dataset_id"], "left_semi")
 
 
-def subset(df: DataFrame, ids: Iterable) -> DataFrame:
-    return df.where(F.col("dataset_id").isin(list(ids)))
-
-
 def pooled(frames: list[DataFrame], fill: float | None = None) -> DataFrame:
     """Union by name; columns that a frame lacks are NULL, or ``fill`` where numeric."""
     out = frames[0]

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.functions.columns import EPS, fingerprint, training_normal, wind_bin
+from vanewright.session import stored
 
 
 def power_curve(df: DataFrame, power: str = "power", wind: str = "wind_speed", width: float = 0.5, keys: tuple[str, ...] = ("farm_id", "asset_id")) -> DataFrame:
@@ -42,23 +43,19 @@ def variances(t: DataFrame, *keys: str) -> DataFrame:
 def preprocessor(t: DataFrame, *keys: str) -> DataFrame:
     """(keys, sensor, median, mean, std) after imputing the median; population deviation, 0 as 1; sensors without any
     value are left out. The mean and deviation after imputation follow from sums, so one pass does."""
-    s = t.groupBy(*keys, "sensor").agg(F.median("value").alias("median"), F.count("value").alias("n"), F.count("*").alias("total"), F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("ss"), F.avg("value").alias("m"), F.var_pop("value").alias("v")).where("n > 0")
+    middle = exact_percentiles(t, [*keys, "sensor"], "value", {"median": 0.5})
+    s = t.groupBy(*keys, "sensor").agg(F.count("value").alias("n"), F.count("*").alias("total"), F.avg("value").alias("m"), F.var_pop("value").alias("v")).where("n > 0").join(middle, [*keys, "sensor"])
     gap = (F.col("total") - F.col("n")) / F.col("total")
     mean = (1 - gap) * F.col("m") + gap * F.col("median")
     var = (1 - gap) * (F.col("v") + (F.col("m") - mean) ** 2) + gap * (F.col("median") - mean) ** 2
     return s.select(*keys, "sensor", "median", mean.alias("mean"), F.when(F.sqrt(var) > 0, F.sqrt(var)).otherwise(1.0).alias("std"))
 
 
-def standardised(t: DataFrame, fitted: DataFrame, *keys: str) -> DataFrame:
-    out = t.join(fitted, [*keys, "sensor"])
-    return out.withColumn("value", (F.coalesce("value", "median") - F.col("mean")) / F.col("std")).drop("median", "mean", "std")
-
-
 def correlations(df: DataFrame, columns: list[str], wide: int = 12) -> DataFrame:
     """(a, b, r) for a before b: absolute pairwise-complete Pearson; NULL where one side does not vary.
 
-    Up to ``wide`` columns by aggregates; beyond, each task adds up the products of its rows in blocks of numpy matrices and
-    sends one row a pair, and the sums of all tasks meet by pair.
+    Up to ``wide`` columns by aggregates; beyond, each task adds up the products of its centred rows in blocks of numpy
+    matrices and sends one row a pair, and the sums of all tasks meet by pair.
     """
     at = {c: k for k, c in enumerate(columns)}
     if len(columns) <= wide:
@@ -67,25 +64,75 @@ def correlations(df: DataFrame, columns: list[str], wide: int = 12) -> DataFrame
         cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.abs(F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a))).alias("r")) for a, b in pairs]
         return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*") if pairs else df.sparkSession.createDataFrame([], "a string, b string, r double")
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Values are centred by their column's mean, so that a large offset costs no digits.
+    means = {r["feature"]: r["mean"] for r in moments(df, columns).collect()}
+    centre = np.array([means.get(c) or 0.0 for c in columns])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = len(columns)
-        sums = np.zeros((6, p, p))
-        for pdf in batches:
-            x = pdf[columns].to_numpy(np.float64)
+        sums, any_row = np.zeros((6, p, p)), False
+        for x in _matrices(batches):
+            x = x - centre
             ok = ~np.isnan(x)
+            any_row = True
+            if ok.all():  # nothing is missing: one product and column sums
+                one, sq = x.sum(axis=0), (x * x).sum(axis=0)
+                for k, v in enumerate((float(len(x)), one[:, None], one[None, :], sq[:, None], sq[None, :], x.T @ x)):
+                    sums[k] += v
+                continue
             x, m = np.where(ok, x, 0.0), ok.astype(np.float64)
-            for k, (left, right) in enumerate(((m, m), (x, m), (m, x), (x * x, m), (m, x * x), (x, x))):
-                sums[k] += left.T @ right
+            n, s1, s2 = m.T @ m, x.T @ m, (x * x).T @ m
+            for k, v in enumerate((n, s1, s1.T, s2, s2.T, x.T @ x)):
+                sums[k] += v
         i, j = np.triu_indices(p, 1)
-        if sums[0].any():
-            yield pd.DataFrame({"i": i, "j": j} | {f"s{k}": sums[k][i, j] for k in range(6)})
+        if any_row:
+            yield pa.RecordBatch.from_pydict({"i": i.astype(np.int32), "j": j.astype(np.int32)} | {f"s{k}": sums[k][i, j] for k in range(6)})
 
-    parts = df.select(*[F.col(c).cast("double") for c in columns]).mapInPandas(partial, "i int, j int, " + ", ".join(f"s{k} double" for k in range(6)))
+    parts = df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(partial, "i int, j int, " + ", ".join(f"s{k} double" for k in range(6)))
     s = parts.groupBy("i", "j").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(6)])
     n, sa, sb, saa, sbb, sab = (F.col(f"s{k}") for k in range(6))
     va, vb = n * saa - sa * sa, n * sbb - sb * sb
     names = F.array(*map(F.lit, columns))
-    return s.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), F.when((va > 1e-12 * n * saa) & (vb > 1e-12 * n * sbb), F.abs(F.try_divide(n * sab - sa * sb, F.sqrt(F.abs(va * vb))))).alias("r"))
+    # A side that does not vary among the pair's rows differs from the mean by rounding at most.
+    off = F.array(*map(F.lit, map(float, centre)))
+    flat = lambda v, ss, k: v <= 1e-12 * n * (ss + n * F.pow(F.element_at(off, F.col(k) + 1) * 1e-3, F.lit(2)))
+    r = F.abs(F.try_divide(n * sab - sa * sb, F.sqrt(F.abs(va * vb))))
+    return s.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), F.when(~flat(va, saa, "i") & ~flat(vb, sbb, "j"), r).alias("r"))
+
+
+def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Batches of doubles as matrices of a bounded size, NULL as NaN."""
+    for batch in batches:
+        if batch.num_rows:
+            yield np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(np.float64, copy=False)
+
+
+def moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, missing_fraction, mean, variance) of many columns: counts, means and squared deviations by task, then merged."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(columns))
+        total, mean, dev = n.copy(), n.copy(), n.copy()
+        for x in _matrices(batches):
+            ok = ~np.isnan(x)
+            k = ok.sum(axis=0)
+            total += len(x)
+            own = np.where(ok, x, 0.0).sum(axis=0) / np.maximum(k, 1)
+            d = (np.where(ok, x - own, 0.0) ** 2).sum(axis=0)
+            step = own - mean
+            both = np.maximum(n + k, 1)
+            dev += d + step**2 * n * k / both
+            mean += step * k / both
+            n += k
+        if total.any():
+            yield pa.RecordBatch.from_pydict({"feature": columns, "n": n, "total": total, "mean": mean, "dev": dev})
+
+    parts = df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(partial, "feature string, n double, total double, mean double, dev double")
+    grand = parts.groupBy("feature").agg(F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("grand"))
+    whole = parts.join(grand, "feature").groupBy("feature").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.first("grand").alias("mean"), F.sum(F.col("dev") + F.col("n") * F.pow(F.col("mean") - F.col("grand"), F.lit(2))).alias("dev")
+    )
+    return whole.select("feature", (1 - F.col("n") / F.col("total")).alias("missing_fraction"), "mean", F.when(F.col("n") > 1, F.col("dev") / (F.col("n") - 1)).alias("variance"))
 
 
 def asset_counts(df: DataFrame) -> DataFrame:
@@ -102,14 +149,41 @@ def value_counts(df: DataFrame, *columns: str) -> DataFrame:
 
 def summary(t: DataFrame, *keys: str) -> DataFrame:
     """Count, mean, deviation, minimum, exact quartiles and maximum of each sensor."""
-    q = lambda p, n: F.percentile("value", F.lit(p)).alias(n)
-    return t.groupBy(*keys, "sensor").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), q(0.25, "q25"), q(0.5, "q50"), q(0.75, "q75"), F.max("value").alias("max"))
+    ks = [*keys, "sensor"]
+    s = t.groupBy(*ks).agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    q = exact_percentiles(t, ks, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return s.join(q, ks, "left").select(*ks, "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
-def threshold(scores: DataFrame, keys: Iterable[str], score: str = "score", percentile: float = 0.99, exact: bool = True) -> DataFrame:
+def threshold(scores: DataFrame, keys: Iterable[str], score: str = "score", percentile: float = 0.99) -> DataFrame:
     """(keys, threshold): a percentile of validation scores, linear between ranks; NULL scores are left out."""
-    own = scores.where(F.col(score).isNotNull()).groupBy(*keys)
-    return own.agg((F.percentile(score, F.lit(percentile)) if exact else F.percentile_approx(score, percentile, 10000)).alias("threshold"))
+    return exact_percentiles(scores, keys, score, {"threshold": percentile})
+
+
+def exact_percentiles(t: DataFrame, keys: Iterable[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """(keys, a column a share): exact percentiles, linear between ranks, of groups of any size.
+
+    Values are counted by (key, value) and range-partitioned by both; sums by partition give each partition's first rank,
+    so the two values beside a wanted rank are found without bringing a group together. NULL values are left out.
+    """
+    from pyspark.sql import Window
+
+    ks = list(keys)
+    counts = t.where(F.col(value).isNotNull()).groupBy(*ks, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    parts = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = stored(counts.repartitionByRange(parts, *ks, "_v").withColumn("_p", F.spark_partition_id()), "percentiles")
+    before = Window.partitionBy(*ks).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(*ks, "_p").agg(F.sum("_n").alias("_s")).withColumns({"_start": F.coalesce(F.sum("_s").over(before), F.lit(0)), "_all": F.sum("_s").over(Window.partitionBy(*ks))})
+    upto = Window.partitionBy(*ks, "_p").orderBy("_v")
+    rows = placed.join(sums, [*ks, "_p"]).withColumn("_end", F.col("_start") + F.sum("_n").over(upto)).withColumn("_begin", F.col("_end") - F.col("_n"))
+    out = []
+    for name, share in shares.items():
+        at = F.lit(share) * (F.col("_all") - 1)
+        low, high = F.floor(at), F.ceil(at)
+        has = lambda r: (F.col("_begin") <= r) & (r < F.col("_end"))
+        a, b = F.max(F.when(has(low), F.col("_v"))), F.max(F.when(has(high), F.col("_v")))
+        out.append((a + (b - a) * (F.max(at) - F.max(low))).alias(name))
+    return rows.groupBy(*ks).agg(*out)
 
 
 def histogram(t: DataFrame, bounds: DataFrame, bins: int = 10, keys: tuple[str, ...] = ("sensor",)) -> DataFrame:
@@ -137,16 +211,23 @@ def psi(reference: DataFrame, current: DataFrame, bins: int = 10, keys: tuple[st
 
 
 def ks_distance(reference: DataFrame, current: DataFrame, keys: tuple[str, ...] = ("sensor",)) -> DataFrame:
-    """(keys, ks): largest distance of the two empirical distributions."""
+    """(keys, ks): largest distance of the two empirical distributions. Values are range-partitioned by (key, value), and
+    sums by partition give each partition's start, so a common sensor is no one task."""
     from pyspark.sql import Window
 
     ks = list(keys)
     both = reference.where("value is not null").select(*ks, "value", F.lit(1).alias("r")).union(current.where("value is not null").select(*ks, "value", F.lit(0).alias("r")))
     steps = both.groupBy(*ks, "value").agg(F.sum("r").alias("r"), F.sum(1 - F.col("r")).alias("c"))
-    upto = Window.partitionBy(*ks).orderBy("value")
-    whole = Window.partitionBy(*ks)
-    d = F.abs(F.sum("r").over(upto) / F.sum("r").over(whole) - F.sum("c").over(upto) / F.sum("c").over(whole))
-    return steps.select(*ks, d.alias("d")).groupBy(*ks).agg(F.max("d").alias("ks"))
+    parts = int(steps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = stored(steps.repartitionByRange(parts, *ks, "value").withColumn("_p", F.spark_partition_id()), "distances")
+    before = Window.partitionBy(*ks).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(*ks)
+    sums = placed.groupBy(*ks, "_p").agg(F.sum("r").alias("_r"), F.sum("c").alias("_c"))
+    sums = sums.select(*ks, "_p", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}0") for x in ("_r", "_c")], *[F.sum(x).over(every).alias(f"{x}1") for x in ("_r", "_c")])
+    upto = Window.partitionBy(*ks, "_p").orderBy("value")
+    rows = placed.join(sums, [*ks, "_p"])
+    d = F.abs((F.col("_r0") + F.sum("r").over(upto)) / F.col("_r1") - (F.col("_c0") + F.sum("c").over(upto)) / F.col("_c1"))
+    return rows.select(*ks, d.alias("d")).groupBy(*ks).agg(F.max("d").alias("ks"))
 
 
 def drifted(psis: DataFrame, most: float = 0.2) -> DataFrame:

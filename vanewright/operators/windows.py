@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vanewright.functions.columns import episode
+from vanewright.functions.columns import EPISODE, episode
 
 WINDOWS = (6, 18, 36)
 LAGS = (1, 6, 36)
@@ -63,6 +66,69 @@ def rolling_tall(t: DataFrame, windows: Iterable[int] = WINDOWS) -> DataFrame:
     return t.select("*", *[x for n in windows for x in (rolling_mean("value", n, w).alias(f"roll{n}_mean"), rolling_std("value", n, w).alias(f"roll{n}_std"))])
 
 
+def _by_episode(df: DataFrame, columns: list[str], added: list[str], work: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]], replace: bool = False) -> DataFrame:
+    """Compute columns from an episode's ordered ``columns`` in numpy, NULL as NaN: all columns in one shuffle and one task
+    an episode, which holds a year or so of readings. For more columns than window expressions carry."""
+    wanted = [*df.columns, *([] if replace else added)]
+    kinds = {f.name: f.dataType for f in df.schema} | dict.fromkeys(added, T.DoubleType())
+    schema = T.StructType([T.StructField(n, kinds[n]) for n in wanted])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("time_stamp", "ascending"), ("id", "ascending")])
+        as_float = lambda c: np.asarray(table[c].cast(pa.float64()).to_numpy(zero_copy_only=False), np.float64)
+        made = work({c: as_float(c) for c in columns})
+        column = lambda n: pa.array(made[n], pa.float64(), mask=np.isnan(made[n])) if n in made else table[n]
+        return pa.table([column(n) for n in wanted], names=wanted)
+
+    return df.groupBy(*EPISODE).applyInArrow(run, schema)
+
+
+def _trailing_sum(x: np.ndarray, rows: int) -> np.ndarray:
+    total = np.cumsum(x)
+    total[rows:] = total[rows:] - total[:-rows]
+    return total
+
+
+def _rolling_arrays(name: str, x: np.ndarray, sizes: Iterable[int], angle: bool) -> dict[str, np.ndarray]:
+    out, ok = {}, ~np.isnan(x)
+    centre = float(x[ok].mean()) if ok.any() and not angle else 0.0
+    parts = [np.where(ok, np.sin(np.radians(x)), 0.0), np.where(ok, np.cos(np.radians(x)), 0.0)] if angle else [np.where(ok, x - centre, 0.0)]
+    parts += [] if angle else [parts[0] ** 2]
+    for n in sizes:
+        count = _trailing_sum(ok.astype(np.float64), n)
+        few = count < least_periods(n)
+        a, b = (_trailing_sum(v, n) / np.maximum(count, 1) for v in parts)
+        if angle:
+            r = np.clip(np.sqrt(a * a + b * b), 1e-9, 1.0)
+            new = {"circmean": np.mod(np.degrees(np.arctan2(a, b)), 360.0), "circstd": np.degrees(np.sqrt(np.abs(-2 * np.log(r))))}
+        else:
+            new = {"mean": a + centre, "std": np.sqrt(np.maximum(b - a * a, 0.0) * count / np.maximum(count - 1, 1))}
+        out |= {f"{name}_roll{n}_{k}": np.where(few, np.nan, v) for k, v in new.items()}
+    return out
+
+
+def ordered_wide(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10) -> DataFrame:
+    """What ``rolling``, ``differences`` and ``lags`` (of the first ``top`` sensors) add, for any number of sensors."""
+    angles, sizes, steps = set(angles), tuple(sizes), tuple(steps)
+    kinds = lambda c: ("circmean", "circstd") if c in angles else ("mean", "std")
+    added = [f"{c}_roll{n}_{k}" for n in sizes for c in sensors for k in kinds(c)]
+    added += [f"{c}_diff" for c in sensors[:top]] + [f"{c}_lag{n}" for n in steps for c in sensors[:top]]
+
+    def shifted(x: np.ndarray, n: int) -> np.ndarray:
+        return np.concatenate([np.full(min(n, len(x)), np.nan), x[: max(0, len(x) - n)]])
+
+    def work(columns: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        out: dict[str, np.ndarray] = {}
+        for c in sensors:
+            out |= _rolling_arrays(c, columns[c], sizes, c in angles)
+        for c in sensors[:top]:
+            out[f"{c}_diff"] = columns[c] - shifted(columns[c], 1)
+            out |= {f"{c}_lag{n}": shifted(columns[c], n) for n in steps}
+        return out
+
+    return _by_episode(df, sensors, added, work)
+
+
 def differences(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     w = episode()
     return df.select("*", *[(F.col(c) - F.lag(c).over(w)).alias(f"{c}_diff") for c in columns])
@@ -89,9 +155,23 @@ def _nested(df: DataFrame, hits: dict[str, Column], least: int, w: WindowSpec) -
     return out.drop(*[f"_e_{n}" for n in hits])
 
 
-def mask_zero_runs(df: DataFrame, columns: Iterable[str], least: int = 6, keep: Iterable[str] = ()) -> DataFrame:
-    """NULL for exact zeros in runs of ``least`` or more; NULL breaks a run; columns in ``keep`` (power, wind) stay."""
+def _zero_runs(x: np.ndarray, least: int) -> np.ndarray:
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], (x == 0).view(np.int8), [0]])))
+    out = x.copy()
+    for a, b in zip(edges[::2], edges[1::2], strict=True):
+        if b - a >= least:
+            out[a:b] = np.nan
+    return out
+
+
+def mask_zero_runs(df: DataFrame, columns: Iterable[str], least: int = 6, keep: Iterable[str] = (), wide: int = 12) -> DataFrame:
+    """NULL for exact zeros in runs of ``least`` or more; NULL breaks a run; columns in ``keep`` (power, wind) stay.
+
+    Beyond ``wide`` columns they are masked episode by episode in numpy, as doubles."""
     todo = [c for c in columns if c not in set(keep)]
+    if len(todo) > wide:
+        df = df.withColumns({c: F.col(c).cast("double") for c in todo})
+        return _by_episode(df, todo, todo, lambda v: {c: _zero_runs(x, least) for c, x in v.items()}, replace=True)
     marked = _nested(df, {f"_z_{c}": F.coalesce(F.col(c) == 0, F.lit(False)) for c in todo}, least, episode())
     return marked.select(*[F.when(F.col(f"_z_{c}") == 0, F.col(c)).alias(c) if c in todo else F.col(c) for c in df.columns])
 

@@ -1,30 +1,73 @@
 """Unsupervised detectors as distributed jobs: isolation forest, linear autoencoder, sequence autoencoder.
 
 Every function takes ``keys``: one model an episode, an asset, a farm, or, with (), one global model. All models of a call
-are fitted in one job.
+are fitted in one job. Fitting gives a ``Fitted``: tables (scaler, trees or directions, offsets) that can be saved, loaded in
+another session, and score any rows.
 """
 
 from __future__ import annotations
 
+import json
 import math
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewright.functions.columns import META
 from vanewright.operators import stats, windows
+from vanewright.session import stored
 
 TREES, SAMPLE, SEED, CONTAMINATION = 300, 256, 42, 0.01
-_TREE = "model string, tree int, feature array<int>, cut array<double>, left array<int>, right array<int>, size array<int>, psi int"
+_TREE = "model string, tree int, feature array<int>, cut array<double>, left array<int>, right array<int>, depth array<double>, psi int"
+
+
+@dataclass
+class Fitted:
+    """A fitted detector: its kind, features, keys and options, and its tables by name."""
+
+    kind: str
+    features: list[str]
+    keys: tuple[str, ...]
+    options: dict = field(default_factory=dict)
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+
+    def save(self, root: str) -> None:
+        save_tables(self.tables, {"kind": self.kind, "features": self.features, "keys": list(self.keys), "options": self.options}, root)
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str) -> Fitted:
+        tables, told = load_tables(spark, root)
+        return cls(told["kind"], told["features"], tuple(told["keys"]), told["options"], tables)
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """Metadata and score of rows; those of models that were not fitted are left out."""
+        return SCORERS[self.kind](self, rows)
+
+
+def save_tables(tables: dict[str, DataFrame], told: dict, root: str) -> None:
+    """Tables as Parquet below ``root``, and what else there is to tell as one JSON line."""
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{root}/{name}")
+    spark = next(iter(tables.values())).sparkSession
+    spark.createDataFrame([(json.dumps(told | {"tables": sorted(tables)}),)], "told string").coalesce(1).write.mode("overwrite").text(f"{root}/about")
+
+
+def load_tables(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], dict]:
+    told = json.loads(spark.read.text(f"{root}/about").first()[0])
+    return {name: spark.read.parquet(f"{root}/{name}") for name in told["tables"]}, told
+
+
+def model_name(keys: tuple[str, ...]) -> Column:
+    return F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys]) if keys else F.lit("all")
 
 
 def vectors(df: DataFrame, features: list[str], keys: tuple[str, ...]) -> DataFrame:
     """(model, metadata, x): model names the keys' values; NULL features are NULL in x."""
-    name = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys]) if keys else F.lit("all")
-    return df.select(name.alias("model"), *[c for c in (*META, "is_validation") if c in df.columns], F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    return df.select(model_name(keys).alias("model"), *[c for c in (*META, "is_validation") if c in df.columns], F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
 
 
 def preprocessed(x: DataFrame, fitted: DataFrame) -> DataFrame:
@@ -35,7 +78,9 @@ def preprocessed(x: DataFrame, fitted: DataFrame) -> DataFrame:
 
 
 def fit_preprocessor(x: DataFrame) -> DataFrame:
-    """(model, median, mean, std) arrays by feature position; features without any value become 0."""
+    """(model, median, mean, std) arrays by feature position; features without any value become 0.
+
+    Medians are exact whatever the size of a model, see ``stats.exact_percentiles``."""
     t = x.select("model", F.posexplode("x").alias("sensor", "value"))
     s = stats.preprocessor(t, "model")
     n = x.groupBy("model").agg(F.max(F.size("x")).alias("p"))
@@ -58,12 +103,12 @@ def _grow(pdf: pd.DataFrame, sample: int, seed: int) -> pd.DataFrame:
     x = np.array(pdf["x"].tolist(), np.float64)
     rng = np.random.default_rng([seed, tree, *model.encode()])
     limit = math.ceil(math.log2(max(2, len(x))))
-    nodes: list[list] = []
+    nodes: list[list] = []  # (feature, cut, left, right, path length of those that end here)
     todo = [(np.arange(len(x)), 0, -1, False)]
     while todo:
         rows, depth, parent, on_right = todo.pop()
         me = len(nodes)
-        nodes.append([-1, 0.0, -1, -1, len(rows)])
+        nodes.append([-1, 0.0, -1, -1, depth + float(average_path(len(rows)))])
         if parent >= 0:
             nodes[parent][3 if on_right else 2] = me
         if depth >= limit or len(rows) < 2:
@@ -78,33 +123,59 @@ def _grow(pdf: pd.DataFrame, sample: int, seed: int) -> pd.DataFrame:
         nodes[me][:2] = [f, cut]
         todo += [(rows[~goes], depth + 1, me, True), (rows[goes], depth + 1, me, False)]
     cols = list(zip(*nodes, strict=True))
-    return pd.DataFrame({"model": [model], "tree": [tree], "feature": [list(cols[0])], "cut": [list(cols[1])], "left": [list(cols[2])], "right": [list(cols[3])], "size": [list(cols[4])], "psi": [len(x)]})
+    return pd.DataFrame({"model": [model], "tree": [tree], "feature": [list(cols[0])], "cut": [list(cols[1])], "left": [list(cols[2])], "right": [list(cols[3])], "depth": [list(cols[4])], "psi": [len(x)]})
 
 
 def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """One row a tree. Rows are drawn by hashes of (tree, row), so only drawn rows are shuffled; trees grow in groups."""
+    """One row a tree. Only drawn rows are shuffled; trees grow in groups.
+
+    Trees are dealt into groups whose shares of the rows add up to one at most. One hash of (row, group) falls into one
+    tree's interval or none, so a row costs about as many hashes as it is drawn times.
+    """
     n = x.groupBy("model").agg(F.count("*").alias("n"))
     row = F.xxhash64(*[c for c in x.columns if c in META], "x")
-    draw = x.withColumn("row", row).join(n, "model")
-    share = F.least(F.lit(1.0), 1.4 * sample / F.col("n") + 24 / F.col("n"))
-    h = lambda t: F.pmod(F.xxhash64(F.col("row"), t, F.lit(seed)), F.lit(1 << 40))
-    hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: h(t) < share * (1 << 40))
-    drawn = draw.select("model", "x", "row", F.explode(hits).alias("tree"))
-    drawn = drawn.withColumn("h", h(F.col("tree")))
+    share = F.least(F.lit(1.0), (1.4 * sample + 24) / F.col("n"))
+    draw = x.withColumn("row", row).join(n.select("model", share.alias("share"), F.floor(1 / share).cast("int").alias("together")), "model")
+    groups = F.sequence(F.lit(0), F.ceil(F.lit(trees) / F.col("together")).cast("int") - 1)
+    unit = lambda *c: F.pmod(F.xxhash64(*c, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    place = lambda g: F.floor(unit(F.col("row"), g) / F.col("share")).cast("int")
+    picks = F.transform(groups, lambda g: F.when(place(g) < F.col("together"), g * F.col("together") + place(g)))
+    hits = F.filter(picks, lambda t: t.isNotNull() & (t < trees))
+    drawn = draw.select("model", "x", "row", F.explode(hits).alias("tree")).withColumn("h", F.xxhash64("row", "tree", F.lit(seed)))
     return drawn.groupBy("model", "tree").applyInPandas(lambda pdf: _grow(pdf, sample, seed), _TREE)
 
 
-def _depths(x: np.ndarray, t: dict) -> np.ndarray:
-    node, depth = np.zeros(len(x), np.int64), np.zeros(len(x))
-    feature, cut, left, right, size = (np.asarray(t[c]) for c in ("feature", "cut", "left", "right", "size"))
-    rows = np.arange(len(x))
-    inner = feature[node] >= 0
-    while inner.any():
-        at = node[inner]
-        node[inner] = np.where(x[rows[inner], feature[at]] <= cut[at], left[at], right[at])
-        depth[inner] += 1
-        inner = feature[node] >= 0
-    return depth + average_path(size[node])
+class _Forest:
+    """Trees side by side in flat arrays: an end leads to itself, so all trees take the same number of steps."""
+
+    def __init__(self, trees: list[dict]):
+        sizes = [len(t["feature"]) for t in trees]
+        self.roots = np.cumsum([0, *sizes[:-1]])
+        flat = lambda c, kind: np.concatenate([np.asarray(t[c], kind) for t in trees])
+        base = np.repeat(self.roots, sizes)
+        feature, own = flat("feature", np.int64), np.arange(sum(sizes))
+        ends = feature < 0
+        self.feature, self.cut, self.depth = np.where(ends, 0, feature), np.where(ends, np.inf, flat("cut", np.float64)), flat("depth", np.float64)
+        self.next = np.stack([np.where(ends, own, base + flat("left", np.int64)), np.where(ends, own, base + flat("right", np.int64))], axis=1).ravel()
+        self.steps = max(1, math.ceil(math.log2(max(2, max(int(t["psi"]) for t in trees)))))
+        self.norm = max(float(average_path(float(np.mean([t["psi"] for t in trees])))), 1e-9)
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        """2^(-E[path length] / c(psi))."""
+        out, n, p = np.zeros(len(x)), len(self.roots), x.shape[1]
+        for a in range(0, len(x), 256):
+            part = np.ascontiguousarray(x[a : a + 256])
+            start = (np.arange(len(part)) * p)[:, None]
+            node = np.broadcast_to(self.roots, (len(part), n)).copy()
+            for _ in range(self.steps):
+                goes = part.ravel().take(start + self.feature.take(node)) > self.cut.take(node)
+                node = self.next.take(2 * node + goes)
+            out[a : a + 256] = self.depth.take(node).sum(axis=1)
+        return 2.0 ** (-(out / n) / self.norm)
+
+
+def _rows_of(table: pa.Table, column: str) -> np.ndarray:
+    return table[column].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
 
 
 def score_forest(x: DataFrame, forest: DataFrame, rows: int = 20_000) -> DataFrame:
@@ -118,30 +189,33 @@ def score_forest(x: DataFrame, forest: DataFrame, rows: int = 20_000) -> DataFra
     def score(a: pa.Table, b: pa.Table) -> pa.Table:
         raw = np.zeros(a.num_rows)
         if a.num_rows and b.num_rows:
-            m = np.array(a["x"].to_pylist(), np.float64)
-            trees = sorted(b.to_pylist(), key=lambda t: t["tree"])  # one order of adding up
-            for t in trees:
-                raw += _depths(m, t)
-            psi = float(np.mean([t["psi"] for t in trees]))
-            raw = 2.0 ** (-(raw / len(trees)) / max(float(average_path(psi)), 1e-9))
+            raw = _Forest(sorted(b.to_pylist(), key=lambda t: t["tree"])).raw(_rows_of(a, "x"))  # one order of adding up
         return a.select(names).append_column("raw", pa.array(raw))
 
     schema = ", ".join(f"`{c}` {dict(x.dtypes)[c]}" for c in names) + ", raw double"
     return left.groupBy("model", "block").cogroup(right.groupBy("model", "block")).applyInArrow(score, schema)
 
 
-def isolation_forest(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION) -> DataFrame:
-    """Metadata and score of ``rows``: positive beyond the training share ``contamination``. Rows of models without
-    training rows are left out, as failed models."""
+def fit_isolation_forest(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION) -> Fitted:
+    """Scores are positive beyond the training share ``contamination``."""
     x = vectors(train, features, keys)
-    fitted = fit_preprocessor(x)
-    z = preprocessed(x, fitted)
-    forest = fit_forest(z, trees, sample)
-    offset = score_forest(z, forest).groupBy("model").agg(F.percentile("raw", F.lit(1 - contamination)).alias("offset"))
-    out = score_forest(preprocessed(vectors(rows, features, keys), fitted), forest).join(offset, "model")
+    scaler = stored(fit_preprocessor(x), "scaler")
+    z = stored(preprocessed(x, scaler), "standardised")
+    forest = stored(fit_forest(z, trees, sample), "trees")
+    offset = stats.exact_percentiles(score_forest(z, forest), ["model"], "raw", {"offset": 1 - contamination})
+    return Fitted("isolation_forest", features, keys, {}, {"scaler": scaler, "trees": forest, "offset": stored(offset, "offset")})
+
+
+def _score_forest(f: Fitted, rows: DataFrame) -> DataFrame:
+    z = preprocessed(vectors(rows, f.features, f.keys), f.tables["scaler"])
+    out = score_forest(z, f.tables["trees"]).join(f.tables["offset"], "model")
     return out.withColumn("score", F.col("raw") - F.col("offset")).drop("raw", "offset")
 
 
+def isolation_forest(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), **options) -> DataFrame:
+    return fit_isolation_forest(train, features, keys, **options).score(rows)
+
+
 def _principal(z: DataFrame, size: int) -> DataFrame:
     """(model, w): the leading directions of each model's second moments. Products are summed by task, then by model."""
 
@@ -177,30 +251,46 @@ def _residual(x: Column, w: Column, last: int | None) -> Column:
     return F.aggregate(gone, F.lit(0.0), lambda s, v: s + v) / F.size(gone)
 
 
-def linear_autoencoder(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), size: int | None = None) -> DataFrame:
-    """Metadata and score: mean squared reconstruction error from max(8, p/4) principal directions."""
+def _sequenced(z: DataFrame, steps: int) -> DataFrame:
+    """x as the last ``steps`` vectors of the episode, its first one repeated in front."""
+    seen = F.collect_list("x").over(windows.episode().rowsBetween(-(steps - 1), 0))
+    z = z.withColumn("_seen", seen)
+    return z.withColumn("x", F.flatten(F.concat(F.array_repeat(F.element_at("_seen", 1), steps - F.size("_seen")), F.col("_seen")))).drop("_seen")
+
+
+def _fit_autoencoder(kind: str, train: DataFrame, features: list[str], keys: tuple[str, ...], steps: int, size: int | None) -> Fitted:
     x = vectors(train, features, keys)
-    fitted = fit_preprocessor(x)
-    w = _principal(preprocessed(x, fitted), size or min(len(features), max(8, len(features) // 4)))
-    z = preprocessed(vectors(rows, features, keys), fitted).join(w, "model")
-    return z.withColumn("score", _residual(F.col("x"), F.col("w"), None)).drop("x", "w")
+    scaler = stored(fit_preprocessor(x), "scaler")
+    z = preprocessed(x, scaler)
+    p = steps * len(features)
+    w = _principal(_sequenced(z, steps) if steps > 1 else z, size or min(p, max(8, p // 4)))
+    return Fitted(kind, features, keys, {"steps": steps}, {"scaler": scaler, "directions": stored(w, "directions")})
 
 
-def sequence_autoencoder(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), steps: int = 6, size: int | None = None) -> DataFrame:
+def fit_linear_autoencoder(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), size: int | None = None) -> Fitted:
+    """Score: mean squared reconstruction error from max(8, p/4) principal directions."""
+    return _fit_autoencoder("linear_autoencoder", train, features, keys, 1, size)
+
+
+def fit_sequence_autoencoder(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), steps: int = 6, size: int | None = None) -> Fitted:
     """The same on the last ``steps`` standardised vectors; the error is that of the last one."""
-    x = vectors(train, features, keys)
-    fitted = fit_preprocessor(x)
+    return _fit_autoencoder("sequence_autoencoder", train, features, keys, steps, size)
+
+
+def _score_autoencoder(f: Fitted, rows: DataFrame) -> DataFrame:
+    z = preprocessed(vectors(rows, f.features, f.keys), f.tables["scaler"])
+    z = _sequenced(z, f.options["steps"]) if f.options["steps"] > 1 else z
+    last = len(f.features) if f.options["steps"] > 1 else None
+    return z.join(f.tables["directions"], "model").withColumn("score", _residual(F.col("x"), F.col("w"), last)).drop("x", "w")
+
+
+def linear_autoencoder(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), **options) -> DataFrame:
+    return fit_linear_autoencoder(train, features, keys, **options).score(rows)
 
-    def sequenced(df: DataFrame) -> DataFrame:
-        z = preprocessed(vectors(df, features, keys), fitted)
-        w = windows.episode()
-        seen = F.collect_list("x").over(w.rowsBetween(-(steps - 1), 0))
-        z = z.withColumn("_seen", seen)
-        return z.withColumn("x", F.flatten(F.concat(F.array_repeat(F.element_at("_seen", 1), steps - F.size("_seen")), F.col("_seen")))).drop("_seen")
 
-    p = len(features)
-    w = _principal(sequenced(train), size or min(steps * p, max(8, steps * p // 4)))
-    return sequenced(rows).join(w, "model").withColumn("score", _residual(F.col("x"), F.col("w"), p)).drop("x", "w")
+def sequence_autoencoder(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), **options) -> DataFrame:
+    return fit_sequence_autoencoder(train, features, keys, **options).score(rows)
 
 
-DETECTORS = {"isolation_forest": isolation_forest, "linear_autoencoder": linear_autoencoder, "sequence_autoencoder": sequence_autoencoder}
+DETECTORS = {"isolation_forest": fit_isolation_forest, "linear_autoencoder": fit_linear_autoencoder, "sequence_autoencoder": fit_sequence_autoencoder}
+SCORERS = {"isolation_forest": _score_forest, "linear_autoencoder": _score_autoencoder, "sequence_autoencoder": _score_autoencoder}

@@ -25,9 +25,10 @@ def evaluate(flags: DataFrame, events: DataFrame, keys: tuple[str, ...] = EPISOD
 
     flags: prediction rows with flag 0/1. events: keys of an episode, is_anomaly, onset (NULL where unknown). Only rows of
     normal status count, and runs are counted over what they leave; an episode without such rows counts runs over all its
-    rows and has no coverage or accuracy.
+    rows and has no coverage or accuracy. An episode without a record is a normal one.
     """
-    rows = flags.join(events.select(*EPISODE, "is_anomaly", F.col("onset").cast("timestamp").alias("onset")), list(EPISODE))
+    known = events.select(*EPISODE, "is_anomaly", F.col("onset").cast("timestamp").alias("onset"))
+    rows = flags.join(known, list(EPISODE), "left").withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
     rows = rows.withColumn("ok", ~abnormal()).withColumn("ts", F.col("time_stamp").cast("timestamp"))
     some = F.max(F.col("ok").cast("int")).over(Window.partitionBy(*keys)) == 1
     rows = rows.withColumn("some", some).where(F.col("ok") | ~F.col("some")).withColumn("begins", _events(rows, keys))

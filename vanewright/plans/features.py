@@ -9,17 +9,27 @@ from pyspark.sql import functions as F
 
 from vanewright.functions.columns import EPISODE, META, clock, training_normal
 from vanewright.operators import conform, joins, selection, stats, windows
+from vanewright.session import stored
 
 
-def engineered(df: DataFrame, curve: DataFrame | None, sensors: list[str], angles: Iterable[str] = (), power: str = "power", wind: str = "wind_speed", sizes: Iterable[int] = windows.WINDOWS, steps: Iterable[int] = windows.LAGS, curve_keys: tuple[str, ...] = ("farm_id", "asset_id")) -> DataFrame:
-    """Zero runs masked, curve residuals, rolling statistics, differences and lags of the first ten sensors, clock.
+#: Beyond so many sensors, ordered features are computed episode by episode in numpy instead of by window expressions.
+NARROW = 10
 
-    All window expressions share one exchange and one sort by episode.
+
+def engineered(df: DataFrame, curve: DataFrame | None, sensors: list[str], angles: Iterable[str] = (), power: str = "power", wind: str = "wind_speed", sizes: Iterable[int] = windows.WINDOWS, steps: Iterable[int] = windows.LAGS, curve_keys: tuple[str, ...] = ("farm_id", "asset_id"), clean: bool = True) -> DataFrame:
+    """Zero runs masked (unless ``clean`` is False), curve residuals, rolling statistics, differences and lags of the first
+    ten sensors, clock.
+
+    Up to NARROW sensors all window expressions share one exchange and one sort by episode; beyond, an episode's columns are
+    computed together in one task.
     """
     angles = set(angles)
-    out = windows.mask_zero_runs(df, sensors, keep=(power, wind))
+    out = windows.mask_zero_runs(df, sensors, keep=(power, wind)) if clean else df
     if curve is not None:
         out = joins.against_curve(out, curve, power, wind, curve_keys)
+    times = [x.alias(n) for n, x in clock().items()]
+    if len(sensors) > NARROW:
+        return windows.ordered_wide(out, sensors, angles, sizes, steps).select("*", *times)
     w = windows.episode()
     new = []
     for n in sizes:
@@ -30,8 +40,7 @@ def engineered(df: DataFrame, curve: DataFrame | None, sensors: list[str], angle
     top = sensors[:10]
     new += [(F.col(c) - F.lag(c).over(w)).alias(f"{c}_diff") for c in top]
     new += [F.lag(c, n).over(w).alias(f"{c}_lag{n}") for n in steps for c in top]
-    new += [x.alias(n) for n, x in clock().items()]
-    return out.select("*", *new)
+    return out.select("*", *new, *times)
 
 
 def training_features(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), curve_keys: tuple[str, ...] = EPISODE, **options) -> tuple[DataFrame, DataFrame]:
@@ -40,6 +49,38 @@ def training_features(df: DataFrame, sensors: list[str], angles: Iterable[str] =
     return conform.labelled(engineered(df, curve, sensors, angles, curve_keys=curve_keys, **options)), curve
 
 
+def has_curve(df: DataFrame, power: str = "power", wind: str = "wind_speed") -> bool:
+    """Whether every farm of the table has power and wind speed; where one lacks them, pooled models go without curves."""
+    if not {power, wind} <= set(df.columns):
+        return False
+    return df.groupBy("farm_id").agg((F.count(F.col(power)) * F.count(F.col(wind))).alias("n")).where("n = 0").isEmpty()
+
+
+def plain_sensors(sensors: list[str], angles: Iterable[str] = (), power: str = "power", wind: str = "wind_speed") -> list[str]:
+    """Those that are normalised by asset: neither power, wind speed nor angles."""
+    return [c for c in sensors if c not in {power, wind, *angles}]
+
+
+def references(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), curves: bool = True, normalise: bool = True, curve_keys: tuple[str, ...] = ("farm_id", "asset_id")) -> dict[str, DataFrame]:
+    """Tables that features are computed with: ``curve`` by asset, and ``baseline`` of the plain sensors by asset, both of
+    the normal training rows, zero runs masked."""
+    cleaned = windows.mask_zero_runs(df, sensors, keep=("power", "wind_speed"))
+    out = {"curve": stats.power_curve(cleaned, keys=curve_keys)} if curves else {}
+    plain = plain_sensors(sensors, angles)
+    if normalise and plain:
+        out["baseline"] = stats.baseline(windows.tall(cleaned.where(training_normal()), plain))
+    return out
+
+
+def with_references(df: DataFrame, refs: dict[str, DataFrame], sensors: list[str], angles: Iterable[str] = (), curve_keys: tuple[str, ...] = ("farm_id", "asset_id"), **options) -> DataFrame:
+    """Features with label: zero runs masked, plain sensors as z-scores of their asset where there is a baseline, then the
+    ordered features of these. Training and serving call the same."""
+    cleaned = windows.mask_zero_runs(df, sensors, keep=("power", "wind_speed"))
+    if "baseline" in refs:
+        cleaned = joins.normalised_wide(cleaned, refs["baseline"], plain_sensors(sensors, angles))
+    return conform.labelled(engineered(cleaned, refs.get("curve"), sensors, angles, curve_keys=curve_keys, clean=False, **options))
+
+
 def gold(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), most: int = 100, wide: int = 200) -> tuple[DataFrame, DataFrame]:
     """(features, metadata): beyond ``wide`` columns only the ``most`` varying sensors are carried into windows."""
     chosen = sensors
@@ -56,19 +97,14 @@ def gold(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), most: in
 def farm_pool(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), select: bool = True, **options) -> tuple[DataFrame, list[str], dict[str, DataFrame]]:
     """(pooled normal training features, kept features, report tables).
 
-    Cleaning comes before normalisation, and missingness is measured before NULLs become 0.
+    Cleaning comes before normalisation, and missingness is measured before NULLs become 0. Features are written once.
     """
-    cleaned = windows.mask_zero_runs(df, sensors, keep=("power", "wind_speed"))
-    curve = stats.power_curve(cleaned)
-    rows = cleaned.where(training_normal())
-    base = stats.baseline(windows.tall(rows, sensors))
-    scaled = joins.normalised_wide(cleaned, base, sensors)
-    feats = conform.labelled(engineered(scaled, curve, sensors, angles, **options))
-    pool = feats.where(training_normal())
+    refs = {k: stored(v, k) for k, v in references(df, sensors, angles, has_curve(df)).items()}
+    pool = stored(with_references(df, refs, sensors, angles, **options).where(training_normal()), "pool")
     names = conform.numeric_columns(pool)
     kept, diagnostics = selection.select_features(pool, names, protect=("power_residual", "power_residual_pct")) if select else (names, df.sparkSession.createDataFrame([], "feature string, reason string"))
     report = {
         "assets": stats.asset_counts(pool), "ranges": stats.date_ranges(pool, "farm_id"), "overlaps": joins.neighbour_overlaps(joins.training_ranges(df)),
-        "missing": selection.column_stats(pool, names).select("feature", "missing_fraction"), "diagnostics": diagnostics, "curves": stats.curve_edges(cleaned), "baseline": base, "curve": curve,
+        "missing": selection.column_stats(pool, names).select("feature", "missing_fraction"), "diagnostics": diagnostics, "curves": stats.curve_edges(df), **refs,
     }
     return pool.select(*META, *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).cast("float").alias(n) for n in kept]), kept, report

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from vanewright.functions.columns import fresh, joined_warning
 from vanewright.operators import windows
 from vanewright.plans.evaluation import detected_events
-from vanewright.plans.training import flagged
+from vanewright.plans.training import Trained
 
 
-def batch_score(scores: DataFrame, limits: DataFrame, least: int = 6) -> tuple[DataFrame, DataFrame]:
-    """(events, rows with flags) of scored readings."""
-    flags = flagged(scores, limits, least)
+def batch_score(trained: Trained, readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events, rows with scores and flags) of new readings by a trained, possibly loaded, model."""
+    flags = trained.score(readings)
     return detected_events(flags), flags
 
 

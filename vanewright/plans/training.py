@@ -1,17 +1,23 @@
-"""Training strategies: features, selection, split, detector, threshold, sustained flags, evaluation - in one plan each."""
+"""Training strategies: features, selection, split, detector, threshold, sustained flags, evaluation.
+
+``fit`` gives a ``Trained``: every table that scoring needs. It can be saved, loaded in another session, and scores any
+readings; ``run`` fits, scores the prediction rows and evaluates.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewright.functions.columns import EPISODE, META, training_normal
 from vanewright.operators import conform, selection, stats, windows
 from vanewright.plans import detectors, evaluation, features
+from vanewright.session import stored
 
-#: One model an episode, a farm, or for everything.
+#: One model an episode, a farm, or for everything. Models of more than one asset get sensors normalised by asset.
 STRATEGIES: dict[str, tuple[str, ...]] = {"turbine": EPISODE, "farm": ("farm_id",), "global": ()}
 
 
@@ -27,44 +33,113 @@ def flagged(scores: DataFrame, limits: DataFrame, least: int = 6) -> DataFrame:
     return windows.sustained(rows, "score", F.col("threshold"), least).drop("threshold")
 
 
-def run(df: DataFrame, events: DataFrame, sensors: list[str], strategy: str = "farm", detector: str = "isolation_forest", angles: Iterable[str] = (), names: list[str] | None = None, percentile: float = 0.99, least_run: int = 6, **options) -> dict[str, DataFrame]:
-    """Tables of a run: scores of prediction rows with flags, thresholds, results, summary, and the registry row.
+@dataclass
+class Trained:
+    """References, detector, thresholds (model, threshold) and failed models (model, n_rows, error) of a strategy."""
 
-    names: features to use; by default they are selected on the normal training rows.
-    """
+    strategy: str
+    sensors: list[str]
+    angles: list[str]
+    least_run: int
+    references: dict[str, DataFrame]
+    detector: detectors.Fitted
+    limits: DataFrame
+    failed: DataFrame
+
+    @property
+    def curve_keys(self) -> tuple[str, ...]:
+        return EPISODE if self.strategy == "turbine" else ("farm_id", "asset_id")
+
+    def registry(self) -> DataFrame:
+        """(model, threshold, strategy, detector, n_features, features, schema_sha256), one row a fitted model."""
+        names = self.detector.features
+        return self.limits.withColumns({"strategy": F.lit(self.strategy), "detector": F.lit(self.detector.kind), "n_features": F.lit(len(names)), "features": F.lit(",".join(names)), "schema_sha256": F.sha2(F.lit(",".join(sorted(names))).cast("binary"), 256)})
+
+    def features(self, df: DataFrame) -> DataFrame:
+        return features.with_references(df, self.references, self.sensors, self.angles, curve_keys=self.curve_keys)
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """Scores and sustained flags of readings, in the order of each episode."""
+        return flagged(self.detector.score(self.features(df)), self.limits, self.least_run)
+
+    def save(self, root: str) -> None:
+        self.detector.save(f"{root}/detector")
+        tables = {f"reference_{k}": v for k, v in self.references.items()} | {"limits": self.limits, "failed": self.failed, "registry": self.registry()}
+        detectors.save_tables(tables, {"strategy": self.strategy, "sensors": self.sensors, "angles": self.angles, "least_run": self.least_run}, root)
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str) -> Trained:
+        tables, told = detectors.load_tables(spark, root)
+        refs = {k.removeprefix("reference_"): v for k, v in tables.items() if k.startswith("reference_")}
+        return cls(told["strategy"], told["sensors"], told["angles"], told["least_run"], refs, detectors.Fitted.load(spark, f"{root}/detector"), tables["limits"], tables["failed"])
+
+
+def _prepared(df: DataFrame, sensors: list[str], strategy: str, angles: Iterable[str]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Features of all readings, written once, and the references they come from."""
+    keys = EPISODE if strategy == "turbine" else ("farm_id", "asset_id")
+    refs = features.references(df, sensors, angles, features.has_curve(df), strategy != "turbine", keys)
+    refs = {k: stored(v, k) for k, v in refs.items()}
+    return stored(features.with_references(df, refs, sensors, angles, curve_keys=keys), "features"), refs
+
+
+def _fit(feats: DataFrame, refs: dict[str, DataFrame], sensors: list[str], strategy: str, detector: str, angles: Iterable[str], names: list[str] | None, percentile: float, least_run: int, least_rows: int, **options) -> Trained:
     keys = STRATEGIES[strategy]
-    feats, _ = features.training_features(df, sensors, angles, curve_keys=("farm_id", "asset_id"))
     if names is None:
         names, _ = selection.select_features(feats.where(training_normal()), conform.numeric_columns(feats), protect=("power_residual", "power_residual_pct"))
     fit, held = split(feats)
-    score = detectors.DETECTORS[detector]
-    wanted = [*META, *names]
-    both = held.select(*wanted, F.lit(True).alias("is_validation")).unionByName(feats.where(F.col("train_test") == "prediction").select(*wanted, F.lit(False).alias("is_validation")))
-    scored = score(fit, both, names, keys, **options)
-    limits = stats.threshold(scored.where("is_validation"), ["model"], percentile=percentile)
-    flags = flagged(scored.where(~F.col("is_validation")), limits, least_run)
+    named = detectors.vectors(fit.select(*META), [], keys).groupBy("model").agg(F.count("*").alias("n_rows"))
+    wanted = detectors.vectors(feats.select(*META), [], keys).select("model").distinct()
+    sizes = stored(wanted.join(named, "model", "left").select("model", F.coalesce("n_rows", F.lit(0)).alias("n_rows")), "sizes")
+    failed = sizes.where(F.col("n_rows") < least_rows).withColumn("error", F.concat_ws(" ", F.lit("fewer than"), F.lit(str(least_rows)), F.lit("normal training rows")))
+    if not failed.isEmpty():
+        ok = sizes.where(F.col("n_rows") >= least_rows).select("model")
+        name = detectors.model_name(keys)
+        fit, held = (d.withColumn("model", name).join(ok, "model", "left_semi").drop("model") for d in (fit, held))
+    stats.guarded(fit, 1, "normal training rows of models that can be fitted")
+    model = detectors.DETECTORS[detector](fit, names, keys, **options)
+    limits = stored(stats.threshold(model.score(held), ["model"], percentile=percentile), "limits")
+    return Trained(strategy, list(sensors), list(angles), least_run, refs, model, limits, failed)
+
+
+def fit(df: DataFrame, sensors: list[str], strategy: str = "farm", detector: str = "isolation_forest", angles: Iterable[str] = (), names: list[str] | None = None, percentile: float = 0.99, least_run: int = 6, least_rows: int = 2, **options) -> Trained:
+    """Fit all models of a strategy on the normal training rows of readings.
+
+    names: features to use; by default they are selected on the normal training rows. Models with fewer than
+    ``least_rows`` rows to fit are told as failed; the others go on.
+    """
+    feats, refs = _prepared(df, sensors, strategy, angles)
+    return _fit(feats, refs, sensors, strategy, detector, angles, names, percentile, least_run, least_rows, **options)
+
+
+def run(df: DataFrame, events: DataFrame, sensors: list[str], strategy: str = "farm", detector: str = "isolation_forest", angles: Iterable[str] = (), names: list[str] | None = None, percentile: float = 0.99, least_run: int = 6, least_rows: int = 2, **options) -> dict[str, DataFrame]:
+    """Tables of a run: scores of prediction rows with flags, thresholds, results, summary, failed models, registry rows."""
+    feats, refs = _prepared(df, sensors, strategy, angles)
+    return _evaluated(_fit(feats, refs, sensors, strategy, detector, angles, names, percentile, least_run, least_rows, **options), feats, events)
+
+
+def _evaluated(trained: Trained, feats: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
+    flags = flagged(trained.detector.score(feats.where(F.col("train_test") == "prediction")), trained.limits, trained.least_run)
     results = evaluation.evaluate(flags, events)
-    registry = limits.withColumns({"strategy": F.lit(strategy), "detector": F.lit(detector), "n_features": F.lit(len(names)), "features": F.lit(",".join(names)), "schema_sha256": F.sha2(F.lit(",".join(sorted(names))).cast("binary"), 256)})
-    return {"flags": flags, "thresholds": limits, "results": results, "summary": evaluation.summarize(results), "registry": registry}
+    return {"flags": flags, "thresholds": trained.limits, "results": results, "summary": evaluation.summarize(results), "failed": trained.failed, "registry": trained.registry()}
 
 
-def compare(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str] | None = None, strategy: str = "farm", models: Iterable[str] = tuple(detectors.DETECTORS), **options) -> DataFrame:
-    """Results of several detectors on the same split, tagged by model."""
-    return selection.tagged_union({m: run(df, events, sensors, strategy, m, names=names, **(options if m == "isolation_forest" else {}))["results"] for m in models}, "model")
+def compare(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str] | None = None, strategy: str = "farm", models: Iterable[str] = tuple(detectors.DETECTORS), angles: Iterable[str] = (), percentile: float = 0.99, least_run: int = 6, least_rows: int = 2, **options) -> DataFrame:
+    """Results of several detectors on the same features, selection and split, tagged by model. options are the forest's."""
+    feats, refs = _prepared(df, sensors, strategy, angles)
+    if names is None:
+        names, _ = selection.select_features(feats.where(training_normal()), conform.numeric_columns(feats), protect=("power_residual", "power_residual_pct"))
+    one = lambda m: _fit(feats, refs, sensors, strategy, m, angles, names, percentile, least_run, least_rows, **(options if m == "isolation_forest" else {}))
+    return selection.tagged_union({m: _evaluated(one(m), feats, events)["results"] for m in models}, "model")
 
 
-def cross_farm(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str], pairs: dict[str, tuple[list[str], list[str]]], detector: str = "isolation_forest", **options) -> DataFrame:
+def cross_farm(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str], pairs: dict[str, tuple[list[str], list[str]]], detector: str = "isolation_forest", angles: Iterable[str] = (), **options) -> DataFrame:
     """Train on some farms, evaluate on others, each farm normalised by its own baselines; results tagged by pair."""
-    from vanewright.operators.joins import normalised_wide
-
-    base = stats.baseline(windows.tall(df.where(training_normal()), sensors))
-    feats, _ = features.training_features(normalised_wide(df, base, sensors), sensors, curve_keys=("farm_id", "asset_id"))
+    feats, _ = _prepared(df, sensors, "global", angles)
     out = {}
     for name, (source, target) in pairs.items():
         fit, held = split(feats.where(F.col("farm_id").isin(source)))
-        wanted = [*META, *names]
-        rows = held.select(*wanted, F.lit(True).alias("is_validation")).unionByName(feats.where(F.col("farm_id").isin(target) & (F.col("train_test") == "prediction")).select(*wanted, F.lit(False).alias("is_validation")))
-        scored = detectors.DETECTORS[detector](fit, rows, names, (), **options)
-        limits = stats.threshold(scored.where("is_validation"), ["model"])
-        out[name] = evaluation.evaluate(flagged(scored.where(~F.col("is_validation")), limits), events)
+        model = detectors.DETECTORS[detector](fit, names, (), **options)
+        limits = stored(stats.threshold(model.score(held), ["model"]), "limits")
+        rows = feats.where(F.col("farm_id").isin(target) & (F.col("train_test") == "prediction"))
+        out[name] = evaluation.evaluate(flagged(model.score(rows), limits), events)
     return selection.tagged_union(out, "experiment")

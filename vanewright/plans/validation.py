@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vanewright.functions.columns import EPISODE, STATUS
 from vanewright.operators.conform import REQUIRED, canonical
+from vanewright.operators.selection import column_difference
 from vanewright.operators.windows import gaps
 
 SPLITS = ("train", "prediction")
@@ -29,6 +30,12 @@ def column_count(df: DataFrame, expected: int) -> DataFrame:
     return _row(df.select(*EPISODE).distinct(), "column_count", F.lit(len(df.columns) == expected), "WARNING", F.lit(f"{len(df.columns)} of {expected}"))
 
 
+def schema_drift(df: DataFrame, reference: DataFrame) -> DataFrame:
+    """Columns that came or went since a reference table; a row an episode, as both tables have one schema each."""
+    new, gone = column_difference(df, reference)
+    return _row(df.select(*EPISODE).distinct(), "schema_drift", F.lit(not new and not gone), "WARNING", F.lit(",".join([f"+{c}" for c in new] + [f"-{c}" for c in gone])))
+
+
 def times_parse(df: DataFrame, most: float = 0.01) -> DataFrame:
     """A share of unreadable times under ``most`` warns, beyond it is an error."""
     a = df.groupBy(*EPISODE).agg(F.count("*").alias("n"), F.count_if(F.try_to_timestamp(F.col("time_stamp").cast("string")).isNull()).alias("bad"))

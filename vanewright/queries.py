@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewright.functions import columns as c
 from vanewright.operators import conform, joins, selection, stats, windows
 from vanewright.plans import detectors, evaluation, features, serving, training, validation
 from vanewright.sources import events as src
+from vanewright.session import shared_path
 from vanewright.sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,9 +88,115 @@ def status_counts(spark: SparkSession, sf: str) -> DataFrame:
     return stats.value_counts(src.load(spark, sf).withColumn("status", c.status_name()), "farm_id", "status_type_id", "status", "train_test")
 
 
-@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE try_cast(props AS TIMESTAMP) IS NULL) AS n_dropped FROM events", readings=False)
+def _broken() -> Column:
+    return F.when(F.col("event_id") % 11 == 0, "not a time").when(F.col("event_id") % 13 != 0, F.col("ts").cast("string"))
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE event_id % 11 = 0 OR event_id % 13 = 0) AS n_dropped FROM events", readings=False)
 def unreadable_times(spark: SparkSession, sf: str) -> DataFrame:
-    return conform.unreadable_times(spark.read.parquet(f"{sf}/events.parquet").select(F.col("props").alias("timestamp")))
+    return conform.unreadable_times(spark.read.parquet(f"{sf}/events.parquet").select(_broken().alias("timestamp")))
+
+
+@query("""SELECT CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS farm_id, CAST(user_id AS VARCHAR) AS dataset_id, count(*) AS rows_in, count(*) FILTER (WHERE event_id % 11 <> 0 AND event_id % 13 <> 0) AS rows_out,
+  count(*) FILTER (WHERE event_id % 11 = 0 OR event_id % 13 = 0) AS rows_dropped FROM events GROUP BY user_id""", readings=False)
+def silver_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw readings with other headers and unreadable times, through bronze to silver."""
+    raw = spark.read.parquet(f"{sf}/events.parquet")
+    raw = raw.select(F.when(F.col("user_id") % 2 == 0, "A").otherwise("B").alias("farm_id"), F.col("user_id").alias("dataset_id"), F.col("event_id").cast("string").alias("row_id"), _broken().alias("Timestamp"), F.lit("train").alias("split"), F.lit("0.0").alias("status_id"), F.col("value").cast("string").alias("power"))
+    bronze = shared_path(spark, "bronze")
+    lake.write(conform.canonical(raw), bronze)
+    return lake.to_silver(spark, bronze, shared_path(spark, "silver"))
+
+
+def _layer(spark: SparkSession, sf: str) -> str:
+    """A layer whose farms have different columns: A lacks sensor_4, B lacks sensor_1."""
+    root, df = shared_path(spark, "layer"), src.load(spark, sf)
+    lake.write(df.where("farm_id = 'A'").drop("sensor_4"), root)
+    lake.write(df.where("farm_id = 'B'").drop("sensor_1"), root)
+    return root
+
+
+@query("SELECT farm_id, CAST(dataset_id AS VARCHAR) AS dataset_id, count(*) AS n_rows, round(sum(power), 3) AS power, count(CASE WHEN farm_id = 'A' THEN sensor_1 END) AS n_sensor_1, count(CASE WHEN farm_id = 'B' THEN sensor_4 END) AS n_sensor_4 FROM readings WHERE power > 100 GROUP BY ALL")
+def layer_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A pruned scan of a written layer."""
+    df = lake.read(spark, _layer(spark, sf), ["farm_id", "dataset_id", "power", "sensor_1", "sensor_4"], F.col("power") > 100)
+    return rounded(df.groupBy("farm_id", "dataset_id").agg(F.count("*").alias("n_rows"), F.sum("power").alias("power"), F.count("sensor_1").alias("n_sensor_1"), F.count("sensor_4").alias("n_sensor_4")), 3)
+
+
+@query("SELECT farm_id, CAST(dataset_id AS VARCHAR) AS dataset_id, count(*) AS n_rows, CAST(13 AS INTEGER) AS n_columns, CAST(1 AS BIGINT) AS n_files, true AS has_bytes FROM readings GROUP BY ALL")
+def layer_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return lake.layer_report(spark, _layer(spark, sf)).withColumn("has_bytes", F.col("n_bytes") > 0).drop("n_bytes")
+
+
+@query("SELECT DISTINCT farm_id, CAST(dataset_id AS VARCHAR) AS dataset_id FROM readings")
+def layer_datasets(spark: SparkSession, sf: str) -> DataFrame:
+    return lake.done(spark, _layer(spark, sf))
+
+
+@query("SELECT farm_id, status_type_id, count(*) AS n, min(time_stamp) AS first_ts FROM readings GROUP BY ALL")
+def canonical_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings that come under other accepted headers."""
+    df = src.load(spark, sf).withColumnsRenamed({"time_stamp": " Time", "asset_id": "WT_ID", "train_test": "Split", "status_type_id": "status_id", "id": "Row_ID"})
+    return _ntz(conform.readings(df).groupBy("farm_id", "status_type_id").agg(F.count("*").alias("n"), F.min("time_stamp").alias("first_ts")))
+
+
+@query("SELECT o_orderkey AS k, trim(x) IS NOT NULL AND upper(trim(x)) IN ('TRUE', '1', 'YES') AS truth, nullif(trim(x), '') AS text FROM (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN ' true' WHEN 1 THEN '1' WHEN 2 THEN 'Yes ' WHEN 3 THEN '  ' WHEN 4 THEN 'no' END AS x FROM orders)", readings=False)
+def text_flags(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("o_orderkey") % 6
+    x = F.when(k == 0, " true").when(k == 1, "1").when(k == 2, "Yes ").when(k == 3, "  ").when(k == 4, "no")
+    return spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"), c.truth(x).alias("truth"), c.text(x).alias("text"))
+
+
+_COLUMNS = "SELECT p_brand AS base, p_brand || CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN '_max' WHEN 2 THEN '_avg' ELSE 'x' END AS col, p_partkey AS ordinal FROM part"
+
+
+def _columns(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("p_partkey") % 4
+    kind = F.when(k == 0, "").when(k == 1, "_max").when(k == 2, "_avg").otherwise("x")
+    return spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_brand").alias("base"), F.concat("p_brand", kind).alias("column"), F.col("p_partkey").alias("ordinal"))
+
+
+@query(f"SELECT s AS base, count(DISTINCT col) AS n FROM ({_COLUMNS}) JOIN (SELECT DISTINCT p_brand AS s FROM part) ON col = s OR starts_with(col, s || '_') GROUP BY s", readings=False)
+def columns_of_sensors(spark: SparkSession, sf: str) -> DataFrame:
+    cols = _columns(spark, sf)
+    told = cols.select(F.col("base").alias("sensor_name"), F.lit("yes").alias("is_angle")).distinct()
+    return conform.flagged_columns(cols.select("column").distinct(), told).groupBy("base").agg(F.count_distinct("column").alias("n"))
+
+
+@query(f"SELECT base, arg_min(col, (CASE WHEN col LIKE '%avg%' THEN 0 ELSE 1 END) * 1000000000 + ordinal) AS \"column\" FROM ({_COLUMNS}) GROUP BY base", readings=False)
+def primary_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return conform.primary_statistic(_columns(spark, sf))
+
+
+@query("""SELECT 'power' AS role, arg_min(p_name, pen * 1000000000 + p_partkey) AS sensor_name FROM (SELECT p_partkey, p_name, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS pen FROM part WHERE p_partkey % 7 <> 0)
+  UNION ALL SELECT 'wind_speed', 'wind_speed_' || min(p_partkey) FROM part WHERE p_partkey % 7 = 0 AND p_partkey % 2 = 1""", readings=False)
+def preferred_sensors(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("p_partkey")
+    power = F.concat(F.lit("Grid power"), F.when(k % 3 == 0, " Possible").otherwise(""), F.when(k % 5 == 0, " estimated").otherwise(""))
+    d = spark.read.parquet(f"{sf}/part.parquet").select(k.alias("ordinal"), F.when(k % 7 == 0, F.concat(F.lit("wind_speed_"), k)).otherwise(F.col("p_name")).alias("sensor_name"), F.when(k % 7 == 0, F.when(k % 2 == 0, "Estimated").otherwise("Measured")).otherwise(power).alias("description"))
+    return conform.preferred_sensors(d)
+
+
+@query("SELECT farm_id, dataset_id, id, CAST(power AS FLOAT) AS power, CAST(sensor_2 AS FLOAT) AS sensor_2 FROM readings")
+def narrowed_readings(spark: SparkSession, sf: str) -> DataFrame:
+    return conform.narrowed(src.load(spark, sf).select(*KEYS, "power", "sensor_2"), ["power", "sensor_2"])
+
+
+@query("SELECT CAST(dataset_id AS VARCHAR) AS request_id, count(*) AS n, round(sum(power), 3) AS x FROM readings GROUP BY dataset_id HAVING count(*) <= 66", readings=True)
+def json_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings sent as JSON, a request an episode; requests of more than 66 readings are refused."""
+    rows = src.load(spark, sf).groupBy(F.col("dataset_id").cast("string").alias("request_id")).agg(F.to_json(F.collect_list(F.struct(F.col("time_stamp").cast("string").alias("time_stamp"), F.col("power").alias("x")))).alias("readings"))
+    out = serving.from_json(rows, "time_stamp string, x double", most=66)
+    return rounded(out.groupBy("request_id").agg(F.count("*").alias("n"), F.sum("x").alias("x")), 3)
+
+
+@query("SELECT least(500, count(*)) AS n, least(500, count(*)) AS n_distinct, true AS repeats FROM readings")
+def fixed_sample(spark: SparkSession, sf: str) -> DataFrame:
+    df = src.load(spark, sf)
+    a, b = (selection.fixed_sample(d, ["dataset_id", "id"], 500) for d in (df, df.repartition(7, "power")))
+    one = a.agg(F.count("*").alias("n"), F.count_distinct("dataset_id", "id").alias("n_distinct"))
+    same = a.join(b.select("dataset_id", "id"), ["dataset_id", "id"], "left_anti").agg((F.count("*") == 0).alias("repeats"))
+    return one.withColumn("_k", F.lit(1)).join(same.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 @query("SELECT o_orderkey AS k, CAST(strptime(strftime(o_orderdate, '%d-%m-%Y') || ' 07:05', '%d-%m-%Y %H:%M') AS TIMESTAMP) AS a, CAST(o_orderdate AS TIMESTAMP) AS b FROM orders", readings=False)
@@ -114,10 +221,14 @@ def dataset_events(spark: SparkSession, sf: str) -> DataFrame:
     return joins.with_events(df.groupBy("farm_id", "dataset_id").agg(F.count("*").alias("n_rows")), e).select("farm_id", "dataset_id", "event_label", "n_rows")
 
 
-@query("SELECT farm_id, dataset_id, onset AS event_end_ts, false AS event_end_mismatch FROM info")
+@query("""SELECT farm_id, dataset_id, CASE WHEN dataset_id % 5 = 0 THEN date_trunc('minute', onset) + CASE WHEN dataset_id % 3 = 0 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END ELSE onset END AS event_end_ts,
+  onset IS NOT NULL AND dataset_id % 5 <> 0 AND dataset_id % 3 = 0 AS event_end_mismatch FROM info""")
 def resolved_event_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of which every third tells a time a day late and every fifth has no row id."""
     df = src.load(spark, sf)
-    out = joins.resolved_times(src.event_records(df), df, "event_end")
+    late = F.date_format(F.col("onset") + F.expr("interval 1 day"), "dd-MM-yyyy HH:mm")
+    records = src.event_records(df).withColumns({"event_end": F.when(F.col("dataset_id") % 3 == 0, late).otherwise(F.col("event_end")), "event_end_id": F.when(F.col("dataset_id") % 5 != 0, F.col("event_end_id"))})
+    out = joins.resolved_times(records, df, "event_end")
     return out.select("farm_id", "dataset_id", F.col("event_end_ts").cast("timestamp_ntz").alias("event_end_ts"), "event_end_mismatch")
 
 
@@ -271,9 +382,13 @@ def drifted_sensors(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(stats.drifted(stats.psi(*_halves(spark, sf)), 0.001), 6)
 
 
-@query(f"{_PSI} SELECT count(*) FILTER (WHERE psi > 0.2) AS n_drifted, coalesce(bool_or(psi > 0.2), false) OR 12 > 30 AS should_retrain FROM psi")
+@query(f"{_PSI} SELECT d AS oldest, count(*) FILTER (WHERE psi > 0.2) AS n_drifted, coalesce(bool_or(psi > 0.2), false) OR (SELECT (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(min(time_stamp))) / 8.64e10 FROM readings) > d AS should_retrain FROM psi, (VALUES (30), (40)) v(d) GROUP BY d")
 def retrain_decision(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.retrain(stats.psi(*_halves(spark, sf)), 12)
+    """With the age of the first reading, by two bounds of age."""
+    age = src.load(spark, sf).agg((c.hours(F.lit(AS_OF).cast("timestamp"), F.min("time_stamp")) / 24).alias("a")).first()[0]
+    psis = stats.psi(*_halves(spark, sf))
+    one = lambda d: stats.retrain(psis, age, oldest=d).select(F.lit(d).alias("oldest"), "n_drifted", "should_retrain")
+    return one(30).unionByName(one(40))
 
 
 @query("""SELECT sensor, round(max(abs(a * 1.0 / na - b * 1.0 / nb)), 6) AS ks FROM (SELECT sensor, sum(r) OVER w AS a, sum(c) OVER w AS b, sum(r) OVER (PARTITION BY sensor) AS na, sum(c) OVER (PARTITION BY sensor) AS nb FROM (
@@ -455,7 +570,8 @@ def farm_pool(spark: SparkSession, sf: str) -> DataFrame:
     return features.farm_pool(src.load(spark, sf), src.SENSORS, ["sensor_0"])[0]
 
 
-_EVAL = f""", {_runs("power >= 150", 2)}, f AS (SELECT *, CAST(long_run AS INTEGER) AS flag FROM (SELECT r.* FROM r)),
+def _eval(least: int) -> str:
+    return f""", {_runs(f"power >= {least}", 2)}, f AS (SELECT *, CAST(long_run AS INTEGER) AS flag FROM (SELECT r.* FROM r)),
 q AS (SELECT p.*, is_anomaly, onset, status_type_id IN (0, 2) AS ok, max(CASE WHEN status_type_id IN (0, 2) THEN 1 ELSE 0 END) OVER (PARTITION BY p.farm_id, p.dataset_id) AS any_ok
   FROM f p JOIN info USING (farm_id, dataset_id) WHERE train_test = 'prediction'),
 k AS (SELECT *, CASE WHEN flag = 1 AND coalesce(lag(flag) OVER ({W}), 0) = 0 THEN 1 ELSE 0 END AS begins FROM q WHERE ok OR any_ok = 0),
@@ -469,9 +585,12 @@ results AS (SELECT farm_id, dataset_id, is_anomaly,
   CASE WHEN is_anomaly AND onset IS NOT NULL AND n > 0 THEN coalesce(greatest((epoch_us(onset) - epoch_us(first_flag)) / 3.6e9, 0), 0) END AS earliness_hours, fl AS n_flagged_points, n AS n_eval_points FROM a)"""
 
 
-def _results(spark: SparkSession, sf: str) -> DataFrame:
+_EVAL = _eval(150)
+
+
+def _results(spark: SparkSession, sf: str, least: float = 150.0) -> DataFrame:
     df = src.load(spark, sf)
-    flags = windows.sustained(df, "power", 150.0, 2)
+    flags = windows.sustained(df, "power", least, 2)
     return evaluation.evaluate(conform.prediction(flags), src.event_records(df))
 
 
@@ -487,9 +606,22 @@ def evaluation_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.summarize(_results(spark, sf), "farm_id")).withColumn("mean_earliness_hours", F.round("mean_earliness_hours", 3))
 
 
-@query(f"{_EVAL} SELECT 'threshold' AS model, count(x) AS n, round(avg(x), 5) AS mean_composite FROM (SELECT list_avg(list_filter([coverage, accuracy, reliability, least(earliness_hours / 48, 1)], lambda v: v IS NOT NULL)) AS x FROM results)")
+_COMPARED = "SELECT '{0}' AS model, count(x) AS n, round(avg(x), 5) AS mean_composite FROM (SELECT list_avg(list_filter([coverage, accuracy, reliability, least(earliness_hours / 48, 1)], lambda v: v IS NOT NULL)) AS x FROM results)"
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM (WITH {READINGS}{_eval(least)} {_COMPARED.format(name)})" for name, least in (("low", 150), ("high", 250))), readings=False)
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(evaluation.compare_models(_results(spark, sf).withColumn("model", F.lit("threshold"))))
+    """Two thresholds on one score, compared as models."""
+    return rounded(evaluation.compare_models(selection.tagged_union({"low": _results(spark, sf), "high": _results(spark, sf, 250.0)}, "model")))
+
+
+@query(f"{_EVAL} SELECT farm_id, dataset_id, is_anomaly AND dataset_id % 3 <> 0 AS is_anomaly, CASE WHEN NOT (is_anomaly AND dataset_id % 3 <> 0) AND n_eval_points > 0 THEN round((n_eval_points - n_flagged_points) * 1.0 / n_eval_points, 5) END AS accuracy, n_eval_points FROM results")
+def evaluation_without_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Episodes without an event record count as normal ones."""
+    df = src.load(spark, sf)
+    flags = windows.sustained(df, "power", 150.0, 2)
+    out = evaluation.evaluate(conform.prediction(flags), src.event_records(df).where("dataset_id % 3 <> 0"))
+    return rounded(out.select("farm_id", "dataset_id", "is_anomaly", "accuracy", "n_eval_points"))
 
 
 @query(f"{_EVAL} SELECT farm_id, dataset_id, round(list_avg(list_filter([coverage, accuracy, reliability, least(earliness_hours / 48, 1)], lambda v: v IS NOT NULL)), 5) + 0.0 AS composite FROM results")
@@ -503,17 +635,89 @@ def confusion_counts(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.point_counts(flags, "label", "flag", ("farm_id",))
 
 
-@query("""SELECT farm_id, dataset_id, true AS passed, CAST(0 AS BIGINT) AS n_errors, CAST(count(*) FILTER (WHERE d > 30) > 0 AS BIGINT) + CAST(sum(dup) > 0 AS BIGINT) AS n_warnings FROM (
-  SELECT farm_id, dataset_id, (epoch_us(time_stamp) - epoch_us(lag(time_stamp) OVER (PARTITION BY farm_id, dataset_id ORDER BY time_stamp, id))) / 6e7 AS d, CASE WHEN count(*) OVER (PARTITION BY farm_id, dataset_id, time_stamp, asset_id) > 1 THEN 1 ELSE 0 END AS dup FROM readings) GROUP BY ALL""")
-def validation_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+_FAULTY = """, faulty AS (SELECT * REPLACE (CASE WHEN id % 97 = 0 THEN 9 ELSE status_type_id END AS status_type_id, CASE WHEN id % 389 = 0 THEN 'other' ELSE train_test END AS train_test,
+  CASE WHEN id % 53 = 0 THEN -power ELSE power END AS power, CASE WHEN dataset_id % 4 = 0 THEN NULL ELSE sensor_2 END AS sensor_2, time_stamp + CASE WHEN id % 211 = 0 THEN INTERVAL 0 SECOND ELSE INTERVAL 0 SECOND END AS time_stamp) FROM readings),
+checks AS (
+  SELECT farm_id, dataset_id, 'required_columns' AS name, true AS passed, 'ERROR' AS severity, '' AS message FROM faulty GROUP BY ALL UNION ALL
+  SELECT farm_id, dataset_id, 'column_count', true, 'WARNING', '14 of 14' FROM faulty GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'timestamps', true, 'WARNING', '0 of ' || count(*) FROM faulty GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'time_gaps', count(*) FILTER (WHERE d > 30) = 0, 'WARNING', CAST(count(*) FILTER (WHERE d > 30) AS VARCHAR) FROM (
+    SELECT farm_id, dataset_id, (epoch_us(time_stamp) - epoch_us(lag(time_stamp) OVER (PARTITION BY farm_id, dataset_id ORDER BY time_stamp, id))) / 6e7 AS d FROM faulty) GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'status_values', count(*) FILTER (WHERE status_type_id = 9) = 0, 'ERROR', CASE WHEN count(*) FILTER (WHERE status_type_id = 9) > 0 THEN '9' ELSE '' END FROM faulty GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'split_values', count(*) FILTER (WHERE train_test = 'other') = 0, 'ERROR', CASE WHEN count(*) FILTER (WHERE train_test = 'other') > 0 THEN 'other' ELSE '' END FROM faulty GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'missingness', dataset_id % 4 <> 0, 'WARNING', CASE WHEN dataset_id % 4 = 0 THEN 'sensor_2' ELSE '' END FROM faulty GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'duplicates', sum(CASE WHEN n > 1 THEN n ELSE 0 END) = 0, 'WARNING', CAST(CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS VARCHAR) FROM (SELECT farm_id, dataset_id, time_stamp, asset_id, count(*) AS n FROM faulty GROUP BY ALL) GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'ranges', count(*) FILTER (WHERE power < 0) = 0, 'WARNING', CAST(count(*) FILTER (WHERE power < 0) AS VARCHAR) FROM faulty GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'event_record', dataset_id % 7 <> 0, 'WARNING', '' FROM faulty GROUP BY farm_id, dataset_id)"""
+
+
+def _checks(spark: SparkSession, sf: str) -> DataFrame:
+    """All checks on readings with odd statuses, splits, negative power and a missing sensor, and without some records."""
     df = src.load(spark, sf)
-    return validation.verdict(validation.report(df, src.SENSORS, src.event_records(df), 14))
+    records = src.event_records(df).where("dataset_id % 7 <> 0")
+    df = df.withColumns({"status_type_id": F.when(F.col("id") % 97 == 0, 9).otherwise(F.col("status_type_id")), "train_test": F.when(F.col("id") % 389 == 0, "other").otherwise(F.col("train_test")), "power": F.when(F.col("id") % 53 == 0, -F.col("power")).otherwise(F.col("power")), "sensor_2": F.when(F.col("dataset_id") % 4 != 0, F.col("sensor_2"))})
+    return validation.report(df, src.SENSORS, records, 14)
 
 
-@query()
+@query(f"{_FAULTY} SELECT farm_id, dataset_id, count(*) FILTER (WHERE NOT passed AND severity = 'ERROR') = 0 AS passed, count(*) FILTER (WHERE NOT passed AND severity = 'ERROR') AS n_errors, count(*) FILTER (WHERE NOT passed AND severity = 'WARNING') AS n_warnings FROM checks GROUP BY ALL")
+def validation_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    return validation.verdict(_checks(spark, sf))
+
+
+@query(f"{_FAULTY} SELECT * FROM checks")
 def validation_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _checks(spark, sf)
+
+
+@query(f"""{_CURVE.replace("farm_id, asset_id", "farm_id, dataset_id")} SELECT r.farm_id, r.dataset_id, count(*) AS n_rows, count(*) FILTER (WHERE status_type_id NOT IN (0, 2)) AS n_abnormal, bool_or(c.expected_power IS NOT NULL) AS has_power_curve, CAST(83 AS INTEGER) AS n_features
+  FROM readings r LEFT JOIN curve c ON r.farm_id = c.farm_id AND r.dataset_id = c.dataset_id AND wind_bin = CASE WHEN wind_speed > 0 THEN CAST(ceil(wind_speed / 0.5) - 1 AS INTEGER) END GROUP BY ALL""")
+def gold_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    meta = features.gold(src.load(spark, sf), src.SENSORS, ["sensor_0"])[1]
+    return meta.select("farm_id", "dataset_id", "n_rows", F.col("n_abnormal").cast("long").alias("n_abnormal"), "has_power_curve", "n_features")
+
+
+_FEATURES = f"""{_CURVE}, {_runs('sensor_1 = 0', 6)}, m AS (SELECT * REPLACE (CASE WHEN NOT long_run THEN sensor_1 END AS sensor_1) FROM r),
+o AS (SELECT m.*, expected_power FROM m LEFT JOIN curve c ON m.farm_id = c.farm_id AND m.asset_id = c.asset_id AND wind_bin = CASE WHEN wind_speed > 0 THEN CAST(ceil(wind_speed / 0.5) - 1 AS INTEGER) END)
+SELECT farm_id, dataset_id, id, CASE WHEN status_type_id IN (0, 2) THEN 0 ELSE 1 END AS label, round(power - expected_power, 4) + 0.0 AS power_residual, round(CASE WHEN count(sensor_1) OVER w >= 2 THEN avg(sensor_1) OVER w END, 4) + 0.0 AS sensor_1_roll6_mean,
+  round(CASE WHEN count(sensor_1) OVER w >= 2 THEN stddev_samp(sensor_1) OVER w END, 3) + 0.0 AS sensor_1_roll6_std, round(power - lag(power) OVER ({W}), 4) + 0.0 AS power_diff, round(lag(sensor_1) OVER ({W}), 4) + 0.0 AS sensor_1_lag1, round(sin(2 * pi() * (hour(time_stamp) + minute(time_stamp) / 60.0) / 24), 4) + 0.0 AS hour_sin
+FROM o WINDOW w AS ({W} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)"""
+
+
+def _features(spark: SparkSession, sf: str, serving_pass: bool = False) -> DataFrame:
+    df = src.load(spark, sf)
+    if serving_pass:
+        out = conform.labelled(features.engineered(df, stats.power_curve(df), ["power", "sensor_1"], sizes=(6,), steps=(1,)))
+    else:
+        out, _ = features.training_features(df, ["power", "sensor_1"], curve_keys=("farm_id", "asset_id"), sizes=(6,), steps=(1,))
+    names = ["power_residual", "sensor_1_roll6_mean", "power_diff", "sensor_1_lag1", "hour_sin"]
+    return rounded(out.select(*KEYS, "label", *names, F.round("sensor_1_roll6_std", 3).alias("sensor_1_roll6_std")), 4)
+
+
+@query(_FEATURES)
+def engineered_features(spark: SparkSession, sf: str) -> DataFrame:
+    return _features(spark, sf)
+
+
+@query(_FEATURES)
+def serving_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a given reference curve."""
+    return _features(spark, sf, serving_pass=True)
+
+
+@query(_FEATURES)
+def wide_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by whole episodes, as for hundreds of sensors."""
     df = src.load(spark, sf)
-    return validation.report(df, src.SENSORS, src.event_records(df), 14)
+    out = joins.against_curve(windows.mask_zero_runs(df, ["power", "sensor_1"], keep=("power",), wide=0), stats.power_curve(df))
+    out = conform.labelled(windows.ordered_wide(out, ["power", "sensor_1"], sizes=(6,), steps=(1,)).select("*", c.clock()["hour_sin"].alias("hour_sin")))
+    names = ["power_residual", "sensor_1_roll6_mean", "power_diff", "sensor_1_lag1", "hour_sin"]
+    return rounded(out.select(*KEYS, "label", *names, F.round("sensor_1_roll6_std", 3).alias("sensor_1_roll6_std")), 4)
+
+
+@query("SELECT farm_id, asset_id, count(*) AS n_rows, string_agg(DISTINCT CAST(dataset_id AS VARCHAR), ',' ORDER BY CAST(dataset_id AS VARCHAR)) AS datasets FROM normal GROUP BY ALL")
+def pool_assets(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of the pooled training rows."""
+    return features.farm_pool(src.load(spark, sf), ["sensor_2", "sensor_4"], select=False, sizes=(6,), steps=(1,))[2]["assets"]
 
 
 # --- detectors ------------------------------------------------------------------------------------------------------------
@@ -523,7 +727,54 @@ NAMES = ["power", "wind_speed", "sensor_1", "sensor_2", "power_roll6_mean", "pow
 
 def _trained(spark: SparkSession, sf: str, strategy: str, detector: str, **options) -> dict[str, DataFrame]:
     df = src.load(spark, sf)
-    return training.run(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS], strategy, detector, **options)
+    return training.run(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS], strategy, detector, angles=["sensor_0"], **options)
+
+
+@query(""", m AS (SELECT farm_id, median(power) AS mp, median(sensor_2) AS ms FROM normal GROUP BY farm_id), f AS (SELECT n.farm_id, any_value(mp) AS mp, any_value(ms) AS ms, avg(power) AS ap, stddev_pop(power) AS sp, avg(coalesce(sensor_2, ms)) AS a2, stddev_pop(coalesce(sensor_2, ms)) AS s2 FROM normal n JOIN m USING (farm_id) GROUP BY n.farm_id)
+SELECT farm_id, dataset_id, id, round((power - ap) / sp, 4) + 0.0 AS power, round((coalesce(sensor_2, ms) - a2) / s2, 4) + 0.0 AS sensor_2 FROM readings JOIN f USING (farm_id)""")
+def standardised_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians for what is missing, then standard scores, by the normal training rows of the farm."""
+    df, names = src.load(spark, sf), ["power", "sensor_2"]
+    scaler = detectors.fit_preprocessor(detectors.vectors(df.where(c.training_normal()), names, ("farm_id",)))
+    out = detectors.preprocessed(detectors.vectors(df, names, ("farm_id",)), scaler)
+    return rounded(out.select(*KEYS, *[F.col("x")[k].alias(n) for k, n in enumerate(names)]), 4)
+
+
+@query(f""", t AS (SELECT farm_id, quantile_cont(power, 0.8) AS lim FROM normal GROUP BY farm_id), p AS (SELECT r.* FROM readings r WHERE train_test = 'prediction'),
+z AS (SELECT p.*, CAST(power >= lim AS INTEGER) AS z FROM p JOIN t USING (farm_id)), g AS (SELECT *, row_number() OVER ({W}) - row_number() OVER (PARTITION BY farm_id, dataset_id, z ORDER BY time_stamp, id) AS g FROM z),
+e AS (SELECT farm_id, dataset_id, min(time_stamp) AS start, max(time_stamp) AS "end", max(power) AS peak, count(*) AS n FROM g WHERE z = 1 GROUP BY farm_id, dataset_id, g HAVING count(*) >= 2)
+SELECT farm_id, dataset_id, CAST(row_number() OVER (PARTITION BY farm_id, dataset_id ORDER BY start) AS INTEGER) AS event_id, start, "end", round(peak, 5) AS peak_score FROM e""")
+def threshold_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores given (the power), thresholds from training rows, runs of two or more flags, events."""
+    df = src.load(spark, sf).withColumns({"model": F.col("farm_id"), "score": F.col("power")})
+    limits = stats.threshold(df.where(c.training_normal()), ["model"], percentile=0.8)
+    flags = training.flagged(conform.prediction(df), limits, 2)
+    return rounded(_ntz(evaluation.detected_events(flags).select("farm_id", "dataset_id", "event_id", "start", "end", "peak_score")))
+
+
+@query(f"""SELECT farm_id, asset_id, round(last(power ORDER BY time_stamp, id), 5) AS score, round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(time_stamp))) / 6e7, 4) AS age_minutes,
+  nullif(concat_ws(' | ', CASE WHEN (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(time_stamp))) / 6e7 > 3000 THEN 'Data is ' || CAST(floor((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(time_stamp))) / 6e7) AS BIGINT) || ' minutes old' END,
+  CASE WHEN count(*) < 700 THEN 'Only ' || count(*) || ' readings; 700 or more are recommended' END), '') AS warning FROM readings GROUP BY ALL""")
+def latest_warnings(spark: SparkSession, sf: str) -> DataFrame:
+    out = serving.latest_scores(src.load(spark, sf).withColumn("score", F.col("power")), F.lit(AS_OF).cast("timestamp"), most_minutes=3000, full_window=700)
+    return rounded(out.select("farm_id", "asset_id", F.round("score", 5).alias("score"), F.round("age_minutes", 4).alias("age_minutes"), "warning"))
+
+
+@query("""SELECT farm_id, to_timestamp(w)::TIMESTAMP AS start, count(*) AS n, round(avg(CASE WHEN power >= 150 THEN 1.0 ELSE 0 END), 6) AS anomaly_rate FROM (
+  SELECT farm_id, power, unnest([epoch_us(time_stamp) // 43200000000 * 43200, epoch_us(time_stamp) // 43200000000 * 43200 - 43200]) AS w FROM readings) GROUP BY farm_id, w""")
+def sliding_monitoring(spark: SparkSession, sf: str) -> DataFrame:
+    from vanewright.streaming import jobs
+
+    df = src.load(spark, sf).withColumns({"flag": (F.col("power") >= 150).cast("int"), "score": F.col("power")})
+    out = jobs.monitoring(df, "1 day", "12 hours", keys=("farm_id",))
+    return out.select("farm_id", F.col("window.start").cast("timestamp_ntz").alias("start"), "n", F.round("anomaly_rate", 6).alias("anomaly_rate"))
+
+
+@query()
+def failed_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Episode models that have too few rows to be fitted, beside those that were."""
+    run = _trained(spark, sf, "turbine", "linear_autoencoder", size=4, least_rows=20)
+    return run["failed"]
 
 
 @query()

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, name: str = "vanewright", **conf: str) -> SparkSession:
@@ -19,3 +22,23 @@ def session(master: str | None = None, name: str = "vanewright", **conf: str) ->
     for key, value in (fixed | {k.replace("_", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the cluster's shared folder (``spark.checkpoint.dir``). Only where the master is local and the
+    setting absent, as in tests, a temporary folder is made and set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-stored-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """The table written to the cluster's shared folder and read again, so that what follows reads it more than once
+    without computing it again and a lost executor costs little."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
