@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import materialise, salted_join, shuffled
+from vanewright.llm.common import materialise, shuffled
 from vanewright.llm.graphs import components
 
 log = logging.getLogger(__name__)
@@ -430,7 +430,7 @@ def near_duplicates(rows: DataFrame, vec: str = "embedding", doc: str = "vec_id"
     per = found.select("rep", "mult", "label", "x").join(shuffled(counts), "rep", "left").join(shuffled(label_of.withColumnsRenamed({"node": "rep", "label": "component"})), "rep", "left")
     per = materialise(per.select("label", "x", (F.col("mult") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("component")), "ann-result")
     left = rows.select(F.col(doc).alias("doc"), F.when(F.col(doc).isNotNull(), F.col(label).cast("string")).alias("label"), F.col(vec).alias("x"))
-    out = salted_join(left, per, ["label", "x"], F.col("doc"), "left")
+    out = left.join(shuffled(per), ["label", "x"], "left")
     component = F.coalesce("component", F.col("doc").cast("long"))
     return out.select("doc", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 

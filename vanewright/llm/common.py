@@ -39,19 +39,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def shuffled(df: DataFrame) -> DataFrame:
-    """Mark a side of a join that grows with the corpus: compressed files look small, but it must not be broadcast."""
-    return df.hint("merge")
-
+    """Mark a side of a join that grows with the corpus: compressed files look small, but it must not be broadcast.
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], by: Column, how: str = "inner", salts: int = 32) -> DataFrame:
-    """``left`` joined with ``right``, which has one row a key, where one key may hold most of ``left``.
-
-    The rows of a key are dealt over ``salts`` by a hash of ``by``; a row of ``right`` is copied only to the salts that its
-    key has. ``left`` is read twice, so it should be a table. NULL keys match nothing.
+    Where both sides of the join are tables, their exchanges stand right under it, and Spark's adaptive skew join splits
+    the rows of a hot key over many tasks. So what is aggregated before a join on a key that may be hot is written first.
     """
-    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
-    copies = right.join(shuffled(dealt.select(*keys, "_salt").distinct()), keys)
-    return dealt.join(shuffled(copies), [*keys, "_salt"], how).drop("_salt")
+    return df.hint("merge")
 
 
 def id_text(column: str) -> Column:

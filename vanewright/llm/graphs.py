@@ -1,8 +1,9 @@
 """Connected components of a graph held in DataFrames.
 
-Large-star and small-star steps (Kiveris et al., 2014) alternate until nothing changes. A node's neighbours are dealt over
-``SALTS`` by a hash: minima are taken by (node, salt), then by node, and the result goes back to each salt. So the hub of a
-large component is no one key, its neighbours are never gathered, and only a count and a hash reach the driver.
+Large-star and small-star steps (Kiveris et al., 2014) alternate until nothing changes. The smallest neighbours are combined
+before they are shuffled, and written before they are joined with the edges again: then both sides of the join are plain
+exchanges, and Spark's adaptive skew join splits the hub of a large component over many tasks. No node's neighbours are
+gathered, and only a count and a hash reach the driver.
 """
 
 from __future__ import annotations
@@ -12,15 +13,11 @@ from pyspark.sql import functions as F
 
 from vanewright.llm.common import materialise, shuffled
 
-SALTS = 32
-
 
 def _with_lowest(edges: DataFrame) -> DataFrame:
     """Add m: the smallest neighbour v of each u."""
-    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    part = dealt.groupBy("u", "salt").agg(F.min("v").alias("m"))
-    low = part.groupBy("u").agg(F.min("m").alias("m"), F.collect_list("salt").alias("salts")).select("u", "m", F.explode("salts").alias("salt"))
-    return dealt.join(shuffled(low), ["u", "salt"]).select("u", "v", "m")
+    low = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "lowest")
+    return edges.join(shuffled(low), "u")
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -30,7 +27,7 @@ def _large(edges: DataFrame) -> DataFrame:
 
 def _small(edges: DataFrame) -> DataFrame:
     own = _with_lowest(edges)
-    return own.select(F.col("v").alias("u"), F.col("m").alias("v")).union(own.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    return own.select(F.col("v").alias("u"), F.col("m").alias("v")).union(edges.groupBy("u").agg(F.min("v").alias("v"))).where("u <> v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -46,5 +43,5 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen = mark
-        now = materialise(_small(_large(now)), "edges")
+        now = materialise(_small(materialise(_large(now), "edges")), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import append, materialise, salted_join, shuffled
+from vanewright.llm.common import append, materialise, shuffled
 from vanewright.llm.graphs import components
 
 BANDS, ROWS = 32, 5
@@ -115,8 +115,7 @@ def _sketched(docs: DataFrame, text: str, k: int) -> DataFrame:
 def _plausible(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) that the sequential test doesn't rule out."""
     sig = lambda c: signatures.select(F.col("rep").alias(c), F.col("signature").alias(f"s{c}"))
-    # The pivot of a large bucket is dealt over salts. a and b come once a pair, so b is no hot key.
-    both = salted_join(pairs, sig("a"), ["a"], F.col("b")).join(shuffled(sig("b")), "b").select("a", "b", "sa", "sb")
+    both = pairs.join(shuffled(sig("a")), "a").join(shuffled(sig("b")), "b").select("a", "b", "sa", "sb")
     need = fewest_matches(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +140,7 @@ def _exact(pairs: DataFrame, docs: DataFrame, threshold: int, k: int) -> DataFra
     ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     own = materialise(texts.join(shuffled(ends), "doc", "left_semi"), "dedup-texts")
     side = lambda c: own.select(F.col("doc").alias(c), F.col("text").alias(f"t{c}"))
-    both = salted_join(pairs, side("a"), ["a"], F.col("b")).join(shuffled(side("b")), "b").select("a", "b", "ta", "tb")
+    both = pairs.join(shuffled(side("b")), "b").join(shuffled(side("a")), "a").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, x = None, set()
@@ -188,7 +187,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k:
     named = reps.select("d1", "d2", F.col("n").alias("size"), "rep").join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left")
     named = materialise(named.select("d1", "d2", "size", F.coalesce("label", "rep").alias("component")), "dedup-named")
     left = rows.select("doc", "n", F.when(F.col("doc").isNotNull(), F.col("d1")).alias("d1"), "d2", F.col("n").alias("size"))
-    out = salted_join(left, named, ["d1", "d2", "size"], F.col("doc"), "left")
+    out = left.join(shuffled(named), ["d1", "d2", "size"], "left")
     component = F.coalesce("component", "doc")
     return out.select("doc", F.col("n").alias("n_shingles"), component.alias("component"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))
 
@@ -314,7 +313,7 @@ def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFr
     named = members.join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left").select("band", "rep", F.coalesce("label", "rep").alias("label"))
     named = materialise(named, "dedup-labelled")
     mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("rep").alias("first")).where("low <> high").select("band", "first")
-    here = materialise(salted_join(named, mixed, ["band"], F.col("rep")).select("rep", "label", "first"), "dedup-mixed")
+    here = materialise(named.join(shuffled(materialise(mixed, "dedup-buckets")), "band").select("rep", "label", "first"), "dedup-mixed")
     families = components(here.select(F.col("rep").alias("u"), F.col("first").alias("v")).where("u <> v"))
     step = math.log(100 / threshold)
     level = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
@@ -324,7 +323,7 @@ def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFr
     sizes = materialise(sizes.select("family", "level", "blocks", F.ceil(F.col("blocks") / 8).cast("int").alias("large")), "dedup-blocks")
     at = lambda d, c: sizes.select("family", (F.col("level") - d).alias("level"), F.col("large").alias(c))
     near = sizes.join(at(1, "above"), ["family", "level"], "left").join(at(-1, "below"), ["family", "level"], "left")
-    rows = materialise(salted_join(rows, near, ["family", "level"], F.col("rep")).withColumn("small", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "dedup-placed")
+    rows = materialise(rows.join(shuffled(materialise(near, "dedup-near")), ["family", "level"]).withColumn("small", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "dedup-placed")
     block = F.floor(F.col("small") / 8).cast("int")
     none = F.array().cast("array<struct<level:int,up:boolean,i:int,j:int,right:boolean>>")
     many = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
