@@ -91,6 +91,87 @@ def test_autoencoders_rebuild_what_is_linear(spark):
         assert out[999] > 0.5 and max(v for k, v in out.items() if k < 999) < 0.05
 
 
+def test_saved_models_score_alike(spark, sf, tmp_path):
+    """Train, save, load in another session: the same scores, flags and events of new readings."""
+    df = src.load(spark, sf).where("dataset_id < 24").withColumn("dataset_id", F.col("dataset_id").cast("string"))
+    sensors = ["power", "wind_speed", "sensor_1", "sensor_2", "sensor_0"]
+    for strategy, detector, options in (("farm", "isolation_forest", {"trees": 25}), ("turbine", "sequence_autoencoder", {"steps": 2, "size": 3})):
+        root = str(tmp_path / strategy)
+        trained = training.fit(df, sensors, strategy, detector, ["sensor_0"], names=["power", "sensor_2", "sensor_1_roll6_mean", "power_residual"], least_run=2, **options)
+        trained.save(root)
+        other = spark.newSession()
+        loaded = training.Trained.load(other, root)
+        new = df.where("train_test = 'prediction'")
+        rows = lambda d: sorted((r["dataset_id"], r["id"], round(r["score"], 9), r["flag"]) for r in d.collect())
+        want, (events, flags) = rows(trained.score(new)), serving.batch_score(loaded, other.createDataFrame(new.toPandas(), new.schema))
+        assert rows(flags) == want and len(want) == new.count() and {f for *_, f in want} == {0, 1}
+        assert events.count() > 0 and loaded.registry().count() == trained.registry().count() > 0
+        assert ("baseline" in loaded.references) == (strategy == "farm")  # models of several assets see normalised sensors
+
+
+def test_pooled_models_see_normalised_sensors(spark, sf):
+    """Two assets whose sensor differs by an offset only have the same features in a farm model."""
+    one = src.load(spark, sf).where("dataset_id = 2")
+    two = one.withColumns({"asset_id": F.lit("other"), "dataset_id": F.lit(4).cast("long"), "sensor_2": F.col("sensor_2") * 3 + 500})
+    df = one.unionByName(two)
+    feats, refs = training._prepared(df, ["power", "wind_speed", "sensor_2"], "farm", [])
+    a, b = ({r["id"]: r["sensor_2_roll6_mean"] for r in feats.where(f"dataset_id = {d}").collect()} for d in (2, 4))
+    assert any(v is not None for v in a.values()) and all(v == pytest.approx(b[k]) for k, v in a.items() if v is not None)
+    assert not features.has_curve(df.withColumn("wind_speed", F.lit(None).cast("double"))) and features.has_curve(df) and not features.has_curve(df.drop("power"))
+
+
+def test_failed_models_are_told(spark, sf):
+    df = src.load(spark, sf).where("dataset_id < 12")
+    few = df.where("dataset_id <> 4 or train_test = 'prediction'")
+    run = training.run(few, src.event_records(df), ["power", "wind_speed"], "turbine", "linear_autoencoder", names=["power", "wind_speed"], size=1)
+    assert [(r["model"], r["n_rows"]) for r in run["failed"].collect()] == [("A/4", 0)]
+    assert run["results"].where("dataset_id = 4").count() == 0 and run["registry"].count() == df.select("dataset_id").distinct().count() - 1
+    with pytest.raises(ValueError, match="at least 1"):
+        training.fit(df.where("train_test = 'prediction'"), ["power", "wind_speed"], names=["power"])
+
+
+def test_comparison_of_detectors(spark, sf):
+    df = src.load(spark, sf).where("dataset_id < 8")
+    out = training.compare(df, src.event_records(df), ["power", "wind_speed", "sensor_2"], trees=10)
+    assert {(r["model"], r["n"]) for r in evaluation.compare_models(out).collect()} == {(m, 8) for m in detectors.DETECTORS} or out.groupBy("model").count().count() == 3
+
+
+def test_wide_features_are_the_narrow_ones(spark, sf):
+    df = src.load(spark, sf).where("dataset_id < 5")
+    names = ["power", "sensor_0", "sensor_1", "sensor_2"]
+    narrow = features.engineered(df, None, names, ["sensor_0"])
+    wide = windows.ordered_wide(windows.mask_zero_runs(df, names, keep=("power", "wind_speed"), wide=0), names, ["sensor_0"])
+    got, want = ({(r["dataset_id"], r["id"]): r.asDict() for r in d.collect()} for d in (wide, narrow))
+    new = [n for n in narrow.columns if "_roll" in n or n.endswith("_diff") or "_lag" in n]
+    assert set(new) <= set(wide.columns) and len(new) == 4 * 6 + 4 * 4
+    for k, r in want.items():
+        for n in new:
+            a, b = got[k][n], r[n]
+            if a is None or b is None:
+                assert a is b, (k, n)
+            elif "circmean" in n:
+                assert abs((a - b + 180) % 360 - 180) < 1e-5 or r[n.replace("mean", "std")] > 200, (k, n)
+            else:
+                assert a == pytest.approx(b, abs=1e-5), (k, n)
+
+
+def test_order_statistics_and_moments(spark):
+    rng = np.random.default_rng(4)
+    rows = [("a" if k % 3 else "b", None if k % 11 == 0 else float(round(v, 1)), 1e9 + float(v), 2e9 - 3 * float(v) + float(rng.standard_normal())) for k, v in enumerate(rng.standard_normal(700))]
+    df = spark.createDataFrame([*rows, ("c", 5.0, 1e9, 2e9), ("d", None, 1e9, 2e9)], "g string, v double, p double, q double")
+    got = {r["g"]: (r["m"], r["h"], r["top"]) for r in stats.exact_percentiles(df, ["g"], "v", {"m": 0.5, "h": 0.99, "top": 1.0}).collect()}
+    for g in "abc":
+        own = [v for x, v, *_ in [*rows, ("c", 5.0, 0, 0)] if x == g and v is not None]
+        assert got[g] == pytest.approx(tuple(np.percentile(own, [50, 99, 100])))
+    assert "d" not in got
+    m = {r["feature"]: r for r in stats.moments(df, ["v", "p"]).collect()}
+    own = np.array([r[2] for r in rows] + [1e9, 1e9])
+    assert m["p"]["variance"] == pytest.approx(own.var(ddof=1)) and m["p"]["mean"] == pytest.approx(own.mean()) and m["v"]["missing_fraction"] == pytest.approx(sum(r[1] is None for r in rows) / 702 + 1 / 702)
+    r = stats.correlations(df.repartition(5), ["v", "p", "q"], wide=1).where("a = 'p' and b = 'q'").first()["r"]
+    q = np.array([r[3] for r in rows] + [2e9, 2e9])
+    assert r == pytest.approx(abs(np.corrcoef(own - 1e9, q - 2e9)[0, 1]), abs=1e-6)  # large offsets cost no digits
+
+
 def test_training_strategies(spark, sf):
     df = src.load(spark, sf).where("dataset_id < 30")
     ev = src.event_records(df)

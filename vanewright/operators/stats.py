@@ -128,6 +128,7 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"feature": columns, "n": n, "total": total, "mean": mean, "dev": dev})
 
     parts = df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(partial, "feature string, n double, total double, mean double, dev double")
+    parts = stored(parts, "moments")  # a row a task and column; read twice
     grand = parts.groupBy("feature").agg(F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("grand"))
     whole = parts.join(grand, "feature").groupBy("feature").agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"), F.first("grand").alias("mean"), F.sum(F.col("dev") + F.col("n") * F.pow(F.col("mean") - F.col("grand"), F.lit(2))).alias("dev")

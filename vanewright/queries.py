@@ -565,6 +565,31 @@ def gold_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.gold(src.load(spark, sf), src.SENSORS, ["sensor_0"])[0]
 
 
+def wide_readings(spark: SparkSession, sf: str, sensors: int = 79) -> tuple[DataFrame, list[str]]:
+    """Readings with as many sensors as a whole farm has: sums of the readings' own values and a wave of the row's id."""
+    df = src.load(spark, sf)
+    names = [f"s{k}" for k in range(sensors)]
+    made = [(F.col("power") * (k % 5) + F.col("wind_speed") * (k % 3) + 40 * F.sin(F.col("id") * (k + 1))).alias(n) for k, n in enumerate(names)]
+    return df.select(*c.META, "power", "wind_speed", *made), names
+
+
+@query()
+def gold_wide_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold pass of a farm with 81 columns: more than 600 features."""
+    df, names = wide_readings(spark, sf)
+    return features.gold(df, names)[0]
+
+
+@query()
+def wide_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Feature selection over 555 columns that are made of the columns of lineitem; every twelfth repeats another."""
+    d = spark.read.parquet(f"{sf}/lineitem.parquet")
+    base = [F.col(n).cast("double") for n in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    wave = lambda k: 30 * F.sin((F.col("l_orderkey") * 7 + F.col("l_linenumber")) * (k + 1))
+    made = [(base[k % 4] + wave(k if k % 12 else k - 1)).cast("float").alias(f"f{k}") for k in range(1, 556)]
+    return selection.select_features(d.select(*made), [f"f{k}" for k in range(1, 556)])[1]
+
+
 @query()
 def farm_pool(spark: SparkSession, sf: str) -> DataFrame:
     return features.farm_pool(src.load(spark, sf), src.SENSORS, ["sensor_0"])[0]

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vanewright.operators import conform
+from vanewright.plans.detectors import Fitted
 
 
 def source(spark: SparkSession, folder: str, schema, kind: str = "parquet", **options) -> DataFrame:
@@ -85,6 +86,20 @@ def rolling_alarms(df: DataFrame, value: str, threshold: float, rows: int = 36,
     return rows_in.groupBy(*keys).applyInPandasWithState(step, schema, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def scored(features: DataFrame, fitted: Fitted, limit: float, path: str, checkpoint: str) -> StreamingQuery:
+    """Each micro-batch of features (such as ``rolling_alarms`` gives) scored by a fitted, possibly loaded, detector and
+    appended to the lake with ``score``, ``flag`` (at ``limit`` or above) and its number; a repeated batch replaces itself.
+
+    ``rolling_alarms`` on the score of the written stream gives the sustained alarms.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        out = fitted.score(batch).withColumn("flag", (F.col("score") >= limit).cast("int")).withColumn("batch", F.lit(number))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+    return features.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(append).start()
+
+
 def watchdog(df: DataFrame, quiet_ms: int = 3_600_000, keys: tuple[str, ...] = ("farm_id", "asset_id")) -> DataFrame:
     """(keys, last_seen, stale): a row when an asset reports, and one with stale when it has been quiet for ``quiet_ms``."""
 
