@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import materialise, shuffled
+from vanewright.llm.common import discard, materialise, shuffled
 from vanewright.llm.graphs import components
 
 log = logging.getLogger(__name__)
@@ -338,6 +338,7 @@ def search(graph: DataFrame, asked: DataFrame, least: float, onward: bool = True
         q = ready.join(shuffled(sizes), key).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks")
         g = graph.join(shuffled(sizes), key).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
         hit = materialise(g.groupBy(*key, "block").cogroup(q.groupBy(*key, "block")).applyInArrow(_searched(least), _FOUND), "ann-found")
+        discard(ready, sizes)
         out = hit if out is None else out.unionByName(hit)
         done = asked if done is None else done.unionByName(asked)
         turn += 1

@@ -35,7 +35,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote and that no later plan reads."""
+    for table in tables:
+        if path := getattr(table, "scratch_path", None):
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def shuffled(df: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     """Add n_words, n_hit, items (ids as sorted strings), hits (ranges in words and code points), contaminated.
 
     Null texts have no words; null item ids count as the empty string, null items have no windows; repeated items and
-    rows count once and each; an empty benchmark hits nothing. Documents are contaminated when at least a twentieth of
+    rows count once and each; an empty benchmark hits nothing; an empty table of documents gives an empty one. Documents are contaminated when at least a twentieth of
     their words is hit.
     """
     spark = docs.sparkSession

@@ -11,23 +11,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import materialise, shuffled
+from vanewright.llm.common import discard, materialise, shuffled
 
 
-def _with_lowest(edges: DataFrame) -> DataFrame:
-    """Add m: the smallest neighbour v of each u."""
-    low = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "lowest")
-    return edges.join(shuffled(low), "u")
+def _lowest(edges: DataFrame) -> DataFrame:
+    """(u, m): the smallest neighbour of each node."""
+    return materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "lowest")
 
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_lowest(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct()
+    low = _lowest(both)
+    moved = both.join(shuffled(low), "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+    out = materialise(moved.where("u <> v").distinct(), "edges")
+    discard(low)
+    return out
 
 
 def _small(edges: DataFrame) -> DataFrame:
-    own = _with_lowest(edges)
-    return own.select(F.col("v").alias("u"), F.col("m").alias("v")).union(edges.groupBy("u").agg(F.min("v").alias("v"))).where("u <> v").distinct()
+    low = _lowest(edges)
+    moved = edges.join(shuffled(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    out = materialise(moved.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+    discard(low)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,5 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen = mark
-        now = materialise(_small(materialise(_large(now), "edges")), "edges")
+        large = _large(now)
+        small = _small(large)
+        discard(now, large)
+        now = small
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

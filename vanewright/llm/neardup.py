@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vanewright.llm.common import append, materialise, shuffled
+from vanewright.llm.common import append, discard, materialise, shuffled
 from vanewright.llm.graphs import components
 
 BANDS, ROWS = 32, 5
@@ -135,7 +135,7 @@ def _plausible(pairs: DataFrame, signatures: DataFrame, threshold: float) -> Dat
 
 
 def _exact(pairs: DataFrame, docs: DataFrame, threshold: int, k: int) -> DataFrame:
-    """Pairs whose full sets overlap enough: 100 * intersection >= threshold * union."""
+    """A table of the pairs whose full sets overlap enough: 100 * intersection >= threshold * union."""
     texts = docs.where("doc is not null")
     ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     own = materialise(texts.join(shuffled(ends), "doc", "left_semi"), "dedup-texts")
@@ -156,7 +156,9 @@ def _exact(pairs: DataFrame, docs: DataFrame, threshold: int, k: int) -> DataFra
                     keep.append(i)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    links = materialise(both.mapInArrow(run, "a long, b long").distinct(), "dedup-links")
+    discard(own)
+    return links
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k: int = 5, threshold: int = 80) -> DataFrame:
@@ -186,6 +188,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k:
         labels = components(labels.select(F.col("node").alias("u"), F.col("label").alias("v")).union(found.select("a", "b")))
     named = reps.select("d1", "d2", F.col("n").alias("size"), "rep").join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left")
     named = materialise(named.select("d1", "d2", "size", F.coalesce("label", "rep").alias("component")), "dedup-named")
+    discard(sizes, members, tried, links, found, reps)
     left = rows.select("doc", "n", F.when(F.col("doc").isNotNull(), F.col("d1")).alias("d1"), "d2", F.col("n").alias("size"))
     out = left.join(shuffled(named), ["d1", "d2", "size"], "left")
     component = F.coalesce("component", "doc")
@@ -194,7 +197,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc: str = "doc_id", k:
 
 def _verified(pairs: DataFrame, signatures: DataFrame, docs: DataFrame, threshold: int, k: int) -> DataFrame:
     survivors = materialise(_plausible(pairs, signatures, threshold / 100), "dedup-plausible")
-    return materialise(_exact(survivors, docs, threshold, k), "dedup-links")
+    links = _exact(survivors, docs, threshold, k)
+    discard(survivors)
+    return links
 
 
 def _candidates(x: np.ndarray, y: np.ndarray, need: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -313,7 +318,8 @@ def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFr
     named = members.join(shuffled(labels.withColumnRenamed("node", "rep")), "rep", "left").select("band", "rep", F.coalesce("label", "rep").alias("label"))
     named = materialise(named, "dedup-labelled")
     mixed = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("rep").alias("first")).where("low <> high").select("band", "first")
-    here = materialise(named.join(shuffled(materialise(mixed, "dedup-buckets")), "band").select("rep", "label", "first"), "dedup-mixed")
+    mixed = materialise(mixed, "dedup-buckets")
+    here = materialise(named.join(shuffled(mixed), "band").select("rep", "label", "first"), "dedup-mixed")
     families = components(here.select(F.col("rep").alias("u"), F.col("first").alias("v")).where("u <> v"))
     step = math.log(100 / threshold)
     level = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
@@ -323,7 +329,8 @@ def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFr
     sizes = materialise(sizes.select("family", "level", "blocks", F.ceil(F.col("blocks") / 8).cast("int").alias("large")), "dedup-blocks")
     at = lambda d, c: sizes.select("family", (F.col("level") - d).alias("level"), F.col("large").alias(c))
     near = sizes.join(at(1, "above"), ["family", "level"], "left").join(at(-1, "below"), ["family", "level"], "left")
-    rows = materialise(rows.join(shuffled(materialise(near, "dedup-near")), ["family", "level"]).withColumn("small", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "dedup-placed")
+    near, whole = materialise(near, "dedup-near"), rows
+    rows = materialise(rows.join(shuffled(near), ["family", "level"]).withColumn("small", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "dedup-placed")
     block = F.floor(F.col("small") / 8).cast("int")
     none = F.array().cast("array<struct<level:int,up:boolean,i:int,j:int,right:boolean>>")
     many = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
@@ -340,7 +347,9 @@ def _across(members: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFr
     texts = materialise(texts, "dedup-texts")
     ready = needed.join(shuffled(rows.select("rep", "label", "signature").distinct()), "rep").join(shuffled(texts), "rep")
     found = ready.groupBy(*by).applyInArrow(_linked(threshold, k), "a long, b long")
-    return materialise(found.distinct(), "dedup-links")
+    links = materialise(found.distinct(), "dedup-links")
+    discard(named, mixed, here, whole, sizes, near, rows, needed, texts)
+    return links
 
 
 def op8(docs: DataFrame) -> DataFrame:
