@@ -105,6 +105,11 @@ def test_saved_models_score_alike(spark, sf, tmp_path):
         rows = lambda d: sorted((r["dataset_id"], r["id"], round(r["score"], 9), r["flag"]) for r in d.collect())
         want, (events, flags) = rows(trained.score(new)), serving.batch_score(loaded, other.createDataFrame(new.toPandas(), new.schema))
         assert rows(flags) == want and len(want) == new.count() and {f for *_, f in want} == {0, 1}
+        last = serving.predict_latest(loaded, new, F.lit("2024-02-01").cast("timestamp")).collect()
+        by = {(d, i): s for d, i, s, _ in want}
+        assert len(last) == new.select("farm_id", "asset_id").distinct().count() and all(r["is_over"] == (r["score"] >= r["threshold"]) and round(r["score"], 9) == by[r["dataset_id"], r["id"]] for r in last)
+        one = trained.registry().first()["model"]
+        assert serving.model_info(loaded.registry(), one).count() == 1 and serving.model_info(loaded.registry(), "none").count() == 0
         assert events.count() > 0 and loaded.registry().count() == trained.registry().count() > 0
         assert ("baseline" in loaded.references) == (strategy == "farm")  # models of several assets see normalised sensors
 

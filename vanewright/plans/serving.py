@@ -27,6 +27,14 @@ def latest_scores(scores: DataFrame, as_of: Column, keys: tuple[str, ...] = ("fa
     return out.withColumns({"is_fresh": is_fresh, "age_minutes": age, "warning": joined_warning(old, short)})
 
 
+def predict_latest(trained: Trained, readings: DataFrame, as_of: Column, **options) -> DataFrame:
+    """The newest reading of each asset scored by a trained, possibly loaded, model: its score, threshold and whether it is
+    over it, its age, and warnings. Sustained flags need the readings before it, so they are those of ``batch_score``."""
+    scores = trained.detector.score(trained.features(readings)).join(trained.limits, "model")
+    out = latest_scores(scores, as_of, **options)
+    return out.withColumn("is_over", F.col("score") >= F.col("threshold"))
+
+
 def freshness(df: DataFrame, as_of: Column, keys: tuple[str, ...] = ("farm_id", "asset_id"), most_minutes: float = 60.0) -> DataFrame:
     """(keys, latest, age_minutes, is_fresh)."""
     last = df.groupBy(*keys).agg(F.max("time_stamp").alias("latest"))
@@ -39,6 +47,11 @@ def models(registry: DataFrame) -> DataFrame:
     return registry.groupBy("strategy", "detector").agg(F.count("*").alias("n_models"), F.max("n_features").alias("n_features"))
 
 
+def model_info(registry: DataFrame, model: str) -> DataFrame:
+    """What is known of one model: strategy, detector, threshold, features and their fingerprint; no row for an unknown one."""
+    return registry.where(F.col("model") == model).select("model", "strategy", "detector", "threshold", "n_features", "features", "schema_sha256")
+
+
 def from_json(records: DataFrame, schema: str, column: str = "readings", most: int = 1000) -> DataFrame:
     """Readings of requests (request_id, readings as a JSON array); requests beyond ``most`` readings or with an
     unreadable time are refused whole."""
