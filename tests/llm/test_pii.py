@@ -77,6 +77,16 @@ def test_tagger_on_held_out_rows(spark, sf):
         assert set(text) <= set(r["spans"].split(","))
 
 
+def test_windows_without_a_digit_or_at_sign_add_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = pii.fit(docs, sample=300, steps=150).start()
+    texts = [r["text"] for r in docs.where(pii.held_out("doc_id")).limit(150).collect()] + ["no digits here " * 400, ("word " * 200 + "me (at) home (dot) org ") * 3]
+    known = [pii.base(t) for t in texts]
+    some = model.found(texts, known)
+    model.everywhere = True
+    assert model.found(texts, known) == some
+
+
 def slow_tags(model, text):
     """Emissions of the plain network, averaged over the windows, and one best path of the whole text."""
     codes = model.table[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
@@ -96,7 +106,7 @@ def test_whole_texts_have_one_best_path(monkeypatch):
     tagger.p["trans"] = rng.standard_normal((9, 9)).astype(np.float32)
     tagger.p["out"] *= 6
     tagger.p["bias"][0] = 4
-    model = pii.Model(tagger).start()
+    model = pii.Model(tagger, everywhere=True).start()
     texts = ["".join(random.choice("ab 12@.é+") for _ in range(n)) for n in (1, 40, 255, 256, 257, 900, 3000)]
     want = [slow_tags(model, t) for t in texts]
     assert sum(map(len, want)) > 100 and model.tagged(texts) == want

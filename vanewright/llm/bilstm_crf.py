@@ -148,10 +148,9 @@ class Tagger:
         """The emissions (T, N, tags) of ``emissions`` for codes (T, N) whose padding 0 stands at the end, for inference."""
         steps, n = codes.shape
         size = self.p["ul"].shape[0]
-        out = np.empty((steps, n, self.p["bias"].size), np.float32)
+        both = np.empty((steps, n, 2 * size), np.float32)
         for d, (given, u) in enumerate(self.gates):
             h, c = np.zeros((n, size), np.float32), np.zeros((n, size), np.float32)
-            w = self.p["out"][d * size : (d + 1) * size]
             for t in range(steps) if d == 0 else range(steps - 1, -1, -1):
                 z = given[codes[t]]
                 z += h @ u
@@ -162,17 +161,17 @@ class Tagger:
                 g = z[:, 3 * size :]
                 g *= 2
                 g -= 1
-                c = z[:, size : 2 * size] * c
-                c += z[:, :size] * g
+                g *= z[:, :size]
+                c *= z[:, size : 2 * size]
+                c += g
                 if d:  # from the right, padding comes first: nothing is known yet
                     c *= (codes[t] > 0)[:, None]
                 h = np.tanh(c)
                 h *= z[:, 2 * size : 3 * size]
-                if d:
-                    out[t] += h @ w
-                else:
-                    out[t] = h @ w + self.p["bias"]
-        return out
+                both[t, :, d * size : (d + 1) * size] = h
+        out = both.reshape(-1, 2 * size) @ self.p["out"]
+        out += self.p["bias"]
+        return out.reshape(steps, n, -1)
 
     def margin(self) -> float:
         """By how much tag 0 must lead a position's emissions so that every best path has it there, whatever stands beside."""

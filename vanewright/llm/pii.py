@@ -1,8 +1,8 @@
 """Personal data: base patterns, and a character BiLSTM-CRF trained on their spans.
 
 The base patterns give labelled spans on a bounded sample of texts. Copies of these spans are rewritten into forms the
-patterns miss (``(at)`` for @, phones without +), so that the tagger learns them too. In inference every text is tagged
-whole, in overlapping windows: emissions are averaged where windows overlap, more weight on their middles, and each text
+patterns miss (``(at)`` for @, phones without +), so that the tagger learns them too. In inference every text is gone
+through whole in overlapping windows (those whose spans no check could pass need no tagging): emissions are averaged where windows overlap, more weight on their middles, and each text
 has one global best path. Where the tag "outside" leads by more than transitions can outweigh, every best path has it, so
 the path is only computed between such places. Spans the tagger adds keep off base spans and must pass their kind's check
 (Luhn, octets, digits).
@@ -21,8 +21,8 @@ from vanewright.llm.bilstm_crf import Tagger, viterbi
 from vanewright.llm.common import append, held_out, id_text
 
 KINDS = ("email", "ip", "card", "phone")
-#: Length of training windows; length and step of windows in inference; windows tagged together.
-WIDTH, LONG, STEP, TOGETHER = 96, 256, 208, 1024
+#: Length of training windows; length and step of windows in inference; windows, and characters of texts, tagged together.
+WIDTH, LONG, STEP, TOGETHER, PART = 96, 384, 336, 512, 300_000
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # A match can't start inside a run of digits: it would have started at the run's first.
@@ -93,11 +93,15 @@ def _codes() -> np.ndarray:
 
 
 SYMBOLS = 99
+#: Symbols of which every span that passes its check holds one.
+_HOLDS = np.isin(np.arange(SYMBOLS), _codes()[[ord(c) for c in "0123456789@(["]])
 
 
 class Model:
-    def __init__(self, tagger: Tagger | None):
-        self.tagger = tagger
+    """``everywhere``: tag also the windows whose spans no check would pass, see ``_worth``."""
+
+    def __init__(self, tagger: Tagger | None, everywhere: bool = False):
+        self.tagger, self.everywhere = tagger, everywhere
 
     def start(self) -> Model:
         self.table = _codes()
@@ -116,19 +120,22 @@ class Model:
     def tagged(self, texts: list[str | None]) -> list[list[Span]]:
         """Spans of each text's best path. Texts are gone through in parts of bounded size."""
         out: list[list[Span]] = [[] for _ in texts]
-        runs: list[tuple[int, int, np.ndarray]] = []  # (text, first position, emissions) between certain places
         part: list[tuple[int, np.ndarray]] = []
         size = 0
         for k, t in enumerate(texts):
             if t:
                 part.append((k, self.table[np.frombuffer(t.encode("utf-32-le"), np.uint32)]))
                 size += len(t)
-            if part and (size > 500_000 or k + 1 == len(texts)):
+            if part and (size > PART or k + 1 == len(texts)):
                 for at, codes in part:
-                    if len(codes) > 500_000:
-                        runs += self._open(at, codes)
-                runs += self._open_many([(at, codes) for at, codes in part if len(codes) <= 500_000])
+                    if len(codes) > PART:
+                        self._decode(self._open(at, codes), out)
+                self._decode(self._open_many([(at, codes) for at, codes in part if len(codes) <= PART]), out)
                 part, size = [], 0
+        return out
+
+    def _decode(self, runs: list[tuple[int, int, np.ndarray]], out: list[list[Span]]) -> None:
+        """Add the spans of the best path through each run (text, first position, emissions)."""
         runs.sort(key=lambda r: (len(r[2]), r[0], r[1]))
         a = 0
         while a < len(runs):
@@ -143,7 +150,6 @@ class Model:
             for i, (k, start, own) in enumerate(runs[a:b]):
                 out[k] += [(kind, start + s, start + e) for kind, s, e in _spans(best[: len(own), i])]
             a = b
-        return out
 
     def _emissions(self, windows: list[np.ndarray]) -> list[np.ndarray]:
         """Of each window; windows of like lengths go together."""
@@ -161,7 +167,7 @@ class Model:
 
     def _open_many(self, texts: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, np.ndarray]]:
         """Runs of places that are not certainly outside, with the certain ones beside them, of whole texts."""
-        cut = [(n, a) for n, (_, codes) in enumerate(texts) for a in _starts(len(codes))]
+        cut = [(n, a) for n, (_, codes) in enumerate(texts) for a in self._worth(codes)]
         made = self._emissions([texts[n][1][a : a + LONG] for n, a in cut])
         runs, at = [], 0
         for n, (k, codes) in enumerate(texts):
@@ -172,9 +178,24 @@ class Model:
                 total[a : a + len(e)] += e * self.weight[: len(e)]
                 share[a : a + len(e)] += self.weight[: len(e)]
                 at += 1
+            untagged = share[:, 0] == 0
+            total[untagged], total[untagged, 0], share[untagged] = -1e9, 0, 1
             runs += self._runs(k, total / share)
         return runs
 
+    def _worth(self, codes: np.ndarray) -> list[int]:
+        """Starts of the windows to tag: those that hold a digit, @ or bracket, and their neighbours.
+
+        Every span that passes its check holds one of these, so a span that the other windows alone could tag would be
+        dropped; what is found is what tagging every window finds.
+        """
+        starts = _starts(len(codes))
+        if not self.everywhere:
+            seen = np.concatenate([[0], np.cumsum(_HOLDS[codes])])
+            own = [seen[min(len(codes), a + LONG)] > seen[a] for a in starts]
+            starts = [a for k, a in enumerate(starts) if any(own[max(0, k - 1) : k + 2])]
+        return starts
+
     def _open(self, k: int, codes: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
         """The same for one very long text, some windows at a time; only places that are open are kept."""
         starts = _starts(len(codes))
@@ -192,7 +213,7 @@ class Model:
                 share[s - own[0] : s - own[0] + len(e)] += self.weight[: len(e)]
             over = total[done - own[0] :], share[done - own[0] :]
             mean = total[: done - own[0]] / share[: done - own[0]]
-            at = np.flatnonzero(mean[:, 0] - mean[:, 1:].max(axis=1) <= self.margin)
+            at = np.flatnonzero(_lead(mean) <= self.margin)
             kept += [(own[0] + int(p), mean[p]) for p in at]
         runs: list[tuple[int, int, np.ndarray]] = []
         certain = np.full(tags, -1e9, np.float32)
@@ -205,7 +226,7 @@ class Model:
         return runs
 
     def _runs(self, k: int, mean: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-        open_at = mean[:, 0] - mean[:, 1:].max(axis=1) <= self.margin
+        open_at = _lead(mean) <= self.margin
         edges = np.flatnonzero(np.diff(np.concatenate([[0], open_at.view(np.int8), [0]])))
         runs = []
         for a, b in zip(edges[::2], edges[1::2], strict=True):
@@ -232,6 +253,14 @@ class Model:
         return out
 
 
+def _lead(e: np.ndarray) -> np.ndarray:
+    """By how much tag 0 leads the best other tag."""
+    top = e[:, 1].copy()
+    for k in range(2, e.shape[1]):
+        np.maximum(top, e[:, k], out=top)
+    return e[:, 0] - top
+
+
 def _starts(size: int) -> list[int]:
     """Starts of the windows of a text: every STEP, until one reaches the end."""
     return list(range(0, max(1, size - (LONG - STEP)), STEP))
