@@ -43,7 +43,7 @@ def test_selection(spark):
     assert kept == ["a", "b"] and {tuple(r) for r in why.collect()} == {("c", "correlated"), ("d", "constant"), ("e", "missing")}
     assert selection.select_features(df, ["a", "c"], protect=["c"])[0] == ["a", "c"]
     few = {(r["a"], r["b"]): r["r"] for r in stats.correlations(df, ["a", "b", "c", "d", "e"]).collect()}
-    many = {(r["a"], r["b"]): r["r"] for r in stats.correlations(df, ["a", "b", "c", "d", "e"], wide=1).collect()}
+    many = {(r["a"], r["b"]): r["r"] for r in stats.correlations(df, ["a", "b", "c", "d", "e"], tile=2).collect()}
     for k, v in few.items():
         assert (v is None and many[k] is None) or v == pytest.approx(many[k], abs=1e-9)
 
@@ -172,7 +172,7 @@ def test_order_statistics_and_moments(spark):
     m = {r["feature"]: r for r in stats.moments(df, ["v", "p"]).collect()}
     own = np.array([r[2] for r in rows] + [1e9, 1e9])
     assert m["p"]["variance"] == pytest.approx(own.var(ddof=1)) and m["p"]["mean"] == pytest.approx(own.mean()) and m["v"]["missing_fraction"] == pytest.approx(sum(r[1] is None for r in rows) / 702 + 1 / 702)
-    r = stats.correlations(df.repartition(5), ["v", "p", "q"], wide=1).where("a = 'p' and b = 'q'").first()["r"]
+    r = stats.correlations(df.repartition(5), ["v", "p", "q"], tile=2).where("a = 'p' and b = 'q'").first()["r"]
     q = np.array([r[3] for r in rows] + [2e9, 2e9])
     assert r == pytest.approx(abs(np.corrcoef(own - 1e9, q - 2e9)[0, 1]), abs=1e-6)  # large offsets cost no digits
 

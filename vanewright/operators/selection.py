@@ -11,10 +11,10 @@ from vanewright.operators.stats import correlations, moments
 
 
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature, missing_fraction, variance) in one pass over a wide table; beyond 50 columns by arrays, see ``moments``."""
+    """(feature, missing_fraction, mean, variance) in one pass over a wide table; beyond 50 columns by arrays, see ``moments``."""
     if len(columns) > 50:
-        return moments(df, columns).select("feature", "missing_fraction", "variance")
-    cells = [F.struct(F.lit(c).alias("feature"), F.avg(F.isnull(c).cast("double")).alias("missing_fraction"), F.var_samp(c).alias("variance")) for c in columns]
+        return moments(df, columns)
+    cells = [F.struct(F.lit(c).alias("feature"), F.avg(F.isnull(c).cast("double")).alias("missing_fraction"), F.avg(F.col(c).cast("double")).alias("mean"), F.var_samp(c).alias("variance")) for c in columns]
     return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
@@ -25,7 +25,7 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
     where the greedy choice in column order is made.
     """
     keep, have = set(protect), [c for c in columns if c in df.columns]
-    df = df.select(*have).persist()  # read twice; lost parts are computed again
+    df = df.select(*have)  # read twice, so a table is better than what is dear to compute
     reasons: list[tuple[str, str]] = []
     left = []
     stats = {r["feature"]: r for r in column_stats(df, have).collect()} if have else {}
@@ -36,8 +36,8 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
             reasons.append((c, "constant"))
         else:
             left.append(c)
-    near = {(r["a"], r["b"]) for r in correlations(df, left).where(F.col("r") > most_correlation).collect()} if len(left) > 1 else set()
-    df.unpersist()
+    means = {c: stats[c]["mean"] for c in left}
+    near = {(r["a"], r["b"]) for r in correlations(df, left, means, most_correlation).collect()}
     kept: list[str] = []
     for c in left:
         if c in keep or not any((k, c) in near for k in kept):

@@ -8,8 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vanewright.functions.columns import EPS, fingerprint, training_normal, wind_bin
+from vanewright.operators import gramian, vectors
 from vanewright.session import stored
 
 
@@ -51,60 +53,17 @@ def preprocessor(t: DataFrame, *keys: str) -> DataFrame:
     return s.select(*keys, "sensor", "median", mean.alias("mean"), F.when(F.sqrt(var) > 0, F.sqrt(var)).otherwise(1.0).alias("std"))
 
 
-def correlations(df: DataFrame, columns: list[str], wide: int = 12) -> DataFrame:
-    """(a, b, r) for a before b: absolute pairwise-complete Pearson; NULL where one side does not vary.
+def correlations(df: DataFrame, columns: list[str], means: dict[str, float] | None = None, above: float | None = None, tile: int = gramian.TILE) -> DataFrame:
+    """(a, b, r) for a before b: absolute pairwise-complete Pearson; NULL where one side does not vary, up to rounding; with
+    ``above`` only larger ones. See ``gramian``: one form for any number of columns.
 
-    Up to ``wide`` columns by aggregates; beyond, each task adds up the products of its centred rows in blocks of numpy
-    matrices and sends one row a pair, and the sums of all tasks meet by pair.
+    Values are centred by ``means`` (by default one more pass finds them), so that a large offset costs no digits.
     """
-    at = {c: k for k, c in enumerate(columns)}
-    if len(columns) <= wide:
-        pairs = [(a, b) for a in columns for b in columns if at[a] < at[b]]
-        spread = lambda x, y: F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x)))  # noqa: E731  corr() itself raises on a constant side
-        cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.abs(F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a))).alias("r")) for a, b in pairs]
-        return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*") if pairs else df.sparkSession.createDataFrame([], "a string, b string, r double")
-
-    # Values are centred by their column's mean, so that a large offset costs no digits.
-    means = {r["feature"]: r["mean"] for r in moments(df, columns).collect()}
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    means = {r["feature"]: r["mean"] for r in moments(df, columns).collect()} if means is None else means
     centre = np.array([means.get(c) or 0.0 for c in columns])
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = len(columns)
-        sums, any_row = np.zeros((6, p, p)), False
-        for x in _matrices(batches):
-            x = x - centre
-            ok = ~np.isnan(x)
-            any_row = True
-            if ok.all():  # nothing is missing: one product and column sums
-                one, sq = x.sum(axis=0), (x * x).sum(axis=0)
-                for k, v in enumerate((float(len(x)), one[:, None], one[None, :], sq[:, None], sq[None, :], x.T @ x)):
-                    sums[k] += v
-                continue
-            x, m = np.where(ok, x, 0.0), ok.astype(np.float64)
-            n, s1, s2 = m.T @ m, x.T @ m, (x * x).T @ m
-            for k, v in enumerate((n, s1, s1.T, s2, s2.T, x.T @ x)):
-                sums[k] += v
-        i, j = np.triu_indices(p, 1)
-        if any_row:
-            yield pa.RecordBatch.from_pydict({"i": i.astype(np.int32), "j": j.astype(np.int32)} | {f"s{k}": sums[k][i, j] for k in range(6)})
-
-    parts = df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(partial, "i int, j int, " + ", ".join(f"s{k} double" for k in range(6)))
-    s = parts.groupBy("i", "j").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(6)])
-    n, sa, sb, saa, sbb, sab = (F.col(f"s{k}") for k in range(6))
-    va, vb = n * saa - sa * sa, n * sbb - sb * sb
-    names = F.array(*map(F.lit, columns))
-    # A side that does not vary among the pair's rows differs from the mean by rounding at most.
-    off = F.array(*map(F.lit, map(float, centre)))
-    flat = lambda v, ss, k: v <= 1e-12 * n * (ss + n * F.pow(F.element_at(off, F.col(k) + 1) * 1e-3, F.lit(2)))
-    r = F.abs(F.try_divide(n * sab - sa * sb, F.sqrt(F.abs(va * vb))))
-    return s.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), F.when(~flat(va, saa, "i") & ~flat(vb, sbb, "j"), r).alias("r"))
-
-
-def _matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Batches of doubles as matrices of a bounded size, NULL as NaN."""
-    for batch in batches:
-        if batch.num_rows:
-            yield np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(np.float64, copy=False)
+    return gramian.correlated(gramian.pair_sums(df, columns, centre, tile), columns, centre, tile, above)
 
 
 def moments(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -113,12 +72,13 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(columns))
         total, mean, dev = n.copy(), n.copy(), n.copy()
-        for x in _matrices(batches):
+        for batch in batches:
+            x = gramian.columns_of(batch)
             ok = ~np.isnan(x)
-            k = ok.sum(axis=0)
-            total += len(x)
-            own = np.where(ok, x, 0.0).sum(axis=0) / np.maximum(k, 1)
-            d = (np.where(ok, x - own, 0.0) ** 2).sum(axis=0)
+            k = ok.sum(axis=1)
+            total += x.shape[1]
+            own = np.where(ok, x, 0.0).sum(axis=1) / np.maximum(k, 1)
+            d = (np.where(ok, x - own[:, None], 0.0) ** 2).sum(axis=1)
             step = own - mean
             both = np.maximum(n + k, 1)
             dev += d + step**2 * n * k / both
@@ -158,11 +118,33 @@ def summary(t: DataFrame, *keys: str) -> DataFrame:
 
 def threshold(scores: DataFrame, keys: Iterable[str], score: str = "score", percentile: float = 0.99) -> DataFrame:
     """(keys, threshold): a percentile of validation scores, linear between ranks; NULL scores are left out."""
-    return exact_percentiles(scores, keys, score, {"threshold": percentile})
+    return exact_percentiles(scores, keys, score, {"threshold": percentile}, keep=True)
 
 
-def exact_percentiles(t: DataFrame, keys: Iterable[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """(keys, a column a share): exact percentiles, linear between ranks, of groups of any size.
+def exact_percentiles(t: DataFrame, keys: Iterable[str], value: str, shares: dict[str, float], keep: bool = False) -> DataFrame:
+    """(keys, a column a share): exact percentiles, linear between ranks, of groups of any size. NULL values are left out.
+
+    Groups are sketched and bracketed, see ``vectors.percentiles``; keys of other types than text, whole numbers, booleans
+    and dates, or more groups than that has room for, go by ``ranged_percentiles``. keep: write the values first, where
+    computing them twice is dearer.
+    """
+    ks = list(keys)
+    rows = t.where(F.col(value).isNotNull()).select(*ks, F.col(value).cast("double").alias("_v"))
+    rows = stored(rows, "values") if keep else rows
+    plain = all(isinstance(rows.schema[k].dataType, (T.StringType, T.IntegralType, T.BooleanType, T.DateType)) for k in ks)
+    model = F.to_json(F.struct(*ks)) if ks else F.lit("{}")
+    found = vectors.percentiles(rows.select(model.alias("model"), F.array("_v").alias("x")), list(shares.values())) if plain else None
+    if found is None:
+        return ranged_percentiles(rows, ks, "_v", shares)
+    out = found[1].groupBy("model").agg(*[F.max(F.when(F.col("share") == k, F.col("value"))).alias(name) for k, name in enumerate(shares)])
+    if not ks:
+        return out.select(*shares)
+    kinds = T.StructType([T.StructField(k, rows.schema[k].dataType) for k in ks])
+    return out.select(F.from_json("model", kinds).alias("k"), *shares).select("k.*", *shares)
+
+
+def ranged_percentiles(t: DataFrame, keys: Iterable[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """The same for any number of groups.
 
     Values are counted by (key, value) and range-partitioned by both; sums by partition give each partition's first rank,
     so the two values beside a wanted rank are found without bringing a group together. NULL values are left out.

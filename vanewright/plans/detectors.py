@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from vanewright.functions.columns import META
 from vanewright.operators import stats, windows
+from vanewright.operators import vectors as arrays
 from vanewright.session import stored
 
 TREES, SAMPLE, SEED, CONTAMINATION = 300, 256, 42, 0.01
@@ -80,7 +82,31 @@ def preprocessed(x: DataFrame, fitted: DataFrame) -> DataFrame:
 def fit_preprocessor(x: DataFrame) -> DataFrame:
     """(model, median, mean, std) arrays by feature position; features without any value become 0.
 
-    Medians are exact whatever the size of a model, see ``stats.exact_percentiles``."""
+    Medians are exact whatever the size of a model, and no row is shuffled for them, see ``vectors.percentiles``. Mean and
+    deviation are those after imputing the median; they follow from the sums of what is there.
+    """
+    found = arrays.percentiles(x, [0.5])
+    if found is None:  # more models times features than brackets have room for
+        return _fit_exploded(x)
+    moments, middle = found
+    whole = lambda name: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("stripe", name))), lambda r: r[name])).alias(name)
+    sums = moments.groupBy("model").agg(F.first("rows").alias("rows"), whole("n"), whole("mean"), whole("dev"))
+    named = middle.groupBy("model").agg(F.map_from_entries(F.collect_list(F.struct("position", "value"))).alias("middle"))
+    cell = F.arrays_zip("n", "mean", "dev", F.transform(F.sequence(F.lit(0), F.size("n") - 1), lambda k: F.try_element_at("middle", k)).alias("median"))
+
+    def fitted(v: Column) -> Column:
+        gap = (F.col("rows") - v["n"]) / F.col("rows")
+        mean = (1 - gap) * v["mean"] + gap * v["median"]
+        off, low = v["mean"] - mean, v["median"] - mean
+        std = F.sqrt((1 - gap) * (v["dev"] / v["n"] + off * off) + gap * low * low)
+        one = lambda m, a, s: F.struct(m.alias("median"), a.alias("mean"), s.alias("std"))
+        return F.when(v["n"] > 0, one(v["median"], mean, F.when(std > 0, std).otherwise(1.0))).otherwise(one(F.lit(0.0), F.lit(0.0), F.lit(1.0)))
+
+    cells = sums.join(named, "model", "left").select("model", F.transform(cell, fitted).alias("c"))
+    return cells.select("model", *[F.transform("c", lambda v: v[k]).alias(k) for k in ("median", "mean", "std")])
+
+
+def _fit_exploded(x: DataFrame) -> DataFrame:
     t = x.select("model", F.posexplode("x").alias("sensor", "value"))
     s = stats.preprocessor(t, "model")
     n = x.groupBy("model").agg(F.max(F.size("x")).alias("p"))
@@ -174,26 +200,30 @@ class _Forest:
         return 2.0 ** (-(out / n) / self.norm)
 
 
-def _rows_of(table: pa.Table, column: str) -> np.ndarray:
-    return table[column].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
-
+def scored(x: DataFrame, fitted: DataFrame, score: Callable[[np.ndarray, list[dict]], np.ndarray], out: str, rows: int = 20_000) -> DataFrame:
+    """Replace x by ``out``, what ``score(rows of x as a matrix, the model's rows of ``fitted``)`` gives.
 
-def score_forest(x: DataFrame, forest: DataFrame, rows: int = 20_000) -> DataFrame:
-    """Add raw = 2^(-E[depth] / c(psi)). Rows of a model are dealt into blocks that each meet a copy of its trees, so a
-    model with most of the rows is no one task and nothing is broadcast."""
+    Rows of a model are dealt into blocks that each meet a copy of what was fitted, so a model with most of the rows is no
+    one task and nothing is broadcast. Rows of models that were not fitted go.
+    """
     n = x.groupBy("model").agg(F.ceil(F.count("*") / rows).cast("int").alias("blocks"))
     left = x.join(n, "model").withColumn("block", F.pmod(F.xxhash64("x", *[c for c in x.columns if c in META]), F.col("blocks")).cast("int")).drop("blocks")
-    right = forest.join(n, "model").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    right = fitted.join(n, "model").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     names = [c for c in x.columns if c != "x"]
 
-    def score(a: pa.Table, b: pa.Table) -> pa.Table:
-        raw = np.zeros(a.num_rows)
-        if a.num_rows and b.num_rows:
-            raw = _Forest(sorted(b.to_pylist(), key=lambda t: t["tree"])).raw(_rows_of(a, "x"))  # one order of adding up
-        return a.select(names).append_column("raw", pa.array(raw))
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not (a.num_rows and b.num_rows):
+            a = a.slice(0, 0)
+        got = score(arrays.matrix(a["x"].combine_chunks()), b.to_pylist()) if a.num_rows else np.zeros(0)
+        return a.select(names).append_column(out, pa.array(got, pa.float64()))
+
+    schema = ", ".join(f"`{c}` {dict(x.dtypes)[c]}" for c in names) + f", {out} double"
+    return left.groupBy("model", "block").cogroup(right.groupBy("model", "block")).applyInArrow(run, schema)
 
-    schema = ", ".join(f"`{c}` {dict(x.dtypes)[c]}" for c in names) + ", raw double"
-    return left.groupBy("model", "block").cogroup(right.groupBy("model", "block")).applyInArrow(score, schema)
+
+def score_forest(x: DataFrame, forest: DataFrame, rows: int = 20_000) -> DataFrame:
+    """Add raw = 2^(-E[depth] / c(psi))."""
+    return scored(x, forest, lambda m, trees: _Forest(sorted(trees, key=lambda t: t["tree"])).raw(m), "raw", rows)  # one order of adding up
 
 
 def fit_isolation_forest(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION) -> Fitted:
@@ -202,7 +232,7 @@ def fit_isolation_forest(train: DataFrame, features: list[str], keys: tuple[str,
     scaler = stored(fit_preprocessor(x), "scaler")
     z = stored(preprocessed(x, scaler), "standardised")
     forest = stored(fit_forest(z, trees, sample), "trees")
-    offset = stats.exact_percentiles(score_forest(z, forest), ["model"], "raw", {"offset": 1 - contamination})
+    offset = stats.exact_percentiles(score_forest(z, forest), ["model"], "raw", {"offset": 1 - contamination}, keep=True)
     return Fitted("isolation_forest", features, keys, {}, {"scaler": scaler, "trees": forest, "offset": stored(offset, "offset")})
 
 
@@ -217,38 +247,54 @@ def isolation_forest(train: DataFrame, rows: DataFrame, features: list[str], key
 
 
 def _principal(z: DataFrame, size: int) -> DataFrame:
-    """(model, w): the leading directions of each model's second moments. Products are summed by task, then by model."""
+    """(model, w): the leading directions of each model's second moments.
+
+    Products are summed by task and model; a task that holds many models sends what it has when it holds enough. Rows of the
+    matrices, a few of a model together, are added before one task of each model, which the features bound, decomposes.
+    """
+    kind = "model string, n long, stripe int, g array<array<double>>"
+    table = lambda model, n, stripe, g: pa.table({"model": pa.array([model], pa.string()), "n": pa.array([n], pa.int64()), "stripe": pa.array([stripe], pa.int32()), "g": pa.array([g.tolist()], pa.list_(pa.list_(pa.float64())))})
+    array = lambda v: np.array(v.as_py(), np.float64)
+
+    def sent(sums: dict) -> Iterator[pa.RecordBatch]:
+        for m, (n, g) in sums.items():
+            for k in range(0, len(g), arrays.STRIPE):
+                yield from table(m, n, k // arrays.STRIPE, g[k : k + arrays.STRIPE]).to_batches()
 
-    def partial(batches):
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list] = {}
-        for pdf in batches:
-            for m, at in pdf.groupby("model").indices.items():
-                x = np.array(pdf["x"].iloc[at].tolist(), np.float64)
-                s = sums.setdefault(m, [0, 0.0])
-                s[0] += len(x)
-                s[1] = s[1] + x.T @ x
-        yield pd.DataFrame([(m, n, k, row.tolist()) for m, (n, g) in sums.items() for k, row in enumerate(g)], columns=["model", "n", "row", "g"])
-
-    def directions(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row")
-        g = np.array(pdf["g"].tolist()) / max(1, int(pdf["n"].iloc[0]))
+        for m, x in arrays.by_model(batches):
+            s = sums.setdefault(m, [0, 0.0])
+            s[0] += len(x)
+            s[1] = s[1] + x.T @ x
+            if len(sums) * s[1].nbytes > arrays.HELD:
+                yield from sent(sums)
+                sums = {}
+        yield from sent(sums)
+
+    def add(t: pa.Table) -> pa.Table:
+        return table(t["model"][0].as_py(), sum(t["n"].to_pylist()), t["stripe"][0].as_py(), sum(array(g) for g in t["g"]))
+
+    def directions(t: pa.Table) -> pa.Table:
+        order = np.argsort(t["stripe"].to_numpy())
+        g = np.concatenate([array(t["g"][int(k)]) for k in order]) / max(1, t["n"][0].as_py())
         value, vector = np.linalg.eigh((g + g.T) / 2)
-        w = vector[:, np.argsort(-value, kind="stable")[:size]]
-        return pd.DataFrame({"model": [pdf["model"].iloc[0]], "w": [w.T.tolist()]})
+        w = vector[:, np.argsort(-value, kind="stable")[:size]].T
+        return pa.table({"model": pa.array([t["model"][0].as_py()], pa.string()), "w": pa.array([w.tolist()], pa.list_(pa.list_(pa.float64())))})
 
-    parts = z.select("model", "x").mapInPandas(partial, "model string, n long, row int, g array<double>")
-    cells = parts.select("model", "n", "row", F.posexplode("g").alias("col", "v")).groupBy("model", "row", "col").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    whole = cells.groupBy("model", "row").agg(F.first("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("col", "v"))), lambda c: c["v"]).alias("g"))
-    return whole.groupBy("model").applyInPandas(directions, "model string, w array<array<double>>")
+    parts = z.select("model", "x").mapInArrow(partial, kind)
+    return parts.groupBy("model", "stripe").applyInArrow(add, kind).groupBy("model").applyInArrow(directions, "model string, w array<array<double>>")
 
 
-def _residual(x: Column, w: Column, last: int | None) -> Column:
-    """Mean squared distance of x from its projection, over all or the last ``last`` positions."""
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    back = F.aggregate(F.transform(w, lambda d: F.transform(d, lambda v: v * dot(x, d))), F.transform(x, lambda v: F.lit(0.0)), lambda s, r: F.zip_with(s, r, lambda a, b: a + b))
-    gone = F.zip_with(x, back, lambda a, b: (a - b) * (a - b))
-    gone = gone if last is None else F.slice(gone, F.size(gone) - last + 1, last)
-    return F.aggregate(gone, F.lit(0.0), lambda s, v: s + v) / F.size(gone)
+def residuals(x: np.ndarray, w: np.ndarray, last: int | None = None, chunk: int = 2048) -> np.ndarray:
+    """Mean squared distance of the rows of x from their projections on the rows of w, over all or the last ``last``
+    positions: two matrix products a chunk, so the cost is rows times positions times directions."""
+    keep = slice(x.shape[1] - (last or x.shape[1]), None)
+    out = np.empty(len(x))
+    for a in range(0, len(x), chunk):
+        part = x[a : a + chunk]
+        out[a : a + chunk] = ((part[:, keep] - (part @ w.T) @ w[:, keep]) ** 2).mean(axis=1)
+    return out
 
 
 def _sequenced(z: DataFrame, steps: int) -> DataFrame:
@@ -281,7 +327,7 @@ def _score_autoencoder(f: Fitted, rows: DataFrame) -> DataFrame:
     z = preprocessed(vectors(rows, f.features, f.keys), f.tables["scaler"])
     z = _sequenced(z, f.options["steps"]) if f.options["steps"] > 1 else z
     last = len(f.features) if f.options["steps"] > 1 else None
-    return z.join(f.tables["directions"], "model").withColumn("score", _residual(F.col("x"), F.col("w"), last)).drop("x", "w")
+    return scored(z, f.tables["directions"], lambda x, fitted: residuals(x, np.array(fitted[0]["w"], np.float64), last), "score")
 
 
 def linear_autoencoder(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), **options) -> DataFrame:

@@ -82,10 +82,16 @@ def _prepared(df: DataFrame, sensors: list[str], strategy: str, angles: Iterable
     return stored(features.with_references(df, refs, sensors, angles, curve_keys=keys), "features"), refs
 
 
+def _selected(feats: DataFrame) -> list[str]:
+    """Features that the normal training rows leave after missingness, variance and correlation; curve residuals stay."""
+    rows = feats.where(training_normal())
+    return selection.select_features(rows, conform.numeric_columns(feats), protect=("power_residual", "power_residual_pct"))[0]
+
+
 def _fit(feats: DataFrame, refs: dict[str, DataFrame], sensors: list[str], strategy: str, detector: str, angles: Iterable[str], names: list[str] | None, percentile: float, least_run: int, least_rows: int, **options) -> Trained:
     keys = STRATEGIES[strategy]
     if names is None:
-        names, _ = selection.select_features(feats.where(training_normal()), conform.numeric_columns(feats), protect=("power_residual", "power_residual_pct"))
+        names = _selected(feats)
     fit, held = split(feats)
     named = detectors.vectors(fit.select(*META), [], keys).groupBy("model").agg(F.count("*").alias("n_rows"))
     wanted = detectors.vectors(feats.select(*META), [], keys).select("model").distinct()
@@ -127,19 +133,23 @@ def compare(df: DataFrame, events: DataFrame, sensors: list[str], names: list[st
     """Results of several detectors on the same features, selection and split, tagged by model. options are the forest's."""
     feats, refs = _prepared(df, sensors, strategy, angles)
     if names is None:
-        names, _ = selection.select_features(feats.where(training_normal()), conform.numeric_columns(feats), protect=("power_residual", "power_residual_pct"))
+        names = _selected(feats)
     one = lambda m: _fit(feats, refs, sensors, strategy, m, angles, names, percentile, least_run, least_rows, **(options if m == "isolation_forest" else {}))
     return selection.tagged_union({m: _evaluated(one(m), feats, events)["results"] for m in models}, "model")
 
 
-def cross_farm(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str], pairs: dict[str, tuple[list[str], list[str]]], detector: str = "isolation_forest", angles: Iterable[str] = (), **options) -> DataFrame:
-    """Train on some farms, evaluate on others, each farm normalised by its own baselines; results tagged by pair."""
+def cross_farm(df: DataFrame, events: DataFrame, sensors: list[str], pairs: dict[str, tuple[list[str], list[str]]], names: list[str] | None = None, detector: str = "isolation_forest", angles: Iterable[str] = (), least_run: int = 6, **options) -> DataFrame:
+    """Train on some farms, evaluate on others, each farm normalised by its own baselines; results tagged by pair.
+
+    Features are selected on the normal training rows of each pair's source farms, unless ``names`` gives them.
+    """
     feats, _ = _prepared(df, sensors, "global", angles)
     out = {}
     for name, (source, target) in pairs.items():
-        fit, held = split(feats.where(F.col("farm_id").isin(source)))
-        model = detectors.DETECTORS[detector](fit, names, (), **options)
+        own = feats.where(F.col("farm_id").isin(source))
+        fit, held = split(own)
+        model = detectors.DETECTORS[detector](fit, names or _selected(own), (), **options)
         limits = stored(stats.threshold(model.score(held), ["model"]), "limits")
         rows = feats.where(F.col("farm_id").isin(target) & (F.col("train_test") == "prediction"))
-        out[name] = evaluation.evaluate(flagged(model.score(rows), limits), events)
+        out[name] = evaluation.evaluate(flagged(model.score(rows), limits, least_run), events)
     return selection.tagged_union(out, "experiment")

@@ -331,7 +331,7 @@ def correlations(spark: SparkSession, sf: str) -> DataFrame:
 @query(SQL["correlations"], readings=False)
 def correlations_blocked(spark: SparkSession, sf: str) -> DataFrame:
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return rounded(stats.correlations(spark.read.parquet(f"{sf}/lineitem.parquet").select(*[F.col(n).cast("double").alias(n) for n in names]), names, wide=1), 6)
+    return rounded(stats.correlations(spark.read.parquet(f"{sf}/lineitem.parquet").select(*[F.col(n).cast("double").alias(n) for n in names]), names, tile=2), 6)
 
 
 @query("SELECT farm_id, asset_id, count(*) AS n_rows, string_agg(DISTINCT CAST(dataset_id AS VARCHAR), ',' ORDER BY CAST(dataset_id AS VARCHAR)) AS datasets FROM readings GROUP BY ALL")
@@ -747,9 +747,6 @@ def pool_assets(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- detectors ------------------------------------------------------------------------------------------------------------
 
-NAMES = ["power", "wind_speed", "sensor_1", "sensor_2", "power_roll6_mean", "power_roll6_std", "power_diff", "hour_sin", "hour_cos"]
-
-
 def _trained(spark: SparkSession, sf: str, strategy: str, detector: str, **options) -> dict[str, DataFrame]:
     df = src.load(spark, sf)
     return training.run(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS], strategy, detector, angles=["sensor_0"], **options)
@@ -798,7 +795,7 @@ def sliding_monitoring(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def failed_models(spark: SparkSession, sf: str) -> DataFrame:
     """Episode models that have too few rows to be fitted, beside those that were."""
-    run = _trained(spark, sf, "turbine", "linear_autoencoder", size=4, least_rows=20)
+    run = _trained(spark, sf, "turbine", "linear_autoencoder", least_rows=20)
     return run["failed"]
 
 
@@ -821,36 +818,38 @@ def detector_comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def global_autoencoder_results(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_trained(spark, sf, "global", "linear_autoencoder", size=4)["results"])
+    return rounded(_trained(spark, sf, "global", "linear_autoencoder")["results"])
 
 
 @query()
 def farm_sequence_results(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_trained(spark, sf, "farm", "sequence_autoencoder", size=8)["results"])
+    return rounded(_trained(spark, sf, "farm", "sequence_autoencoder")["results"])
 
 
 @query()
 def batch_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events among the prediction rows by the farm models' thresholds, runs of two or more."""
-    run = _trained(spark, sf, "farm", "linear_autoencoder", size=4, least_run=2)
+    run = _trained(spark, sf, "farm", "linear_autoencoder", least_run=2)
     return rounded(evaluation.detected_events(run["flags"]))
 
 
 @query()
 def model_registry(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.models(_trained(spark, sf, "farm", "linear_autoencoder", size=4)["registry"])
+    return serving.models(_trained(spark, sf, "farm", "linear_autoencoder")["registry"])
 
 
 @query()
 def latest_asset_scores(spark: SparkSession, sf: str) -> DataFrame:
-    run = _trained(spark, sf, "farm", "linear_autoencoder", size=4)
+    run = _trained(spark, sf, "farm", "linear_autoencoder")
     return rounded(serving.latest_scores(run["flags"], F.lit(AS_OF).cast("timestamp")).select("farm_id", "asset_id", "score", "age_minutes", "is_fresh", "warning"))
 
 
 @query()
 def cross_farm_results(spark: SparkSession, sf: str) -> DataFrame:
-    df = src.load(spark, sf)
-    return rounded(training.cross_farm(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS], NAMES, {"A_to_B": (["A"], ["B"]), "B_to_A": (["B"], ["A"])}, "linear_autoencoder", size=4))
+    """Three farms; each trained on one or two and tried on another, with features selected on the former."""
+    df = src.load(spark, sf).withColumn("farm_id", F.element_at(F.array(*map(F.lit, "ABC")), (F.col("dataset_id") % 3 + 1).cast("int")))
+    pairs = {"A_to_B": (["A"], ["B"]), "A_to_C": (["A"], ["C"]), "AB_to_C": (["A", "B"], ["C"])}
+    return rounded(training.cross_farm(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS], pairs, angles=["sensor_0"]))
 
 
 @query(", g AS (SELECT farm_id, date_trunc('day', time_stamp) AS day, count(*) AS n, round(avg(CASE WHEN power >= 150 THEN 1.0 ELSE 0 END), 6) AS anomaly_rate, round(avg(power), 4) AS mean_score FROM readings GROUP BY ALL) SELECT * FROM g")
