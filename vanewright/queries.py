@@ -15,7 +15,7 @@ from vanewright.functions import columns as c
 from vanewright.operators import conform, joins, selection, stats, windows
 from vanewright.plans import detectors, evaluation, features, serving, training, validation
 from vanewright.sources import events as src
-from vanewright.session import shared_path
+from vanewright.session import shared_path, stored
 from vanewright.sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -580,14 +580,39 @@ def gold_wide_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.gold(df, names)[0]
 
 
+def _wide(spark: SparkSession, sf: str, columns: int = 555) -> DataFrame:
+    """As many columns as a pooled farm has, made of those of lineitem; every twelfth repeats another. Written once: the
+    statistics read it twice. A file is dealt over all cores first, since one of few columns becomes one of hundreds."""
+    d = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", *_BASE).repartition(4 * spark.sparkContext.defaultParallelism)
+    wave = lambda k: 30 * F.sin((F.col("l_orderkey") * 7 + F.col("l_linenumber")) * (k + 1))
+    made = [(F.col(_BASE[k % 4]).cast("double") + wave(k if k % 12 else k - 1)).cast("float").alias(f"f{k}") for k in range(1, columns + 1)]
+    return stored(d.select(*made), "wide")
+
+
+_BASE = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+#: Columns of which the SQL gives all pairs: repeats, one quantity's and several quantities'.
+_CHECKED = (1, 5, 11, 12, 13, 36, 37, 555)
+
+
 @query()
 def wide_selection(spark: SparkSession, sf: str) -> DataFrame:
-    """Feature selection over 555 columns that are made of the columns of lineitem; every twelfth repeats another."""
-    d = spark.read.parquet(f"{sf}/lineitem.parquet")
-    base = [F.col(n).cast("double") for n in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
-    wave = lambda k: 30 * F.sin((F.col("l_orderkey") * 7 + F.col("l_linenumber")) * (k + 1))
-    made = [(base[k % 4] + wave(k if k % 12 else k - 1)).cast("float").alias(f"f{k}") for k in range(1, 556)]
-    return selection.select_features(d.select(*made), [f"f{k}" for k in range(1, 556)])[1]
+    """Feature selection over 555 columns."""
+    return selection.select_features(_wide(spark, sf), [f"f{k}" for k in range(1, 556)])[1]
+
+
+def _wide_sql() -> str:
+    make = lambda k: f"CAST(CAST({_BASE[k % 4]} AS DOUBLE) + 30 * sin((l_orderkey * 7 + l_linenumber) * {(k if k % 12 else k - 1) + 1}) AS FLOAT) AS f{k}"
+    pairs = [(a, b) for a in _CHECKED for b in _CHECKED if a < b]
+    cells = ", ".join(f"{{a: 'f{a}', b: 'f{b}', r: round(abs(corr(CAST(f{a} AS DOUBLE), CAST(f{b} AS DOUBLE))), 6)}}" for a, b in pairs)
+    return f"SELECT c.a, c.b, c.r FROM (SELECT unnest([{cells}]) AS c FROM (SELECT {', '.join(map(make, _CHECKED))} FROM lineitem))"
+
+
+@query(_wide_sql(), readings=False)
+def wide_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    """Of all pairs of 555 columns, those of eight."""
+    names = [f"f{k}" for k in _CHECKED]
+    out = stats.correlations(_wide(spark, sf), [f"f{k}" for k in range(1, 556)])
+    return rounded(out.where(F.col("a").isin(names) & F.col("b").isin(names)), 6)
 
 
 @query()
