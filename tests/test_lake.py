@@ -33,9 +33,8 @@ def test_raw_to_gold(spark, raw, tmp_path):
     assert lake.read_descriptions(spark, str(raw / "feature_description.csv")).count() == 1
     report = {r["dataset_id"]: r["rows_dropped"] for r in lake.to_silver(spark, bronze, silver, ev.withColumn("farm_id", lake.F.lit("A"))).collect()}
     assert report == {"1": 0, "2": 0, "3": 1}
-    df = lake.read(spark, silver, where="dataset_id = '1' and power > 3")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert df.count() == 47 and "PartitionFilters: [isnotnull" in plan and "GreaterThan(power,3.0)" in plan
+    df = lake.read(spark, silver, where="power > 3", episodes="dataset_id = '1'")
+    assert df.count() == 47 and "GreaterThan(power,3.0)" in df._jdf.queryExecution().executedPlan().toString()
     f, meta = features.gold(lake.read(spark, silver), ["s1"])
     lake.to_gold(f, meta, gold)
     back, names = lake.read_gold(spark, gold)
@@ -88,6 +87,79 @@ def test_farms_of_different_width(spark, tmp_path):
         lake.write(make("D", ["x"], 1.0).withColumn("x", lake.F.lit("text")), root)
 
 
+def bytes_read(spark, work):
+    """Bytes that the executors' tasks read from files while ``work`` runs."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    total = lambda: sum(x.totalInputBytes() for x in (lambda l: [l.apply(k) for k in range(l.size())])(store.executorList(False)))
+    before = total()
+    work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return total() - before
+
+
+def test_raw_bytes_are_read_once(spark, tmp_path):
+    d = tmp_path / "raw"
+    d.mkdir()
+    for n in range(3):
+        rows = [f"2024-01-{k % 28 + 1:02d} 00:00:00,train,0,{k},{k * 1.25},{'x' * 40}" for k in range(20_000)]
+        (d / f"{n}.csv").write_text("\n".join(["time_stamp,train_test,status_type_id,id,power,note", *rows]))
+    size = sum(f.stat().st_size for f in d.iterdir())
+    bronze = str(tmp_path / "bronze")
+    read = bytes_read(spark, lambda: lake.ingest(spark, str(d), bronze, "A"))
+    back = sum(f.stat().st_size for f in (tmp_path / "bronze").rglob("*.parquet"))  # the manifest reads three columns again
+    assert lake.read(spark, bronze).count() == 60_000 and size <= read <= 1.1 * size + back
+
+
+def test_commits(spark, tmp_path):
+    """A write shows whole or not at all; files hold many episodes; only wanted files are opened; the last commit holds."""
+    root = str(tmp_path / "layer")
+    rows = lambda ids, v: spark.createDataFrame([("A", str(d), k, v) for d in ids for k in range(5)], "farm_id string, dataset_id string, id long, v double")
+    lake.write(rows(range(100), 1.0), root)
+    assert len(list((tmp_path / "layer").rglob("*.parquet"))) < 20 and lake.done(spark, root).count() == 100
+    lake.write(rows([3, 4], 2.0), root)
+    assert {(r["dataset_id"], r["v"]) for r in lake.read(spark, root).where("dataset_id in ('3', '5')").collect()} == {("3", 2.0), ("5", 1.0)} and lake.read(spark, root).count() == 500
+    one = lake.read(spark, root, episodes="dataset_id = '4'")
+    assert one.count() == 5 and len([f for f in one.inputFiles() if f.endswith(".parquet")]) == 1
+    assert lake.read(spark, root, episodes=spark.createDataFrame([("A", "77")], "farm_id string, dataset_id string")).count() == 5 and lake.read(spark, root, episodes="dataset_id = 'none'").count() == 0
+    before = lake.live(spark, root).count()
+    rows([9], 7.0).withColumn("w", lake.F.lit(1)).write.partitionBy("farm_id").parquet(f"{root}/write=dead")  # a writer that died before its commit
+    assert lake.live(spark, root).count() == before and "w" not in lake.read(spark, root).columns and lake.read(spark, root).where("v = 7").isEmpty()
+    with pytest.raises(ValueError, match="no write"):
+        lake.read(spark, str(tmp_path / "nothing"))
+
+
+def test_concurrent_writers(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path / "layer")
+    make = lambda n: spark.createDataFrame([("A", d, n) for d in (str(n), "shared")], "farm_id string, dataset_id string, v long")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: lake.write(make(n), root), range(4)))
+    got = sorted((r["dataset_id"], r["v"]) for r in lake.read(spark, root).collect())
+    assert [x for x in got if x[0] != "shared"] == [(str(n), n) for n in range(4)]
+    assert len([x for x in got if x[0] == "shared"]) == 1  # one whole commit of it holds
+
+
+def test_silver_takes_what_is_new(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    make = lambda d, n: spark.createDataFrame([("A", d, f"2024-01-01 00:{k:02d}:00" if k else "no time", "train", "0", str(k)) for k in range(n)], "farm_id string, dataset_id string, time_stamp string, train_test string, status_type_id string, power string")
+    told = lambda: {r["dataset_id"]: (r["rows_in"], r["rows_out"], r["rows_dropped"]) for r in lake.to_silver(spark, bronze, silver).collect()}
+    writes = lambda: lake.live(spark, silver).select("write").distinct().count()
+    lake.write(make("1", 4), bronze)
+    assert told() == {"1": (4, 3, 1)} == told() and writes() == 1
+    lake.write(make("2", 6), bronze)
+    assert told() == {"1": (4, 3, 1), "2": (6, 5, 1)} and writes() == 2
+    lake.write(make("1", 9), bronze)  # changed in bronze
+    assert told() == {"1": (9, 8, 1), "2": (6, 5, 1)} and lake.read(spark, silver).count() == 13
+
+
+def test_header_longer_than_a_block(spark, tmp_path):
+    names = ["time_stamp", "train_test", "status_type_id", *[f"sensor_{k}_°" for k in range(3000)]]
+    (tmp_path / "w.csv").write_text("\n".join([",".join(names), ",".join(["2024-01-01", "train", "0"] + ["1"] * 3000)]))
+    path = str(tmp_path / "w.csv")
+    assert lake.headers(spark, [path], 64)[path] == (",".join(names), ",")
+
+
 def test_classified_columns(spark):
     df = spark.createDataFrame([(1.0,) * 7], "power_30_avg double, power_29_avg double, reactive_power_1 double, wind_speed_3_avg double, wind_speed_4_avg double, sensor_0_avg double, sensor_1 double")
     desc = spark.createDataFrame([(0, "power_29", "Possible grid power", "FALSE", "no"), (1, "power_30", "Grid power", "FALSE", "no"), (2, "wind_speed_4", "Estimated windspeed", "FALSE", "no"), (3, "wind_speed_3", "Windspeed", "FALSE", "no"), (4, "sensor_0", "Wind direction", "TRUE", "no"), (5, "sensor_1", "Count", "FALSE", "yes")], "ordinal int, sensor_name string, description string, is_angle string, is_counter string")

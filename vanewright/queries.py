@@ -108,6 +108,50 @@ def silver_report(spark: SparkSession, sf: str) -> DataFrame:
     return lake.to_silver(spark, bronze, shared_path(spark, "silver"))
 
 
+def _raw_files(spark: SparkSession, sf: str) -> str:
+    """A folder of twenty raw CSV files 0.csv ... 19.csv of all events: by turns with commas and semicolons, other headers
+    and another order of columns; a line of each 97 has a field too many."""
+    df = spark.read.parquet(f"{sf}/events.parquet").withColumn("d", F.col("user_id") % 20)
+    odd = F.col("d") % 2 == 1
+    sep, extra = F.when(odd, ";").otherwise(","), F.when(F.col("event_id") % 97 == 0, "9")
+    kind, user, value = F.col("event_type"), F.col("user_id").cast("string"), F.col("value").cast("string")
+    line = F.when(odd, F.concat_ws(";", value, kind, F.lit("0"), F.lit("train"), F.col("ts").cast("string"), user, extra)).otherwise(F.concat_ws(",", F.col("ts").cast("string"), F.lit("train"), F.lit("0"), user, value, kind, extra))
+    first = df.select("d", sep.alias("sep")).distinct().select("d", F.lit(-1).cast("long").alias("n"), F.when(F.col("sep") == ";", "power;événement;status;split;Timestamp;wt_id").otherwise("time_stamp,train_test,status_type_id,asset_id,power,événement").alias("value"))
+    rows = df.select("d", F.col("event_id").alias("n"), line.alias("value")).unionByName(first)
+    root = shared_path(spark, "raw")
+    rows.repartition("d").sortWithinPartitions("d", "n").select("d", "value").write.partitionBy("d").text(f"{root}/lines")
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path_of(f"{root}/files"))
+    for r in lake.files(spark, f"{root}/lines", "part-*").collect():  # twenty names
+        fs.rename(path_of(r["path"]), path_of(f"{root}/files/{r['path'].split('/d=')[1].split('/')[0]}.csv"))
+    return f"{root}/files"
+
+
+@query("SELECT 'A' AS farm_id, CAST(user_id % 20 AS VARCHAR) AS dataset_id, count(*) AS n_rows, count(*) FILTER (WHERE event_id % 97 = 0) AS n_corrupt, CAST(NULL AS VARCHAR) AS error FROM events GROUP BY user_id % 20", readings=False)
+def raw_to_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw CSV files to a bronze layer."""
+    return lake.ingest(spark, _raw_files(spark, sf), shared_path(spark, "bronze"), "A")
+
+
+@query("""SELECT 'A' AS farm_id, CAST(user_id % 20 AS VARCHAR) AS dataset_id, count(*) AS n_rows, round(sum(value), 3) AS power, count(DISTINCT user_id) AS n_assets, count(DISTINCT event_type) AS n_kinds FROM events WHERE event_id % 97 <> 0 GROUP BY user_id % 20""", readings=False)
+def raw_to_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw CSV files through bronze to silver, read again."""
+    bronze, silver = shared_path(spark, "bronze"), shared_path(spark, "silver")
+    lake.ingest(spark, _raw_files(spark, sf), bronze, "A")
+    lake.to_silver(spark, bronze, silver)
+    out = lake.read(spark, bronze, episodes="n_rows > 0").where(f"{lake.CORRUPT} is null").groupBy("farm_id", "dataset_id").agg(F.count_distinct("événement").alias("n_kinds"))
+    kept = lake.read(spark, silver).groupBy("farm_id", "dataset_id").agg(F.count("*").alias("n_rows"), F.sum("power").alias("power"), F.count_distinct("asset_id").alias("n_assets"))
+    return rounded(kept.join(out, ["farm_id", "dataset_id"]), 3)
+
+
+@query("SELECT farm_id, CAST(dataset_id AS VARCHAR) AS dataset_id, count(*) AS n_rows, max(time_stamp) >= TIMESTAMP '2024-01-30 12:00:00' AS has_late FROM readings GROUP BY ALL HAVING max(time_stamp) >= TIMESTAMP '2024-01-30 00:00:00' AND count(*) > 60")
+def layer_episodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Episodes chosen by the manifest: those that reach into the last day and have more than 60 rows."""
+    df = lake.read(spark, _layer(spark, sf), episodes="last_ts >= '2024-01-30' and n_rows > 60")
+    return df.groupBy("farm_id", "dataset_id").agg(F.count("*").alias("n_rows"), (F.max("time_stamp") >= F.lit("2024-01-30 12:00:00").cast("timestamp")).alias("has_late"))
+
+
 def _layer(spark: SparkSession, sf: str) -> str:
     """A layer whose farms have different columns: A lacks sensor_4, B lacks sensor_1."""
     root, df = shared_path(spark, "layer"), src.load(spark, sf)

@@ -1,17 +1,22 @@
 """Files to layers: raw CSV to bronze, bronze to silver, silver to gold, and their readers.
 
-All datasets of a farm go in one job, partitioned by (farm_id, dataset_id); nothing loops over files on the driver, which
-sees file names only, as Spark's own file index does. A layer holds farms of different columns: the union of all columns
-written to it is kept beside it, and reads pass it as their schema.
+All datasets of a farm go in one job. The driver sees file names, header lines and manifests, as Spark's own file index does.
+
+A layer is a folder of Parquet files, each with whole runs of episodes in the order of their readings. Every write goes to a
+folder of its own and is committed by one manifest file, moved into place when all data are there: which episodes and times
+each file holds, how many rows, and the columns. The last commit of an episode holds; earlier ones are passed over. So a
+failed write shows nothing, writers of different episodes don't meet, and reads open only the files that their episodes and
+times are in. Layers hold farms of different columns: a read's schema is the union of those committed.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +27,8 @@ from vanewright.operators import conform, joins
 METADATA = ("event_info", "sensor", "description", "readme", "metadata")
 EVENT_FILES = ("comma_event_info.csv", "event_info.csv", "event_info.json", "metadata.json")
 CORRUPT = "_corrupt_record"
+#: Bytes of a file that are read for its header line; more only where the line is longer.
+FIRST = 1 << 14
 
 
 def dataset_id(path: Column) -> Column:
@@ -47,16 +54,35 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
     return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("dataset_id", "path", "folder")
 
 
-def probed(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, header, sep, encoding): each file's first line, the commoner of comma and semicolon in it, and utf-8, or
-    latin-1 where a line is not valid UTF-8. One pass over the lines, summed by file before the shuffle."""
-    order = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
-    lines = spark.read.text(paths).select("value", _plain(F.col("_metadata.file_path")).alias("path"), order.alias("order"))
-    head = lines.groupBy("path").agg(F.min_by(F.col("value").cast("binary"), "order").alias("raw"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    raw = F.when(F.col("utf8"), F.decode("raw", "UTF-8")).otherwise(F.decode("raw", "ISO-8859-1"))
-    header = F.regexp_replace(raw, "^\uFEFF|\r$", "")
-    count = lambda ch: F.length("header") - F.length(F.replace("header", F.lit(ch), F.lit("")))
-    return head.select("path", header.alias("header"), F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding")).withColumn("sep", F.when(count(";") > count(","), ";").otherwise(","))
+def headers(spark: SparkSession, paths: list[str], first: int = FIRST) -> dict[str, tuple[str, str]]:
+    """path -> (header line, separator): the first line, read from each file's first block alone, and the commoner of comma
+    and semicolon in it. A line that is not valid UTF-8 is latin-1."""
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+
+    def one(path: str) -> tuple[str, str]:
+        stream = (p := path_of(path)).getFileSystem(conf).open(p)
+        try:
+            raw, more, size = b"", b"-", first
+            while b"\n" not in raw and more:
+                raw += (more := bytes(stream.readNBytes(size)))
+                size *= 8
+        finally:
+            stream.close()
+        line = raw.split(b"\n")[0].removesuffix(b"\r")
+        try:
+            header = line.decode("utf-8-sig")
+        except UnicodeDecodeError:
+            header = line.decode("latin-1")
+        return header, ";" if header.count(";") > header.count(",") else ","
+
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(paths, pool.map(one, paths), strict=True))
+
+
+def not_utf8(spark: SparkSession, paths: list[str]) -> set[str]:
+    """The files of which a line is not valid UTF-8."""
+    lines = spark.read.text(paths).select("value", _plain(F.col("_metadata.file_path")).alias("path"))
+    return {r["path"] for r in lines.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("ok")).where("not ok").collect()} if paths else set()
 
 
 def names_of(header: str, sep: str) -> list[str]:
@@ -70,19 +96,21 @@ def names_of(header: str, sep: str) -> list[str]:
     return out
 
 
-def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_csv(spark: SparkSession, paths: list[str], encoding: str | None = None, heads: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Files of any separator, encoding and order of columns as one table by column names, all text, with dataset_id.
 
     Files with one header line are one scan with that header as the schema. Lines with a field too many or too few stay,
-    with their text in _corrupt_record.
+    with their text in _corrupt_record. encoding: None finds out by a pass of its own which files are not UTF-8.
     """
+    heads = heads or headers(spark, paths)
+    odd = not_utf8(spark, paths) if encoding is None else set()
     groups: dict[tuple[str, str, str], list[str]] = {}
-    for r in probed(spark, paths).collect():
-        groups.setdefault((r["header"] or "", r["sep"], r["encoding"]), []).append(r["path"])
+    for p in paths:
+        groups.setdefault((*heads[p], encoding or ("ISO-8859-1" if p in odd else "UTF-8")), []).append(p)
     out = None
-    for (header, sep, encoding), own in sorted(groups.items()):
+    for (header, sep, code), own in sorted(groups.items()):
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names_of(header, sep), CORRUPT]])
-        df = spark.read.schema(schema).options(header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True).csv(own)
+        df = spark.read.schema(schema).options(header=True, sep=sep, encoding=code, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True).csv(own)
         df = df.select(*[F.col(f"`{c}`") for c in df.columns], dataset_id(_plain(F.col("_metadata.file_path"))).alias("dataset_id"))
         df = conform.canonical(df)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
@@ -94,109 +122,169 @@ def ingest(spark: SparkSession, raw: str, bronze: str, farm: str, force: bool =
 
     Returns (farm_id, dataset_id, n_rows, n_corrupt, error), a row for each file taken up. A file without a readable header
     or without a required column is left out and told in ``error``; the others go on. Files of no bytes are not seen.
+
+    Raw bytes are read once, as UTF-8, besides each header's first block, and go to bronze without a shuffle. Only where
+    the writing job has seen characters that stand for bytes outside UTF-8 are their files looked at again, and those that
+    are not UTF-8 as a whole read and committed anew as latin-1.
     """
     found = discover(spark, raw).withColumn("farm_id", F.lit(farm))
     todo = joins.unprocessed(found, done(spark, bronze), force)
-    paths = [r["path"] for r in todo.select("path").collect()]  # names of the files of one farm
-    none = "farm_id string, dataset_id string, n_rows long, n_corrupt long, error string"
-    if not paths:
-        return spark.createDataFrame([], none)
-    good, bad = [], []
-    for r in probed(spark, paths).collect():
-        have = {c.strip().lower() for c in names_of(r["header"] or "", r["sep"])}
+    named = {r["dataset_id"]: r["path"] for r in todo.select("dataset_id", "path").collect()}  # files of one farm
+    heads = headers(spark, list(named.values()))
+    good, bad = {}, []
+    for dataset, path in named.items():
+        have = {c.strip().lower() for c in names_of(*heads[path])}
         missing = [c for c in conform.REQUIRED if have.isdisjoint(conform.ALIASES[c])]
-        good += [] if missing else [r["path"]]
-        bad += [(farm, r["path"], f"missing columns {', '.join(missing)}")] if missing else []
-    errors = spark.createDataFrame(bad, "farm_id string, path string, error string")
-    errors = errors.select("farm_id", dataset_id(F.col("path")).alias("dataset_id"), F.lit(0).cast("long").alias("n_rows"), F.lit(0).cast("long").alias("n_corrupt"), "error")
+        if missing:
+            bad.append((farm, dataset, 0, 0, f"missing columns {', '.join(missing)}"))
+        else:
+            good[dataset] = path
+    errors = spark.createDataFrame(bad, "farm_id string, dataset_id string, n_rows long, n_corrupt long, error string")
     if not good:
         return errors
-    write(read_csv(spark, good).withColumn("farm_id", F.lit(farm)), bronze)
-    written = read(spark, bronze).where(F.col("farm_id") == farm).join(todo.select(*EPISODE), list(EPISODE), "left_semi")
-    counts = written.groupBy(*EPISODE).agg(F.count("*").alias("n_rows"), F.count(CORRUPT).alias("n_corrupt"))
-    return counts.withColumn("error", F.lit(None).cast("string")).unionByName(errors.join(counts, list(EPISODE), "left_anti"))
 
+    def written(paths: list[str], encoding: str) -> tuple[DataFrame, int]:
+        seen, df = Observation(), read_csv(spark, paths, encoding, heads).withColumn("farm_id", F.lit(farm))
+        odd = F.count_if(F.contains(F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns]), F.lit("\ufffd")))
+        write(df.observe(seen, odd.alias("odd")), bronze, cluster=False)
+        return df, seen.get["odd"]
+
+    df, odd = written(list(good.values()), "UTF-8")
+    if odd:
+        text_of = F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns])
+        again = [good[r["dataset_id"]] for r in df.where(F.contains(text_of, F.lit("\ufffd"))).select("dataset_id").distinct().collect()]
+        if latin := sorted(not_utf8(spark, again)):
+            written(latin, "ISO-8859-1")
+    own = live(spark, bronze).where(F.col("farm_id") == farm).join(spark.createDataFrame([(d,) for d in good], "dataset_id string"), "dataset_id", "left_semi")
+    counts = own.groupBy(*EPISODE).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_corrupt").alias("n_corrupt"))
+    return counts.withColumn("error", F.lit(None).cast("string")).unionByName(errors)
 
-def _schema_path(root: str) -> str:
-    return f"{root.rstrip('/')}.schema"
+
+_ENTRY = "version long, write string, farm_id string, dataset_id string, file string, n_rows long, n_corrupt long, first_ts string, last_ts string, n_columns int, n_bytes long, source string, schema string"
+
+
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """Every commit of a layer: a row for each (write, episode, file), and one a write that tells its schema; none before
+    the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_manifest")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], _ENTRY)
+    return spark.read.schema(_ENTRY).json(str(path))
+
+
+def live(spark: SparkSession, root: str) -> DataFrame:
+    """The (episode, file) rows that hold: those of each episode's last commit."""
+    last = Window.partitionBy(*EPISODE)
+    rows = commits(spark, root).where("dataset_id is not null").withColumn("_at", F.struct("version", "write"))
+    return rows.withColumn("_last", F.max("_at").over(last)).where("_at = _last").drop("_at", "_last", "schema")
 
 
 def layer_schema(spark: SparkSession, root: str) -> T.StructType | None:
-    """The union of all columns written to a layer; None before the first write."""
-    try:
-        return T.StructType.fromJson(json.loads(spark.read.option("wholetext", True).text(_schema_path(root)).first()[0]))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    """The union of all columns committed to a layer; None before the first write. Two types of one column are an error."""
+    told = [r["schema"] for r in commits(spark, root).where("schema is not null").select("version", "write", "schema").orderBy("version", "write").collect()]
+    return _merged(root, *[T.StructType.fromJson(json.loads(x)) for x in told]) if told else None
+
+
+def _merged(root: str, *schemas: T.StructType) -> T.StructType:
+    have: dict[str, T.StructField] = {}
+    for f in (f for s in schemas for f in s):
+        known = have.setdefault(f.name.lower(), T.StructField(f.name, f.dataType))
+        if known.dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {known.dataType.simpleString()} in {root}, not {f.dataType.simpleString()}")
+    return T.StructType(list(have.values()))
 
 
-def write(df: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Snappy Parquet, one folder an episode, readings in order; only the episodes at hand are replaced.
+def write(df: DataFrame, root: str, cluster: bool = True, sources: DataFrame | None = None) -> str:
+    """Add the episodes of a table to a layer, or put them in place of those that are there; the name of the write.
 
-    The layer's schema grows by new columns. A column that comes back with another type is an error.
+    cluster: rows are range-partitioned by episode first, into as many files as their size asks for; without it each task
+    writes the rows that it has, which suits tables that already come by episode. Either way files are sorted by episode
+    and time. sources: (farm_id, dataset_id, source) for the manifest, what an episode was made from.
     """
-    spark = df.sparkSession
+    spark, root, name = df.sparkSession, root.rstrip("/"), uuid.uuid4().hex
     df = df.withColumns({c: F.col(c).cast("string") for c in EPISODE})
-    known = layer_schema(spark, root) or T.StructType()
-    types = {f.name.lower(): f for f in known}
-    for f in df.schema:
-        if f.name.lower() in types and types[f.name.lower()].dataType != f.dataType:
-            raise ValueError(f"column {f.name} is {types[f.name.lower()].dataType.simpleString()} in {root}, not {f.dataType.simpleString()}")
-    merged = T.StructType([*known, *[T.StructField(f.name, f.dataType) for f in df.schema if f.name.lower() not in types]])
-    order = [c for c in ("time_stamp", "id") if c in df.columns]
-    df.repartition(*EPISODE).sortWithinPartitions(*EPISODE, *order).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*EPISODE).parquet(root)
-    if merged != known:
-        spark.createDataFrame([(merged.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(_schema_path(root))
-
-
-def read(spark: SparkSession, root: str, columns: Iterable[str] | None = None, where: Column | str | None = None, limit: int | None = None) -> DataFrame:
-    """A pruned scan: filters on farm_id and dataset_id choose folders, the others and the columns reach the files.
-
-    Columns that a farm lacks are NULL in its rows.
+    schema, known = df.schema, layer_schema(spark, root)
+    _merged(root, *([known] if known else []), schema)
+    order = [*EPISODE, *[c for c in ("time_stamp", "id") if c in df.columns]]
+    placed = df.repartitionByRange(*EPISODE) if cluster else df
+    placed.sortWithinPartitions(*order).write.partitionBy("farm_id").parquet(f"{root}/write={name}")
+    back = spark.read.schema(df.schema).parquet(f"{root}/write={name}")
+    stamp = [f("time_stamp").cast("string").alias(n) if "time_stamp" in df.columns else F.lit(None).cast("string").alias(n) for f, n in ((F.min, "first_ts"), (F.max, "last_ts"))]
+    # Only the columns named here are read again.
+    entries = back.groupBy(*EPISODE, _plain(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("size")).agg(
+        F.count("*").alias("n_rows"), (F.count(CORRUPT) if CORRUPT in df.columns else F.lit(0)).cast("long").alias("n_corrupt"), *stamp
+    )
+    entries = entries.join(sources.select(*EPISODE, "source"), list(EPISODE), "left") if sources is not None else entries.withColumn("source", F.lit(None).cast("string"))
+    share = F.floor(F.col("size") * F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy("path"))).cast("long")
+    version = (commits(spark, root).agg(F.max("version")).first()[0] or 0) + 1
+    told = [F.lit(version).cast("long").alias("version"), F.lit(name).alias("write")]
+    rows = entries.select(*told, *EPISODE, F.regexp_extract("path", f"write={name}/(.*)$", 1).alias("file"), "n_rows", "n_corrupt", "first_ts", "last_ts", F.lit(len(schema)).alias("n_columns"), share.alias("n_bytes"), "source")
+    rows = rows.unionByName(spark.range(1).select(*told, F.lit(schema.json()).alias("schema")), allowMissingColumns=True)
+    draft = f"{root}/_draft-{name}"
+    rows.coalesce(1).write.json(draft)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    [part] = [x.getPath() for x in fs.listStatus(path_of(draft)) if x.getPath().getName().startswith("part-")]
+    fs.mkdirs(path_of(f"{root}/_manifest"))
+    if not fs.rename(part, path_of(f"{root}/_manifest/{version:010d}-{name}.json")):
+        raise OSError(f"the write {name} of {root} could not be committed")
+    fs.delete(path_of(draft), True)
+    return name
+
+
+def read(spark: SparkSession, root: str, columns: Iterable[str] | None = None, where: Column | str | None = None, limit: int | None = None, episodes: DataFrame | Column | str | None = None) -> DataFrame:
+    """A pruned scan. episodes: (farm_id, dataset_id) rows, or a condition on the manifest (farm_id, dataset_id, first_ts
+    and last_ts as text, n_rows, ...) that chooses episodes, so only their files are opened; where: a condition on the rows, which with the columns reaches
+    the files. Columns that a farm lacks are NULL in its rows; a layer without a commit is an error.
     """
     schema = layer_schema(spark, root)
-    df = spark.read.schema(schema).parquet(root) if schema else spark.read.option("mergeSchema", True).parquet(root)
-    df = df if schema else df.withColumns({c: F.col(c).cast("string") for c in EPISODE})
+    if schema is None:
+        raise ValueError(f"no write was committed to {root}")
+    root, held = root.rstrip("/"), live(spark, root)
+    chosen = held if episodes is None else held.join(episodes, list(EPISODE), "left_semi") if isinstance(episodes, DataFrame) else held.where(episodes)
+    files = [f"{root}/write={r['write']}/{r['file']}" for r in chosen.select("write", "file").distinct().collect()]
+    names = [f.name for f in schema]
+    if files:
+        df = spark.read.schema(T.StructType([*schema, T.StructField("write", T.StringType())])).option("basePath", root).parquet(*sorted(files))
+        # Files also hold episodes that were not chosen, or written again since.
+        df = df.join(chosen.select("write", *EPISODE).distinct(), ["write", *EPISODE], "left_semi").select(*[F.col(f"`{n}`") for n in names])
+    else:
+        df = spark.createDataFrame([], schema)
     df = df if where is None else df.where(where)
     df = df if columns is None else df.select(*columns)
     return df if limit is None else df.limit(limit)
 
 
 def done(spark: SparkSession, root: str) -> DataFrame:
-    """(farm_id, dataset_id) of a layer, from the names of its folders; none when it does not exist yet."""
-    try:
-        names = files(spark, root, "*.parquet").select(*[F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in EPISODE])
-        return names.distinct()
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], "farm_id string, dataset_id string")
+    """(farm_id, dataset_id) of a layer, from its manifest; none when nothing was written yet."""
+    return live(spark, root).select(*EPISODE).distinct()
 
 
 def layer_report(spark: SparkSession, root: str) -> DataFrame:
-    """(farm_id, dataset_id, n_rows, n_columns, n_files, n_bytes) of a layer, for run reports; n_columns are those not all NULL."""
-    df = read(spark, root)
-    sizes = files(spark, root, "*.parquet").groupBy(*[F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in EPISODE]).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
-    held = F.filter(F.array(*[F.max(F.col(f"`{c}`").isNotNull()) for c in df.columns]), lambda x: x)
-    return df.groupBy(*EPISODE).agg(F.count("*").alias("n_rows"), F.size(held).alias("n_columns")).join(sizes, list(EPISODE))
+    """(farm_id, dataset_id, n_rows, n_columns, n_files, n_bytes) of a layer from its manifest, for run reports; n_columns are
+    those that the episode was written with, n_bytes its share of its files."""
+    return live(spark, root).groupBy(*EPISODE).agg(F.sum("n_rows").alias("n_rows"), F.max("n_columns").alias("n_columns"), F.count_distinct("write", "file").alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
 
 
-def to_silver(spark: SparkSession, bronze: str, silver: str, events: DataFrame | None = None) -> DataFrame:
-    """Clean all of bronze into silver and return (farm_id, dataset_id, rows_in, rows_out, rows_dropped).
+def to_silver(spark: SparkSession, bronze: str, silver: str, events: DataFrame | None = None, force: bool = False) -> DataFrame:
+    """Clean what bronze has and silver has not, and return (farm_id, dataset_id, rows_in, rows_out, rows_dropped) of all.
 
-    Lines that did not fit their header are left out, as are rows without a readable time.
+    An episode is done when silver holds it from the same write of bronze, unless forced. Lines that did not fit their
+    header are left out, as are rows without a readable time. Rows are cleaned where they are, without a shuffle, and
+    counted in the manifests.
     """
-    raw = read(spark, bronze)
-    clean = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
-    clean = no_nan(conform.readings(clean))
-    if events is not None:
-        ids = joins.with_events(clean.select(*EPISODE).distinct(), events)
-        clean = clean.join(ids, list(EPISODE), "left")
-    write(clean, silver)
-    a = raw.groupBy(*EPISODE).agg(F.count("*").alias("rows_in"))
-    b = read(spark, silver).groupBy(*EPISODE).agg(F.count("*").alias("rows_out"))
-    return a.join(b, list(EPISODE), "left").withColumn("rows_out", F.coalesce("rows_out", F.lit(0))).withColumn("rows_dropped", F.col("rows_in") - F.col("rows_out"))
+    have = live(spark, bronze).groupBy(*EPISODE).agg(F.max("write").alias("source"), F.sum("n_rows").alias("rows_in"))
+    made = live(spark, silver).select(*EPISODE, "source").distinct()
+    todo = have if force else have.join(made, [*EPISODE, "source"], "left_anti")
+    if not todo.isEmpty():
+        raw = read(spark, bronze, episodes=todo)
+        clean = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
+        clean = no_nan(conform.readings(clean))
+        if events is not None:
+            clean = clean.join(joins.with_events(todo.select(*EPISODE), events), list(EPISODE), "left")
+        write(clean, silver, cluster=False, sources=todo)
+    out = live(spark, silver).groupBy(*EPISODE).agg(F.sum("n_rows").alias("rows_out"))
+    return have.join(out, list(EPISODE), "left").select(*EPISODE, "rows_in", F.coalesce("rows_out", F.lit(0)).alias("rows_out")).withColumn("rows_dropped", F.col("rows_in") - F.col("rows_out"))
 
 
 def to_gold(features: DataFrame, metadata: DataFrame, root: str) -> None:
