@@ -71,10 +71,25 @@ def neighbour_overlaps(ranges: DataFrame) -> DataFrame:
 
 
 def all_overlaps(ranges: DataFrame) -> DataFrame:
-    """Per asset, every pair of ranges that share time."""
-    b = ranges.select("farm_id", "asset_id", F.col("dataset_id").alias("other"), F.col("start").alias("_s"), F.col("end").alias("_e"))
-    out = ranges.join(b, ["farm_id", "asset_id"]).where((F.col("dataset_id") < F.col("other")) & (F.col("start") < F.col("_e")) & (F.col("_s") < F.col("end")))
-    return out.select("farm_id", "asset_id", "dataset_id", "other", F.greatest("start", "_s").alias("overlap_start"), F.least("end", "_e").alias("overlap_end"))
+    """Per asset, every pair of ranges that share time.
+
+    A sweep in buckets: a range whose length is up to 2^k microseconds, but more than half of it, lies in one or two buckets
+    of that width. It meets the ranges of its class and of the shorter classes there, and a pair counts in the bucket of its
+    later start. So ranges of all lengths together cost some times as many comparisons as there are pairs, and no asset is
+    one task. Rows are at most twice the ranges for each class of length that the asset has.
+    """
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    level = F.ceil(F.log2(F.greatest(F.col("_e") - F.col("_s"), F.lit(1)).cast("double"))).cast("int")
+    r = ranges.select("farm_id", "asset_id", "dataset_id", "start", "end", us("start").alias("_s"), us("end").alias("_e")).where("_s is not null and _e is not null and _s <= _e").withColumn("_level", level)
+    placed = lambda d: d.withColumn("_bucket", F.explode(F.expr("sequence(shiftright(_s, _level), shiftright(_e, _level))")))
+    classes = r.groupBy("farm_id", "asset_id").agg(F.collect_set("_level").alias("_levels"))
+    short = r.join(classes, ["farm_id", "asset_id"]).withColumn("_own", F.col("_level")).withColumn("_level", F.explode(F.filter("_levels", lambda k: k >= F.col("_own")))).drop("_levels")
+    other = placed(short).select("farm_id", "asset_id", "_level", "_bucket", "_own", *[F.col(c).alias(f"_o{c}") for c in ("dataset_id", "start", "end", "_s", "_e")])
+    both = placed(r).join(other, ["farm_id", "asset_id", "_level", "_bucket"]).where((F.col("_s") < F.col("_o_e")) & (F.col("_o_s") < F.col("_e")) & (F.col("_bucket") == F.expr("shiftright(greatest(_s, _o_s), _level)")))
+    # Two ranges of one class meet twice, two of different classes once.
+    both = both.where(F.when(F.col("_own") == F.col("_level"), F.col("dataset_id") < F.col("_odataset_id")).otherwise(F.col("dataset_id") != F.col("_odataset_id")))
+    first, last = F.least("dataset_id", "_odataset_id"), F.greatest("dataset_id", "_odataset_id")
+    return both.select("farm_id", "asset_id", first.alias("dataset_id"), last.alias("other"), F.greatest("start", "_ostart").alias("overlap_start"), F.least("end", "_oend").alias("overlap_end"))
 
 
 def unprocessed(datasets: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:

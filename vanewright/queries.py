@@ -336,6 +336,18 @@ def range_overlaps_all(spark: SparkSession, sf: str) -> DataFrame:
     return _ntz(joins.all_overlaps(joins.training_ranges(src.load(spark, sf))))
 
 
+@query("""WITH r AS (SELECT l_suppkey, l_orderkey * 8 + l_linenumber AS id, CAST(l_shipdate AS TIMESTAMP) AS s, CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(l_quantity AS INTEGER) % 29 * (CASE WHEN l_orderkey % 50 = 0 THEN 20 ELSE 1 END)) AS e FROM lineitem)
+SELECT CAST(a.l_suppkey AS VARCHAR) AS asset_id, count(*) AS n_pairs, CAST(sum((epoch_us(least(a.e, b.e)) - epoch_us(greatest(a.s, b.s))) // 86400000000) AS BIGINT) AS days FROM r a JOIN r b ON a.l_suppkey = b.l_suppkey AND a.id < b.id AND a.s < b.e AND b.s < a.e GROUP BY a.l_suppkey""", readings=False)
+def shipment_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of a supplier's deliveries that share time, from none to more than a year long, and the days they share."""
+    d = spark.read.parquet(f"{sf}/lineitem.parquet")
+    days = F.col("l_quantity").cast("int") % 29 * F.when(F.col("l_orderkey") % 50 == 0, 20).otherwise(1)
+    start = F.col("l_shipdate").cast("date")
+    r = d.select(F.lit("A").alias("farm_id"), F.col("l_suppkey").cast("string").alias("asset_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("dataset_id"), start.cast("timestamp").alias("start"), F.date_add(start, days.cast("int")).cast("timestamp").alias("end"))
+    shared = F.expr("(unix_micros(overlap_end) - unix_micros(overlap_start)) div 86400000000")
+    return joins.all_overlaps(r).groupBy("asset_id").agg(F.count("*").alias("n_pairs"), F.sum(shared).alias("days"))
+
+
 def _ntz(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
 
@@ -921,6 +933,30 @@ def cross_farm_results(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(training.cross_farm(df, src.event_records(df), ["power", "wind_speed", *src.SENSORS], pairs, angles=["sensor_0"]))
 
 
+@query(f""", ends AS (SELECT farm_id, sensor, min(value) AS lo, max(value) AS hi FROM tall WHERE train_test = 'train' AND value IS NOT NULL GROUP BY ALL),
+b AS (SELECT t.farm_id, t.sensor, train_test, CAST(time_stamp AS DATE) AS day, CASE WHEN value < lo THEN 0 WHEN value > hi THEN 21 WHEN hi > lo THEN least(CAST(floor((value - lo) / ((hi - lo) / 20)) AS INTEGER) + 1, 20) ELSE 1 END AS bin
+  FROM tall t JOIN ends e ON t.farm_id = e.farm_id AND t.sensor = e.sensor WHERE value IS NOT NULL),
+r AS (SELECT farm_id, sensor, bin, count(*) AS r FROM b WHERE day < DATE '2024-01-22' GROUP BY ALL), cu AS (SELECT farm_id, sensor, day, bin, count(*) AS c FROM b WHERE day >= DATE '2024-01-22' GROUP BY ALL),
+t AS (SELECT * FROM (SELECT farm_id, sensor, day, sum(c) AS nc FROM cu GROUP BY ALL) JOIN (SELECT farm_id, sensor, sum(r) AS nr FROM r GROUP BY ALL) USING (farm_id, sensor)),
+s AS (SELECT t.farm_id, t.sensor, t.day, nr, nc, g.bin, coalesce(r, 0) / nr AS r, coalesce(c, 0) / nc AS c FROM t CROSS JOIN (SELECT unnest(generate_series(0, 21)) AS bin) g
+  LEFT JOIN r ON r.farm_id = t.farm_id AND r.sensor = t.sensor AND r.bin = g.bin LEFT JOIN cu ON cu.farm_id = t.farm_id AND cu.sensor = t.sensor AND cu.day = t.day AND cu.bin = g.bin),
+k AS (SELECT *, abs(sum(r) OVER w - sum(c) OVER w) AS gap FROM s WINDOW w AS (PARTITION BY farm_id, sensor, day ORDER BY bin))
+SELECT farm_id, sensor, CAST(day AS TIMESTAMP) AS day, CAST(any_value(nr) AS BIGINT) AS n_reference, CAST(any_value(nc) AS BIGINT) AS n_current, round(sum((greatest(c, 1e-4) - greatest(r, 1e-4)) * ln(greatest(c, 1e-4) / greatest(r, 1e-4))), 5) AS psi, round(max(gap), 5) AS ks FROM k GROUP BY farm_id, sensor, day""")
+def logged_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Each day of the last ones against the time before, from counts that a stream of the readings' files has logged."""
+    from vanewright.operators import drift
+    from vanewright.streaming import jobs
+
+    values = tall(spark, sf).select("farm_id", "sensor", "time_stamp", "value").repartition(4)
+    path, counts, checkpoint = (shared_path(spark, n) for n in ("values", "counts", "progress"))
+    values.write.parquet(path)
+    ends = stored(drift.edges(tall(spark, sf, conform.train)), "edges")
+    jobs.drift_log(jobs.source(spark, path, values.schema, maxFilesPerTrigger=2), ends, counts, checkpoint).awaitTermination()
+    day = F.lit("2024-01-22").cast("date")
+    found = drift.between(drift.logged(spark, counts), F.col("day") < day, F.col("day") >= day, "day")
+    return rounded(found).withColumn("day", F.col("day").cast("timestamp_ntz"))
+
+
 @query(", g AS (SELECT farm_id, date_trunc('day', time_stamp) AS day, count(*) AS n, round(avg(CASE WHEN power >= 150 THEN 1.0 ELSE 0 END), 6) AS anomaly_rate, round(avg(power), 4) AS mean_score FROM readings GROUP BY ALL) SELECT * FROM g")
 def daily_monitoring(spark: SparkSession, sf: str) -> DataFrame:
     from vanewright.streaming import jobs

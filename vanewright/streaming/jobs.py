@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from vanewright.operators import conform
+from vanewright.operators import conform, drift
 from vanewright.plans.detectors import Fitted
 
 
@@ -127,3 +127,13 @@ def inference_log(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
     return df.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(append).start()
+
+
+def drift_log(df: DataFrame, ends: DataFrame, path: str, checkpoint: str, bins: int = drift.BINS, keys: tuple[str, ...] = drift.KEYS) -> StreamingQuery:
+    """Each micro-batch of tall values (keys, time_stamp, value) counted by day and bin and added to the log of counts, once
+    whatever restarts; see ``drift``. ``ends``: a table of the reference's bounds, read anew by each batch."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        drift.log(drift.day_counts(batch, ends, bins, keys), path, number)
+
+    return df.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(add).start()
