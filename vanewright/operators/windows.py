@@ -107,6 +107,18 @@ def _rolling_arrays(name: str, x: np.ndarray, sizes: Iterable[int], angle: bool)
     return out
 
 
+def ordered_arrays(columns: dict[str, np.ndarray], sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10) -> dict[str, np.ndarray]:
+    """Rolling statistics of one episode's ordered columns, differences and lags of the first ``top`` sensors, by name."""
+    shifted = lambda x, n: np.concatenate([np.full(min(n, len(x)), np.nan), x[: max(0, len(x) - n)]])
+    out: dict[str, np.ndarray] = {}
+    for c in sensors:
+        out |= _rolling_arrays(c, columns[c], sizes, c in set(angles))
+    for c in sensors[:top]:
+        out[f"{c}_diff"] = columns[c] - shifted(columns[c], 1)
+        out |= {f"{c}_lag{n}": shifted(columns[c], n) for n in steps}
+    return out
+
+
 def ordered_wide(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10) -> DataFrame:
     """What ``rolling``, ``differences`` and ``lags`` (of the first ``top`` sensors) add, for any number of sensors."""
     angles, sizes, steps = set(angles), tuple(sizes), tuple(steps)
@@ -114,19 +126,7 @@ def ordered_wide(df: DataFrame, sensors: list[str], angles: Iterable[str] = (),
     added = [f"{c}_roll{n}_{k}" for n in sizes for c in sensors for k in kinds(c)]
     added += [f"{c}_diff" for c in sensors[:top]] + [f"{c}_lag{n}" for n in steps for c in sensors[:top]]
 
-    def shifted(x: np.ndarray, n: int) -> np.ndarray:
-        return np.concatenate([np.full(min(n, len(x)), np.nan), x[: max(0, len(x) - n)]])
-
-    def work(columns: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        out: dict[str, np.ndarray] = {}
-        for c in sensors:
-            out |= _rolling_arrays(c, columns[c], sizes, c in angles)
-        for c in sensors[:top]:
-            out[f"{c}_diff"] = columns[c] - shifted(columns[c], 1)
-            out |= {f"{c}_lag{n}": shifted(columns[c], n) for n in steps}
-        return out
-
-    return _by_episode(df, sensors, added, work)
+    return _by_episode(df, sensors, added, lambda columns: ordered_arrays(columns, sensors, angles, sizes, steps, top))
 
 
 def differences(df: DataFrame, columns: Iterable[str]) -> DataFrame:

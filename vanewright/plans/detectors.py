@@ -338,5 +338,45 @@ def sequence_autoencoder(train: DataFrame, rows: DataFrame, features: list[str],
     return fit_sequence_autoencoder(train, features, keys, **options).score(rows)
 
 
+@dataclass
+class Local:
+    """One fitted model as arrays, for tasks that score few rows at a time."""
+
+    features: list[str]
+    median: np.ndarray
+    mean: np.ndarray
+    std: np.ndarray
+    directions: np.ndarray | None = None
+    forest: _Forest | None = None
+    offset: float = 0.0
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """Scores of rows of ``features``, missing ones as NaN."""
+        z = (np.where(np.isnan(x), self.median, x) - self.mean) / self.std
+        return residuals(z, self.directions) if self.forest is None else self.forest.raw(z) - self.offset
+
+
+def local(fitted: Fitted, most: int = 1000) -> dict[str, Local]:
+    """Model name -> ``Local`` of a fitted forest or linear autoencoder; more than ``most`` models are an error."""
+    if fitted.kind == "sequence_autoencoder":
+        raise ValueError("a sequence detector scores sequences, not single rows")
+    scaler = fitted.tables["scaler"].limit(most + 1).collect()
+    if len(scaler) > most:
+        raise ValueError(f"more than {most} models")
+    array = lambda v: np.array(v, np.float64)
+    out = {r["model"]: Local(fitted.features, array(r["median"]), array(r["mean"]), array(r["std"])) for r in scaler}
+    if fitted.kind == "linear_autoencoder":
+        for r in fitted.tables["directions"].collect():
+            out[r["model"]].directions = array(r["w"])
+        return {m: v for m, v in out.items() if v.directions is not None}
+    trees: dict[str, list] = {}
+    for r in fitted.tables["trees"].collect():
+        trees.setdefault(r["model"], []).append(r.asDict())
+    offsets = {r["model"]: r["offset"] for r in fitted.tables["offset"].collect()}
+    for m, own in trees.items():
+        out[m].forest, out[m].offset = _Forest(sorted(own, key=lambda t: t["tree"])), offsets[m]
+    return {m: v for m, v in out.items() if v.forest is not None}
+
+
 DETECTORS = {"isolation_forest": fit_isolation_forest, "linear_autoencoder": fit_linear_autoencoder, "sequence_autoencoder": fit_sequence_autoencoder}
 SCORERS = {"isolation_forest": _score_forest, "linear_autoencoder": _score_autoencoder, "sequence_autoencoder": _score_autoencoder}
