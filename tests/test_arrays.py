@@ -146,7 +146,7 @@ def test_residuals_of_blocks(spark):
     assert detectors.residuals(x, w, last=4) == pytest.approx(((x - back)[:, -4:] ** 2).mean(axis=1))
     fitted = spark.createDataFrame([("m", w.tolist()), ("other", w.tolist())], "model string, w array<array<double>>")
     z = table(spark, x).withColumn("id", F.monotonically_increasing_id())
-    got = detectors.scored(z, fitted, lambda m, f: detectors.residuals(m, np.array(f[0]["w"])), "score", rows=9)
+    got = detectors.scored(z, fitted, lambda m, f: detectors.residuals(m, vectors.matrix(f["w"].combine_chunks().flatten())), "score", rows=9)
     assert sorted(r["score"] for r in got.collect()) == pytest.approx(sorted(((x - back) ** 2).mean(axis=1)))
 
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,24 +175,25 @@ def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int
 class _Forest:
     """Trees side by side in flat arrays: an end leads to itself, so all trees take the same number of steps."""
 
-    def __init__(self, trees: list[dict]):
-        sizes = [len(t["feature"]) for t in trees]
-        self.roots = np.cumsum([0, *sizes[:-1]])
-        flat = lambda c, kind: np.concatenate([np.asarray(t[c], kind) for t in trees])
-        base = np.repeat(self.roots, sizes)
-        feature, own = flat("feature", np.int64), np.arange(sum(sizes))
-        ends = feature < 0
+    def __init__(self, trees: pa.Table):
+        trees = trees.sort_by("tree").combine_chunks()  # one order of adding up
+        flat = lambda c, kind: trees[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind)
+        sizes = pc.list_value_length(trees["feature"]).to_numpy()
+        self.roots = np.cumsum([0, *sizes[:-1]]).astype(np.int32)
+        base, feature = np.repeat(self.roots, sizes), flat("feature", np.int32)
+        own, ends = np.arange(len(feature), dtype=np.int32), feature < 0
         self.feature, self.cut, self.depth = np.where(ends, 0, feature), np.where(ends, np.inf, flat("cut", np.float64)), flat("depth", np.float64)
-        self.next = np.stack([np.where(ends, own, base + flat("left", np.int64)), np.where(ends, own, base + flat("right", np.int64))], axis=1).ravel()
-        self.steps = max(1, math.ceil(math.log2(max(2, max(int(t["psi"]) for t in trees)))))
-        self.norm = max(float(average_path(float(np.mean([t["psi"] for t in trees])))), 1e-9)
+        self.next = np.stack([np.where(ends, own, base + flat("left", np.int32)), np.where(ends, own, base + flat("right", np.int32))], axis=1).ravel()
+        psi = trees["psi"].to_numpy()
+        self.steps = max(1, math.ceil(math.log2(max(2, int(psi.max())))))
+        self.norm = max(float(average_path(float(psi.mean()))), 1e-9)
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         """2^(-E[path length] / c(psi))."""
         out, n, p = np.zeros(len(x)), len(self.roots), x.shape[1]
         for a in range(0, len(x), 256):
             part = np.ascontiguousarray(x[a : a + 256])
-            start = (np.arange(len(part)) * p)[:, None]
+            start = (np.arange(len(part), dtype=np.int32) * np.int32(p))[:, None]
             node = np.broadcast_to(self.roots, (len(part), n)).copy()
             for _ in range(self.steps):
                 goes = part.ravel().take(start + self.feature.take(node)) > self.cut.take(node)
@@ -200,7 +202,7 @@ class _Forest:
         return 2.0 ** (-(out / n) / self.norm)
 
 
-def scored(x: DataFrame, fitted: DataFrame, score: Callable[[np.ndarray, list[dict]], np.ndarray], out: str, rows: int = 20_000) -> DataFrame:
+def scored(x: DataFrame, fitted: DataFrame, score: Callable[[np.ndarray, pa.Table], np.ndarray], out: str, rows: int = 20_000) -> DataFrame:
     """Replace x by ``out``, what ``score(rows of x as a matrix, the model's rows of ``fitted``)`` gives.
 
     Rows of a model are dealt into blocks that each meet a copy of what was fitted, so a model with most of the rows is no
@@ -214,7 +216,7 @@ def scored(x: DataFrame, fitted: DataFrame, score: Callable[[np.ndarray, list[di
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         if not (a.num_rows and b.num_rows):
             a = a.slice(0, 0)
-        got = score(arrays.matrix(a["x"].combine_chunks()), b.to_pylist()) if a.num_rows else np.zeros(0)
+        got = score(arrays.matrix(a["x"].combine_chunks()), b) if a.num_rows else np.zeros(0)
         return a.select(names).append_column(out, pa.array(got, pa.float64()))
 
     schema = ", ".join(f"`{c}` {dict(x.dtypes)[c]}" for c in names) + f", {out} double"
@@ -223,7 +225,7 @@ def scored(x: DataFrame, fitted: DataFrame, score: Callable[[np.ndarray, list[di
 
 def score_forest(x: DataFrame, forest: DataFrame, rows: int = 20_000) -> DataFrame:
     """Add raw = 2^(-E[depth] / c(psi))."""
-    return scored(x, forest, lambda m, trees: _Forest(sorted(trees, key=lambda t: t["tree"])).raw(m), "raw", rows)  # one order of adding up
+    return scored(x, forest, lambda m, trees: _Forest(trees).raw(m), "raw", rows)
 
 
 def fit_isolation_forest(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION) -> Fitted:
@@ -327,7 +329,7 @@ def _score_autoencoder(f: Fitted, rows: DataFrame) -> DataFrame:
     z = preprocessed(vectors(rows, f.features, f.keys), f.tables["scaler"])
     z = _sequenced(z, f.options["steps"]) if f.options["steps"] > 1 else z
     last = len(f.features) if f.options["steps"] > 1 else None
-    return scored(z, f.tables["directions"], lambda x, fitted: residuals(x, np.array(fitted[0]["w"], np.float64), last), "score")
+    return scored(z, f.tables["directions"], lambda x, fitted: residuals(x, arrays.matrix(fitted["w"].combine_chunks().flatten()), last), "score")
 
 
 def linear_autoencoder(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), **options) -> DataFrame:
@@ -369,12 +371,10 @@ def local(fitted: Fitted, most: int = 1000) -> dict[str, Local]:
         for r in fitted.tables["directions"].collect():
             out[r["model"]].directions = array(r["w"])
         return {m: v for m, v in out.items() if v.directions is not None}
-    trees: dict[str, list] = {}
-    for r in fitted.tables["trees"].collect():
-        trees.setdefault(r["model"], []).append(r.asDict())
+    trees = fitted.tables["trees"].toArrow()
     offsets = {r["model"]: r["offset"] for r in fitted.tables["offset"].collect()}
-    for m, own in trees.items():
-        out[m].forest, out[m].offset = _Forest(sorted(own, key=lambda t: t["tree"])), offsets[m]
+    for m in pc.unique(trees["model"]).to_pylist():
+        out[m].forest, out[m].offset = _Forest(trees.filter(pc.equal(trees["model"], m))), offsets[m]
     return {m: v for m, v in out.items() if v.forest is not None}
 
 
