@@ -4,6 +4,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from vanewright.functions import columns as c
 from vanewright.operators import windows
@@ -89,3 +90,11 @@ def test_expressions(spark):
     df = spark.createDataFrame([("68.0", "nan", "2024-3-5", "Yes", 0.0), ("x", "inf", "05-03-2024 07:08", "0", 0.5), (None, "2.5", "03/05/2024", None, 0.75), (" 7 ", "", "31-02-2024 01:00", "1", None)], "a string, b string, d string, t string, w double")
     got = df.select(c.whole("a"), c.number("b"), c.event_time("d").cast("string"), c.truth("t"), c.wind_bin("w")).collect()
     assert [tuple(r) for r in got] == [(68, None, "2024-03-05 00:00:00", True, None), (None, None, "2024-03-05 07:08:00", False, 0), (None, 2.5, None, False, 1), (7, None, None, True, None)]
+
+
+def test_masking_keeps_types_on_both_sides_of_the_switch(spark):
+    df = frame(spark, [0.0] * 7 + [3.0, 0.0, 5.0], "x").select("*", F.col("x").cast("int").alias("i"), ((F.col("x") != 0).cast("long") * ((1 << 60) + 1)).alias("l"), F.col("x").cast("float").alias("f"), F.when(F.col("x") != 3, F.col("x").cast("decimal(9,2)")).alias("d"))
+    few, many = (windows.mask_zero_runs(df, ["x", "i", "l", "f", "d"], wide=w) for w in (12, 1))
+    assert few.dtypes == many.dtypes == df.dtypes
+    rows = lambda d: sorted(map(str, d.collect()))
+    assert rows(few) == rows(many) and few.where("l is null and i is null and f is null and d is null").count() == 7 and few.where(f"l = {(1 << 60) + 1}").count() == 2

@@ -167,11 +167,17 @@ def _zero_runs(x: np.ndarray, least: int) -> np.ndarray:
 def mask_zero_runs(df: DataFrame, columns: Iterable[str], least: int = 6, keep: Iterable[str] = (), wide: int = 12) -> DataFrame:
     """NULL for exact zeros in runs of ``least`` or more; NULL breaks a run; columns in ``keep`` (power, wind) stay.
 
-    Beyond ``wide`` columns they are masked episode by episode in numpy, as doubles."""
+    Beyond ``wide`` columns they are masked episode by episode in numpy; every column keeps its type either way."""
     todo = [c for c in columns if c not in set(keep)]
     if len(todo) > wide:
-        df = df.withColumns({c: F.col(c).cast("double") for c in todo})
-        return _by_episode(df, todo, todo, lambda v: {c: _zero_runs(x, least) for c, x in v.items()}, replace=True)
+        kinds = {f.name: f.dataType for f in df.schema}
+        # Only floats go through numpy; of the others, such as longs beyond 2^53, it finds where they are masked.
+        marks = {c: f"_zero_{k}" for k, c in enumerate(todo) if not isinstance(kinds[c], (T.DoubleType, T.FloatType))}
+        seen = df.withColumns({m: F.when(F.col(c) == 0, 0.0).when(F.col(c).isNotNull(), 1.0) for c, m in marks.items()} | {c: F.col(c).cast("double") for c in todo if c not in marks})
+        own = [marks.get(c, c) for c in todo]
+        out = _by_episode(seen, own, own, lambda v: {c: _zero_runs(x, least) for c, x in v.items()}, replace=True)
+        back = lambda c: F.when(F.col(marks[c]).isNotNull(), F.col(c)).alias(c) if c in marks else F.col(c).cast(kinds[c]).alias(c) if c in todo else F.col(c)
+        return out.select(*map(back, df.columns))
     marked = _nested(df, {f"_z_{c}": F.coalesce(F.col(c) == 0, F.lit(False)) for c in todo}, least, episode())
     return marked.select(*[F.when(F.col(f"_z_{c}") == 0, F.col(c)).alias(c) if c in todo else F.col(c) for c in df.columns])
 

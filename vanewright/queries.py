@@ -914,6 +914,25 @@ def batch_events(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.detected_events(run["flags"]))
 
 
+@query(""", m AS (SELECT farm_id, avg(power) AS ap, stddev_pop(power) AS sp, avg(wind_speed) AS aw, stddev_pop(wind_speed) AS sw, corr(power, wind_speed) AS r FROM normal GROUP BY farm_id)
+SELECT farm_id, dataset_id, id, round(pow((power - ap) / sp - sign(r) * (wind_speed - aw) / sw, 2) / 4, 4) + 0.0 AS score FROM readings JOIN m USING (farm_id) WHERE train_test = 'prediction'""")
+def stored_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Prediction rows scored by a detector that was fitted, saved and loaded. Of two standardised features the leading
+    direction is (1, 1) or (1, -1), by the sign of their correlation, so SQL has the error too."""
+    df, root = src.load(spark, sf), shared_path(spark, "model")
+    detectors.fit_linear_autoencoder(df.where(c.training_normal()), ["power", "wind_speed"], ("farm_id",), size=1).save(root)
+    return rounded(detectors.Fitted.load(spark, root).score(conform.prediction(df)).select(*KEYS, "score"), 4)
+
+
+@query()
+def stored_strategy_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Prediction rows through a whole strategy that was fitted, saved and loaded: features, scores, thresholds, flags."""
+    df, root = src.load(spark, sf), shared_path(spark, "strategy")
+    training.fit(df, ["power", "wind_speed", *src.SENSORS], "farm", "linear_autoencoder", angles=["sensor_0"]).save(root)
+    flags = training.Trained.load(spark, root).score(df)
+    return rounded(conform.prediction(flags).select(*KEYS, "model", "score", "flag"))
+
+
 @query()
 def model_registry(spark: SparkSession, sf: str) -> DataFrame:
     return serving.models(_trained(spark, sf, "farm", "linear_autoencoder")["registry"])
