@@ -226,3 +226,9 @@ def test_conforming(spark):
     assert {r["column"] for r in conform.flagged_columns(cols, d).collect()} == {"angle_avg", "angle"}
     assert {r["column"] for r in conform.primary_statistic(cols).collect()} == {"angle_avg", "angles"}
     assert windows.numbered(frame(spark, [1.0, 2.0])).count() == 2
+
+
+def test_small_pools_are_refused(spark, sf):
+    df = src.load(spark, sf).where("dataset_id = 2")
+    with pytest.raises(ValueError, match="at least 50"):
+        training.fit(df, ["power"], "farm", "linear_autoencoder", names=["power"])

@@ -20,6 +20,9 @@ from vanewright.session import stored
 #: One model an episode, a farm, or for everything. Models of more than one asset get sensors normalised by asset.
 STRATEGIES: dict[str, tuple[str, ...]] = {"turbine": EPISODE, "farm": ("farm_id",), "global": ()}
 
+#: Normal training rows that a model of several episodes needs at least, all together.
+LEAST_POOL = 50
+
 
 def split(feats: DataFrame, share: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """(fit, validation): per episode the last share of its normal training rows validates; episodes under two rows go."""
@@ -27,6 +30,15 @@ def split(feats: DataFrame, share: float = 0.2) -> tuple[DataFrame, DataFrame]:
     return rows.where(~F.col("is_validation")), rows.where("is_validation")
 
 
+def model_sizes(feats: DataFrame, keys: tuple[str, ...], least_rows: int = 2) -> DataFrame:
+    """(model, n_rows, too_few) of every model that readings ask for: the rows that the split leaves to fit it, and whether
+    they are fewer than ``least_rows``."""
+    fit, _ = split(feats)
+    named = detectors.vectors(fit.select(*META), [], keys).groupBy("model").agg(F.count("*").alias("n_rows"))
+    wanted = detectors.vectors(feats.select(*META), [], keys).select("model").distinct()
+    return wanted.join(named, "model", "left").select("model", F.coalesce("n_rows", F.lit(0)).alias("n_rows")).withColumn("too_few", F.col("n_rows") < least_rows)
+
+
 def flagged(scores: DataFrame, limits: DataFrame, least: int = 6) -> DataFrame:
     """Scores with flags of runs at the model's threshold or above."""
     rows = scores.join(limits, "model")
@@ -92,13 +104,13 @@ def _fit(feats: DataFrame, refs: dict[str, DataFrame], sensors: list[str], strat
     keys = STRATEGIES[strategy]
     if names is None:
         names = _selected(feats)
+    if strategy != "turbine":
+        stats.guarded(feats.where(training_normal()), LEAST_POOL, "pooled normal training rows")
     fit, held = split(feats)
-    named = detectors.vectors(fit.select(*META), [], keys).groupBy("model").agg(F.count("*").alias("n_rows"))
-    wanted = detectors.vectors(feats.select(*META), [], keys).select("model").distinct()
-    sizes = stored(wanted.join(named, "model", "left").select("model", F.coalesce("n_rows", F.lit(0)).alias("n_rows")), "sizes")
-    failed = sizes.where(F.col("n_rows") < least_rows).withColumn("error", F.concat_ws(" ", F.lit("fewer than"), F.lit(str(least_rows)), F.lit("normal training rows")))
+    sizes = stored(model_sizes(feats, keys, least_rows), "sizes")
+    failed = sizes.where("too_few").drop("too_few").withColumn("error", F.concat_ws(" ", F.lit("fewer than"), F.lit(str(least_rows)), F.lit("normal training rows")))
     if not failed.isEmpty():
-        ok = sizes.where(F.col("n_rows") >= least_rows).select("model")
+        ok = sizes.where("not too_few").select("model")
         name = detectors.model_name(keys)
         fit, held = (d.withColumn("model", name).join(ok, "model", "left_semi").drop("model") for d in (fit, held))
     stats.guarded(fit, 1, "normal training rows of models that can be fitted")

@@ -621,6 +621,36 @@ def gold_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.gold(src.load(spark, sf), src.SENSORS, ["sensor_0"])[0]
 
 
+def _gold_sql() -> str:
+    """The whole gold pass but for the angle's circular statistics, of which ``rolling_circular`` has SQL."""
+    sensors, linear = ["power", "wind_speed", *src.SENSORS], ["power", "wind_speed", *src.SENSORS[1:]]
+    last = lambda n: f"OVER ({W} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    eroded = ", ".join(f"CASE WHEN sum(CASE WHEN {x} = 0 THEN 1 ELSE 0 END) {last(6)} = 6 THEN 1 ELSE 0 END AS e_{x}" for x in src.SENSORS)
+    masked = ", ".join(f"CASE WHEN max(e_{x}) OVER ({W} ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) = 0 THEN {x} END AS {x}" for x in src.SENSORS)
+    out = {x: x for x in ("expected_power", *sensors)}
+    out |= {"power_residual": "power - expected_power", "power_residual_pct": "(power - expected_power) / nullif(expected_power, 0) * 100"}
+    for n in windows.WINDOWS:
+        for x in linear:
+            enough = f"CASE WHEN count({x}) {last(n)} >= {max(2, n // 3)} THEN"
+            out |= {f"{x}_roll{n}_mean": f"{enough} avg({x}) {last(n)} END", f"{x}_roll{n}_std": f"{enough} stddev_samp({x}) {last(n)} END"}
+    for x in sensors:
+        out |= {f"{x}_diff": f"{x} - lag({x}) OVER ({W})"} | {f"{x}_lag{n}": f"lag({x}, {n}) OVER ({W})" for n in windows.LAGS}
+    day, hour = "(isodow(time_stamp) - 1) / 7.0", "(hour(time_stamp) + minute(time_stamp) / 60.0) / 24"
+    out |= {f"{n}_{f}": f"{f}(2 * pi() * {x})" for n, x in (("hour", hour), ("dow", day)) for f in ("sin", "cos")}
+    cells = ", ".join(f"round(CAST(CAST({v} AS FLOAT) AS DOUBLE), 3) + 0.0 AS {k}" for k, v in out.items())
+    return f"""{_CURVE.replace("farm_id, asset_id", "farm_id, dataset_id")}, e AS (SELECT *, {eroded} FROM readings), m AS (SELECT * EXCLUDE ({", ".join(f"e_{x}" for x in src.SENSORS)}) REPLACE ({masked}) FROM e),
+o AS (SELECT m.*, expected_power FROM m LEFT JOIN curve c ON m.farm_id = c.farm_id AND m.dataset_id = c.dataset_id AND wind_bin = CASE WHEN wind_speed > 0 THEN CAST(ceil(wind_speed / 0.5) - 1 AS INTEGER) END)
+SELECT farm_id, dataset_id, id, CASE WHEN status_type_id IN (0, 2) THEN 0 ELSE 1 END AS label, {cells} FROM o"""
+
+
+@query(_gold_sql())
+def gold_values(spark: SparkSession, sf: str) -> DataFrame:
+    """All features of the gold pass but the angle's circular ones, as the layer's single-precision floats."""
+    df = gold_features(spark, sf)
+    names = [n for n in df.columns if n not in (*c.META, "label") and "_circ" not in n]
+    return df.select(*KEYS, F.col("label").cast("int").alias("label"), *[(F.round(F.col(n).cast("double"), 3) + F.lit(0.0)).alias(n) for n in names])
+
+
 def wide_readings(spark: SparkSession, sf: str, sensors: int = 79) -> tuple[DataFrame, list[str]]:
     """Readings with as many sensors as a whole farm has: sums of the readings' own values and a wave of the row's id."""
     df = src.load(spark, sf)
@@ -770,6 +800,17 @@ def validation_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     return validation.verdict(_checks(spark, sf))
 
 
+@query("""SELECT farm_id, dataset_id, 'required_columns' AS name, false AS passed, 'ERROR' AS severity, 'status_type_id,train_test' AS message FROM readings GROUP BY ALL UNION ALL
+  SELECT farm_id, dataset_id, 'column_count', false, 'WARNING', '13 of 14' FROM readings GROUP BY farm_id, dataset_id UNION ALL SELECT farm_id, dataset_id, 'schema_drift', false, 'WARNING', '+extra,-status_type_id,-train_test' FROM readings GROUP BY farm_id, dataset_id UNION ALL
+  SELECT farm_id, dataset_id, 'timestamps', bad = 0, CASE WHEN bad < 0.01 * n THEN 'WARNING' ELSE 'ERROR' END, bad || ' of ' || n FROM (SELECT farm_id, dataset_id, count(*) FILTER (WHERE id % 101 = 0) AS bad, count(*) AS n FROM readings GROUP BY ALL)""")
+def validation_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Checks of a table that lacks columns, has another one and times that no reader takes."""
+    whole = src.load(spark, sf)
+    df = whole.drop("train_test", "status_type_id").withColumns({"extra": F.lit(1), "time_stamp": F.when(F.col("id") % 101 != 0, F.col("time_stamp").cast("string")).otherwise("31/02/2024")})
+    found = [validation.columns_present(df), validation.column_count(df, 14), validation.schema_drift(df, whole), validation.times_parse(df)]
+    return selection.pooled(found)
+
+
 @query(f"{_FAULTY} SELECT * FROM checks")
 def validation_report(spark: SparkSession, sf: str) -> DataFrame:
     return _checks(spark, sf)
@@ -873,6 +914,13 @@ def sliding_monitoring(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("farm_id", F.col("window.start").cast("timestamp_ntz").alias("start"), "n", F.round("anomaly_rate", 6).alias("anomaly_rate"))
 
 
+@query("""SELECT farm_id || '/' || dataset_id AS model, CAST(CASE WHEN n >= 2 THEN n - greatest(1, floor(0.2 * n)) ELSE 0 END AS BIGINT) AS n_rows, CASE WHEN n >= 2 THEN n - greatest(1, floor(0.2 * n)) ELSE 0 END < 20 AS too_few
+  FROM (SELECT r.farm_id, r.dataset_id, count(n.id) AS n FROM readings r LEFT JOIN normal n ON r.farm_id = n.farm_id AND r.dataset_id = n.dataset_id AND r.id = n.id GROUP BY ALL)""")
+def model_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that fit each episode's model, and those of under 20."""
+    return training.model_sizes(src.load(spark, sf), ("farm_id", "dataset_id"), 20)
+
+
 @query()
 def failed_models(spark: SparkSession, sf: str) -> DataFrame:
     """Episode models that have too few rows to be fitted, beside those that were."""
