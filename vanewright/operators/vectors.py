@@ -224,9 +224,30 @@ def _picked(counted: DataFrame, sizes: dict, shares: list[float]) -> DataFrame:
     return counted.groupBy("model", "share", "position").applyInArrow(pick, "model string, share int, position int, value double, missed boolean")
 
 
+def _decided(kept: DataFrame, shares: list[float], wide: float) -> DataFrame:
+    """(model, stripe, sure, n, lo, hi): of each sketch either the percentiles, as lo, or brackets around their ranks; arrays
+    by share, then position. Sketches stay where they are; what they come to is a few numbers a position."""
+    brackets = _brackets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                sure = not any(row["noise"])
+                found = _exact(row, shares) if sure else brackets(row, shares, wide)
+                lo, hi = ([[float(found[k][s][e]) for k in range(len(found))] for s in range(len(shares))] for e in (0, 1))
+                out.append((row["model"], row["stripe"], sure, row["n"], lo, hi))
+            if out:
+                nested = pa.list_(pa.list_(pa.float64()))
+                kinds = (pa.string(), pa.int32(), pa.bool_(), pa.list_(pa.float64()), nested, nested)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["model", "stripe", "sure", "n", "lo", "hi"])
+
+    return kept.mapInArrow(run, "model string, stripe int, sure boolean, n array<double>, lo array<array<double>>, hi array<array<double>>")
+
+
 def percentiles(x: DataFrame, shares: list[float]) -> tuple[DataFrame, DataFrame] | None:
     """((model, stripe, rows, n, mean, dev), (model, share, position, value)): moments and exact percentiles by position,
-    linear between ranks; None where models times positions are more than CELLS (see ``stats.exact_percentiles`` then).
+    linear between ranks; None where more than CELLS positions need a second pass (see ``stats.exact_percentiles`` then).
 
     One pass sketches every position: of each block of rows a systematic sample of its sorted values, from which a bracket
     around each wanted rank follows. Where a sketch holds all values (small models) that is the value. A second pass counts
@@ -234,45 +255,46 @@ def percentiles(x: DataFrame, shares: list[float]) -> tuple[DataFrame, DataFrame
     bracket that misses its rank, which the counts show, is made wider until none does, so results are exact.
     """
     kept = summaries(x)
-    size = kept.agg(F.count_distinct("model"), F.sum(F.size("n"))).first()
     moments = kept.select("model", "stripe", "rows", "n", "mean", "dev")
-    values = "model string, share int, position int, value double"
-    spark = x.sparkSession
-    if (size[1] or 0) > CELLS:
+    first = _decided(kept, shares, 1.0)
+    at = first.where("sure").select("model", "stripe", F.posexplode("lo").alias("share", "v")).select("model", "share", "stripe", F.posexplode("v").alias("k", "value"))
+    out = at.where(~F.isnan("value")).select("model", "share", (F.col("stripe") * STRIPE + F.col("k")).alias("position"), "value")
+    left, wide = first.where("not sure"), 1.0
+    if (left.agg(F.sum(F.size("n"))).first()[0] or 0) > CELLS:
         return None
-    rows = kept.collect()  # CELLS positions at most
-    sure, open_rows = [], []
-    for r in rows:
-        (sure if not any(r["noise"]) else open_rows).append(r)
-    cells = [(r["model"], s, r["stripe"] * STRIPE + k, float(v)) for r in sure for k, v, s in _exact(r, shares)]
-    out = spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(zip(*cells, strict=True), (pa.string(), pa.int32(), pa.int32(), pa.float64()), strict=True)], names=["model", "share", "position", "value"]), values) if cells else spark.createDataFrame([], values)
-    wide = 1.0
-    while open_rows:
-        positions = max(r["stripe"] * STRIPE + len(r["n"]) for r in open_rows)
+    rows = left.collect()  # 8 + 16 bytes a share for each of CELLS positions at most
+    while rows:
+        positions = max(r["stripe"] * STRIPE + len(r["n"]) for r in rows)
         brackets, sizes = {}, {}
-        for r in open_rows:
-            lo, hi = brackets.setdefault(r["model"], (np.full((len(shares), positions), np.nan), np.full((len(shares), positions), np.nan)))
-            n = sizes.setdefault(r["model"], np.zeros(positions))
-            for k, own in enumerate(_brackets(r.asDict(), shares, wide)):
-                n[r["stripe"] * STRIPE + k] = r["n"][k]
-                for s, (a, b) in enumerate(own):
-                    lo[s, r["stripe"] * STRIPE + k], hi[s, r["stripe"] * STRIPE + k] = a, b
+        for r in rows:
+            own = slice(r["stripe"] * STRIPE, r["stripe"] * STRIPE + len(r["n"]))
+            ends = brackets.setdefault(r["model"], tuple(np.full((len(shares), positions), np.nan) for _ in range(2)))
+            sizes.setdefault(r["model"], np.zeros(positions))[own] = r["n"]
+            for e, name in zip(ends, ("lo", "hi"), strict=True):
+                e[:, own] = np.array(r[name], np.float64)
         found = stored(_picked(_counted(x, brackets, positions), sizes, shares), "percentiles")
         missed = {(r["model"], r["position"] // STRIPE) for r in found.where("missed").select("model", "position").distinct().collect()}
-        again = [r for r in open_rows if (r["model"], r["stripe"]) in missed]
-        redone = spark.createDataFrame([(r["model"], r["stripe"]) for r in again], "model string, stripe int")
-        good = found.withColumn("stripe", F.floor(F.col("position") / STRIPE).cast("int")).join(F.broadcast(redone), ["model", "stripe"], "left_anti") if again else found
-        out = out.unionByName(good.select("model", "share", "position", "value"))
-        open_rows, wide = again, wide * 8
+        if missed:
+            wide *= 8
+            redone = x.sparkSession.createDataFrame(sorted(missed, key=str), "model string, stripe int")
+            same = lambda d: (d["model"].eqNullSafe(redone["model"])) & (d["stripe"] == redone["stripe"])
+            found = found.withColumn("stripe", F.floor(F.col("position") / STRIPE).cast("int"))
+            found = found.join(redone, same(found), "left_anti")
+            rows = _decided(kept.join(redone, same(kept), "left_semi"), shares, wide).collect()
+        else:
+            rows = []
+        out = out.unionByName(found.select("model", "share", "position", "value"))
     return moments, out
 
 
-def _exact(row, shares: list[float]) -> Iterator[tuple[int, float, int]]:
-    """(position in the stripe, value, share) of a sketch that holds every value."""
+def _exact(row: dict, shares: list[float]) -> list[list[tuple]]:
+    """For each position and share the percentile, twice, of a sketch that holds every value; NaN where there is none."""
+    out = []
     for k, n in enumerate(row["n"]):
-        if n:
-            v = np.asarray(row["points"][k])
-            for s, share in enumerate(shares):
-                at = share * (n - 1)
-                a, b = v[int(np.floor(at))], v[int(np.ceil(at))]
-                yield k, a + (b - a) * (at - np.floor(at)), s
+        v, own = np.asarray(row["points"][k], np.float64), []
+        for share in shares:
+            at = share * (n - 1)
+            a, b = (v[int(np.floor(at))], v[int(np.ceil(at))]) if n else (np.nan, np.nan)
+            own.append((a + (b - a) * (at - np.floor(at)),) * 2)
+        out.append(own)
+    return out
