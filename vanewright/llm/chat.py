@@ -181,13 +181,15 @@ def turns(text: str) -> Iterator[tuple[str, str]]:
         at = m.end()
 
 
-def read_back(pieces: DataFrame, digest: Callable = hashlib.sha256) -> DataFrame:
+def read_back(pieces: DataFrame, together: bool = False, digest: Callable = hashlib.sha256) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of what ``formatted`` wrote.
 
-    Digests run over a conversation's pieces in order, one at a time, so memory is bounded by a piece.
+    Digests run over a conversation's pieces in order, one at a time, so memory is bounded by a piece. together: the pieces
+    of each conversation follow one another in one task already, as ``formatted`` gives conversations of one block.
     """
     kind = dict(pieces.dtypes)["conv_id"]
-    rows = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "block", "piece").select("conv_id", "formatted", "loss")
+    rows = pieces if together else pieces.repartition("conv_id").sortWithinPartitions("conv_id", "block", "piece")
+    rows = rows.select("conv_id", "formatted", "loss")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
@@ -236,7 +238,10 @@ def op12(conversations: DataFrame) -> DataFrame:
     conv, said = PROBE
     probe = conversations.sparkSession.range(2).select(F.lit(conv).cast(dict(conversations.dtypes)["conv_id"]).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(probe)
-    return read_back(formatted(rows))
+    # Conversations of one block are read back where they were formatted; ids and turns alone tell which are longer.
+    long = rows.where(~F.coalesce(F.col("turn").between(0, BLOCK - 1), F.lit(False))).select(F.col("conv_id").alias("long_id")).distinct()
+    same = rows["conv_id"].eqNullSafe(long["long_id"])
+    return read_back(formatted(rows.join(long, same, "left_anti")), together=True).unionByName(read_back(formatted(rows.join(long, same, "left_semi"))))
 
 
 def _sql() -> str:
