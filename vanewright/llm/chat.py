@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vanewright.llm.common import materialise
+
 #: The template's control strings. Each starts with < or [; none starts within another one's first character.
 CONTROLS = ("[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<ROLE>>", "<</ROLE>>", "<s>", "</s>")
 #: Marks by kind of turn: before the role, between role and text, behind the text. Only kind 3 writes its role.
@@ -238,8 +240,9 @@ def op12(conversations: DataFrame) -> DataFrame:
     conv, said = PROBE
     probe = conversations.sparkSession.range(2).select(F.lit(conv).cast(dict(conversations.dtypes)["conv_id"]).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(probe)
-    # Conversations of one block are read back where they were formatted; ids and turns alone tell which are longer.
-    long = rows.where(~F.coalesce(F.col("turn").between(0, BLOCK - 1), F.lit(False))).select(F.col("conv_id").alias("long_id")).distinct()
+    # Conversations of one block are read back where they were formatted; ids and turns alone tell which are longer. Their
+    # ids are written, so that Spark knows how few they are and broadcasts them, or else joins by a shuffle.
+    long = materialise(rows.where(~F.coalesce(F.col("turn").between(0, BLOCK - 1), F.lit(False))).select(F.col("conv_id").alias("long_id")).distinct(), "chat-long")
     same = rows["conv_id"].eqNullSafe(long["long_id"])
     return read_back(formatted(rows.join(long, same, "left_anti")), together=True).unionByName(read_back(formatted(rows.join(long, same, "left_semi"))))
 
