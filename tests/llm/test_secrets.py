@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from vanewright.llm import secrets
 
@@ -33,6 +34,26 @@ def test_against_plain_search(spark):
         assert [tuple(s) for s in r["secrets"]] == brute(texts[r["doc_id"]]), texts[r["doc_id"]]
 
 
+def test_many_matches_in_one_text(spark):
+    text = "0123456789abcdef " * 200_000 + "token=" + "q" * 12
+    start = time.time()
+    (row,) = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    took = time.time() - start
+    assert [tuple(s) for s in row["secrets"]] == brute(text) and took < 60
+
+
+def test_only_ascii_letters_have_two_cases(spark, documents):
+    import duckdb
+
+    texts = ["\u017fecret=abcdefghijklmnop", "to\u212aen=abcdefghijklmnop", "SeCrEt=abcdefghijklmnop", "tOkEn: 'abcdefghijklmnop"]
+    docs = documents([(k, t, "en", "a") for k, t in enumerate(texts)])
+    got = sorted(tuple(r) for r in secrets.op1(docs).collect())
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toPandas())
+    assert [r[1] for r in got] == [0, 0, 1, 1] and got == sorted(con.sql(secrets.SQL).fetchall())
+    assert [brute(t) != [] for t in texts] == [False, False, True, True]
+
+
 def test_odd_rows(odd, nothing):
     rows = secrets.op1(odd).collect()
     assert len(rows) == 11 and all(r["spans"] == "" and r["n_hex"] == 0 for r in rows)

@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 import re._constants as rc
 import re._parser as rp
 from dataclasses import dataclass
@@ -32,9 +33,14 @@ class Rule:
     base: bool = False
 
 
+def _either(words: str) -> str:
+    """The expression with ASCII letters in either case. A flag would fold other letters too in some engines (\u017f to s)."""
+    return re.sub("[a-z]", lambda m: f"[{m[0]}{m[0].upper()}]", words)
+
+
 #: The three base rules of the contract, then the rules that the scan adds.
 RULES = (
-    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2, True),
+    Rule("assign", "(" + _either("password|passwd|secret|token|api_?key") + ")" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2, True),
     Rule("access", r"AKIA[A-Z0-9]+", 18, 0, True),
     Rule("hex", r"[0-9a-f]+", 16, 0, True),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
@@ -132,21 +138,20 @@ def spans(text: Column, rule: Rule, number: int) -> Column:
 
     Each piece is what lies between two matches and the match; \\G ties a piece to the end of the one before it.
     """
-    whole = r"\G(?s)(.*?)(" + rule.pattern + ")"
-    nothing = F.array().cast("array<struct<start:int,number:int,end:int>>")
-    cut = F.arrays_zip(
-        F.transform(F.regexp_extract_all(text, F.lit(whole), F.lit(1)), F.char_length).alias("gap"),
-        F.transform(F.regexp_extract_all(text, F.lit(whole), F.lit(2)), F.char_length).alias("size"),
-        F.transform(F.regexp_extract_all(text, F.lit(whole), F.lit(2 + rule.of)), F.char_length).alias("part"),
-    )
+    whole = F.lit(r"\G(?s)(.*?)(" + rule.pattern + ")")
+    sizes = lambda group: F.transform(F.regexp_extract_all(text, whole, F.lit(group)), F.char_length)
+    parts = {"end": running(sizes(0)), "size": sizes(2)} | ({"part": sizes(2 + rule.of)} if rule.of else {})
+    lasting = F.filter(F.arrays_zip(*[c.alias(k) for k, c in parts.items()]), lambda m: m["part" if rule.of else "size"] >= rule.least)
+    found = F.transform(lasting, lambda m: F.struct((m["end"] - m["size"]).alias("start"), F.lit(number).alias("number"), m["end"].alias("end")))
+    return F.when(text.rlike(_quick(rule)), found).otherwise(F.array().cast("array<struct<start:int,number:int,end:int>>"))
 
-    def step(acc: Column, piece: Column) -> Column:
-        start = acc["at"] + piece["gap"]
-        end = start + piece["size"]
-        found = F.array(F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(piece["part"] >= rule.least, F.concat(acc["found"], found)).otherwise(acc["found"]).alias("found"))
 
-    return F.when(text.rlike(_quick(rule)), F.aggregate(cut, F.struct(F.lit(0).alias("at"), nothing.alias("found")), step, lambda acc: acc["found"])).otherwise(nothing)
+def running(numbers: Column) -> Column:
+    """Running sums of an array. Each round adds what stands 1, 2, 4, ... places before, so n numbers cost n log n steps;
+    a fold that appends to an array would copy it for each of them."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(1)).cast("double"))).cast("int"))
+    shifted = lambda acc, k: F.transform(acc, lambda x, i: x + F.coalesce(F.get(acc, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)))
+    return F.aggregate(rounds, numbers, shifted)
 
 
 def _quick(rule: Rule) -> str:
@@ -164,8 +169,9 @@ def _free(name: str, taken: list[str]) -> str:
 def scan(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Add ``secrets``: array of (start, kind number in ``rules``, end), sorted.
 
-    Null texts count as empty and hold nothing. Repeated rows get equal results, an empty table gives an empty one. An
-    input column ``secrets`` is replaced; other columns stay, whatever their names.
+    Null texts count as empty and hold nothing. Texts of any length are scanned whole, in time near their length and number
+    of matches. Repeated rows get equal results, an empty table gives an empty one. An input column ``secrets`` is replaced;
+    other columns stay, whatever their names.
     """
     sure = {r.kind for r in rules if trigram_query(r.pattern) is None}
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "secrets"])
