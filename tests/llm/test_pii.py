@@ -77,14 +77,15 @@ def test_tagger_on_held_out_rows(spark, sf):
         assert set(text) <= set(r["spans"].split(","))
 
 
-def test_windows_without_a_digit_or_at_sign_add_nothing(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    model = pii.fit(docs, sample=300, steps=150).start()
-    texts = [r["text"] for r in docs.where(pii.held_out("doc_id")).limit(150).collect()] + ["no digits here " * 400, ("word " * 200 + "me (at) home (dot) org ") * 3]
-    known = [pii.base(t) for t in texts]
-    some = model.found(texts, known)
-    model.everywhere = True
-    assert model.found(texts, known) == some
+def test_every_window_of_every_text_is_tagged(monkeypatch):
+    model = pii.Model(Tagger(pii.SYMBOLS, 9)).start()
+    seen = []
+    fast = model.tagger.fast
+    monkeypatch.setattr(model.tagger, "fast", lambda codes: seen.append(codes.shape[1]) or fast(codes))
+    for size in (0, 1, 5_000, 290_000, 310_000, 620_000):
+        seen.clear()
+        model.tagged(["plain words " * (size // 12 + 1)][: size > 0])
+        assert sum(seen) == (len(pii._starts((size // 12 + 1) * 12)) if size else 0)
 
 
 def slow_tags(model, text):
@@ -106,19 +107,30 @@ def test_whole_texts_have_one_best_path(monkeypatch):
     tagger.p["trans"] = rng.standard_normal((9, 9)).astype(np.float32)
     tagger.p["out"] *= 6
     tagger.p["bias"][0] = 4
-    model = pii.Model(tagger, everywhere=True).start()
-    texts = ["".join(random.choice("ab 12@.é+") for _ in range(n)) for n in (1, 40, 255, 256, 257, 900, 3000)]
+    model = pii.Model(tagger).start()
+    texts = ["".join(random.choice("ab 12@.é+") for _ in range(n)) for n in (1, 40, pii.LONG - 1, pii.LONG, pii.LONG + 1, 2 * pii.LONG, 5000)]
     want = [slow_tags(model, t) for t in texts]
     assert sum(map(len, want)) > 100 and model.tagged(texts) == want
     model.margin = float("inf")
     assert model.tagged(texts) == want
-    codes = [model.table[np.frombuffer(t.encode("utf-32-le"), np.uint32)] for t in texts]
-    monkeypatch.setattr(pii, "TOGETHER", 3)
-    model.margin = tagger.margin()
-    for a, (t, c) in enumerate(zip(texts, codes, strict=True)):  # the way of very long texts
-        one, many = model._open(a, c), model._open_many([(a, c)])
-        assert [(k, s, e.shape) for k, s, e in one] == [(k, s, e.shape) for k, s, e in many]
-        assert all(np.allclose(x[2], y[2], atol=1e-4) for x, y in zip(one, many, strict=True))
+    model.margin, model.bounds = tagger.margin(), (1e9, 1e9, 1e9)
+    assert model.tagged(texts) == want
+    model.bounds = tagger.bounds()
+    for held in (1, 2, 3):  # texts cut over several rounds
+        monkeypatch.setattr(pii, "HELD", held)
+        assert model.tagged(texts) == want
+
+
+def test_the_query_finds_what_the_plain_tagger_finds(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) < 4000")
+    model = pii.fit(docs, steps=150).start()
+    texts = {r["doc_id"]: r["text"] for r in docs.where(pii.held_out("doc_id")).collect()}
+    rows = pii.find(docs, model).where(pii.held_out("doc_id")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        known = pii.base(texts[r["doc_id"]])
+        want = model._checked(texts[r["doc_id"]], slow_tags(model, texts[r["doc_id"]]), known)
+        assert [tuple(x) for x in r["extra"]] == [(pii.KINDS[k], a, b) for k, a, b in sorted(want)]
 
 
 def test_tagger_finds_written_out_addresses(spark):

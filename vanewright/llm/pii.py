@@ -2,16 +2,17 @@
 
 The base patterns give labelled spans on a bounded sample of texts. Copies of these spans are rewritten into forms the
 patterns miss (``(at)`` for @, phones without +), so that the tagger learns them too. In inference every text is gone
-through whole in overlapping windows (those whose spans no check could pass need no tagging): emissions are averaged where windows overlap, more weight on their middles, and each text
-has one global best path. Where the tag "outside" leads by more than transitions can outweigh, every best path has it, so
-the path is only computed between such places. Spans the tagger adds keep off base spans and must pass their kind's check
-(Luhn, octets, digits).
+through whole in overlapping windows, every one of which is tagged: emissions are averaged where windows overlap, more
+weight on their middles, and each text has one global best path. Where no stretch of other tags could score more than
+"outside" throughout, every best path is outside, so the path is only computed between such places. Spans the tagger adds
+keep off base spans and must pass their kind's check (Luhn, octets, digits).
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -21,8 +22,8 @@ from vanewright.llm.bilstm_crf import Tagger, viterbi
 from vanewright.llm.common import append, held_out, id_text
 
 KINDS = ("email", "ip", "card", "phone")
-#: Length of training windows; length and step of windows in inference; windows, and characters of texts, tagged together.
-WIDTH, LONG, STEP, TOGETHER, PART = 96, 384, 336, 512, 300_000
+#: Length of training windows; length and step of windows in inference; windows tagged together; windows held at once.
+WIDTH, LONG, STEP, TOGETHER, HELD = 96, 768, 720, 512, 1024
 _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # A match can't start inside a run of digits: it would have started at the run's first.
@@ -93,22 +94,18 @@ def _codes() -> np.ndarray:
 
 
 SYMBOLS = 99
-#: Symbols of which every span that passes its check holds one.
-_HOLDS = np.isin(np.arange(SYMBOLS), _codes()[[ord(c) for c in "0123456789@(["]])
 
 
 class Model:
-    """``everywhere``: tag also the windows whose spans no check would pass, see ``_worth``."""
-
-    def __init__(self, tagger: Tagger | None, everywhere: bool = False):
-        self.tagger, self.everywhere = tagger, everywhere
+    def __init__(self, tagger: Tagger | None):
+        self.tagger = tagger
 
     def start(self) -> Model:
         self.table = _codes()
         self.weight = (1.0 - np.abs(np.linspace(-1, 1, LONG)) * 0.9).astype(np.float32)[:, None]
         if self.tagger is not None:
             self.tagger.ready()
-            self.margin = self.tagger.margin()
+            self.margin, self.bounds = self.tagger.margin(), self.tagger.bounds()
         return self
 
     def found(self, texts: list[str | None], known: list[list[Span]]) -> list[list[Span]]:
@@ -118,21 +115,18 @@ class Model:
         return [self._checked(t or "", x, y) for t, x, y in zip(texts, self.tagged(texts), known, strict=True)]
 
     def tagged(self, texts: list[str | None]) -> list[list[Span]]:
-        """Spans of each text's best path. Texts are gone through in parts of bounded size."""
+        """Spans of each text's best path. Texts of all lengths are gone through alike, ``HELD`` windows at a time."""
         out: list[list[Span]] = [[] for _ in texts]
-        part: list[tuple[int, np.ndarray]] = []
+        runs: list[tuple[int, int, np.ndarray]] = []
         size = 0
-        for k, t in enumerate(texts):
-            if t:
-                part.append((k, self.table[np.frombuffer(t.encode("utf-32-le"), np.uint32)]))
-                size += len(t)
-            if part and (size > PART or k + 1 == len(texts)):
-                for at, codes in part:
-                    if len(codes) > PART:
-                        self._decode(self._open(at, codes), out)
-                self._decode(self._open_many([(at, codes) for at, codes in part if len(codes) <= PART]), out)
-                part, size = [], 0
-        return out
+        for run in self._runs((k, self.table[np.frombuffer(t.encode("utf-32-le"), np.uint32)]) for k, t in enumerate(texts) if t):
+            runs.append(run)
+            size += len(run[2])
+            if size > 1_000_000:
+                self._decode(runs, out)
+                runs, size = [], 0
+        self._decode(runs, out)
+        return [sorted(spans, key=lambda s: s[1]) for spans in out]
 
     def _decode(self, runs: list[tuple[int, int, np.ndarray]], out: list[list[Span]]) -> None:
         """Add the spans of the best path through each run (text, first position, emissions)."""
@@ -165,78 +159,47 @@ class Model:
                 out[k] = e[i, : len(windows[k])]
         return out
 
-    def _open_many(self, texts: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, np.ndarray]]:
-        """Runs of places that are not certainly outside, with the certain ones beside them, of whole texts."""
-        cut = [(n, a) for n, (_, codes) in enumerate(texts) for a in self._worth(codes)]
-        made = self._emissions([texts[n][1][a : a + LONG] for n, a in cut])
-        runs, at = [], 0
-        for n, (k, codes) in enumerate(texts):
-            total = np.zeros((len(codes), self.tagger.p["bias"].size), np.float32)
-            share = np.zeros((len(codes), 1), np.float32)
-            while at < len(cut) and cut[at][0] == n:
-                a, e = cut[at][1], made[at]
-                total[a : a + len(e)] += e * self.weight[: len(e)]
-                share[a : a + len(e)] += self.weight[: len(e)]
-                at += 1
-            untagged = share[:, 0] == 0
-            total[untagged], total[untagged, 0], share[untagged] = -1e9, 0, 1
-            runs += self._runs(k, total / share)
-        return runs
-
-    def _worth(self, codes: np.ndarray) -> list[int]:
-        """Starts of the windows to tag: those that hold a digit, @ or bracket, and their neighbours.
-
-        Every span that passes its check holds one of these, so a span that the other windows alone could tag would be
-        dropped; what is found is what tagging every window finds.
-        """
-        starts = _starts(len(codes))
-        if not self.everywhere:
-            seen = np.concatenate([[0], np.cumsum(_HOLDS[codes])])
-            own = [seen[min(len(codes), a + LONG)] > seen[a] for a in starts]
-            starts = [a for k, a in enumerate(starts) if any(own[max(0, k - 1) : k + 2])]
-        return starts
-
-    def _open(self, k: int, codes: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-        """The same for one very long text, some windows at a time; only places that are open are kept."""
-        starts = _starts(len(codes))
+    def _runs(self, texts: Iterable[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Runs (text, first position, emissions) of places that are not certainly outside, with the certain ones beside them."""
         tags = self.tagger.p["bias"].size
-        kept: list[tuple[int, np.ndarray]] = []
-        over = (np.zeros((0, tags), np.float32), np.zeros((0, 1), np.float32))  # what the next windows still add to
-        for a in range(0, len(starts), TOGETHER):
-            own = starts[a : a + TOGETHER]
-            end = min(len(codes), own[-1] + LONG)
-            done = end if end == len(codes) else own[-1] + STEP
-            total, share = np.zeros((end - own[0], tags), np.float32), np.zeros((end - own[0], 1), np.float32)
-            total[: len(over[0])], share[: len(over[1])] = over
-            for s, e in zip(own, self._emissions([codes[s : s + LONG] for s in own]), strict=True):
-                total[s - own[0] : s - own[0] + len(e)] += e * self.weight[: len(e)]
-                share[s - own[0] : s - own[0] + len(e)] += self.weight[: len(e)]
-            over = total[done - own[0] :], share[done - own[0] :]
-            mean = total[: done - own[0]] / share[: done - own[0]]
-            at = np.flatnonzero(_lead(mean) <= self.margin)
-            kept += [(own[0] + int(p), mean[p]) for p in at]
-        runs: list[tuple[int, int, np.ndarray]] = []
-        certain = np.full(tags, -1e9, np.float32)
-        certain[0] = 0
-        for group in _consecutive([p for p, _ in kept]):
-            e = [kept[i][1] for i in group]
-            first, last = kept[group[0]][0], kept[group[-1]][0]
-            e = [certain] * (first > 0) + e + [certain] * (last + 1 < len(codes))
-            runs.append((k, first - (first > 0), np.stack(e)))
-        return runs
-
-    def _runs(self, k: int, mean: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
-        open_at = _lead(mean) <= self.margin
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], open_at.view(np.int8), [0]])))
-        runs = []
-        for a, b in zip(edges[::2], edges[1::2], strict=True):
-            lo, hi = max(0, a - 1), min(len(mean), b + 1)
-            e = mean[lo:hi].copy()
-            for side, given in ((0, lo < a), (-1, hi > b)):
-                if given:
-                    e[side], e[side, 0] = -1e9, 0
-            runs.append((k, int(lo), e))
-        return runs
+        certain = np.full((1, tags), -1e9, np.float32)
+        certain[0, 0] = 0
+        nothing = (np.zeros((0, tags), np.float32), np.zeros((0, 1), np.float32))
+        over = nothing  # what the windows held before add to the text's next ones
+        at, open_at, gain = [], [], []  # open places of the text so far, their emissions, and all places' gains
+        windows = ((k, codes, a) for k, codes in texts for a in _starts(len(codes)))
+        while held := list(islice(windows, HELD)):
+            made = self._emissions([codes[a : a + LONG] for _, codes, a in held])
+            first = 0
+            for last, (k, codes, a) in enumerate(held):
+                ends = a + LONG >= len(codes)
+                if not ends and last + 1 < len(held):
+                    continue
+                begin, end = held[first][2], min(len(codes), a + LONG)
+                total, share = np.zeros((end - begin, tags), np.float32), np.zeros((end - begin, 1), np.float32)
+                total[: len(over[0])], share[: len(over[1])] = over
+                for (_, _, s), e in zip(held[first : last + 1], made[first : last + 1], strict=True):
+                    total[s - begin : s - begin + len(e)] += e * self.weight[: len(e)]
+                    share[s - begin : s - begin + len(e)] += self.weight[: len(e)]
+                done = (len(codes) if ends else a + STEP) - begin
+                over = nothing if ends else (total[done:], share[done:])
+                mean = total[:done] / share[:done]
+                lead = _lead(mean)
+                places = np.flatnonzero(lead <= self.margin)
+                gain.append(-lead)
+                at.append(begin + places)
+                open_at.append(mean[places])
+                first = last + 1
+                if ends:
+                    places, e = np.concatenate(at), np.concatenate(open_at)
+                    worth = _worth(np.concatenate(gain), *self.bounds)[places]
+                    places, e = places[worth], e[worth]
+                    at, open_at, gain = [], [], []
+                    cuts = np.flatnonzero(np.diff(places) != 1) + 1
+                    for lo, hi in zip([0, *cuts], [*cuts, len(places)], strict=True):
+                        if lo < hi:
+                            before, after = int(places[lo] > 0), int(places[hi - 1] + 1 < len(codes))
+                            yield k, int(places[lo] - before), np.concatenate([*[certain] * before, e[lo:hi], *[certain] * after])
 
     @staticmethod
     def _checked(text: str, extra: list[Span], known: list[Span]) -> list[Span]:
@@ -261,22 +224,23 @@ def _lead(e: np.ndarray) -> np.ndarray:
     return e[:, 0] - top
 
 
+def _worth(gain: np.ndarray, enter: float, stay: float, leave: float) -> np.ndarray:
+    """Whether a place lies in a stretch whose gains over "outside" may be positive: ``gain`` of each place, ``stay`` for
+    each further one, ``enter`` and ``leave`` at its ends but for those of the text. The best sum of a stretch around a
+    place is the highest running sum from it on less the lowest before it."""
+    x = gain.astype(np.float64) + stay
+    x[0] += max(0.0, -enter)
+    x[-1] += max(0.0, -leave)
+    sums = np.concatenate([[0.0], np.cumsum(x)])
+    best = np.maximum.accumulate(sums[:0:-1])[::-1] - np.minimum.accumulate(sums[:-1])
+    return best >= stay - enter - leave - 1e-3
+
+
 def _starts(size: int) -> list[int]:
     """Starts of the windows of a text: every STEP, until one reaches the end."""
     return list(range(0, max(1, size - (LONG - STEP)), STEP))
 
 
-def _consecutive(numbers: list[int]) -> list[list[int]]:
-    """Indices of runs of consecutive numbers."""
-    out: list[list[int]] = []
-    for i, n in enumerate(numbers):
-        if i and numbers[i - 1] + 1 == n:
-            out[-1].append(i)
-        else:
-            out.append([i])
-    return out
-
-
 def _ip_ok_text(s: str) -> bool:
     return bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", s)) and _ip_ok(s)
 
@@ -349,7 +313,7 @@ def examples(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray, n
     return codes, (codes > 0).astype(np.float32), tags
 
 
-def fit(docs: DataFrame, text: str = "text", doc: str = "doc_id", sample: int = 1500, pieces: int = 8, steps: int = 320) -> Model:
+def fit(docs: DataFrame, text: str = "text", doc: str = "doc_id", sample: int = 1500, pieces: int = 8, steps: int = 480) -> Model:
     """Train on about ``sample`` texts with a digit or @, drawn by a hash of the id from rows not held out. Of each text at
     most ``pieces`` pieces around these, drawn by a hash from all over the text, and one from anywhere are used. Without a
     labelled span there is no tagger, and the base patterns stand alone."""
@@ -363,7 +327,7 @@ def fit(docs: DataFrame, text: str = "text", doc: str = "doc_id", sample: int =
     codes, mask, tags = examples([t for _, p in sorted((r["h"], r["p"]) for r in rows) for t in p if t])
     if not tags.any():
         return Model(None)
-    tagger = Tagger(SYMBOLS, 1 + 2 * len(KINDS))
+    tagger = Tagger(SYMBOLS, 1 + 2 * len(KINDS), hidden=12)
     tagger.fit(codes, mask, tags, steps=steps)
     return Model(tagger)
 
