@@ -32,6 +32,21 @@ def test_what_belongs_to_the_article():
         assert "\n".join(got[1:-1]) == want, body
 
 
+def test_wrappers_with_marking_names_keep_the_article():
+    article = f"<article>{ARTICLE}</article>"
+    long = "<div class='comments'><article><p>" + "reader " * 200 + "</p></article></div>"
+    cases = [
+        f"<form id='aspnetForm'><nav>menu</nav>{article}<input name=q><div class='sidebar'>side</div></form>", f"<div class='container sidebar-right'>{article}</div>", f"<div id='header-main'>{article}</div>",
+        f"<div class='widget main-content'>{article}</div>", f"<main><header>{ARTICLE.split('</h1>')[0]}</h1><nav>menu</nav></header>{ARTICLE.split('</h1>')[1]}</main>",
+        f"<form id='aspnetForm'><header>site</header><div class='content'>{ARTICLE.replace('h1', 'h2')}</div><form><p>search</p></form></form>", f"<form><div class='widget'>{article}{long}</div></form>",
+        f"<div class='content'>{article}{long}</div>", f"<div class='container sidebar-left'><div class='post'>{ARTICLE}</div><div class='sidebar'>side</div></div>",
+    ]
+    for body in cases:
+        assert html.Page(page(body)).extract(None) == WANT, body
+    for body in ("<div class='cookie-banner'><p>only a notice</p></div>", "<form><p>Name</p><p>Send</p></form>", "<div class='comments'><p>only comments</p></div>", "<form role=search><h1>Search</h1></form>"):
+        assert html.Page(page(body)).extract(None) == "", body
+
+
 def test_deep_pages_take_linear_memory():
     import tracemalloc
 

@@ -4,6 +4,9 @@ Pass one scores each page's containers: the length of the text in their own bloc
 of it for the parent. Every page votes for the generalised path (tag and class names, digits as #) of its best container.
 Spark sums the votes by host. Pass two extracts from the host's winning path where the page has it, and from the page's
 own best container where not. Boilerplate inside the container is left out in both.
+
+Elements that are boilerplate by tag, role or as hidden are left out as they are read. Forms, and blocks whose class or id
+marks boilerplate, are suspects: they are left out unless they wrap the page, see ``_wrappers``.
 """
 
 from __future__ import annotations
@@ -42,6 +45,9 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|</\s*([a-zA-Z][a-
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _ENDS = {tag: re.compile(f"</{tag}[\\s>/]", re.I) for tag in RAW}
 _CLOSES_P = BLOCK - {"li", "td", "th", "tr", "dd", "dt", "option", "body", "html", "head", "tbody", "thead", "tfoot"}
+# What a page's main text stands in or under, and what a form around a whole page holds besides.
+_CORE = frozenset("article main h1".split())
+_FURNITURE = frozenset("nav header footer aside".split())
 _HEADING = re.compile("<(h[1-6])[\\s>]|</header", re.I)
 #: Elements that a closing tag of something inside does not close.
 _KEEPS_OPEN = frozenset("article main section div td nav footer aside header".split())
@@ -62,15 +68,15 @@ def marked_name(name: str) -> bool:
 
 
 def _attributes(text: str) -> tuple[str, bool, bool]:
-    """Class names, whether class, id or role mark boilerplate, and whether the element is hidden."""
+    """Class names, whether class or id mark boilerplate, and whether role marks it or the element is hidden."""
     names, marked, hidden = "", False, False
     for key, value in _ATTRIBUTE.findall(text):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "class":
             names = value
-        if key in ("class", "id") and any(map(marked_name, value.split())) or key == "role" and value in ROLES:
+        if key in ("class", "id") and any(map(marked_name, value.split())):
             marked = True
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
+        if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             hidden = True
     return names, marked, hidden
 
@@ -83,12 +89,47 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[tuple[int, str]] = []
+        # Of each block its suspect and what it is worth; of each suspect (0: none) the one around it, whether it is a form,
+        # and how many core elements and how much furniture stand in it but in no other suspect.
+        self.held: list[tuple[int, int]] = []
+        self.around: list[int] = [0]
+        self.form: list[bool] = [False]
+        self.core: list[int] = [0]
+        self.furniture: list[int] = [0]
         self.steps: list[tuple[int, str]] = [(-1, "")]
         self.numbers: dict[tuple[int, str], int] = {}
         self.paths: list[int] = [0]
         self.parents: list[int] = [-1]
         self.scores: list[float] = [0.0]
         self._read(source)
+        self._weigh(self._wrappers())
+
+    def _wrappers(self) -> list[bool]:
+        """Of each suspect, whether it and those around it wrap the page: while no core element (article, main, h1) stands
+        outside of suspects, one that holds such, or furniture where it is a form, and over half of the page's text."""
+        size, core, furniture = [0] * len(self.around), self.core.copy(), self.furniture.copy()
+        for (_, text), (suspect, _) in zip(self.blocks, self.held, strict=True):
+            size[suspect] += len(text)
+        total = sum(size)
+        for k in range(len(size) - 1, 0, -1):
+            for sums in (size, core, furniture):
+                sums[self.around[k]] += sums[k]
+        clear, out = self.core[0], [True]
+        for k in range(1, len(size)):
+            holds = core[k] or self.form[k] and furniture[k]
+            out.append(bool(out[self.around[k]] and not clear and holds and 2 * size[k] > total))
+            clear += self.core[k] if out[k] else 0
+        return out
+
+    def _weigh(self, wrappers: list[bool]) -> None:
+        """Drop the blocks of other suspects, and give the others' worth to their containers, half of it to each parent."""
+        kept = [k for k, (suspect, _) in enumerate(self.held) if wrappers[suspect]]
+        for k in kept:
+            at, worth = self.blocks[k][0], float(self.held[k][1])
+            while at >= 0 and worth >= 1:
+                self.scores[at] += worth
+                at, worth = self.parents[at], worth / 2
+        self.blocks = [self.blocks[k] for k in kept]
 
     def _path(self, parent: int, label: str) -> int:
         if (parent, label) not in self.numbers:
@@ -97,12 +138,12 @@ class Page:
         return self.numbers[parent, label]
 
     def _read(self, source: str) -> None:
-        # An open element: (tag, container it is in or is, in boilerplate, path).
-        stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+        # An open element: (tag, container it is in or is, in boilerplate, path, suspect it is in or is).
+        stack: list[tuple[str, int, bool, int, int]] = [("", 0, False, 0, 0)]
         depth: dict[str, int] = {}  # how many of a tag are open
         text: list[str] = []
         linked = in_link = articles = 0
-        ahead = _HEADING.search(source)  # the next heading or end of a header: an article's header with a heading is its own
+        ahead = _HEADING.search(source)  # the next heading or end of a header: an article's or main's header with a heading is its own
 
         def flush() -> None:
             nonlocal linked
@@ -110,19 +151,15 @@ class Page:
                 joined = " ".join(html.unescape("".join(text)).split())
                 text.clear()
                 if joined:
-                    at = stack[-1][1]
-                    self.blocks.append((at, joined))
-                    worth = max(0, len(joined) - 2 * linked)
-                    while at >= 0 and worth >= 1:
-                        self.scores[at] += worth
-                        at, worth = self.parents[at], worth / 2
+                    self.blocks.append((stack[-1][1], joined))
+                    self.held.append((stack[-1][4], max(0, len(joined) - 2 * linked)))
             linked = 0
 
         def close_from(k: int) -> None:
             nonlocal articles
             for tag, *_ in stack[k:]:
                 depth[tag] -= 1
-                articles -= tag == "article"
+                articles -= tag in ("article", "main")
             del stack[k:]
 
         pos, end = 0, len(source)
@@ -149,13 +186,24 @@ class Page:
                         pos = end
                     continue
                 names, marked, hidden = _attributes(raw) if raw else ("", False, False)
-                _, at, off, path = stack[-1]
+                _, at, off, path, suspect = stack[-1]
                 own = False
                 if tag == "header" and articles:
                     if ahead is not None and ahead.start() < pos:
                         ahead = _HEADING.search(source, pos)
                     own = ahead is not None and ahead.group(1) is not None
-                gone = hidden or not own and (tag in ASIDE or marked and tag not in WHOLE)
+                marked = marked and tag not in WHOLE and not own or tag == "form"
+                gone = hidden or not own and tag in ASIDE and tag != "form" or marked and tag not in BLOCK
+                if not off and tag in _FURNITURE and not own:
+                    self.furniture[suspect] += 1
+                if not off and not gone and marked:
+                    self.around.append(suspect)
+                    self.form.append(tag == "form")
+                    self.core.append(0)
+                    self.furniture.append(0)
+                    suspect = len(self.around) - 1
+                if not off and not gone and tag in _CORE:
+                    self.core[suspect] += 1
                 if tag not in BLOCK and tag != "a" and not gone and not off:
                     continue  # inline and open text: nothing changes
                 if tag == "a":
@@ -168,9 +216,9 @@ class Page:
                     self.parents.append(at)
                     self.scores.append(0.0)
                     at = len(self.paths) - 1
-                articles += tag == "article"
+                articles += tag in ("article", "main")
                 depth[tag] = depth.get(tag, 0) + 1
-                stack.append((tag, at, off, path))
+                stack.append((tag, at, off, path, suspect))
             elif close:
                 close = close.lower()
                 if close in BLOCK:
@@ -256,7 +304,7 @@ def winning_paths(pages: DataFrame, source: str = "html", url: str = "url") -> D
 def extract(pages: DataFrame, source: str = "html", url: str = "url") -> DataFrame:
     """Replace the source column by text and n_chars. Null or empty pages, and pages without main text, give the empty text.
     Repeated pages vote and come out each; on ties the path first by name wins. Input columns with the names of results
-    are replaced. An empty table gives an empty one.
+    are replaced. An empty table gives an empty one. Pages of any length are read whole, in linear time and memory.
 
     The table of hosts is broadcast while Spark measures it under its threshold; beyond it, pages are dealt by host and a
     salt, so that the pages of one host meet in many tasks.
