@@ -164,8 +164,9 @@ class Model:
         tags = self.tagger.p["bias"].size
         certain = np.full((1, tags), -1e9, np.float32)
         certain[0, 0] = 0
-        nothing = (np.zeros((0, tags), np.float32), np.zeros((0, 1), np.float32))
-        over = nothing  # what the windows held before add to the text's next ones
+        both = LONG - STEP  # places that a window shares with the next
+        rise = self.weight[:both] / (self.weight[:both] + self.weight[STEP:])
+        over = np.zeros((0, tags), np.float32)  # the last places of the window before
         at, open_at, gain = [], [], []  # open places of the text so far, their emissions, and all places' gains
         windows = ((k, codes, a) for k, codes in texts for a in _starts(len(codes)))
         while held := list(islice(windows, HELD)):
@@ -176,14 +177,14 @@ class Model:
                 if not ends and last + 1 < len(held):
                     continue
                 begin, end = held[first][2], min(len(codes), a + LONG)
-                total, share = np.zeros((end - begin, tags), np.float32), np.zeros((end - begin, 1), np.float32)
-                total[: len(over[0])], share[: len(over[1])] = over
+                mean = np.empty((end - begin, tags), np.float32)
                 for (_, _, s), e in zip(held[first : last + 1], made[first : last + 1], strict=True):
-                    total[s - begin : s - begin + len(e)] += e * self.weight[: len(e)]
-                    share[s - begin : s - begin + len(e)] += self.weight[: len(e)]
-                done = (len(codes) if ends else a + STEP) - begin
-                over = nothing if ends else (total[done:], share[done:])
-                mean = total[:done] / share[:done]
+                    own = mean[s - begin : s - begin + len(e)]
+                    own[:] = e
+                    if s:
+                        own[:both] = over + (own[:both] - over) * rise
+                    over = e[STEP:]
+                mean = mean[: (len(codes) if ends else a + STEP) - begin]
                 lead = _lead(mean)
                 places = np.flatnonzero(lead <= self.margin)
                 gain.append(-lead)
