@@ -1,5 +1,7 @@
 """Registered queries run the operators' whole jobs."""
 
+import os
+
 import pytest
 
 from vanewright import queries
@@ -38,3 +40,12 @@ def test_pool_has_all_windows_and_lags(monkeypatch, spark, sf):
 def test_comparison_has_all_detectors(monkeypatch, spark, sf):
     args, options = called(monkeypatch, training, "compare", "detector_comparison", spark, sf)
     assert len(args) == 3 and not options  # all models, selected features
+
+
+@pytest.mark.parametrize("query", ["wide_correlations", "wide_selection"])
+def test_wide_columns_are_not_written(spark, sf, query):
+    """Hundreds of columns made of a table's few take no more disk than some times the table."""
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(spark.conf.get("spark.checkpoint.dir")) for f in files)
+    before = size()
+    queries.QUERIES[query](spark, sf).collect()
+    assert size() - before < 20 * os.path.getsize(f"{sf}/lineitem.parquet")

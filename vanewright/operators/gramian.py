@@ -8,7 +8,7 @@ columns, and no row of the table is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,10 @@ from vanewright.session import stored
 
 #: Columns of a block, rows of a tile that are added in one group, and tasks whose arrays are.
 TILE, STRIPE, FAN = 1024, 16, 128
+#: Rows of a batch whose columns are made at once.
+PIECE = 2048
+#: Columns made in the tasks: of a table's columns by name, NULL as NaN, and the names wanted, a matrix with a row a name.
+Make = Callable[[dict[str, np.ndarray], list[str]], np.ndarray]
 SUMS = ("n", "sa", "sb", "saa", "sbb", "sab")
 _PART = "first int, second int, stripe int, part int, " + ", ".join(f"{s} array<array<double>>" for s in SUMS)
 
@@ -32,6 +36,20 @@ def columns_of(batch: pa.RecordBatch) -> np.ndarray:
     return x
 
 
+def read(df: DataFrame, columns: list[str], make: Make | None = None) -> tuple[DataFrame, Callable[[pa.RecordBatch], Iterator[np.ndarray]]]:
+    """(table to read, what gives its batches' ``columns`` as rows of matrices). With ``make`` the columns are none of the
+    table's but made of them, a piece of a batch at a time, so that hundreds of columns of few are neither written nor sent."""
+    if make is None:
+        return df.select(*[F.col(f"`{c}`").cast("double") for c in columns]), lambda batch: iter([columns_of(batch)] if batch.num_rows else [])
+
+    def pieces(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for a in range(0, batch.num_rows, PIECE):
+            part = batch.slice(a, PIECE)
+            yield make(dict(zip(part.schema.names, columns_of(part), strict=True)), columns)
+
+    return df, pieces
+
+
 class _Tile:
     """Six sums for each pair of a column of block a and one of block b. Rows without NULLs need one product."""
 
@@ -73,16 +91,17 @@ def _sent(first: int, second: int, stripe: int, part: int, sums: list[np.ndarray
     return pa.RecordBatch.from_arrays([*[pa.array([v], pa.int32()) for v in (first, second, stripe, part)], *map(_nested, sums)], names=["first", "second", "stripe", "part", *SUMS])
 
 
-def _tile(df: DataFrame, columns: list[str], centre: np.ndarray, first: int, second: int, tile: int) -> DataFrame:
+def _tile(df: DataFrame, columns: list[str], centre: np.ndarray, first: int, second: int, tile: int, make: Make | None = None) -> DataFrame:
     a, b = columns[first * tile : (first + 1) * tile], columns[second * tile : (second + 1) * tile]
     both = a if first == second else a + b
     shift = np.concatenate([centre[first * tile :][: len(a)], centre[second * tile :][: len(b)]])[: len(both), None]
+    rows, matrices = read(df, both, make)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, any_row = _Tile(len(a), len(b)), False
         for batch in batches:
-            if batch.num_rows:
-                x = columns_of(batch) - shift
+            for x in matrices(batch):
+                x = x - shift
                 sums.add(x[: len(a)], x if first == second else x[len(a) :])
                 any_row = True
         if any_row:
@@ -90,7 +109,7 @@ def _tile(df: DataFrame, columns: list[str], centre: np.ndarray, first: int, sec
             for k in range(0, len(a), STRIPE):
                 yield _sent(first, second, k // STRIPE, part, [m[k : k + STRIPE] for m in found])
 
-    return df.select(*[F.col(f"`{c}`").cast("double") for c in both]).mapInArrow(run, _PART)
+    return rows.mapInArrow(run, _PART)
 
 
 def _array(column: pa.ChunkedArray, row: int) -> np.ndarray:
@@ -98,14 +117,14 @@ def _array(column: pa.ChunkedArray, row: int) -> np.ndarray:
     return np.asarray(rows.flatten(), np.float64).reshape(len(rows), -1)
 
 
-def pair_sums(df: DataFrame, columns: list[str], centre: np.ndarray, tile: int = TILE) -> DataFrame:
+def pair_sums(df: DataFrame, columns: list[str], centre: np.ndarray, tile: int = TILE, make: Make | None = None) -> DataFrame:
     """(first, second, stripe, sums): of values less ``centre``, for tiles with first <= second, STRIPE columns of the first
     block a row: arrays by (column of the first block, column of the second). Empty for an empty table."""
     blocks = range(-(-len(columns) // tile))
     out = None
     for i in blocks:
         for j in blocks[i:]:
-            one = _tile(df, columns, centre, i, j, tile)
+            one = _tile(df, columns, centre, i, j, tile, make)
             out = one if out is None else out.unionByName(one)
 
     def add(table: pa.Table) -> pa.Table:

@@ -7,28 +7,29 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vanewright.operators.gramian import Make
 from vanewright.operators.stats import correlations, moments
 
 
-def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
+def column_stats(df: DataFrame, columns: list[str], make: Make | None = None) -> DataFrame:
     """(feature, missing_fraction, mean, variance) in one pass over a wide table; beyond 50 columns by arrays, see ``moments``."""
-    if len(columns) > 50:
-        return moments(df, columns)
+    if len(columns) > 50 or make:
+        return moments(df, columns, make)
     cells = [F.struct(F.lit(c).alias("feature"), F.avg(F.isnull(c).cast("double")).alias("missing_fraction"), F.avg(F.col(c).cast("double")).alias("mean"), F.var_samp(c).alias("variance")) for c in columns]
     return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
-def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5, least_variance: float = 1e-8, most_correlation: float = 0.95, protect: Iterable[str] = ()) -> tuple[list[str], DataFrame]:
+def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5, least_variance: float = 1e-8, most_correlation: float = 0.95, protect: Iterable[str] = (), make: Make | None = None) -> tuple[list[str], DataFrame]:
     """(kept columns, diagnostics (feature, reason)): missing, constant, or correlated with an earlier kept column.
 
     Statistics use all rows. Only the per-column and per-pair results, whose number the schema bounds, reach the driver,
-    where the greedy choice in column order is made.
+    where the greedy choice in column order is made. make: the columns are made of the table's, see ``gramian.read``.
     """
-    keep, have = set(protect), [c for c in columns if c in df.columns]
-    df = df.select(*have)  # read twice, so a table is better than what is dear to compute
+    keep, have = set(protect), [c for c in columns if make or c in df.columns]
+    df = df if make else df.select(*have)  # read twice, so a table is better than what is dear to compute
     reasons: list[tuple[str, str]] = []
     left = []
-    stats = {r["feature"]: r for r in column_stats(df, have).collect()} if have else {}
+    stats = {r["feature"]: r for r in column_stats(df, have, make).collect()} if have else {}
     for c in have:
         if c not in keep and stats[c]["missing_fraction"] is not None and stats[c]["missing_fraction"] > most_missing:
             reasons.append((c, "missing"))
@@ -37,7 +38,7 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
         else:
             left.append(c)
     means = {c: stats[c]["mean"] for c in left}
-    near = {(r["a"], r["b"]) for r in correlations(df, left, means, most_correlation).collect()}
+    near = {(r["a"], r["b"]) for r in correlations(df, left, means, most_correlation, make=make).collect()}
     kept: list[str] = []
     for c in left:
         if c in keep or not any((k, c) in near for k in kept):

@@ -53,27 +53,28 @@ def preprocessor(t: DataFrame, *keys: str) -> DataFrame:
     return s.select(*keys, "sensor", "median", mean.alias("mean"), F.when(F.sqrt(var) > 0, F.sqrt(var)).otherwise(1.0).alias("std"))
 
 
-def correlations(df: DataFrame, columns: list[str], means: dict[str, float] | None = None, above: float | None = None, tile: int = gramian.TILE) -> DataFrame:
+def correlations(df: DataFrame, columns: list[str], means: dict[str, float] | None = None, above: float | None = None, tile: int = gramian.TILE, make: gramian.Make | None = None) -> DataFrame:
     """(a, b, r) for a before b: absolute pairwise-complete Pearson; NULL where one side does not vary, up to rounding; with
     ``above`` only larger ones. See ``gramian``: one form for any number of columns.
 
-    Values are centred by ``means`` (by default one more pass finds them), so that a large offset costs no digits.
+    Values are centred by ``means`` (by default one more pass finds them), so that a large offset costs no digits. make: the
+    columns are made of the table's in the tasks, see ``gramian.read``.
     """
     if len(columns) < 2:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    means = {r["feature"]: r["mean"] for r in moments(df, columns).collect()} if means is None else means
+    means = {r["feature"]: r["mean"] for r in moments(df, columns, make).collect()} if means is None else means
     centre = np.array([means.get(c) or 0.0 for c in columns])
-    return gramian.correlated(gramian.pair_sums(df, columns, centre, tile), columns, centre, tile, above)
+    return gramian.correlated(gramian.pair_sums(df, columns, centre, tile, make), columns, centre, tile, above)
 
 
-def moments(df: DataFrame, columns: list[str]) -> DataFrame:
+def moments(df: DataFrame, columns: list[str], make: gramian.Make | None = None) -> DataFrame:
     """(feature, missing_fraction, mean, variance) of many columns: counts, means and squared deviations by task, then merged."""
+    rows, matrices = gramian.read(df, columns, make)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(columns))
         total, mean, dev = n.copy(), n.copy(), n.copy()
-        for batch in batches:
-            x = gramian.columns_of(batch)
+        for x in (x for batch in batches for x in matrices(batch)):
             ok = ~np.isnan(x)
             k = ok.sum(axis=1)
             total += x.shape[1]
@@ -87,7 +88,7 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
         if total.any():
             yield pa.RecordBatch.from_pydict({"feature": columns, "n": n, "total": total, "mean": mean, "dev": dev})
 
-    parts = df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(partial, "feature string, n double, total double, mean double, dev double")
+    parts = rows.mapInArrow(partial, "feature string, n double, total double, mean double, dev double")
     parts = stored(parts, "moments")  # a row a task and column; read twice
     grand = parts.groupBy("feature").agg(F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("grand"))
     whole = parts.join(grand, "feature").groupBy("feature").agg(
