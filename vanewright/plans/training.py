@@ -105,7 +105,8 @@ def _fit(feats: DataFrame, refs: dict[str, DataFrame], sensors: list[str], strat
     if names is None:
         names = _selected(feats)
     if strategy != "turbine":
-        stats.guarded(feats.where(training_normal()), LEAST_POOL, "pooled normal training rows")
+        pool = stats.guarded(feats.where(training_normal()), 1, "normal training rows")
+        stats.guarded(pool, LEAST_POOL, "pooled normal training rows")
     fit, held = split(feats)
     sizes = stored(model_sizes(feats, keys, least_rows), "sizes")
     failed = sizes.where("too_few").drop("too_few").withColumn("error", F.concat_ws(" ", F.lit("fewer than"), F.lit(str(least_rows)), F.lit("normal training rows")))
