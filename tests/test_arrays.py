@@ -167,3 +167,50 @@ def test_residual_time_is_linear_in_features():
         return min(took)
 
     assert seconds(800) < 10 * seconds(200)
+
+
+def test_small_models_keep_rows_not_trees(spark):
+    """A model of few rows is one row of the forest, whatever the number of trees; no row is copied for each tree."""
+    x = spark.range(90).selectExpr("concat('m', id % 3) as model", "id", "array(sin(id), cos(id), 1D) as x")
+    forest = detectors.fit_forest(x, trees=300)
+    assert forest.count() == 3
+    scores = {r["id"]: r["raw"] for r in detectors.score_forest(x, forest).collect()}
+    assert len(scores) == 90 and all(0 < v < 1 for v in scores.values())
+
+
+def test_grown_trees_part_all_rows():
+    """Trees of all rows end in one row each where depth allows, and varying features are tried alike."""
+    from vanewright.plans.detectors import _grown
+
+    x = np.arange(8.0)[:, None] * np.array([1.0, 0.0, -2.0, 5.0]) + np.array([0, 3.0, 0, 0])
+    g = _grown(x, 200, 256, np.random.default_rng(0))
+    assert g["sizes"].sum() == len(g["feature"]) and (g["sizes"] % 2 == 1).all()
+    used = np.bincount(g["feature"][g["feature"] >= 0], minlength=4)
+    assert used[1] == 0 and used[[0, 2, 3]].min() > 0.8 * used.sum() / 3
+    roots = np.cumsum(g["sizes"]) - g["sizes"]
+    for t in (0, 50, 199):  # every row reaches an end
+        for row in x:
+            k = 0
+            for _ in range(4):
+                n = roots[t] + k
+                k = k if g["feature"][n] < 0 else (g["right"] if row[g["feature"][n]] > g["cut"][n] else g["left"])[n]
+            assert g["feature"][roots[t] + k] < 0
+    assert (_grown(np.ones((5, 3)), 10, 256, np.random.default_rng(0))["sizes"] == 1).all()
+
+
+def test_small_models_are_fitted_as_large_ones(spark, monkeypatch):
+    """Scaler, directions and percentiles of small models, grouped, are those of the sketches."""
+    x = spark.range(400).selectExpr("concat('m', id % 7) as model", "id", "array(sin(id), if(id % 5 = 0, null, cos(id)), 1D, id % 11 * 1D) as x")
+    fit = lambda: {r["model"]: [*r["median"], *r["mean"], *r["std"]] for r in detectors.fit_preprocessor(x).collect()}
+    z = x.selectExpr("model", "id", "array(sin(id), cos(id * id), id % 11 / 5D) as x")
+    way = lambda: {r["model"]: np.abs(np.array(r["w"])) for r in detectors._principal(z, 2).collect()}
+    t = x.selectExpr("model", "x[3] + x[0] as score")
+    cut = lambda: {r["model"]: r["threshold"] for r in stats.threshold(t, ["model"], percentile=0.9).collect()}
+    small = fit(), way(), cut()
+    monkeypatch.setattr(detectors, "SMALL", 0)
+    monkeypatch.setattr(stats, "FEW", 0)
+    large = fit(), way(), cut()
+    for a, b in zip(small, large, strict=True):
+        assert set(a) == set(b) and len(a) == 7
+        for k in a:
+            assert np.allclose(a[k], b[k], rtol=1e-9, atol=1e-9)

@@ -15,6 +15,10 @@ from vanewright.operators import gramian, vectors
 from vanewright.session import stored
 
 
+#: Values up to which a group is sorted whole.
+FEW = 5120
+
+
 def power_curve(df: DataFrame, power: str = "power", wind: str = "wind_speed", width: float = 0.5, keys: tuple[str, ...] = ("farm_id", "asset_id")) -> DataFrame:
     """(keys, wind_bin, expected_power, n): median power by wind bin over normal training rows."""
     rows = df.where(training_normal() & F.col(power).isNotNull()).withColumn("wind_bin", wind_bin(wind, width)).where("wind_bin is not null")
@@ -127,11 +131,16 @@ def exact_percentiles(t: DataFrame, keys: Iterable[str], value: str, shares: dic
 
     Groups are sketched and bracketed, see ``vectors.percentiles``; keys of other types than text, whole numbers, booleans
     and dates, or more groups than that has room for, go by ``ranged_percentiles``. keep: write the values first, where
-    computing them twice is dearer.
+    computing them twice is dearer; where no group has more than FEW of them, each is then sorted whole.
     """
     ks = list(keys)
     rows = t.where(F.col(value).isNotNull()).select(*ks, F.col(value).cast("double").alias("_v"))
     rows = stored(rows, "values") if keep else rows
+    if keep and (rows.groupBy(*ks).count().agg(F.max("count")).first()[0] or 0) <= FEW:
+        v, at = F.sort_array("_all"), lambda share: F.lit(share) * (F.size("_all") - 1)
+        nth = lambda k: F.element_at(v, k.cast("int") + 1)
+        one = lambda a: nth(F.floor(a)) + (nth(F.ceil(a)) - nth(F.floor(a))) * (a - F.floor(a))
+        return rows.groupBy(*ks).agg(F.collect_list("_v").alias("_all")).select(*ks, *[F.when(F.size("_all") > 0, one(at(s))).alias(name) for name, s in shares.items()])
     plain = all(isinstance(rows.schema[k].dataType, (T.StringType, T.IntegralType, T.BooleanType, T.DateType)) for k in ks)
     model = F.to_json(F.struct(*ks)) if ks else F.lit("{}")
     found = vectors.percentiles(rows.select(model.alias("model"), F.array("_v").alias("x")), list(shares.values())) if plain else None

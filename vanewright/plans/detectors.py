@@ -26,6 +26,10 @@ from vanewright.session import stored
 
 TREES, SAMPLE, SEED, CONTAMINATION = 300, 256, 42, 0.01
 _TREE = "model string, tree int, feature array<int>, cut array<double>, left array<int>, right array<int>, depth array<double>, psi int"
+#: Of a model of few rows those rows, from which its trees grow again wherever they are needed: they are far smaller.
+_GROWS = "grows struct<trees:int,sample:int,seed:bigint,rows:array<array<double>>>"
+#: Rows up to which a model counts as small: all of it is one group.
+SMALL = 5120
 
 
 @dataclass
@@ -86,6 +90,8 @@ def fit_preprocessor(x: DataFrame) -> DataFrame:
     Medians are exact whatever the size of a model, and no row is shuffled for them, see ``vectors.percentiles``. Mean and
     deviation are those after imputing the median; they follow from the sums of what is there.
     """
+    if all_small(x):
+        return x.select("model", "x").groupBy("model").applyInArrow(_fit_small, "model string, median array<double>, mean array<double>, std array<double>")
     found = arrays.percentiles(x, [0.5])
     if found is None:  # more models times features than brackets have room for
         return _fit_exploded(x)
@@ -107,6 +113,27 @@ def fit_preprocessor(x: DataFrame) -> DataFrame:
     return cells.select("model", *[F.transform("c", lambda v: v[k]).alias(k) for k in ("median", "mean", "std")])
 
 
+def all_small(x: DataFrame) -> bool:
+    """Whether no model has more than SMALL rows."""
+    return (x.groupBy("model").count().agg(F.max("count")).first()[0] or 0) <= SMALL
+
+
+def _fit_small(t: pa.Table) -> pa.Table:
+    """The same for all rows of one model."""
+    x = arrays.matrix(t["x"].combine_chunks())
+    ok = ~np.isnan(x)
+    n = ok.sum(axis=0)
+    s, at = np.sort(x, axis=0), 0.5 * np.maximum(n - 1, 0)
+    a, b = (np.take_along_axis(s, f(at).astype(np.int64)[None, :], axis=0)[0] for f in (np.floor, np.ceil))
+    median = np.where(n > 0, a + (b - a) * (at - np.floor(at)), 0.0)
+    filled = np.where(ok, x, median)
+    mean, std = filled.mean(axis=0), filled.std(axis=0)
+    fixed = ~(filled.max(axis=0) > filled.min(axis=0))  # rounding of the mean may leave a fixed column a deviation
+    mean, std = np.where(fixed, filled[0], mean), np.where(fixed | ~(std > 0), 1.0, std)
+    cell = lambda v: pa.array([v], pa.list_(pa.float64()))
+    return pa.table({"model": t["model"].slice(0, 1), "median": cell(median), "mean": cell(mean), "std": cell(std)})
+
+
 def _fit_exploded(x: DataFrame) -> DataFrame:
     t = x.select("model", F.posexplode("x").alias("sensor", "value"))
     s = stats.preprocessor(t, "model")
@@ -153,13 +180,90 @@ def _grow(pdf: pd.DataFrame, sample: int, seed: int) -> pd.DataFrame:
     return pd.DataFrame({"model": [model], "tree": [tree], "feature": [list(cols[0])], "cut": [list(cols[1])], "left": [list(cols[2])], "right": [list(cols[3])], "depth": [list(cols[4])], "psi": [len(x)]})
 
 
+def _grown(x: np.ndarray, trees: int, sample: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
+    """All trees of one model's rows, level by level side by side: flat arrays of nodes ordered by tree, and their ``sizes``.
+
+    A node tries features at random until one varies among its rows, which is a uniform choice among those that do; where
+    three tries fail, all features are looked at.
+    """
+    n, p = x.shape
+    psi = min(n, sample)
+    rows = np.tile(np.arange(n), trees) if n <= sample else np.concatenate([rng.choice(n, psi, replace=False) for _ in range(trees)])
+    limit, counts, tree = math.ceil(math.log2(max(2, psi))), np.full(trees, psi), np.arange(trees)
+    levels, begun = [], 0  # (tree, feature, cut, left, depth) of each level's nodes; nodes are numbered as they begin
+    for depth in range(limit + 1):
+        m, starts = len(counts), np.cumsum(counts) - counts
+        feature, cut, left = np.full(m, -1), np.zeros(m), np.full(m, -1)
+        levels.append((tree, feature, cut, left, depth + average_path(counts)))
+        begun += m
+        todo = np.flatnonzero(counts > 1) if depth < limit and p else np.zeros(0, np.int64)
+        low, high = np.zeros(m), np.zeros(m)
+        for attempt in range(4):
+            if not len(todo):
+                break
+            c = counts[todo]
+            first = np.cumsum(c) - c
+            own = rows[np.repeat(starts[todo] - first, c) + np.arange(c.sum())]
+            if attempt < 3:
+                f = rng.integers(p, size=len(todo))
+                v = x[own, np.repeat(f, c)]
+                lo, hi = np.minimum.reduceat(v, first), np.maximum.reduceat(v, first)
+            else:
+                los, his = (g.reduceat(x[own], first, axis=0) for g in (np.minimum, np.maximum))
+                able = his > los
+                nth = np.floor(rng.random(len(todo)) * able.sum(axis=1)) + 1
+                f = np.argmax(np.cumsum(able, axis=1) == nth[:, None], axis=1)
+                lo, hi = los[np.arange(len(todo)), f], his[np.arange(len(todo)), f]
+            good = hi > lo
+            at = todo[good]
+            feature[at], low[at], high[at] = f[good], lo[good], hi[good]
+            todo = todo[~good]
+        at = np.flatnonzero(feature >= 0)
+        if not len(at):
+            break
+        u = low[at] + rng.random(len(at)) * (high[at] - low[at])
+        cut[at] = np.where(u < high[at], u, low[at])
+        left[at] = begun + 2 * np.arange(len(at))
+        c = counts[at]
+        own = rows[np.repeat(starts[at] - (np.cumsum(c) - c), c) + np.arange(c.sum())]
+        node = np.repeat(np.arange(len(at)), c)
+        side = 2 * node + (x[own, feature[at][node]] > cut[at][node])
+        rows, counts, tree = own[np.argsort(side, kind="stable")], np.bincount(side, minlength=2 * len(at)), np.repeat(tree[at], 2)
+    tree, feature, cut, left, ends = (np.concatenate(v) for v in zip(*levels, strict=True))
+    order = np.argsort(tree, kind="stable")
+    sizes = np.bincount(tree, minlength=trees)
+    place = np.empty(len(tree), np.int64)  # of each node in its tree
+    place[order] = np.arange(len(tree)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    left = left[order]
+    child = lambda k: np.where(left < 0, -1, place[np.where(left < 0, 0, left + k)])
+    return {"sizes": sizes, "feature": feature[order], "cut": cut[order], "left": child(0), "right": child(1), "depth": ends[order], "psi": np.full(trees, psi)}
+
+
 def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
+    """One row a tree, or for a model of up to SMALL rows one row with those, from which ``_Forest`` grows its trees."""
+    n = stored(x.groupBy("model").agg(F.count("*").alias("n")), "rows")
+    least, most = n.agg(F.min("n"), F.max("n")).first()
+    of = lambda keep: x.join(n.where(keep).select("model"), "model", "left_semi") if least <= SMALL < most else x
+    kinds = [F.lit(None).cast(t).alias(c) for c, t in (v.split(" ") for v in _TREE.split(", ")[1:])]
+    none = F.lit(None).cast(_GROWS.removeprefix("grows ")).alias("grows")
+    if most is None or most <= SMALL:
+        large = None
+    else:
+        large = _fit_drawn(of(F.col("n") > SMALL), n, trees, sample, seed).select("*", none)
+    if least is not None and least > SMALL:
+        return large
+    row = F.xxhash64(*[c for c in x.columns if c in META], "x")
+    held = F.transform(F.array_sort(F.collect_list(F.struct(row.alias("row"), "x"))), lambda r: r["x"])  # one order of the rows
+    small = of(F.col("n") <= SMALL).groupBy("model").agg(held.alias("rows")).select(F.col("model").alias("model"), *kinds, F.struct(F.lit(trees).alias("trees"), F.lit(sample).alias("sample"), F.lit(seed).cast("long").alias("seed"), "rows").alias("grows"))
+    return small if large is None else large.unionByName(small)
+
+
+def _fit_drawn(x: DataFrame, n: DataFrame, trees: int, sample: int, seed: int) -> DataFrame:
     """One row a tree. Only drawn rows are shuffled; trees grow in groups.
 
     Trees are dealt into groups whose shares of the rows add up to one at most. One hash of (row, group) falls into one
     tree's interval or none, so a row costs about as many hashes as it is drawn times.
     """
-    n = x.groupBy("model").agg(F.count("*").alias("n"))
     row = F.xxhash64(*[c for c in x.columns if c in META], "x")
     share = F.least(F.lit(1.0), (1.4 * sample + 24) / F.col("n"))
     draw = x.withColumn("row", row).join(n.select("model", share.alias("share"), F.floor(1 / share).cast("int").alias("together")), "model")
@@ -176,15 +280,21 @@ class _Forest:
     """Trees side by side in flat arrays: an end leads to itself, so all trees take the same number of steps."""
 
     def __init__(self, trees: pa.Table):
-        trees = trees.sort_by("tree").combine_chunks()  # one order of adding up
-        flat = lambda c, kind: trees[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind)
-        sizes = pc.list_value_length(trees["feature"]).to_numpy()
+        grows = trees["grows"][0].as_py() if "grows" in trees.column_names else None
+        if grows:
+            rng = np.random.default_rng([grows["seed"], *(trees["model"][0].as_py() or "").encode()])
+            nodes = _grown(np.array(grows["rows"], np.float64), grows["trees"], grows["sample"], rng)
+            sizes, psi = nodes["sizes"], nodes["psi"]
+            flat = lambda c, kind: nodes[c].astype(kind)
+        else:
+            trees = trees.sort_by("tree").combine_chunks()  # one order of adding up
+            flat = lambda c, kind: trees[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind)
+            sizes, psi = pc.list_value_length(trees["feature"]).to_numpy(), trees["psi"].to_numpy()
         self.roots = np.cumsum([0, *sizes[:-1]]).astype(np.int32)
         base, feature = np.repeat(self.roots, sizes), flat("feature", np.int32)
         own, ends = np.arange(len(feature), dtype=np.int32), feature < 0
         self.feature, self.cut, self.depth = np.where(ends, 0, feature), np.where(ends, np.inf, flat("cut", np.float64)), flat("depth", np.float64)
         self.next = np.stack([np.where(ends, own, base + flat("left", np.int32)), np.where(ends, own, base + flat("right", np.int32))], axis=1).ravel()
-        psi = trees["psi"].to_numpy()
         self.steps = max(1, math.ceil(math.log2(max(2, int(psi.max())))))
         self.norm = max(float(average_path(float(psi.mean()))), 1e-9)
 
@@ -208,7 +318,8 @@ def scored(x: DataFrame, fitted: DataFrame, score: Callable[[np.ndarray, pa.Tabl
     Rows of a model are dealt into blocks that each meet a copy of what was fitted, so a model with most of the rows is no
     one task and nothing is broadcast. Rows of models that were not fitted go.
     """
-    n = x.groupBy("model").agg(F.ceil(F.count("*") / rows).cast("int").alias("blocks"))
+    # Written, so that its size is known: of few models it is broadcast, and no model's rows meet in one task for it.
+    n = stored(x.groupBy("model").agg(F.ceil(F.count("*") / rows).cast("int").alias("blocks")), "blocks")
     left = x.join(n, "model").withColumn("block", F.pmod(F.xxhash64("x", *[c for c in x.columns if c in META]), F.col("blocks")).cast("int")).drop("blocks")
     right = fitted.join(n, "model").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     names = [c for c in x.columns if c != "x"]
@@ -284,6 +395,12 @@ def _principal(z: DataFrame, size: int) -> DataFrame:
         w = vector[:, np.argsort(-value, kind="stable")[:size]].T
         return pa.table({"model": pa.array([t["model"][0].as_py()], pa.string()), "w": pa.array([w.tolist()], pa.list_(pa.list_(pa.float64())))})
 
+    def whole(t: pa.Table) -> pa.Table:
+        x = arrays.matrix(t["x"].combine_chunks())
+        return directions(table(t["model"][0].as_py(), len(x), 0, x.T @ x))
+
+    if all_small(z):
+        return z.select("model", "x").groupBy("model").applyInArrow(whole, "model string, w array<array<double>>")
     parts = z.select("model", "x").mapInArrow(partial, kind)
     return parts.groupBy("model", "stripe").applyInArrow(add, kind).groupBy("model").applyInArrow(directions, "model string, w array<array<double>>")
 
