@@ -37,6 +37,16 @@ def test_many_ranges_of_one_asset(spark):
     assert time.time() - began < 60
 
 
+def test_crowded_ranges_are_many_tasks(spark, monkeypatch):
+    """Ranges that all share time are joined in parts, each pair once."""
+    r = spark.range(400).select(F.lit("A").alias("farm_id"), F.lit("one").alias("asset_id"), F.col("id").alias("dataset_id"), F.timestamp_seconds(F.col("id")).alias("start"), F.timestamp_seconds(F.col("id") + 5000 + F.col("id") % 3 * 9000).alias("end"))
+    monkeypatch.setattr(joins, "DENSE", 20)
+    out = joins.all_overlaps(r)
+    assert out.count() == out.distinct().count() == 400 * 399 // 2
+    assert "_part" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert dict(joins.all_overlaps(r.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})).dtypes)["overlap_end"] == "timestamp_ntz"
+
+
 def values(spark, rows):
     return spark.createDataFrame([("A", "s", T0 + dt.timedelta(hours=h), v) for h, v in rows], "farm_id string, sensor string, time_stamp timestamp, value double")
 

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from vanewright.functions.columns import EPISODE, event_time, residual, residual_percent, whole, wind_bin
 
 
+#: Ranges that share a moment beyond which an asset's are dealt into parts.
+DENSE = 500
+
+
 def with_events(datasets: DataFrame, events: DataFrame) -> DataFrame:
     """Each dataset's event record: by numeric id, else by equal trimmed text, else the farm's only record.
 
@@ -73,23 +77,32 @@ def neighbour_overlaps(ranges: DataFrame) -> DataFrame:
 def all_overlaps(ranges: DataFrame) -> DataFrame:
     """Per asset, every pair of ranges that share time.
 
-    A sweep in buckets: a range whose length is up to 2^k microseconds, but more than half of it, lies in one or two buckets
-    of that width. It meets the ranges of its class and of the shorter classes there, and a pair counts in the bucket of its
-    later start. So ranges of all lengths together cost some times as many comparisons as there are pairs, and no asset is
-    one task. Rows are at most twice the ranges for each class of length that the asset has.
+    A sweep in buckets: a range whose length is up to 4^k microseconds, but more than a quarter of it, lies in one or two
+    buckets of that width. It meets the ranges of its class and of the shorter classes there, and a pair counts in the bucket
+    of its later start. So ranges of all lengths together cost some times as many comparisons as there are pairs, and no
+    asset is one task. Rows are at most twice the ranges for each class of length that the asset has. Where some DENSE ranges
+    of an asset share each moment, one side is dealt into parts and the other copied to each, so that few crowded buckets are
+    many tasks; the copies are under one for each hundreds of pairs found.
     """
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    level = F.ceil(F.log2(F.greatest(F.col("_e") - F.col("_s"), F.lit(1)).cast("double"))).cast("int")
-    r = ranges.select("farm_id", "asset_id", "dataset_id", "start", "end", us("start").alias("_s"), us("end").alias("_e")).where("_s is not null and _e is not null and _s <= _e").withColumn("_level", level)
+    level = 2 * F.ceil(F.log2(F.greatest(F.col("_e") - F.col("_s"), F.lit(1)).cast("double")) / 2).cast("int")
+    kinds = dict(ranges.dtypes)
+    ends = [] if kinds["start"] == kinds["end"] == "timestamp" else ["start", "end"]  # timestamps come back from microseconds
+    r = ranges.select("farm_id", "asset_id", "dataset_id", *ends, us("start").alias("_s"), us("end").alias("_e")).where("_s is not null and _e is not null and _s <= _e").withColumn("_level", level)
     placed = lambda d: d.withColumn("_bucket", F.explode(F.expr("sequence(shiftright(_s, _level), shiftright(_e, _level))")))
-    classes = r.groupBy("farm_id", "asset_id").agg(F.collect_set("_level").alias("_levels"))
-    short = r.join(classes, ["farm_id", "asset_id"]).withColumn("_own", F.col("_level")).withColumn("_level", F.explode(F.filter("_levels", lambda k: k >= F.col("_own")))).drop("_levels")
-    other = placed(short).select("farm_id", "asset_id", "_level", "_bucket", "_own", *[F.col(c).alias(f"_o{c}") for c in ("dataset_id", "start", "end", "_s", "_e")])
-    both = placed(r).join(other, ["farm_id", "asset_id", "_level", "_bucket"]).where((F.col("_s") < F.col("_o_e")) & (F.col("_o_s") < F.col("_e")) & (F.col("_bucket") == F.expr("shiftright(greatest(_s, _o_s), _level)")))
+    crowd = F.sum((F.col("_e") - F.col("_s")).cast("double")) / F.greatest(F.max("_e") - F.min("_s"), F.lit(1))
+    classes = r.groupBy("farm_id", "asset_id").agg(F.collect_set("_level").alias("_levels"), F.ceil(F.greatest(crowd / DENSE, F.lit(1.0))).cast("int").alias("_parts"))
+    known = r.join(classes, ["farm_id", "asset_id"])
+    long = placed(known.drop("_levels").withColumn("_part", F.pmod(F.xxhash64("dataset_id", "_s", "_e"), F.col("_parts")).cast("int")).drop("_parts"))
+    short = known.withColumn("_own", F.col("_level")).withColumn("_level", F.explode(F.filter("_levels", lambda k: k >= F.col("_own")))).drop("_levels")
+    short = placed(short).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    other = short.select("farm_id", "asset_id", "_level", "_bucket", "_part", "_own", *[F.col(c).alias(f"_o{c}") for c in ("dataset_id", *ends, "_s", "_e")])
+    both = long.join(other, ["farm_id", "asset_id", "_level", "_bucket", "_part"]).where((F.col("_s") < F.col("_o_e")) & (F.col("_o_s") < F.col("_e")) & (F.col("_bucket") == F.expr("shiftright(greatest(_s, _o_s), _level)")))
     # Two ranges of one class meet twice, two of different classes once.
     both = both.where(F.when(F.col("_own") == F.col("_level"), F.col("dataset_id") < F.col("_odataset_id")).otherwise(F.col("dataset_id") != F.col("_odataset_id")))
     first, last = F.least("dataset_id", "_odataset_id"), F.greatest("dataset_id", "_odataset_id")
-    return both.select("farm_id", "asset_id", first.alias("dataset_id"), last.alias("other"), F.greatest("start", "_ostart").alias("overlap_start"), F.least("end", "_oend").alias("overlap_end"))
+    shared = (F.greatest("start", "_ostart"), F.least("end", "_oend")) if ends else (F.timestamp_micros(F.greatest("_s", "_o_s")), F.timestamp_micros(F.least("_e", "_o_e")))
+    return both.select("farm_id", "asset_id", first.alias("dataset_id"), last.alias("other"), shared[0].alias("overlap_start"), shared[1].alias("overlap_end"))
 
 
 def unprocessed(datasets: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:
