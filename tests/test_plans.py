@@ -232,3 +232,17 @@ def test_small_pools_are_refused(spark, sf):
     df = src.load(spark, sf).where("dataset_id = 2")
     with pytest.raises(ValueError, match="at least 50"):
         training.fit(df, ["power"], "farm", "linear_autoencoder", names=["power"])
+
+
+def test_wide_features_take_one_shuffle_by_episode(spark, sf):
+    """Beyond ten sensors, zero runs are masked in the pass that computes the ordered features, with the same results."""
+    df = src.load(spark, sf).where("dataset_id < 4")
+    made = {f"s{k}": F.when(F.col("id") % (k + 2) < 2, F.col("power") * k).otherwise(0.0) for k in range(12)}
+    df, names = df.withColumns(made), ["power", "wind_speed", *made]
+    got = features.engineered(df, None, names)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapGroupsInArrow") == 1
+    two = features.engineered(windows.mask_zero_runs(df, names, keep=("power", "wind_speed")), None, names, clean=False)
+    assert got.columns == two.columns
+    a, b = ({r["id"]: r for r in d.select("id", "s3", "s7", "s7_roll6_mean", "s5_roll18_std", "s2_lag1").collect()} for d in (got, two))
+    assert a == b and any(r["s7"] is None for r in a.values())

@@ -119,14 +119,22 @@ def ordered_arrays(columns: dict[str, np.ndarray], sensors: list[str], angles: I
     return out
 
 
-def ordered_wide(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10) -> DataFrame:
-    """What ``rolling``, ``differences`` and ``lags`` (of the first ``top`` sensors) add, for any number of sensors."""
+def ordered_wide(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10, mask: Iterable[str] = ()) -> DataFrame:
+    """What ``rolling``, ``differences`` and ``lags`` (of the first ``top`` sensors) add, for any number of sensors.
+
+    mask: sensors, doubles, whose runs of zeros are masked before, in the same pass over the episode."""
     angles, sizes, steps = set(angles), tuple(sizes), tuple(steps)
     kinds = lambda c: ("circmean", "circstd") if c in angles else ("mean", "std")
     added = [f"{c}_roll{n}_{k}" for n in sizes for c in sensors for k in kinds(c)]
     added += [f"{c}_diff" for c in sensors[:top]] + [f"{c}_lag{n}" for n in steps for c in sensors[:top]]
 
-    return _by_episode(df, sensors, added, lambda columns: ordered_arrays(columns, sensors, angles, sizes, steps, top))
+    masked = list(mask)
+
+    def work(columns: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        clean = {c: _zero_runs(columns[c], 6) for c in masked}
+        return clean | ordered_arrays(columns | clean, sensors, angles, sizes, steps, top)
+
+    return _by_episode(df, sensors, added, work)
 
 
 def differences(df: DataFrame, columns: Iterable[str]) -> DataFrame:

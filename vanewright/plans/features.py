@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vanewright.functions.columns import EPISODE, META, clock, training_normal
 from vanewright.operators import conform, joins, selection, stats, windows
@@ -24,12 +25,14 @@ def engineered(df: DataFrame, curve: DataFrame | None, sensors: list[str], angle
     computed together in one task.
     """
     angles = set(angles)
-    out = windows.mask_zero_runs(df, sensors, keep=(power, wind)) if clean else df
+    masked = [c for c in sensors if clean and c not in (power, wind)]
+    together = len(sensors) > NARROW and all(isinstance(df.schema[c].dataType, T.DoubleType) for c in masked)  # in one shuffle
+    out = df if together or not masked else windows.mask_zero_runs(df, sensors, keep=(power, wind))
     if curve is not None:
         out = joins.against_curve(out, curve, power, wind, curve_keys)
     times = [x.alias(n) for n, x in clock().items()]
     if len(sensors) > NARROW:
-        return windows.ordered_wide(out, sensors, angles, sizes, steps).select("*", *times)
+        return windows.ordered_wide(out, sensors, angles, sizes, steps, mask=masked if together else ()).select("*", *times)
     w = windows.episode()
     new = []
     for n in sizes:
