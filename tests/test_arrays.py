@@ -214,3 +214,10 @@ def test_small_models_are_fitted_as_large_ones(spark, monkeypatch):
         assert set(a) == set(b) and len(a) == 7
         for k in a:
             assert np.allclose(a[k], b[k], rtol=1e-9, atol=1e-9)
+
+
+def test_rows_of_a_model_do_not_meet_for_its_size(spark):
+    """Two models of many rows: their number of blocks is broadcast, so that no task reads all rows of a model."""
+    x = spark.range(200).selectExpr("concat('m', id % 2) as model", "id", "array(sin(id), cos(id)) as x")
+    plan = detectors.scored(x, x.selectExpr("concat(model, '') as model", "x as w").limit(2), lambda m, t: m[:, 0], "raw", rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
