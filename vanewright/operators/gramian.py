@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vanewright.operators import vectors
 from vanewright.session import stored
 
 #: Columns of a block, rows of a tile that are added in one group, and tasks whose arrays are.
@@ -38,7 +39,17 @@ def columns_of(batch: pa.RecordBatch) -> np.ndarray:
 
 def read(df: DataFrame, columns: list[str], make: Make | None = None) -> tuple[DataFrame, Callable[[pa.RecordBatch], Iterator[np.ndarray]]]:
     """(table to read, what gives its batches' ``columns`` as rows of matrices). With ``make`` the columns are none of the
-    table's but made of them, a piece of a batch at a time, so that hundreds of columns of few are neither written nor sent."""
+    table's but made of them, a piece of a batch at a time, so that hundreds of columns of few are neither written nor sent.
+    Packed columns (``vectors.PACKED``) come as one."""
+    names = vectors.packed_names(df)
+    if make is None and names is not None:
+        at = [names.index(c) for c in columns]
+
+        def unpacked(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+            for a in range(0, batch.num_rows, PIECE):
+                yield np.ascontiguousarray(vectors.unpack(batch.column(0).slice(a, PIECE), len(names)).T[at])
+
+        return df.select(vectors.PACKED), unpacked
     if make is None:
         return df.select(*[F.col(f"`{c}`").cast("double") for c in columns]), lambda batch: iter([columns_of(batch)] if batch.num_rows else [])
 

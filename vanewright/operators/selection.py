@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from vanewright.operators.gramian import Make
 from vanewright.operators.stats import correlations, moments
+from vanewright.operators.vectors import PACKED, packed_names
 
 
 def column_stats(df: DataFrame, columns: list[str], make: Make | None = None) -> DataFrame:
     """(feature, missing_fraction, mean, variance) in one pass over a wide table; beyond 50 columns by arrays, see ``moments``."""
-    if len(columns) > 50 or make:
+    if len(columns) > 50 or make or packed_names(df) is not None:
         return moments(df, columns, make)
     cells = [F.struct(F.lit(c).alias("feature"), F.avg(F.isnull(c).cast("double")).alias("missing_fraction"), F.avg(F.col(c).cast("double")).alias("mean"), F.var_samp(c).alias("variance")) for c in columns]
     return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
@@ -25,8 +26,9 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
     Statistics use all rows. Only the per-column and per-pair results, whose number the schema bounds, reach the driver,
     where the greedy choice in column order is made. make: the columns are made of the table's, see ``gramian.read``.
     """
-    keep, have = set(protect), [c for c in columns if make or c in df.columns]
-    df = df if make else df.select(*have)  # read twice, so a table is better than what is dear to compute
+    packed = packed_names(df)
+    keep, have = set(protect), [c for c in columns if make or c in (df.columns if packed is None else packed)]
+    df = df if make else df.select(*have) if packed is None else df.select(PACKED)  # read twice, so a table is better than what is dear to compute
     reasons: list[tuple[str, str]] = []
     left = []
     stats = {r["feature"]: r for r in column_stats(df, have, make).collect()} if have else {}

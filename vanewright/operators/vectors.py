@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vanewright.session import stored
 
@@ -23,6 +24,40 @@ HELD = 64 << 20
 CELLS = 1_000_000
 
 
+#: A column of all features of a row as the bytes of doubles, NULL as NaN: one value to write, read and send instead of a hundred.
+PACKED = "_packed"
+
+
+def packed(name: str, names: list[str]) -> T.StructField:
+    """The field of packed columns; their names go with it."""
+    return T.StructField(name, T.BinaryType(), True, {"names": list(names)})
+
+
+def packed_names(df: DataFrame) -> list[str] | None:
+    """Names of a table's packed columns, in order, or None."""
+    return list(df.schema[PACKED].metadata["names"]) if PACKED in df.columns else None
+
+
+def pack(x: np.ndarray) -> pa.Array:
+    """Rows of a matrix as the bytes of their doubles."""
+    ends = np.arange(len(x) + 1, dtype=np.int32) * np.int32(8 * x.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x, np.float64))])
+
+
+def unpack(column: pa.Array, positions: int) -> np.ndarray:
+    """The matrix of a packed column."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2][int(ends[0]) : int(ends[-1])], np.float64).reshape(-1, positions)
+
+
+def nested(x: np.ndarray) -> pa.Array:
+    """Rows of a matrix as arrays, NaN as NULL."""
+    flat = np.ascontiguousarray(x).ravel()
+    gaps = np.isnan(flat)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * np.int32(x.shape[1])), pa.array(flat, pa.float64(), mask=gaps if gaps.any() else None))
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """A column of equally long arrays as a matrix, NULL as NaN."""
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)

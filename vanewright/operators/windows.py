@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vanewright.functions.columns import EPISODE, episode
+from vanewright.operators import vectors
 
 WINDOWS = (6, 18, 36)
 LAGS = (1, 6, 36)
@@ -180,7 +181,7 @@ def trailing_arrays(columns: dict[str, np.ndarray], at: np.ndarray, held: int, s
     return out
 
 
-def _places(batch: pa.RecordBatch, key: tuple | None, place: int) -> tuple[np.ndarray, tuple]:
+def places(batch: pa.RecordBatch, key: tuple | None, place: int) -> tuple[np.ndarray, tuple]:
     """(place of each row in its episode, key of the last one); key and place: those of the row before."""
     codes = [np.asarray(batch[c].dictionary_encode(null_encoding="encode").indices) for c in EPISODE]
     first = tuple(batch[c][0].as_py() for c in EPISODE) != key
@@ -189,26 +190,38 @@ def _places(batch: pa.RecordBatch, key: tuple | None, place: int) -> tuple[np.nd
     return row - np.maximum.accumulate(np.where(begins, row, -place - 1)), tuple(batch[c][-1].as_py() for c in EPISODE)
 
 
-def ordered_narrow(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10) -> DataFrame:
+def ordered_narrow(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10, pack: tuple[list[str], list[str]] | None = None) -> DataFrame:
     """The columns of ``ordered_wide`` for few sensors, doubles: rows come in the order of the episodes, many episodes a batch,
-    and a task holds a batch and the few rows before it that windows and lags reach back to, whatever an episode's length."""
+    and a task holds a batch and the few rows before it that windows and lags reach back to, whatever an episode's length.
+
+    pack: columns of the table that go before and after the new ones into one packed column (``vectors.PACKED``), which
+    replaces them all; columns of other types than numbers stay."""
     angles, sizes, steps = set(angles), tuple(sizes), tuple(steps)
     kinds = lambda c: ("circmean", "circstd") if c in angles else ("mean", "std")
     added = [f"{c}_roll{n}_{k}" for n in sizes for c in sensors for k in kinds(c)]
     added += [f"{c}_diff" for c in sensors[:top]] + [f"{c}_lag{n}" for n in steps for c in sensors[:top]]
     held = max([1, *(n - 1 for n in sizes), *steps])
-    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in added]])
+    if pack:
+        names = [*pack[0], *added, *pack[1]]
+        stay = [f for f in df.schema.fields if f.name not in names]
+        schema = T.StructType([*stay, vectors.packed(vectors.PACKED, names)])
+    else:
+        schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in added]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, key, place = {c: np.full(held, np.nan) for c in sensors}, None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            at, key = _places(batch, key, place)
+            at, key = places(batch, key, place)
             place = int(at[-1])
             columns = {c: np.concatenate([before[c], np.asarray(batch[c].to_numpy(zero_copy_only=False), np.float64)]) for c in sensors}
             made = trailing_arrays(columns, at, held, sensors, angles, sizes, steps, top)
             before = {c: v[-held:] for c, v in columns.items()}
+            if pack:
+                value = lambda n: made[n] if n in made else batch[n].to_numpy(zero_copy_only=False)  # noqa: E731,B023
+                yield pa.RecordBatch.from_arrays([*[batch[f.name] for f in stay], vectors.pack(np.stack([value(n) for n in names], axis=1))], names=schema.names)
+                continue
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(made[n], pa.float64(), mask=np.isnan(made[n])) for n in added]], names=[*batch.schema.names, *added])
 
     return df.repartition(*EPISODE).sortWithinPartitions(*EPISODE, "time_stamp", "id").mapInArrow(run, schema)

@@ -18,8 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vanewright.functions.columns import META
+from vanewright.functions.columns import EPISODE, META
 from vanewright.operators import stats, windows
 from vanewright.operators import vectors as arrays
 from vanewright.session import stored
@@ -30,6 +31,8 @@ _TREE = "model string, tree int, feature array<int>, cut array<double>, left arr
 _GROWS = "grows struct<trees:int,sample:int,seed:bigint,rows:array<array<double>>>"
 #: Rows up to which a model counts as small: all of it is one group.
 SMALL = 5120
+#: Models up to which what was fitted goes to the tasks with the plan (and ``vectors.CELLS`` numbers), and numbers of a piece of a batch.
+MODELS, PIECE = 1000, 1 << 20
 
 
 @dataclass
@@ -74,7 +77,23 @@ def model_name(keys: tuple[str, ...]) -> Column:
 
 def vectors(df: DataFrame, features: list[str], keys: tuple[str, ...]) -> DataFrame:
     """(model, metadata, x): model names the keys' values; NULL features are NULL in x."""
-    return df.select(model_name(keys).alias("model"), *[c for c in (*META, "is_validation") if c in df.columns], F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    own = [model_name(keys).alias("model"), *[c for c in (*META, "is_validation") if c in df.columns]]
+    names = arrays.packed_names(df)
+    if names is None or not set(features) <= set(names) or not features:
+        return df.select(*own, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    rows, at = df.select(*own, arrays.PACKED), [names.index(c) for c in features]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _with(batch, "x", arrays.nested(arrays.unpack(batch.column(arrays.PACKED), len(names))[:, at]), arrays.PACKED)
+
+    return rows.mapInArrow(run, T.StructType([*[f for f in rows.schema if f.name != arrays.PACKED], T.StructField("x", T.ArrayType(T.DoubleType()))]))
+
+
+def _with(batch: pa.RecordBatch, name: str, values: pa.Array, instead: str = "x") -> pa.RecordBatch:
+    """The batch with another column for ``instead``, at the end."""
+    names = [c for c in batch.schema.names if c != instead]
+    return pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], values], names=[*names, name])
 
 
 def preprocessed(x: DataFrame, fitted: DataFrame) -> DataFrame:
@@ -84,13 +103,115 @@ def preprocessed(x: DataFrame, fitted: DataFrame) -> DataFrame:
     return out.withColumn("x", z).drop("median", "mean", "std")
 
 
-def fit_preprocessor(x: DataFrame) -> DataFrame:
+def sent(table: DataFrame, *numbers: str) -> dict[str, pa.Table] | None:
+    """Rows of a fitted table by model, where it has so few models and numbers (in the columns told) that they go to the tasks
+    with the plan; else None."""
+    cells = sum((F.size(F.flatten(c) if dict(table.dtypes)[c].startswith("array<array") else c) for c in numbers), F.lit(0))
+    other = F.max(F.col("grows").isNotNull()) if "grows" in table.columns else F.lit(False)  # trees that grow where they score
+    models, size, grows = table.agg(F.count_distinct("model"), F.sum(cells), other).first()
+    if models > MODELS or (size or 0) > arrays.CELLS or grows:
+        return None
+    whole = table.toArrow()
+    return {m: whole.filter(pc.equal(whole["model"], m)) for m in pc.unique(whole["model"]).to_pylist()}
+
+
+def _scalers(fitted: DataFrame) -> dict[str, tuple] | None:
+    rows = sent(fitted, "median", "mean", "std")
+    return rows and {m: tuple(np.array(t[c][0].as_py(), np.float64) for c in ("median", "mean", "std")) for m, t in rows.items()}
+
+
+def _standardised(model: pa.Array, x: np.ndarray, scalers: dict[str, tuple]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(model, its rows in the batch, those standardised) of models that were fitted."""
+    codes = model.dictionary_encode()
+    code = np.asarray(codes.indices)
+    for k, m in enumerate(codes.dictionary.to_pylist()):
+        if m in scalers:
+            at, (median, mean, std) = np.flatnonzero(code == k), scalers[m]
+            own = x[at]
+            z = (np.where(np.isnan(own), median, own) - mean) / std
+            yield m, at, np.where(np.isnan(z), 0.0, z)
+
+
+def standardised(x: DataFrame, fitted: DataFrame) -> DataFrame:
+    """``preprocessed``, by numpy where the models are few."""
+    scalers = _scalers(fitted)
+    if not scalers:
+        return preprocessed(x, fitted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, keep = arrays.matrix(batch.column("x")), np.zeros(batch.num_rows, bool)
+            z = np.empty_like(rows)
+            for _, at, own in _standardised(batch.column("model"), rows, scalers) if batch.num_rows else ():
+                z[at], keep[at] = own, True
+            out = _with(batch, "x", arrays.nested(z))
+            yield out if keep.all() else out.filter(pa.array(keep))
+
+    return x.select(*[c for c in x.columns if c != "x"], "x").mapInArrow(run, T.StructType([*[f for f in x.schema if f.name != "x"], x.schema["x"]]))
+
+
+def scored_in_tasks(x: DataFrame, scalers: dict[str, tuple], models: dict[str, pa.Table], ready: Callable[[pa.Table], Callable[[np.ndarray], np.ndarray]], out: str, steps: int = 1) -> DataFrame:
+    """Replace x, not standardised, by ``out``, what ``ready(the model's fitted rows)(rows of x standardised)`` gives, or of the
+    last ``steps`` rows of the episode, where few models go with the plan: no row is shuffled for its model. Rows of models
+    that were not fitted go."""
+    names = [c for c in x.columns if c != "x"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, last = {}, _Last(steps)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows, got = arrays.matrix(batch.column("x")), np.full(batch.num_rows, np.nan)
+            z, own, keep = np.zeros_like(rows), [], np.zeros(batch.num_rows, bool)
+            for m, at, s in _standardised(batch.column("model"), rows, scalers):
+                z[at] = s
+                if m in models:
+                    own.append((m, at))
+                    keep[at] = True
+                    made[m] = made.get(m) or ready(models[m])
+            seen = last.add(batch, z)
+            for m, at in own:
+                most = max(1, PIECE // max(1, steps * z.shape[1]))
+                for a in range(0, len(at), most):
+                    got[at[a : a + most]] = made[m](seen(at[a : a + most]))
+            done = _with(batch, out, pa.array(got, pa.float64()))
+            yield done if keep.all() else done.filter(pa.array(keep))
+
+    rows = _in_order(x) if steps > 1 else x
+    return rows.mapInArrow(run, T.StructType([*[x.schema[c] for c in names], T.StructField(out, T.DoubleType())]))
+
+
+def _in_order(x: DataFrame) -> DataFrame:
+    return x.repartition(*EPISODE).sortWithinPartitions(*EPISODE, "time_stamp", "id")
+
+
+class _Last:
+    """The last ``steps`` rows of the episode for each row of batches that come in order, an episode's first repeated in front."""
+
+    def __init__(self, steps: int):
+        self.steps, self.key, self.place, self.before = steps, None, 0, None
+
+    def add(self, batch: pa.RecordBatch, z: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+        """What gives the rows wanted of this batch as rows of steps times positions."""
+        if self.steps == 1:
+            return lambda rows: z[rows]
+        held = self.steps - 1
+        at, self.key = windows.places(batch, self.key, self.place)
+        self.place = int(at[-1])
+        whole = np.concatenate([np.zeros((held, z.shape[1])) if self.before is None else self.before, z])
+        self.before = whole[-held:]
+        back = np.arange(held, -1, -1)
+        return lambda rows: whole[held + rows[:, None] - np.minimum(back, at[rows][:, None])].reshape(len(rows), -1)
+
+
+def fit_preprocessor(x: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """(model, median, mean, std) arrays by feature position; features without any value become 0.
+    counted: rows with the same models that are cheaper to count.
 
     Medians are exact whatever the size of a model, and no row is shuffled for them, see ``vectors.percentiles``. Mean and
     deviation are those after imputing the median; they follow from the sums of what is there.
     """
-    if all_small(x):
+    if all_small(x if counted is None else counted):
         return x.select("model", "x").groupBy("model").applyInArrow(_fit_small, "model string, median array<double>, mean array<double>, std array<double>")
     found = arrays.percentiles(x, [0.5])
     if found is None:  # more models times features than brackets have room for
@@ -239,9 +360,9 @@ def _grown(x: np.ndarray, trees: int, sample: int, rng: np.random.Generator) ->
     return {"sizes": sizes, "feature": feature[order], "cut": cut[order], "left": child(0), "right": child(1), "depth": ends[order], "psi": np.full(trees, psi)}
 
 
-def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
+def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED, counted: DataFrame | None = None) -> DataFrame:
     """One row a tree, or for a model of up to SMALL rows one row with those, from which ``_Forest`` grows its trees."""
-    n = stored(x.groupBy("model").agg(F.count("*").alias("n")), "rows")
+    n = stored((x if counted is None else counted).groupBy("model").agg(F.count("*").alias("n")), "rows")
     least, most = n.agg(F.min("n"), F.max("n")).first()
     of = lambda keep: x.join(n.where(keep).select("model"), "model", "left_semi") if least <= SMALL < most else x
     kinds = [F.lit(None).cast(t).alias(c) for c, t in (v.split(" ") for v in _TREE.split(", ")[1:])]
@@ -252,19 +373,24 @@ def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int
         large = _fit_drawn(of(F.col("n") > SMALL), n, trees, sample, seed).select("*", none)
     if least is not None and least > SMALL:
         return large
-    row = F.xxhash64(*[c for c in x.columns if c in META], "x")
+    row = _row(x)
     held = F.transform(F.array_sort(F.collect_list(F.struct(row.alias("row"), "x"))), lambda r: r["x"])  # one order of the rows
     small = of(F.col("n") <= SMALL).groupBy("model").agg(held.alias("rows")).select(F.col("model").alias("model"), *kinds, F.struct(F.lit(trees).alias("trees"), F.lit(sample).alias("sample"), F.lit(seed).cast("long").alias("seed"), "rows").alias("grows"))
     return small if large is None else large.unionByName(small)
 
 
+def _row(x: DataFrame) -> Column:
+    """A hash that names a row: by its metadata, since the last bits of what is standardised depend on how rows are dealt."""
+    return F.xxhash64(*[c for c in x.columns if c in META] or ["x"])
+
+
 def _fit_drawn(x: DataFrame, n: DataFrame, trees: int, sample: int, seed: int) -> DataFrame:
     """One row a tree. Only drawn rows are shuffled; trees grow in groups.
 
     Trees are dealt into groups whose shares of the rows add up to one at most. One hash of (row, group) falls into one
     tree's interval or none, so a row costs about as many hashes as it is drawn times.
     """
-    row = F.xxhash64(*[c for c in x.columns if c in META], "x")
+    row = _row(x)
     share = F.least(F.lit(1.0), (1.4 * sample + 24) / F.col("n"))
     draw = x.withColumn("row", row).join(n.select("model", share.alias("share"), F.floor(1 / share).cast("int").alias("together")), "model")
     groups = F.sequence(F.lit(0), F.ceil(F.lit(trees) / F.col("together")).cast("int") - 1)
@@ -341,17 +467,25 @@ def score_forest(x: DataFrame, forest: DataFrame, rows: int = 20_000) -> DataFra
 
 def fit_isolation_forest(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION) -> Fitted:
     """Scores are positive beyond the training share ``contamination``."""
-    x = vectors(train, features, keys)
-    scaler = stored(fit_preprocessor(x), "scaler")
-    z = stored(preprocessed(x, scaler), "standardised")
-    forest = stored(fit_forest(z, trees, sample), "trees")
-    offset = stats.exact_percentiles(score_forest(z, forest), ["model"], "raw", {"offset": 1 - contamination}, keep=True)
+    x, counted = vectors(train, features, keys), vectors(train, [], keys)
+    scaler = stored(fit_preprocessor(x, counted), "scaler")
+    z = standardised(x, scaler)
+    forest = stored(fit_forest(z, trees, sample, counted=counted), "trees")
+    offset = stats.exact_percentiles(_raw(x, scaler, forest), ["model"], "raw", {"offset": 1 - contamination}, keep=True)
     return Fitted("isolation_forest", features, keys, {}, {"scaler": scaler, "trees": forest, "offset": stored(offset, "offset")})
 
 
+def _raw(x: DataFrame, scaler: DataFrame, forest: DataFrame) -> DataFrame:
+    """``score_forest`` of rows that are not standardised yet."""
+    scalers = _scalers(scaler)
+    trees = sent(forest, "feature") if scalers else None
+    if not trees:
+        return score_forest(preprocessed(x, scaler), forest)
+    return scored_in_tasks(x, scalers, trees, lambda t: _Forest(t).raw, "raw")
+
+
 def _score_forest(f: Fitted, rows: DataFrame) -> DataFrame:
-    z = preprocessed(vectors(rows, f.features, f.keys), f.tables["scaler"])
-    out = score_forest(z, f.tables["trees"]).join(f.tables["offset"], "model")
+    out = _raw(vectors(rows, f.features, f.keys), f.tables["scaler"], f.tables["trees"]).join(f.tables["offset"], "model")
     return out.withColumn("score", F.col("raw") - F.col("offset")).drop("raw", "offset")
 
 
@@ -359,7 +493,7 @@ def isolation_forest(train: DataFrame, rows: DataFrame, features: list[str], key
     return fit_isolation_forest(train, features, keys, **options).score(rows)
 
 
-def _principal(z: DataFrame, size: int) -> DataFrame:
+def _principal(z: DataFrame, size: int, counted: DataFrame | None = None) -> DataFrame:
     """(model, w): the leading directions of each model's second moments.
 
     Products are summed by task and model; a task that holds many models sends what it has when it holds enough. Rows of the
@@ -399,7 +533,7 @@ def _principal(z: DataFrame, size: int) -> DataFrame:
         x = arrays.matrix(t["x"].combine_chunks())
         return directions(table(t["model"][0].as_py(), len(x), 0, x.T @ x))
 
-    if all_small(z):
+    if all_small(z if counted is None else counted):
         return z.select("model", "x").groupBy("model").applyInArrow(whole, "model string, w array<array<double>>")
     parts = z.select("model", "x").mapInArrow(partial, kind)
     return parts.groupBy("model", "stripe").applyInArrow(add, kind).groupBy("model").applyInArrow(directions, "model string, w array<array<double>>")
@@ -418,17 +552,28 @@ def residuals(x: np.ndarray, w: np.ndarray, last: int | None = None, chunk: int
 
 def _sequenced(z: DataFrame, steps: int) -> DataFrame:
     """x as the last ``steps`` vectors of the episode, its first one repeated in front."""
-    seen = F.collect_list("x").over(windows.episode().rowsBetween(-(steps - 1), 0))
-    z = z.withColumn("_seen", seen)
-    return z.withColumn("x", F.flatten(F.concat(F.array_repeat(F.element_at("_seen", 1), steps - F.size("_seen")), F.col("_seen")))).drop("_seen")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = _Last(steps)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = arrays.matrix(batch.column("x"))
+            seen, most = last.add(batch, x), max(1, PIECE // max(1, steps * x.shape[1]))
+            for a in range(0, len(x), most):
+                part = batch.slice(a, most)
+                yield _with(part, "x", arrays.nested(seen(np.arange(a, a + part.num_rows))))
+
+    rows = z.select(*[c for c in z.columns if c != "x"], "x")
+    return _in_order(rows).mapInArrow(run, rows.schema)
 
 
 def _fit_autoencoder(kind: str, train: DataFrame, features: list[str], keys: tuple[str, ...], steps: int, size: int | None) -> Fitted:
-    x = vectors(train, features, keys)
-    scaler = stored(fit_preprocessor(x), "scaler")
-    z = preprocessed(x, scaler)
+    x, counted = vectors(train, features, keys), vectors(train, [], keys)
+    scaler = stored(fit_preprocessor(x, counted), "scaler")
+    z = standardised(x, scaler)
     p = steps * len(features)
-    w = _principal(_sequenced(z, steps) if steps > 1 else z, size or min(p, max(8, p // 4)))
+    w = _principal(_sequenced(z, steps) if steps > 1 else z, size or min(p, max(8, p // 4)), counted)
     return Fitted(kind, features, keys, {"steps": steps}, {"scaler": scaler, "directions": stored(w, "directions")})
 
 
@@ -443,10 +588,21 @@ def fit_sequence_autoencoder(train: DataFrame, features: list[str], keys: tuple[
 
 
 def _score_autoencoder(f: Fitted, rows: DataFrame) -> DataFrame:
-    z = preprocessed(vectors(rows, f.features, f.keys), f.tables["scaler"])
-    z = _sequenced(z, f.options["steps"]) if f.options["steps"] > 1 else z
-    last = len(f.features) if f.options["steps"] > 1 else None
-    return scored(z, f.tables["directions"], lambda x, fitted: residuals(x, arrays.matrix(fitted["w"].combine_chunks().flatten()), last), "score")
+    x, steps = vectors(rows, f.features, f.keys), f.options["steps"]
+    last = len(f.features) if steps > 1 else None
+    scalers = _scalers(f.tables["scaler"])
+    found = sent(f.tables["directions"], "w") if scalers else None
+    way = lambda t: arrays.matrix(t["w"].combine_chunks().flatten())
+    if found:
+
+        def ready(t: pa.Table) -> Callable[[np.ndarray], np.ndarray]:
+            w = way(t)
+            return lambda x: residuals(x, w, last)
+
+        return scored_in_tasks(x, scalers, found, ready, "score", steps)
+    z = preprocessed(x, f.tables["scaler"])
+    z = _sequenced(z, steps) if steps > 1 else z
+    return scored(z, f.tables["directions"], lambda x, fitted: residuals(x, way(fitted), last), "score")
 
 
 def linear_autoencoder(train: DataFrame, rows: DataFrame, features: list[str], keys: tuple[str, ...] = (), **options) -> DataFrame:

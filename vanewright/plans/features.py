@@ -17,10 +17,12 @@ from vanewright.session import stored
 NARROW = 10
 
 
-def engineered(df: DataFrame, curve: DataFrame | None, sensors: list[str], angles: Iterable[str] = (), power: str = "power", wind: str = "wind_speed", sizes: Iterable[int] = windows.WINDOWS, steps: Iterable[int] = windows.LAGS, curve_keys: tuple[str, ...] = ("farm_id", "asset_id"), clean: bool = True) -> DataFrame:
+def engineered(df: DataFrame, curve: DataFrame | None, sensors: list[str], angles: Iterable[str] = (), power: str = "power", wind: str = "wind_speed", sizes: Iterable[int] = windows.WINDOWS, steps: Iterable[int] = windows.LAGS, curve_keys: tuple[str, ...] = ("farm_id", "asset_id"), clean: bool = True, pack: bool = False) -> DataFrame:
     """Zero runs masked (unless ``clean`` is False), curve residuals, rolling statistics, differences and lags of the first
     ten sensors, clock.
 
+    pack: the numeric features as one packed column, see ``vectors.PACKED``, where the sensors are few and doubles.
+
     Up to NARROW sensors rows go through numpy in the order of their episodes, many episodes a batch (sensors of other types than
     double: window expressions, which share one exchange and one sort); beyond, an episode's columns are computed together.
     """
@@ -34,6 +36,8 @@ def engineered(df: DataFrame, curve: DataFrame | None, sensors: list[str], angle
     if len(sensors) > NARROW:
         return windows.ordered_wide(out, sensors, angles, sizes, steps, mask=masked if together else ()).select("*", *times)
     if all(isinstance(out.schema[c].dataType, T.DoubleType) for c in sensors):
+        if pack:
+            return windows.ordered_narrow(out.select("*", *times), sensors, angles, sizes, steps, pack=(conform.numeric_columns(out), list(clock())))
         return windows.ordered_narrow(out, sensors, angles, sizes, steps).select("*", *times)
     w = windows.episode()
     new = []

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vanewright.functions.columns import EPISODE, META, training_normal
 from vanewright.operators import conform, selection, stats, windows
+from vanewright.operators.vectors import packed_names
 from vanewright.plans import detectors, evaluation, features
 from vanewright.session import stored
 
@@ -89,20 +90,21 @@ class Trained:
         return cls(told["strategy"], told["sensors"], told["angles"], told["least_run"], refs, detectors.Fitted.load(spark, f"{root}/detector"), tables["limits"], tables["failed"])
 
 
-def _prepared(df: DataFrame, sensors: list[str], strategy: str, angles: Iterable[str]) -> tuple[DataFrame, dict[str, DataFrame]]:
+def _prepared(df: DataFrame, sensors: list[str], strategy: str, angles: Iterable[str], pack: bool = False) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Features of all readings with their split, written once, and the references they come from. Readings with zero runs
-    masked are written too: both references and the features read them, and each would run the windows again."""
+    masked are written too: both references and the features read them, and each would run the windows again. pack: features
+    as one column, so that a row is one value to write and to read in every pass over them."""
     keys = EPISODE if strategy == "turbine" else ("farm_id", "asset_id")
     cleaned = stored(windows.with_split(windows.mask_zero_runs(df, sensors, keep=("power", "wind_speed")), training_normal(), least_rows=2), "cleaned")
     refs = features.references(cleaned, sensors, angles, features.has_curve(cleaned), strategy != "turbine", keys, clean=False)
     refs = {k: stored(v, k) for k, v in refs.items()}
-    return stored(features.with_references(cleaned, refs, sensors, angles, curve_keys=keys, clean=False), "features"), refs
+    return stored(features.with_references(cleaned, refs, sensors, angles, curve_keys=keys, clean=False, pack=pack), "features"), refs
 
 
 def _selected(feats: DataFrame) -> list[str]:
     """Features that the normal training rows leave after missingness, variance and correlation; curve residuals stay."""
     rows = feats.where(training_normal())
-    return selection.select_features(rows, conform.numeric_columns(feats), protect=("power_residual", "power_residual_pct"))[0]
+    return selection.select_features(rows, packed_names(feats) or conform.numeric_columns(feats), protect=("power_residual", "power_residual_pct"))[0]
 
 
 def _fit(feats: DataFrame, refs: dict[str, DataFrame], sensors: list[str], strategy: str, detector: str, angles: Iterable[str], names: list[str] | None, percentile: float, least_run: int, least_rows: int, **options) -> Trained:
@@ -131,13 +133,13 @@ def fit(df: DataFrame, sensors: list[str], strategy: str = "farm", detector: str
     names: features to use; by default they are selected on the normal training rows. Models with fewer than
     ``least_rows`` rows to fit are told as failed; the others go on.
     """
-    feats, refs = _prepared(df, sensors, strategy, angles)
+    feats, refs = _prepared(df, sensors, strategy, angles, pack=True)
     return _fit(feats, refs, sensors, strategy, detector, angles, names, percentile, least_run, least_rows, **options)
 
 
 def run(df: DataFrame, events: DataFrame, sensors: list[str], strategy: str = "farm", detector: str = "isolation_forest", angles: Iterable[str] = (), names: list[str] | None = None, percentile: float = 0.99, least_run: int = 6, least_rows: int = 2, **options) -> dict[str, DataFrame]:
     """Tables of a run: scores of prediction rows with flags, thresholds, results, summary, failed models, registry rows."""
-    feats, refs = _prepared(df, sensors, strategy, angles)
+    feats, refs = _prepared(df, sensors, strategy, angles, pack=True)
     return _evaluated(_fit(feats, refs, sensors, strategy, detector, angles, names, percentile, least_run, least_rows, **options), feats, events)
 
 
@@ -149,7 +151,7 @@ def _evaluated(trained: Trained, feats: DataFrame, events: DataFrame) -> dict[st
 
 def compare(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str] | None = None, strategy: str = "farm", models: Iterable[str] = tuple(detectors.DETECTORS), angles: Iterable[str] = (), percentile: float = 0.99, least_run: int = 6, least_rows: int = 2, **options) -> DataFrame:
     """Results of several detectors on the same features, selection and split, tagged by model. options are the forest's."""
-    feats, refs = _prepared(df, sensors, strategy, angles)
+    feats, refs = _prepared(df, sensors, strategy, angles, pack=True)
     if names is None:
         names = _selected(feats)
     one = lambda m: _fit(feats, refs, sensors, strategy, m, angles, names, percentile, least_run, least_rows, **(options if m == "isolation_forest" else {}))
@@ -161,7 +163,7 @@ def cross_farm(df: DataFrame, events: DataFrame, sensors: list[str], pairs: dict
 
     Features are selected on the normal training rows of each pair's source farms, unless ``names`` gives them.
     """
-    feats, _ = _prepared(df, sensors, "global", angles)
+    feats, _ = _prepared(df, sensors, "global", angles, pack=True)
     out = {}
     for name, (source, target) in pairs.items():
         own = feats.where(F.col("farm_id").isin(source))
