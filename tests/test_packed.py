@@ -64,3 +64,37 @@ def test_models_not_fitted_are_left_out(spark):
     z, old = (f(x, scaler).orderBy("id").collect() for f in (detectors.standardised, detectors.preprocessed))
     assert [r["id"] for r in z] == [r["id"] for r in old] and len(z) == 200
     assert all(np.allclose(a["x"], b["x"]) for a, b in zip(z, old, strict=True))
+
+
+def test_features_are_cut_as_bytes(prepared):
+    """Positions are picked without Python, in any order; the tasks that score read them in one pass."""
+    one, _ = prepared
+    names = vectors.packed_names(one)
+    wanted = [names[k] for k in (3, 4, 5, 0, 9, 8)]
+    x = detectors.rows_of(one, wanted, ("farm_id",))
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan(x) and dict(x.dtypes)["x"] == "binary"
+    at, read = [names.index(c) for c in wanted], vectors.reader(x)
+    for r in x.join(one.select("id", vectors.PACKED), "id").limit(200).collect():
+        assert np.array_equal(read(pa.array([r["x"]], pa.binary()))[0], np.frombuffer(r[vectors.PACKED])[at], equal_nan=True)
+    assert len(detectors.listed(x).where("size(x) <> 6").take(1)) == 0
+    assert plan(detectors.vectors(one, names, ("farm_id",))).count("InArrow") == 1 and vectors.packed_names(x) is None
+
+
+def test_scores_of_packed_rows_are_one_pass(prepared, monkeypatch):
+    monkeypatch.setattr(detectors, "SMALL", 0)
+    feats = prepared[0]
+    model = detectors.fit_isolation_forest(training.split(feats)[0], ["power", "sensor_2"], ("farm_id",), trees=5)
+    plan = model.score(feats)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_pairs_of_the_same_sources_share_a_model(spark, sf, monkeypatch):
+    fits = []
+    monkeypatch.setitem(detectors.DETECTORS, "isolation_forest", lambda train, *a, f=detectors.fit_isolation_forest, **o: fits.append(1) or f(train, *a, **o))
+    df = src.load(spark, sf).where("dataset_id < 45").withColumn("farm_id", F.element_at(F.array(*map(F.lit, "ABC")), (F.col("dataset_id") % 3 + 1).cast("int")))
+    pairs = {"A_to_B": (["A"], ["B"]), "A_to_C": (["A"], ["C"]), "AB_to_C": (["A", "B"], ["C"]), "BA_to_C": (["B", "A"], ["C"])}
+    out = training.cross_farm(df, src.event_records(df), SENSORS, pairs, names=["power", "sensor_2"], angles=ANGLES, trees=10)
+    rows = {(r["experiment"], r["dataset_id"]): r["n_flagged_points"] for r in out.collect()}
+    assert len(fits) == 2 and len(rows) == 60
+    assert {k[1]: v for k, v in rows.items() if k[0] == "AB_to_C"} == {k[1]: v for k, v in rows.items() if k[0] == "BA_to_C"}

@@ -1,16 +1,16 @@
 """Statistics of vectors by model, in Arrow batches: moments and exact percentiles of every position.
 
-Rows are (model, x array<double>); NULLs in x are missing values. Nothing here explodes or shuffles the rows.
+Rows are (model, x array<double>, or packed as bytes); NULLs in x are missing values. Nothing here explodes or shuffles the rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,12 +63,32 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
 
 
-def by_model(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+def cut(names: list[str], wanted: list[str], out: str = "x") -> Column:
+    """The packed column with the wanted positions alone, packed too: bytes are cut where they are, before any task of Python.
+    Its field tells how many there are, see ``reader``."""
+    runs: list[list[int]] = []  # first position, positions
+    for k in map(names.index, wanted):
+        if runs and sum(runs[-1]) == k:
+            runs[-1][1] += 1
+        else:
+            runs.append([k, 1])
+    parts = [F.substring(PACKED, 8 * a + 1, 8 * n) for a, n in runs]
+    whole = F.col(PACKED) if runs == [[0, len(names)]] else parts[0] if len(parts) == 1 else F.concat(*parts)
+    return whole.alias(out, metadata={"of": len(wanted)})
+
+
+def reader(df: DataFrame, name: str = "x") -> Callable[[pa.Array], np.ndarray]:
+    """What makes a matrix of a column of the table, packed (``cut``) or of arrays."""
+    positions = (df.schema[name].metadata or {}).get("of")
+    return matrix if positions is None else lambda column: unpack(column, positions)
+
+
+def by_model(batches: Iterator[pa.RecordBatch], read: Callable[[pa.Array], np.ndarray] = matrix) -> Iterator[tuple[str, np.ndarray]]:
     """(model, rows as a matrix) of each batch of (model, x); NULL models are one model, None."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        x, codes = matrix(batch.column(1)), batch.column(0).dictionary_encode(null_encoding="encode")
+        x, codes = read(batch.column(1)), batch.column(0).dictionary_encode(null_encoding="encode")
         names, code = codes.dictionary.to_pylist(), codes.indices.to_numpy()
         if len(names) == 1:
             yield names[0], x
@@ -137,10 +157,12 @@ def _as_batch(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _sketches(x: DataFrame, seed: int = 42) -> DataFrame:
+    read = reader(x)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         rng, held = np.random.default_rng([seed, part]), _Held()
-        for model, rows in by_model(batches):
+        for model, rows in by_model(batches, read):
             for m, block in held.add(model, rows):
                 yield _as_batch(list(_sent(m, len(block), part, _sketch(block, rng))))
         for m, block in held.rest():
@@ -210,6 +232,8 @@ def _brackets(row: dict, shares: list[float], wide: float) -> list[list[tuple]]:
 def _counted(x: DataFrame, brackets: dict, positions: int) -> DataFrame:
     """(model, share, position, below, values, counts): of each bracket, how many values lie below it, and those inside."""
 
+    read = reader(x)
+
     def told(rows: list[tuple]) -> pa.RecordBatch:
         names = ("model", "share", "position", "below", "values", "counts")
         kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()))
@@ -229,7 +253,7 @@ def _counted(x: DataFrame, brackets: dict, positions: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held()
-        for model, rows in by_model(batches):
+        for model, rows in by_model(batches, read):
             for block in held.add(model, rows) if model in brackets else ():
                 yield from flush(*block)
         for block in held.rest():

@@ -75,19 +75,36 @@ def model_name(keys: tuple[str, ...]) -> Column:
     return F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys]) if keys else F.lit("all")
 
 
-def vectors(df: DataFrame, features: list[str], keys: tuple[str, ...]) -> DataFrame:
-    """(model, metadata, x): model names the keys' values; NULL features are NULL in x."""
+def rows_of(df: DataFrame, features: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """(model, metadata, x): model names the keys' values. x of a table with packed features is packed (``vectors.cut``), and
+    the task that computes with it reads it; of others it is an array. NULL features are NULL in x."""
     own = [model_name(keys).alias("model"), *[c for c in (*META, "is_validation") if c in df.columns]]
     names = arrays.packed_names(df)
-    if names is None or not set(features) <= set(names) or not features:
-        return df.select(*own, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
-    rows, at = df.select(*own, arrays.PACKED), [names.index(c) for c in features]
+    packed = names is not None and features and set(features) <= set(names)
+    return df.select(*own, arrays.cut(names, features) if packed else F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+
+
+def listed(x: DataFrame) -> DataFrame:
+    """The same rows with x as an array."""
+    read = arrays.reader(x)
+    if read is arrays.matrix:
+        return x
+    rows = x.select(*[c for c in x.columns if c != "x"], "x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _with(batch, "x", arrays.nested(arrays.unpack(batch.column(arrays.PACKED), len(names))[:, at]), arrays.PACKED)
+            yield _with(batch, "x", arrays.nested(read(batch.column("x"))))
+
+    return rows.mapInArrow(run, _as_arrays(rows))
 
-    return rows.mapInArrow(run, T.StructType([*[f for f in rows.schema if f.name != arrays.PACKED], T.StructField("x", T.ArrayType(T.DoubleType()))]))
+
+def _as_arrays(x: DataFrame) -> T.StructType:
+    return T.StructType([*[f for f in x.schema if f.name != "x"], T.StructField("x", T.ArrayType(T.DoubleType()))])
+
+
+def vectors(df: DataFrame, features: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """(model, metadata, x): model names the keys' values; NULL features are NULL in x, an array."""
+    return listed(rows_of(df, features, keys))
 
 
 def _with(batch: pa.RecordBatch, name: str, values: pa.Array, instead: str = "x") -> pa.RecordBatch:
@@ -134,34 +151,34 @@ def _standardised(model: pa.Array, x: np.ndarray, scalers: dict[str, tuple]) ->
 
 def standardised(x: DataFrame, fitted: DataFrame) -> DataFrame:
     """``preprocessed``, by numpy where the models are few."""
-    scalers = _scalers(fitted)
+    scalers, read = _scalers(fitted), arrays.reader(x)
     if not scalers:
-        return preprocessed(x, fitted)
+        return preprocessed(listed(x), fitted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, keep = arrays.matrix(batch.column("x")), np.zeros(batch.num_rows, bool)
+            rows, keep = read(batch.column("x")), np.zeros(batch.num_rows, bool)
             z = np.empty_like(rows)
             for _, at, own in _standardised(batch.column("model"), rows, scalers) if batch.num_rows else ():
                 z[at], keep[at] = own, True
             out = _with(batch, "x", arrays.nested(z))
             yield out if keep.all() else out.filter(pa.array(keep))
 
-    return x.select(*[c for c in x.columns if c != "x"], "x").mapInArrow(run, T.StructType([*[f for f in x.schema if f.name != "x"], x.schema["x"]]))
+    return x.select(*[c for c in x.columns if c != "x"], "x").mapInArrow(run, _as_arrays(x))
 
 
 def scored_in_tasks(x: DataFrame, scalers: dict[str, tuple], models: dict[str, pa.Table], ready: Callable[[pa.Table], Callable[[np.ndarray], np.ndarray]], out: str, steps: int = 1) -> DataFrame:
     """Replace x, not standardised, by ``out``, what ``ready(the model's fitted rows)(rows of x standardised)`` gives, or of the
     last ``steps`` rows of the episode, where few models go with the plan: no row is shuffled for its model. Rows of models
     that were not fitted go."""
-    names = [c for c in x.columns if c != "x"]
+    names, read = [c for c in x.columns if c != "x"], arrays.reader(x)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, last = {}, _Last(steps)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows, got = arrays.matrix(batch.column("x")), np.full(batch.num_rows, np.nan)
+            rows, got = read(batch.column("x")), np.full(batch.num_rows, np.nan)
             z, own, keep = np.zeros_like(rows), [], np.zeros(batch.num_rows, bool)
             for m, at, s in _standardised(batch.column("model"), rows, scalers):
                 z[at] = s
@@ -212,10 +229,10 @@ def fit_preprocessor(x: DataFrame, counted: DataFrame | None = None) -> DataFram
     deviation are those after imputing the median; they follow from the sums of what is there.
     """
     if all_small(x if counted is None else counted):
-        return x.select("model", "x").groupBy("model").applyInArrow(_fit_small, "model string, median array<double>, mean array<double>, std array<double>")
+        return listed(x.select("model", "x")).groupBy("model").applyInArrow(_fit_small, "model string, median array<double>, mean array<double>, std array<double>")
     found = arrays.percentiles(x, [0.5])
     if found is None:  # more models times features than brackets have room for
-        return _fit_exploded(x)
+        return _fit_exploded(listed(x))
     moments, middle = found
     whole = lambda name: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("stripe", name))), lambda r: r[name])).alias(name)
     sums = moments.groupBy("model").agg(F.first("rows").alias("rows"), whole("n"), whole("mean"), whole("dev"))
@@ -360,8 +377,9 @@ def _grown(x: np.ndarray, trees: int, sample: int, rng: np.random.Generator) ->
     return {"sizes": sizes, "feature": feature[order], "cut": cut[order], "left": child(0), "right": child(1), "depth": ends[order], "psi": np.full(trees, psi)}
 
 
-def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED, counted: DataFrame | None = None) -> DataFrame:
-    """One row a tree, or for a model of up to SMALL rows one row with those, from which ``_Forest`` grows its trees."""
+def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED, counted: DataFrame | None = None, scaler: DataFrame | None = None) -> DataFrame:
+    """One row a tree, or for a model of up to SMALL rows one row with those, from which ``_Forest`` grows its trees.
+    scaler: rows are not standardised yet; only those that trees grow from will be."""
     n = stored((x if counted is None else counted).groupBy("model").agg(F.count("*").alias("n")), "rows")
     least, most = n.agg(F.min("n"), F.max("n")).first()
     of = lambda keep: x.join(n.where(keep).select("model"), "model", "left_semi") if least <= SMALL < most else x
@@ -370,12 +388,13 @@ def fit_forest(x: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int
     if most is None or most <= SMALL:
         large = None
     else:
-        large = _fit_drawn(of(F.col("n") > SMALL), n, trees, sample, seed).select("*", none)
+        large = _fit_drawn(of(F.col("n") > SMALL), n, trees, sample, seed, scaler).select("*", none)
     if least is not None and least > SMALL:
         return large
+    ready = (lambda d: listed(d)) if scaler is None else (lambda d: standardised(d, scaler))
     row = _row(x)
     held = F.transform(F.array_sort(F.collect_list(F.struct(row.alias("row"), "x"))), lambda r: r["x"])  # one order of the rows
-    small = of(F.col("n") <= SMALL).groupBy("model").agg(held.alias("rows")).select(F.col("model").alias("model"), *kinds, F.struct(F.lit(trees).alias("trees"), F.lit(sample).alias("sample"), F.lit(seed).cast("long").alias("seed"), "rows").alias("grows"))
+    small = ready(of(F.col("n") <= SMALL)).groupBy("model").agg(held.alias("rows")).select(F.col("model").alias("model"), *kinds, F.struct(F.lit(trees).alias("trees"), F.lit(sample).alias("sample"), F.lit(seed).cast("long").alias("seed"), "rows").alias("grows"))
     return small if large is None else large.unionByName(small)
 
 
@@ -384,8 +403,8 @@ def _row(x: DataFrame) -> Column:
     return F.xxhash64(*[c for c in x.columns if c in META] or ["x"])
 
 
-def _fit_drawn(x: DataFrame, n: DataFrame, trees: int, sample: int, seed: int) -> DataFrame:
-    """One row a tree. Only drawn rows are shuffled; trees grow in groups.
+def _fit_drawn(x: DataFrame, n: DataFrame, trees: int, sample: int, seed: int, scaler: DataFrame | None = None) -> DataFrame:
+    """One row a tree. Only drawn rows are standardised and shuffled; trees grow in groups.
 
     Trees are dealt into groups whose shares of the rows add up to one at most. One hash of (row, group) falls into one
     tree's interval or none, so a row costs about as many hashes as it is drawn times.
@@ -399,6 +418,7 @@ def _fit_drawn(x: DataFrame, n: DataFrame, trees: int, sample: int, seed: int) -
     picks = F.transform(groups, lambda g: F.when(place(g) < F.col("together"), g * F.col("together") + place(g)))
     hits = F.filter(picks, lambda t: t.isNotNull() & (t < trees))
     drawn = draw.select("model", "x", "row", F.explode(hits).alias("tree")).withColumn("h", F.xxhash64("row", "tree", F.lit(seed)))
+    drawn = listed(drawn) if scaler is None else standardised(drawn, scaler)
     return drawn.groupBy("model", "tree").applyInPandas(lambda pdf: _grow(pdf, sample, seed), _TREE)
 
 
@@ -465,12 +485,16 @@ def score_forest(x: DataFrame, forest: DataFrame, rows: int = 20_000) -> DataFra
     return scored(x, forest, lambda m, trees: _Forest(trees).raw(m), "raw", rows)
 
 
-def fit_isolation_forest(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION) -> Fitted:
-    """Scores are positive beyond the training share ``contamination``."""
-    x, counted = vectors(train, features, keys), vectors(train, [], keys)
-    scaler = stored(fit_preprocessor(x, counted), "scaler")
-    z = standardised(x, scaler)
-    forest = stored(fit_forest(z, trees, sample, counted=counted), "trees")
+def fit_scaler(train: DataFrame, features: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """The scaler that every detector of these rows uses, written."""
+    return stored(fit_preprocessor(rows_of(train, features, keys), vectors(train, [], keys)), "scaler")
+
+
+def fit_isolation_forest(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), trees: int = TREES, sample: int = SAMPLE, contamination: float = CONTAMINATION, scaler: DataFrame | None = None) -> Fitted:
+    """Scores are positive beyond the training share ``contamination``. scaler: what ``fit_scaler`` gave for the same rows."""
+    x, counted = rows_of(train, features, keys), vectors(train, [], keys)
+    scaler = fit_scaler(train, features, keys) if scaler is None else scaler
+    forest = stored(fit_forest(x, trees, sample, counted=counted, scaler=scaler), "trees")
     offset = stats.exact_percentiles(_raw(x, scaler, forest), ["model"], "raw", {"offset": 1 - contamination}, keep=True)
     return Fitted("isolation_forest", features, keys, {}, {"scaler": scaler, "trees": forest, "offset": stored(offset, "offset")})
 
@@ -480,12 +504,12 @@ def _raw(x: DataFrame, scaler: DataFrame, forest: DataFrame) -> DataFrame:
     scalers = _scalers(scaler)
     trees = sent(forest, "feature") if scalers else None
     if not trees:
-        return score_forest(preprocessed(x, scaler), forest)
+        return score_forest(preprocessed(listed(x), scaler), forest)
     return scored_in_tasks(x, scalers, trees, lambda t: _Forest(t).raw, "raw")
 
 
 def _score_forest(f: Fitted, rows: DataFrame) -> DataFrame:
-    out = _raw(vectors(rows, f.features, f.keys), f.tables["scaler"], f.tables["trees"]).join(f.tables["offset"], "model")
+    out = _raw(rows_of(rows, f.features, f.keys), f.tables["scaler"], f.tables["trees"]).join(f.tables["offset"], "model")
     return out.withColumn("score", F.col("raw") - F.col("offset")).drop("raw", "offset")
 
 
@@ -493,8 +517,9 @@ def isolation_forest(train: DataFrame, rows: DataFrame, features: list[str], key
     return fit_isolation_forest(train, features, keys, **options).score(rows)
 
 
-def _principal(z: DataFrame, size: int, counted: DataFrame | None = None) -> DataFrame:
-    """(model, w): the leading directions of each model's second moments.
+def _principal(z: DataFrame, size: int, counted: DataFrame | None = None, scaler: DataFrame | None = None, steps: int = 1) -> DataFrame:
+    """(model, w): the leading directions of each model's second moments, of the last ``steps`` vectors of the episode.
+    scaler: rows are not standardised yet.
 
     Products are summed by task and model; a task that holds many models sends what it has when it holds enough. Rows of the
     matrices, a few of a model together, are added before one task of each model, which the features bound, decomposes.
@@ -510,7 +535,7 @@ def _principal(z: DataFrame, size: int, counted: DataFrame | None = None) -> Dat
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list] = {}
-        for m, x in arrays.by_model(batches):
+        for m, x in by_model(batches):
             s = sums.setdefault(m, [0, 0.0])
             s[0] += len(x)
             s[1] = s[1] + x.T @ x
@@ -533,12 +558,38 @@ def _principal(z: DataFrame, size: int, counted: DataFrame | None = None) -> Dat
         x = arrays.matrix(t["x"].combine_chunks())
         return directions(table(t["model"][0].as_py(), len(x), 0, x.T @ x))
 
-    if all_small(z if counted is None else counted):
-        return z.select("model", "x").groupBy("model").applyInArrow(whole, "model string, w array<array<double>>")
-    parts = z.select("model", "x").mapInArrow(partial, kind)
+    small = all_small(z if counted is None else counted)
+    scalers = None if scaler is None or small else _scalers(scaler)
+    if scalers:  # standardised and put together by the tasks that add up
+        by_model = lambda batches: _by_model_in_order(batches, read, scalers, steps)
+        rows, read = _in_order(z) if steps > 1 else z.select("model", "x"), arrays.reader(z)
+    else:
+        rows, by_model = listed(z) if scaler is None else standardised(z, scaler), arrays.by_model
+        rows = (_sequenced(rows, steps) if steps > 1 else rows).select("model", "x")
+    if small:
+        return rows.groupBy("model").applyInArrow(whole, "model string, w array<array<double>>")
+    parts = rows.mapInArrow(partial, kind)
     return parts.groupBy("model", "stripe").applyInArrow(add, kind).groupBy("model").applyInArrow(directions, "model string, w array<array<double>>")
 
 
+def _by_model_in_order(batches: Iterator[pa.RecordBatch], read: Callable[[pa.Array], np.ndarray], scalers: dict[str, tuple], steps: int) -> Iterator[tuple[str, np.ndarray]]:
+    """(model, rows standardised, each with the ``steps`` - 1 before it) of batches, which come in the order of the episodes
+    where steps are more than one; models that were not fitted are left out."""
+    last = _Last(steps)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x, own = read(batch.column("x")), []
+        z = np.zeros_like(x)
+        for m, at, s in _standardised(batch.column("model"), x, scalers):
+            z[at] = s
+            own.append((m, at))
+        seen, most = last.add(batch, z), max(1, PIECE // max(1, steps * x.shape[1]))
+        for m, at in own:
+            for a in range(0, len(at), most):
+                yield m, seen(at[a : a + most])
+
+
 def residuals(x: np.ndarray, w: np.ndarray, last: int | None = None, chunk: int = 2048) -> np.ndarray:
     """Mean squared distance of the rows of x from their projections on the rows of w, over all or the last ``last``
     positions: two matrix products a chunk, so the cost is rows times positions times directions."""
@@ -568,27 +619,26 @@ def _sequenced(z: DataFrame, steps: int) -> DataFrame:
     return _in_order(rows).mapInArrow(run, rows.schema)
 
 
-def _fit_autoencoder(kind: str, train: DataFrame, features: list[str], keys: tuple[str, ...], steps: int, size: int | None) -> Fitted:
-    x, counted = vectors(train, features, keys), vectors(train, [], keys)
-    scaler = stored(fit_preprocessor(x, counted), "scaler")
-    z = standardised(x, scaler)
+def _fit_autoencoder(kind: str, train: DataFrame, features: list[str], keys: tuple[str, ...], steps: int, size: int | None, scaler: DataFrame | None = None) -> Fitted:
+    x, counted = rows_of(train, features, keys), vectors(train, [], keys)
+    scaler = fit_scaler(train, features, keys) if scaler is None else scaler
     p = steps * len(features)
-    w = _principal(_sequenced(z, steps) if steps > 1 else z, size or min(p, max(8, p // 4)), counted)
+    w = _principal(x, size or min(p, max(8, p // 4)), counted, scaler, steps)
     return Fitted(kind, features, keys, {"steps": steps}, {"scaler": scaler, "directions": stored(w, "directions")})
 
 
-def fit_linear_autoencoder(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), size: int | None = None) -> Fitted:
+def fit_linear_autoencoder(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), size: int | None = None, scaler: DataFrame | None = None) -> Fitted:
     """Score: mean squared reconstruction error from max(8, p/4) principal directions."""
-    return _fit_autoencoder("linear_autoencoder", train, features, keys, 1, size)
+    return _fit_autoencoder("linear_autoencoder", train, features, keys, 1, size, scaler)
 
 
-def fit_sequence_autoencoder(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), steps: int = 6, size: int | None = None) -> Fitted:
+def fit_sequence_autoencoder(train: DataFrame, features: list[str], keys: tuple[str, ...] = (), steps: int = 6, size: int | None = None, scaler: DataFrame | None = None) -> Fitted:
     """The same on the last ``steps`` standardised vectors; the error is that of the last one."""
-    return _fit_autoencoder("sequence_autoencoder", train, features, keys, steps, size)
+    return _fit_autoencoder("sequence_autoencoder", train, features, keys, steps, size, scaler)
 
 
 def _score_autoencoder(f: Fitted, rows: DataFrame) -> DataFrame:
-    x, steps = vectors(rows, f.features, f.keys), f.options["steps"]
+    x, steps = rows_of(rows, f.features, f.keys), f.options["steps"]
     last = len(f.features) if steps > 1 else None
     scalers = _scalers(f.tables["scaler"])
     found = sent(f.tables["directions"], "w") if scalers else None
@@ -600,7 +650,7 @@ def _score_autoencoder(f: Fitted, rows: DataFrame) -> DataFrame:
             return lambda x: residuals(x, w, last)
 
         return scored_in_tasks(x, scalers, found, ready, "score", steps)
-    z = preprocessed(x, f.tables["scaler"])
+    z = preprocessed(listed(x), f.tables["scaler"])
     z = _sequenced(z, steps) if steps > 1 else z
     return scored(z, f.tables["directions"], lambda x, fitted: residuals(x, way(fitted), last), "score")
 

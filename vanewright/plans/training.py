@@ -164,12 +164,15 @@ def cross_farm(df: DataFrame, events: DataFrame, sensors: list[str], pairs: dict
     Features are selected on the normal training rows of each pair's source farms, unless ``names`` gives them.
     """
     feats, _ = _prepared(df, sensors, "global", angles, pack=True)
-    out = {}
+    out, fitted = {}, {}
     for name, (source, target) in pairs.items():
-        own = feats.where(F.col("farm_id").isin(source))
-        fit, held = split(own)
-        model = detectors.DETECTORS[detector](fit, names or _selected(own), (), **options)
-        limits = stored(stats.threshold(model.score(held), ["model"]), "limits")
+        farms = tuple(sorted(set(source)))
+        if farms not in fitted:  # pairs with the same sources share their model
+            own = feats.where(F.col("farm_id").isin(*farms))
+            fit, held = split(own)
+            model = detectors.DETECTORS[detector](fit, names or _selected(own), (), **options)
+            fitted[farms] = model, stored(stats.threshold(model.score(held), ["model"]), "limits")
+        model, limits = fitted[farms]
         rows = feats.where(F.col("farm_id").isin(target) & (F.col("train_test") == "prediction")).drop("is_validation")
         out[name] = evaluation.evaluate(flagged(model.score(rows), limits, least_run), events)
     return selection.tagged_union(out, "experiment")
