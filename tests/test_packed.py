@@ -98,3 +98,25 @@ def test_pairs_of_the_same_sources_share_a_model(spark, sf, monkeypatch):
     rows = {(r["experiment"], r["dataset_id"]): r["n_flagged_points"] for r in out.collect()}
     assert len(fits) == 2 and len(rows) == 60
     assert {k[1]: v for k, v in rows.items() if k[0] == "AB_to_C"} == {k[1]: v for k, v in rows.items() if k[0] == "BA_to_C"}
+
+
+def test_directions_of_rows_not_standardised_yet(prepared, monkeypatch):
+    """Tasks standardise and put sequences together as they add up: the products are those of the tables in between."""
+    monkeypatch.setattr(detectors, "SMALL", 0)
+    fit, names = training.split(prepared[0])[0], ["power", "sensor_2", "power_diff"]
+    scaler = detectors.fit_scaler(fit, names, ("farm_id",))
+    z = detectors.standardised(detectors.rows_of(fit, names, ("farm_id",)), scaler)
+    for steps in (1, 6):
+        old, new = detectors._principal(detectors._sequenced(z, steps) if steps > 1 else z, 2), detectors._principal(detectors.rows_of(fit, names, ("farm_id",)), 2, None, scaler, steps)
+        a, b = ({r["model"]: np.abs(np.array(r["w"])) for r in d.collect()} for d in (old, new))
+        assert a.keys() == b.keys() and a["A"].shape == (2, 3 * steps) and all(np.allclose(a[m], b[m], atol=1e-8) for m in a)
+
+
+def test_comparison_fits_one_scaler(spark, sf, monkeypatch):
+    fits, sizes = [], []
+    monkeypatch.setattr(detectors, "fit_preprocessor", lambda *a, f=detectors.fit_preprocessor: fits.append(1) or f(*a))
+    monkeypatch.setattr(training, "model_sizes", lambda *a, f=training.model_sizes: sizes.append(1) or f(*a))
+    df = src.load(spark, sf).where("dataset_id < 30")
+    out = training.compare(df, src.event_records(df), SENSORS, names=["power", "sensor_2"], trees=10)
+    assert (len(fits), len(sizes)) == (1, 1)
+    assert {r["model"]: r["count"] for r in out.groupBy("model").count().collect()} == dict.fromkeys(detectors.DETECTORS, 30)

@@ -107,7 +107,17 @@ def _selected(feats: DataFrame) -> list[str]:
     return selection.select_features(rows, packed_names(feats) or conform.numeric_columns(feats), protect=("power_residual", "power_residual_pct"))[0]
 
 
-def _fit(feats: DataFrame, refs: dict[str, DataFrame], sensors: list[str], strategy: str, detector: str, angles: Iterable[str], names: list[str] | None, percentile: float, least_run: int, least_rows: int, **options) -> Trained:
+@dataclass
+class _Chosen:
+    """What every detector of a strategy is fitted on: features, rows to fit and to hold, models that fail."""
+
+    features: list[str]
+    fit: DataFrame
+    held: DataFrame
+    failed: DataFrame
+
+
+def _chosen(feats: DataFrame, strategy: str, names: list[str] | None, least_rows: int) -> _Chosen:
     keys = STRATEGIES[strategy]
     if names is None:
         names = _selected(feats)
@@ -122,9 +132,13 @@ def _fit(feats: DataFrame, refs: dict[str, DataFrame], sensors: list[str], strat
         name = detectors.model_name(keys)
         fit, held = (d.withColumn("model", name).join(ok, "model", "left_semi").drop("model") for d in (fit, held))
     stats.guarded(fit, 1, "normal training rows of models that can be fitted")
-    model = detectors.DETECTORS[detector](fit, names, keys, **options)
-    limits = stored(stats.threshold(model.score(held), ["model"], percentile=percentile), "limits")
-    return Trained(strategy, list(sensors), list(angles), least_run, refs, model, limits, failed)
+    return _Chosen(names, fit, held, failed)
+
+
+def _fit(own: _Chosen, refs: dict[str, DataFrame], sensors: list[str], strategy: str, detector: str, angles: Iterable[str], percentile: float, least_run: int, **options) -> Trained:
+    model = detectors.DETECTORS[detector](own.fit, own.features, STRATEGIES[strategy], **options)
+    limits = stored(stats.threshold(model.score(own.held), ["model"], percentile=percentile), "limits")
+    return Trained(strategy, list(sensors), list(angles), least_run, refs, model, limits, own.failed)
 
 
 def fit(df: DataFrame, sensors: list[str], strategy: str = "farm", detector: str = "isolation_forest", angles: Iterable[str] = (), names: list[str] | None = None, percentile: float = 0.99, least_run: int = 6, least_rows: int = 2, **options) -> Trained:
@@ -134,13 +148,13 @@ def fit(df: DataFrame, sensors: list[str], strategy: str = "farm", detector: str
     ``least_rows`` rows to fit are told as failed; the others go on.
     """
     feats, refs = _prepared(df, sensors, strategy, angles, pack=True)
-    return _fit(feats, refs, sensors, strategy, detector, angles, names, percentile, least_run, least_rows, **options)
+    return _fit(_chosen(feats, strategy, names, least_rows), refs, sensors, strategy, detector, angles, percentile, least_run, **options)
 
 
 def run(df: DataFrame, events: DataFrame, sensors: list[str], strategy: str = "farm", detector: str = "isolation_forest", angles: Iterable[str] = (), names: list[str] | None = None, percentile: float = 0.99, least_run: int = 6, least_rows: int = 2, **options) -> dict[str, DataFrame]:
     """Tables of a run: scores of prediction rows with flags, thresholds, results, summary, failed models, registry rows."""
     feats, refs = _prepared(df, sensors, strategy, angles, pack=True)
-    return _evaluated(_fit(feats, refs, sensors, strategy, detector, angles, names, percentile, least_run, least_rows, **options), feats, events)
+    return _evaluated(_fit(_chosen(feats, strategy, names, least_rows), refs, sensors, strategy, detector, angles, percentile, least_run, **options), feats, events)
 
 
 def _evaluated(trained: Trained, feats: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
@@ -152,9 +166,9 @@ def _evaluated(trained: Trained, feats: DataFrame, events: DataFrame) -> dict[st
 def compare(df: DataFrame, events: DataFrame, sensors: list[str], names: list[str] | None = None, strategy: str = "farm", models: Iterable[str] = tuple(detectors.DETECTORS), angles: Iterable[str] = (), percentile: float = 0.99, least_run: int = 6, least_rows: int = 2, **options) -> DataFrame:
     """Results of several detectors on the same features, selection and split, tagged by model. options are the forest's."""
     feats, refs = _prepared(df, sensors, strategy, angles, pack=True)
-    if names is None:
-        names = _selected(feats)
-    one = lambda m: _fit(feats, refs, sensors, strategy, m, angles, names, percentile, least_run, least_rows, **(options if m == "isolation_forest" else {}))
+    own = _chosen(feats, strategy, names, least_rows)
+    scaler = detectors.fit_scaler(own.fit, own.features, STRATEGIES[strategy])  # the same for all
+    one = lambda m: _fit(own, refs, sensors, strategy, m, angles, percentile, least_run, scaler=scaler, **(options if m == "isolation_forest" else {}))
     return selection.tagged_union({m: _evaluated(one(m), feats, events)["results"] for m in models}, "model")
 
 
