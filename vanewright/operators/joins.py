@@ -6,10 +6,12 @@ them while they are under its size threshold and shuffles both sides, splitting
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vanewright.functions.columns import EPISODE, event_time, residual, residual_percent, whole, wind_bin
+from vanewright.functions.columns import EPISODE, event_time, residual, residual_percent, training_normal, whole, wind_bin
 
 
 #: Ranges that share a moment beyond which an asset's are dealt into parts.
@@ -63,6 +65,15 @@ def against_curve(df: DataFrame, curve: DataFrame, power: str = "power", wind: s
     return out.withColumn("power_residual", residual(power, "expected_power")).withColumn("power_residual_pct", residual_percent(power, "expected_power")).drop("wind_bin")
 
 
+def against_own_curve(df: DataFrame, power: str = "power", wind: str = "wind_speed", keys: tuple[str, ...] = EPISODE) -> DataFrame:
+    """What ``against_curve`` adds with the ``power_curve`` of the same table and keys, by a window: a table that is dealt by
+    the keys is not shuffled again, and the curve is no table of its own."""
+    normal = F.when(training_normal(), F.col(power))
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in (*keys, "wind_bin")])
+    out = df.withColumn("wind_bin", wind_bin(wind)).withColumn("expected_power", F.when(known, F.median(normal).over(Window.partitionBy(*keys, "wind_bin"))))
+    return out.withColumn("power_residual", residual(power, "expected_power")).withColumn("power_residual_pct", residual_percent(power, "expected_power")).drop("wind_bin")
+
+
 def training_ranges(df: DataFrame) -> DataFrame:
     return df.where(F.col("train_test") == "train").groupBy(*EPISODE, "asset_id").agg(F.min("time_stamp").alias("start"), F.max("time_stamp").alias("end"))
 

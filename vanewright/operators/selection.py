@@ -53,6 +53,11 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
 def top_sensors(t: DataFrame, most: int = 100, most_missing: float = 0.5, least_variance: float = 1e-8) -> DataFrame:
     """(sensor, variance): the sensors of most variance in tall readings, before features multiply them."""
     s = t.groupBy("sensor").agg(F.avg(F.isnull("value").cast("double")).alias("missing_fraction"), F.var_samp("value").alias("variance"))
+    return top_varying(s, most, most_missing, least_variance)
+
+
+def top_varying(s: DataFrame, most: int = 100, most_missing: float = 0.5, least_variance: float = 1e-8) -> DataFrame:
+    """(sensor, variance) of most variance, of (sensor, missing_fraction, variance)."""
     return s.where((F.col("missing_fraction") <= most_missing) & (F.col("variance") >= least_variance)).orderBy(F.col("variance").desc(), "sensor").limit(most).select("sensor", "variance")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from vanewright.functions.columns import EPISODE, episode
 from vanewright.operators import vectors
+from vanewright.operators.gramian import Make
 
 WINDOWS = (6, 18, 36)
 LAGS = (1, 6, 36)
@@ -144,28 +145,33 @@ def trailing_arrays(columns: dict[str, np.ndarray], at: np.ndarray, held: int, s
     before; at: the place of each other row in its episode. Windows are added up from their own values, so a fixed one has no
     deviation, and how long an episode is does not matter."""
     n, angles, sizes = len(at), set(angles), sorted(sizes)
+    beyond = [at < k for k in range(max(sizes, default=0))]  # rows whose k-th row before is another episode's
     out: dict[str, np.ndarray] = {}
     for c in sensors:
         x = columns[c]
         ok = ~np.isnan(x)
+        whole = ok.all()
         if c in angles:
             parts = [np.where(ok, f(np.radians(x)), 0.0) for f in (np.sin, np.cos)]
         else:  # less the last value there is, whatever it be: sums then have the size of the window's spread
             last = np.maximum.accumulate(np.where(ok, np.arange(len(x)), -1))[held:]
             ref, x = np.where(last >= 0, x[last], 0.0), np.where(ok, x, 0.0)
         count, a, b, k = np.zeros(n), np.zeros(n), np.zeros(n), 0
+        d = np.empty(n)
         for size in sizes:
             for k in range(k, size):  # noqa: B020
                 own = slice(held - k, held - k + n)
-                has = (at >= k) & ok[own]
-                count += has
+                none = beyond[k] if whole else beyond[k] | ~ok[own]
+                count += ~none
                 if c in angles:
-                    a += np.where(has, parts[0][own], 0.0)
-                    b += np.where(has, parts[1][own], 0.0)
+                    a += np.where(none, 0.0, parts[0][own])
+                    b += np.where(none, 0.0, parts[1][own])
                 else:
-                    d = np.where(has, x[own] - ref, 0.0)
+                    np.subtract(x[own], ref, out=d)
+                    np.copyto(d, 0.0, where=none)
                     a += d
-                    b += d * d
+                    d *= d
+                    b += d
             k, few, many = size, count < least_periods(size), np.maximum(count, 1)
             if c in angles:
                 s, t = a / many, b / many
@@ -190,41 +196,102 @@ def places(batch: pa.RecordBatch, key: tuple | None, place: int) -> tuple[np.nda
     return row - np.maximum.accumulate(np.where(begins, row, -place - 1)), tuple(batch[c][-1].as_py() for c in EPISODE)
 
 
-def ordered_narrow(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10, pack: tuple[list[str], list[str]] | None = None) -> DataFrame:
-    """The columns of ``ordered_wide`` for few sensors, doubles: rows come in the order of the episodes, many episodes a batch,
-    and a task holds a batch and the few rows before it that windows and lags reach back to, whatever an episode's length.
+def _in_zero_runs(zeros: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
+    """Whether rows lie in runs of ``least`` or more zeros of one episode. zeros: by column; the first ``least - 1`` rows are
+    those before, and as many of the last rows, which have no answer yet, are not told. at: places of the rows but for the first."""
+    n = len(at)
+    ends = zeros[:, least - 1 :] & (at >= least - 1)
+    for k in range(1, least):
+        ends &= zeros[:, least - 1 - k : least - 1 - k + n]
+    out = ends[:, : n - least + 1].copy()
+    for k in range(1, least):
+        out |= ends[:, k : n - least + 1 + k]
+    return out
+
+
+def _looking_ahead(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """(batch, rows that are its own): with up to ``rows`` rows after its own, all that there are."""
+    rest = None
+    for batch in batches:
+        if batch.num_rows:
+            rest = batch if rest is None else pa.concat_batches([rest, batch])
+            if rest.num_rows > rows:
+                yield rest, rest.num_rows - rows
+                rest = rest.slice(rest.num_rows - rows)
+    if rest is not None and rest.num_rows:
+        yield rest, rest.num_rows
+
+
+def by_episode(df: DataFrame) -> DataFrame:
+    """The table dealt by episode into as many parts as shuffles have, which stay so many however few bytes they are."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *EPISODE)
+
+
+def ordered_narrow(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), sizes: Iterable[int] = WINDOWS, steps: Iterable[int] = LAGS, top: int = 10, pack: tuple[list[str], list[str]] | None = None, mask: Iterable[str] = (), floats: Iterable[str] | None = None, last: Iterable[str] = (), make: Make | None = None, dealt: bool = False) -> DataFrame:
+    """The columns of ``ordered_wide`` for sensors that are doubles: rows come in the order of the episodes, many episodes a batch,
+    and a task holds a batch and the few rows before and after it that windows, lags and runs reach to, whatever an episode's length.
 
     pack: columns of the table that go before and after the new ones into one packed column (``vectors.PACKED``), which
-    replaces them all; columns of other types than numbers stay."""
-    angles, sizes, steps = set(angles), tuple(sizes), tuple(steps)
+    replaces them all; columns of other types than numbers stay. mask: sensors whose runs of zeros are masked before. floats:
+    columns of the table that come as 4-byte floats, as the new ones then do. last: columns of the table that come after the
+    new ones. make: sensors that the table lacks are made of its numbers in the tasks, see ``gramian.read``, and come after
+    its own sensors. dealt: the rows are dealt by episode and in order already."""
+    angles, sizes, steps, mask, last = set(angles), tuple(sizes), tuple(steps), list(mask), list(last)
     kinds = lambda c: ("circmean", "circstd") if c in angles else ("mean", "std")
     added = [f"{c}_roll{n}_{k}" for n in sizes for c in sensors for k in kinds(c)]
     added += [f"{c}_diff" for c in sensors[:top]] + [f"{c}_lag{n}" for n in steps for c in sensors[:top]]
     held = max([1, *(n - 1 for n in sizes), *steps])
+    single, run_of = set(floats or ()), 6
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    absent = [c for c in sensors if c not in df.columns]
     if pack:
         names = [*pack[0], *added, *pack[1]]
         stay = [f for f in df.schema.fields if f.name not in names]
         schema = T.StructType([*stay, vectors.packed(vectors.PACKED, names)])
     else:
-        schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in added]])
+        new = T.DoubleType() if floats is None else T.FloatType()
+        own = [T.StructField(f.name, T.FloatType(), f.nullable) if f.name in single else f for f in df.schema.fields]
+        at = max((k for k, f in enumerate(own, 1) if f.name in sensors), default=len(own))
+        own = {f.name: f for f in [*own[:at], *[T.StructField(n, new) for n in absent], *own[at:]]}
+        schema = T.StructType([*[f for n, f in own.items() if n not in last], *[T.StructField(n, new) for n in added], *[own[n] for n in last]])
+        number = pa.float64() if floats is None else pa.float32()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, key, place = {c: np.full(held, np.nan) for c in sensors}, None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at, key = places(batch, key, place)
+        zeros = np.zeros((len(mask), run_of - 1), bool)
+        as_float = lambda b, c: np.asarray(b[c].to_numpy(zero_copy_only=False), np.float64)
+        for seen, mine in _looking_ahead(batches, run_of - 1 if mask else 0):
+            batch = seen.slice(0, mine)
+            at, _ = places(seen, key, place)
+            values = {c: as_float(seen, c) for c in sensors if c not in absent}
+            if absent:
+                values |= dict(zip(absent, make({c: as_float(seen, c) for c in numbers}, absent), strict=True))
+            columns = {c: values[c][:mine] for c in sensors}
+            if mask:
+                after = np.zeros((len(mask), run_of - 1 - (len(at) - mine)), bool)
+                zeros = np.hstack([zeros, np.stack([values[c] == 0 for c in mask]), after])
+                hit = _in_zero_runs(zeros, np.concatenate([at, np.zeros(after.shape[1], at.dtype)]), run_of)
+                columns |= {c: np.where(h, np.nan, columns[c]) for c, h in zip(mask, hit, strict=True) if h.any()}
+                zeros = zeros[:, mine : mine + run_of - 1]
+            at, key = at[:mine], tuple(batch[c][-1].as_py() for c in EPISODE)
             place = int(at[-1])
-            columns = {c: np.concatenate([before[c], np.asarray(batch[c].to_numpy(zero_copy_only=False), np.float64)]) for c in sensors}
-            made = trailing_arrays(columns, at, held, sensors, angles, sizes, steps, top)
+            columns = {c: np.concatenate([before[c], v]) for c, v in columns.items()}
             before = {c: v[-held:] for c, v in columns.items()}
             if pack:
+                made = trailing_arrays(columns, at, held, sensors, angles, sizes, steps, top) | {c: columns[c][held:] for c in mask}
                 value = lambda n: made[n] if n in made else batch[n].to_numpy(zero_copy_only=False)  # noqa: E731,B023
                 yield pa.RecordBatch.from_arrays([*[batch[f.name] for f in stay], vectors.pack(np.stack([value(n) for n in names], axis=1))], names=schema.names)
                 continue
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(made[n], pa.float64(), mask=np.isnan(made[n])) for n in added]], names=[*batch.schema.names, *added])
-
-    return df.repartition(*EPISODE).sortWithinPartitions(*EPISODE, "time_stamp", "id").mapInArrow(run, schema)
+            made = {*mask, *absent}
+            arrays = {n: batch[n].cast(pa.float32()) if n in single else batch[n] for n in own if n not in made}
+            arrays |= {c: pa.array(columns[c][held:].astype(np.float32) if own[c].dataType == T.FloatType() else columns[c][held:], from_pandas=True) for c in made}
+            for k, c in enumerate(sensors):  # one sensor's new columns at a time
+                for n, v in trailing_arrays({c: columns[c]}, at, held, [c], angles, sizes, steps, int(k < top)).items():
+                    arrays[n] = pa.array(v if floats is None else v.astype(np.float32), number, from_pandas=True)
+            yield pa.RecordBatch.from_arrays([arrays[n] for n in schema.names], names=schema.names)
+
+    rows = df if dealt else df.repartition(*EPISODE).sortWithinPartitions(*EPISODE, "time_stamp", "id")
+    return rows.mapInArrow(run, schema)
 
 
 def differences(df: DataFrame, columns: Iterable[str]) -> DataFrame:

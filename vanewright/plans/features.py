@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from vanewright.functions.columns import EPISODE, META, clock, training_normal
 from vanewright.operators import conform, joins, selection, stats, windows
+from vanewright.operators.gramian import Make
 from vanewright.session import stored
 
 
@@ -58,6 +59,20 @@ def training_features(df: DataFrame, sensors: list[str], angles: Iterable[str] =
     return conform.labelled(engineered(df, curve, sensors, angles, curve_keys=curve_keys, **options)), curve
 
 
+def episode_features(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), make: Make | None = None) -> tuple[DataFrame, DataFrame]:
+    """(what ``training_features`` gives with the curve of each episode, its numbers as 4-byte floats; the same rows without the
+    ordered features), for any number of sensors, doubles.
+
+    One shuffle by episode, of the table's own columns: the curve, the order and the features follow in the same tasks. make:
+    sensors that the table lacks are made of its numbers, by the tasks that need them, so that they are not sent."""
+    own = joins.against_own_curve(windows.by_episode(df))
+    rows = conform.labelled(own.withColumns(clock()))
+    mask = [c for c in sensors if c not in ("power", "wind_speed")]
+    ordered = rows.sortWithinPartitions(*EPISODE, "time_stamp", "id")
+    out = windows.ordered_narrow(ordered, sensors, angles, mask=mask, floats=conform.numeric_columns(rows), last=[*clock(), "label"], make=make, dealt=True)
+    return out, rows
+
+
 def has_curve(df: DataFrame, power: str = "power", wind: str = "wind_speed") -> bool:
     """Whether every farm of the table has power and wind speed; where one lacks them, pooled models go without curves."""
     if not {power, wind} <= set(df.columns):
@@ -90,15 +105,25 @@ def with_references(df: DataFrame, refs: dict[str, DataFrame], sensors: list[str
     return conform.labelled(engineered(cleaned, refs.get("curve"), sensors, angles, curve_keys=curve_keys, clean=False, **options))
 
 
-def gold(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), most: int = 100, wide: int = 200) -> tuple[DataFrame, DataFrame]:
-    """(features, metadata): beyond ``wide`` columns only the ``most`` varying sensors are carried into windows."""
+def gold(df: DataFrame, sensors: list[str], angles: Iterable[str] = (), most: int = 100, wide: int = 200, make: Make | None = None) -> tuple[DataFrame, DataFrame]:
+    """(features, metadata): beyond ``wide`` columns only the ``most`` varying sensors are carried into windows. make: sensors
+    that the table lacks are made of its numbers, see ``episode_features``."""
     chosen = sensors
-    if len(df.columns) > wide:
-        rows = windows.tall(df.where(training_normal()), sensors)
-        chosen = [r["sensor"] for r in selection.top_sensors(rows, most).collect()]
-    out, _ = training_features(df, ["power", "wind_speed", *chosen], angles)
+    if len({*df.columns, *sensors}) > wide:
+        rows = df.where(training_normal())
+        if make:
+            rows = rows.select([f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)])
+            top = selection.top_varying(selection.column_stats(rows, sensors, make).withColumnRenamed("feature", "sensor"), most)
+        else:
+            top = selection.top_sensors(windows.tall(rows, sensors), most)
+        chosen = [r["sensor"] for r in top.collect()]
+    used = ["power", "wind_speed", *chosen]
+    if all(isinstance(df.schema[c].dataType, T.DoubleType) for c in used if c in df.columns):
+        out, rows = episode_features(df, used, angles, make)
+    else:
+        out = rows = training_features(df, used, angles)[0]
     names = conform.numeric_columns(out)
-    meta = out.groupBy(*EPISODE).agg(F.count("*").alias("n_rows"), F.sum("label").alias("n_abnormal"), F.max(F.col("expected_power").isNotNull()).alias("has_power_curve"))
+    meta = rows.groupBy(*EPISODE).agg(F.count("*").alias("n_rows"), F.sum("label").alias("n_abnormal"), F.max(F.col("expected_power").isNotNull()).alias("has_power_curve"))
     meta = meta.withColumn("n_features", F.lit(len(names))).withColumn("features", F.lit(",".join(names))).withColumn("preselected", F.lit(",".join(chosen) if chosen != sensors else None).cast("string"))
     return conform.narrowed(out, names), meta
 
