@@ -61,23 +61,47 @@ def read(df: DataFrame, columns: list[str], make: Make | None = None) -> tuple[D
     return df, pieces
 
 
+def near(df: DataFrame, columns: list[str], make: Make) -> np.ndarray | None:
+    """A number near each column's values, to be taken off them so that a large offset costs no digits: the mean of the table's
+    first rows. Sums about any such number give the same correlations and variances. None where these rows have no value."""
+    found = [x for batch in df.limit(PIECE).toArrow().to_batches() for x in read(df, columns, make)[1](batch)]
+    x = np.hstack([np.empty((len(columns), 0)), *found])
+    ok = ~np.isnan(x)
+    return np.where(ok, x, 0.0).sum(axis=1) / ok.sum(axis=1) if ok.any(axis=1).all() else None
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The table dealt over all cores where its files are fewer parts than that takes."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(4 * cores)
+
+
 class _Tile:
-    """Six sums for each pair of a column of block a and one of block b. Rows without NULLs need one product."""
+    """Six sums for each pair of a column of block a and one of block b. Rows without NULLs need one product, which of a block
+    with itself (the same array) is half the work and has the squares on its diagonal."""
 
     def __init__(self, a: int, b: int):
-        self.n, self.sab = 0, np.zeros((a, b))
+        self.n, self.sab, self.same = 0, np.zeros((a, b)), False
         self.sums = [np.zeros(a), np.zeros(b), np.zeros(a), np.zeros(b)]
         self.gaps: list[np.ndarray] | None = None
 
     def add(self, x: np.ndarray, y: np.ndarray) -> None:
-        whole = ~(np.isnan(x).any(axis=0) | np.isnan(y).any(axis=0))
-        if not whole.all():
+        self.same = same = x is y
+        sx = x.sum(axis=1)
+        sy = sx if same else y.sum(axis=1)
+        if np.isnan(sx).any() or np.isnan(sy).any():
+            whole = ~(np.isnan(x).any(axis=0) | np.isnan(y).any(axis=0))
             self._add_gaps(x[:, ~whole], y[:, ~whole])
-            x, y = x[:, whole], y[:, whole]
+            x = x[:, whole]
+            y = x if same else y[:, whole]
+            sx, sy = x.sum(axis=1), y.sum(axis=1)
         self.n += x.shape[1]
         self.sab += x @ y.T
-        for s, v in zip(self.sums, (x.sum(axis=1), y.sum(axis=1), (x * x).sum(axis=1), (y * y).sum(axis=1)), strict=True):
-            s += v
+        self.sums[0] += sx
+        self.sums[1] += sy
+        if not same:
+            self.sums[2] += np.einsum("ij,ij->i", x, x)
+            self.sums[3] += np.einsum("ij,ij->i", y, y)
 
     def _add_gaps(self, x: np.ndarray, y: np.ndarray) -> None:
         m, k = (~np.isnan(v) for v in (x, y))
@@ -87,7 +111,7 @@ class _Tile:
 
     def matrices(self) -> list[np.ndarray]:
         one = np.ones_like(self.sab)
-        sa, sb, saa, sbb = self.sums
+        sa, sb, saa, sbb = [*self.sums[:2], np.diag(self.sab), np.diag(self.sab)] if self.same else self.sums
         out = [self.n * one, sa[:, None] * one, sb[None, :] * one, saa[:, None] * one, sbb[None, :] * one, self.sab]
         return out if self.gaps is None else [a + b for a, b in zip(out, self.gaps, strict=True)]
 
@@ -112,8 +136,8 @@ def _tile(df: DataFrame, columns: list[str], centre: np.ndarray, first: int, sec
         sums, any_row = _Tile(len(a), len(b)), False
         for batch in batches:
             for x in matrices(batch):
-                x = x - shift
-                sums.add(x[: len(a)], x if first == second else x[len(a) :])
+                x -= shift
+                sums.add(*((x, x) if first == second else (x[: len(a)], x[len(a) :])))
                 any_row = True
         if any_row:
             part, found = TaskContext.get().partitionId(), sums.matrices()
@@ -131,6 +155,7 @@ def _array(column: pa.ChunkedArray, row: int) -> np.ndarray:
 def pair_sums(df: DataFrame, columns: list[str], centre: np.ndarray, tile: int = TILE, make: Make | None = None) -> DataFrame:
     """(first, second, stripe, sums): of values less ``centre``, for tiles with first <= second, STRIPE columns of the first
     block a row: arrays by (column of the first block, column of the second). Empty for an empty table."""
+    df = spread(df) if make else df
     blocks = range(-(-len(columns) // tile))
     out = None
     for i in blocks:
@@ -150,6 +175,23 @@ def pair_sums(df: DataFrame, columns: list[str], centre: np.ndarray, tile: int =
             return out.drop("part")
 
 
+def own_moments(sums: DataFrame, columns: list[str], centre: np.ndarray, tile: int = TILE) -> DataFrame:
+    """(feature, n, mean, variance) of the columns' values, from the pairs of each column with itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                k = batch.column("stripe")[row].as_py() * STRIPE
+                n, s, ss = (np.diagonal(_array(batch.column(name), row), k) for name in ("n", "sa", "saa"))
+                at = batch.column("first")[row].as_py() * tile + k + np.arange(len(n))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    mean, var = centre[at] + s / n, np.maximum(ss - s * s / n, 0.0) / (n - 1)
+                cells = (pa.array(v, mask=n < least) for v, least in ((mean, 1), (var, 2)))
+                yield pa.RecordBatch.from_arrays([pa.array([columns[j] for j in at]), pa.array(n), *cells], names=["feature", "n", "mean", "variance"])
+
+    return sums.where("first = second").mapInArrow(run, "feature string, n double, mean double, variance double")
+
+
 def correlated(sums: DataFrame, columns: list[str], centre: np.ndarray, tile: int = TILE, above: float | None = None) -> DataFrame:
     """(a, b, r) for a before b in ``columns``: absolute Pearson correlation, NULL where a side does not vary among the
     pair's rows, up to rounding; only those over ``above`` if it is given."""

@@ -62,12 +62,14 @@ def correlations(df: DataFrame, columns: list[str], means: dict[str, float] | No
     ``above`` only larger ones. See ``gramian``: one form for any number of columns.
 
     Values are centred by ``means`` (by default one more pass finds them), so that a large offset costs no digits. make: the
-    columns are made of the table's in the tasks, see ``gramian.read``.
+    columns are made of the table's in the tasks, see ``gramian.read``, once: they are centred by numbers near them.
     """
     if len(columns) < 2:
         return df.sparkSession.createDataFrame([], "a string, b string, r double")
-    means = {r["feature"]: r["mean"] for r in moments(df, columns, make).collect()} if means is None else means
-    centre = np.array([means.get(c) or 0.0 for c in columns])
+    centre = gramian.near(df, columns, make) if make and means is None else None
+    if centre is None:
+        means = {r["feature"]: r["mean"] for r in moments(df, columns, make).collect()} if means is None else means
+        centre = np.array([means.get(c) or 0.0 for c in columns])
     return gramian.correlated(gramian.pair_sums(df, columns, centre, tile, make), columns, centre, tile, above)
 
 
