@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vanewright import queries
-from vanewright.operators import gramian, stats
+from vanewright.operators import gramian, selection, stats
 
 ROWS = 5000
 
@@ -46,6 +46,17 @@ def test_correlations_make_columns_once(spark, tmp_path, tile):
         assert made(log) <= ROWS + gramian.PIECE
 
 
+def test_selection_makes_columns_once(spark, tmp_path):
+    df, names, log = base(spark), list(EXPRESSIONS), tmp_path / "made"
+    kept, reasons = selection.select_features(df, names, make=making(str(log)))
+    assert made(log) <= ROWS + gramian.PIECE
+    table = df.selectExpr(*[f"{x} AS {n}" for n, x in EXPRESSIONS.items()])
+    want, told = selection.select_features(table, names)
+    assert kept == want and sorted(map(tuple, reasons.collect())) == sorted(map(tuple, told.collect())) and {r["reason"] for r in told.collect()} == {"constant", "correlated"}
+    few = selection.select_features(df.where("v is null"), names, make=making(str(log)))[1]
+    assert ("a", "missing") in set(map(tuple, few.collect()))
+
+
 def test_moments_of_sums_are_those_of_the_columns(spark, tmp_path):
     df, names = base(spark), list(EXPRESSIONS)
     make = making(str(tmp_path / "made"))

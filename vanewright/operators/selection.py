@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vanewright.operators import gramian
 from vanewright.operators.gramian import Make
 from vanewright.operators.stats import correlations, moments
 from vanewright.operators.vectors import PACKED, packed_names
@@ -24,14 +25,19 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
     """(kept columns, diagnostics (feature, reason)): missing, constant, or correlated with an earlier kept column.
 
     Statistics use all rows. Only the per-column and per-pair results, whose number the schema bounds, reach the driver,
-    where the greedy choice in column order is made. make: the columns are made of the table's, see ``gramian.read``.
+    where the greedy choice in column order is made. make: the columns are made of the table's, see ``gramian.read``, and once.
     """
     packed = packed_names(df)
     keep, have = set(protect), [c for c in columns if make or c in (df.columns if packed is None else packed)]
     df = df if make else df.select(*have) if packed is None else df.select(PACKED)  # read twice, so a table is better than what is dear to compute
     reasons: list[tuple[str, str]] = []
     left = []
-    stats = {r["feature"]: r for r in column_stats(df, have, make).collect()} if have else {}
+    centre = gramian.near(df, have, make) if make and have else None
+    if centre is None:
+        stats = {r["feature"]: r for r in column_stats(df, have, make).collect()} if have else {}
+    else:  # one pass makes the columns, for all statistics
+        sums, total = gramian.pair_sums(df, have, centre, make=make), df.count()
+        stats = {r["feature"]: r.asDict() | {"missing_fraction": 1 - r["n"] / total} for r in gramian.own_moments(sums, have, centre).collect()}
     for c in have:
         if c not in keep and stats[c]["missing_fraction"] is not None and stats[c]["missing_fraction"] > most_missing:
             reasons.append((c, "missing"))
@@ -39,8 +45,11 @@ def select_features(df: DataFrame, columns: list[str], most_missing: float = 0.5
             reasons.append((c, "constant"))
         else:
             left.append(c)
-    means = {c: stats[c]["mean"] for c in left}
-    near = {(r["a"], r["b"]) for r in correlations(df, left, means, most_correlation, make=make).collect()}
+    if centre is None:
+        pairs = correlations(df, left, {c: stats[c]["mean"] for c in left}, most_correlation, make=make)
+    else:
+        pairs = gramian.correlated(sums, have, centre, above=most_correlation)
+    near = {(r["a"], r["b"]) for r in pairs.collect()}
     kept: list[str] = []
     for c in left:
         if c in keep or not any((k, c) in near for k in kept):
