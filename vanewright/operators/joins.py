@@ -85,16 +85,8 @@ def neighbour_overlaps(ranges: DataFrame) -> DataFrame:
     return nxt.where(F.col("end") > F.col("_s")).select("farm_id", "asset_id", "dataset_id", "next_dataset", F.greatest("start", "_s").alias("overlap_start"), F.least("end", "_e").alias("overlap_end"))
 
 
-def all_overlaps(ranges: DataFrame) -> DataFrame:
-    """Per asset, every pair of ranges that share time.
-
-    A sweep in buckets: a range whose length is up to 4^k microseconds, but more than a quarter of it, lies in one or two
-    buckets of that width. It meets the ranges of its class and of the shorter classes there, and a pair counts in the bucket
-    of its later start. So ranges of all lengths together cost some times as many comparisons as there are pairs, and no
-    asset is one task. Rows are at most twice the ranges for each class of length that the asset has. Where some DENSE ranges
-    of an asset share each moment, one side is dealt into parts and the other copied to each, so that few crowded buckets are
-    many tasks; the copies are under one for each hundreds of pairs found.
-    """
+def _dealt_ranges(ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(longer, shorter) sides of ``all_overlaps``, to be joined by asset, class, bucket and part."""
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     level = 2 * F.ceil(F.log2(F.greatest(F.col("_e") - F.col("_s"), F.lit(1)).cast("double")) / 2).cast("int")
     kinds = dict(ranges.dtypes)
@@ -102,12 +94,28 @@ def all_overlaps(ranges: DataFrame) -> DataFrame:
     r = ranges.select("farm_id", "asset_id", "dataset_id", *ends, us("start").alias("_s"), us("end").alias("_e")).where("_s is not null and _e is not null and _s <= _e").withColumn("_level", level)
     placed = lambda d: d.withColumn("_bucket", F.explode(F.expr("sequence(shiftright(_s, _level), shiftright(_e, _level))")))
     crowd = F.sum((F.col("_e") - F.col("_s")).cast("double")) / F.greatest(F.max("_e") - F.min("_s"), F.lit(1))
-    classes = r.groupBy("farm_id", "asset_id").agg(F.collect_set("_level").alias("_levels"), F.ceil(F.greatest(crowd / DENSE, F.lit(1.0))).cast("int").alias("_parts"))
-    known = r.join(classes, ["farm_id", "asset_id"])
-    long = placed(known.drop("_levels").withColumn("_part", F.pmod(F.xxhash64("dataset_id", "_s", "_e"), F.col("_parts")).cast("int")).drop("_parts"))
+    classes = r.groupBy("farm_id", "asset_id").agg(F.collect_set("_level").alias("_levels"), F.ceil(F.sqrt(F.greatest(crowd / DENSE, F.lit(1.0)))).cast("int").alias("_parts"))
+    known = r.join(classes, ["farm_id", "asset_id"]).withColumn("_own_part", F.pmod(F.xxhash64("dataset_id", "_s", "_e"), F.col("_parts")).cast("int"))
+    dealt = lambda d, parts: d.withColumn("_part", F.explode(F.expr(parts))).drop("_parts", "_own_part")
+    long = dealt(placed(known.drop("_levels")), "sequence(_own_part * _parts, _own_part * _parts + _parts - 1)")
     short = known.withColumn("_own", F.col("_level")).withColumn("_level", F.explode(F.filter("_levels", lambda k: k >= F.col("_own")))).drop("_levels")
-    short = placed(short).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    other = short.select("farm_id", "asset_id", "_level", "_bucket", "_part", "_own", *[F.col(c).alias(f"_o{c}") for c in ("dataset_id", *ends, "_s", "_e")])
+    short = dealt(placed(short), "sequence(_own_part, _own_part + (_parts - 1) * _parts, _parts)")
+    return long, short.select("farm_id", "asset_id", "_level", "_bucket", "_part", "_own", *[F.col(c).alias(f"_o{c}") for c in ("dataset_id", *ends, "_s", "_e")])
+
+
+def all_overlaps(ranges: DataFrame) -> DataFrame:
+    """Per asset, every pair of ranges that share time.
+
+    A sweep in buckets: a range whose length is up to 4^k microseconds, but more than a quarter of it, lies in one or two
+    buckets of that width. It meets the ranges of its class and of the shorter classes there, and a pair counts in the bucket
+    of its later start. So ranges of all lengths together cost some times as many comparisons as there are pairs, and no
+    asset is one task. Rows are at most twice the ranges for each class of length that the asset has. Where n ranges of an asset,
+    more than DENSE, share each moment, both sides are dealt into sqrt(n / DENSE) parts and each part meets each of the other
+    side's, so that few crowded buckets are n / DENSE tasks' work; a range is copied sqrt(n / DENSE) times on each side, though
+    it has n pairs.
+    """
+    long, other = _dealt_ranges(ranges)
+    ends = "start" in long.columns
     both = long.join(other, ["farm_id", "asset_id", "_level", "_bucket", "_part"]).where((F.col("_s") < F.col("_o_e")) & (F.col("_o_s") < F.col("_e")) & (F.col("_bucket") == F.expr("shiftright(greatest(_s, _o_s), _level)")))
     # Two ranges of one class meet twice, two of different classes once.
     both = both.where(F.when(F.col("_own") == F.col("_level"), F.col("dataset_id") < F.col("_odataset_id")).otherwise(F.col("dataset_id") != F.col("_odataset_id")))
